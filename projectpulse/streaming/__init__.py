@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is batch only — every table is rebuilt in full from annual extracts
+and no watermark, window or state logic exists — so there is no streaming operator
+to rebuild.  All operators here are plain DataFrame functions and can be applied to
+a streaming DataFrame's micro-batches via ``foreachBatch`` if a caller needs that.
+"""
