@@ -5,7 +5,7 @@ group that holds a third of all rows (the ``overall`` cut always holds all of th
 that is an unbounded group in one task.  This operator gets the same exact,
 interpolated median (DuckDB ``median`` / ``quantile_cont(0.5)``) in a bounded way:
 
-1. one aggregation pass computes, per group and measure, the row count and a narrow
+1. one aggregation pass computes, per group and measure, a narrow
    value bracket ``[lo, hi]`` around the middle rank from a mergeable quantile sketch
    (``percentile_approx``; rank error at most n/accuracy, partial aggregation
    map-side).  Caller aggregates (count, avg, ...) ride along in the same pass;
@@ -24,15 +24,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
-
+from projectpulse.sources.readers import materialize
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys) -> Column:
-    conds = [left[k].eqNullSafe(right[k]) for k in keys]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
+DEFAULT_ACCURACY = 100_000
 
 
 def _join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -44,96 +41,91 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -
 
 
 def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                  accuracy: int = DEFAULT_ACCURACY, materialize_input: bool = True) -> DataFrame:
     """``df.groupBy(keys).agg(*aggs)`` plus exact medians ``{out_name: value_column}``.
 
     ``keys`` may be empty (one global row).  NULL values are skipped by the medians,
     as in SQL; a group with no non-NULL value gets a NULL median.
+
+    The median passes read ``df`` several times; with ``materialize_input`` it is
+    written once to the shared checkpoint folder (only the columns the caller
+    selected), so the passes re-read compact Parquet instead of recomputing the
+    upstream plan, and a lost executor re-reads files instead of re-running joins.
     """
     keys = list(keys)
     medians = dict(medians or {})
     names = list(medians)
+    spark = df.sparkSession
+    if names and materialize_input:
+        df = materialize(df, spark, "median-input")
     eps = 3.0 / accuracy
     p_lo, p_hi = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
 
     sketch_aggs = []
     for i, out in enumerate(names):
-        v = F.col(medians[out])
-        sketch_aggs.append(F.count(v).alias(f"__n{i}"))
-        sketch_aggs.append(F.percentile_approx(v, [p_lo, p_hi], accuracy).alias(f"__br{i}"))
-    grouped = df.groupBy(*keys) if keys else df.groupBy()
-    pass1 = grouped.agg(*(list(aggs) + sketch_aggs)) if (aggs or sketch_aggs) else grouped.count()
+        sketch_aggs.append(F.percentile_approx(F.col(medians[out]), [p_lo, p_hi], accuracy).alias(f"__br{i}"))
+    gkeys = keys or ["__g"]
+    src = df if keys else df.withColumn("__g", F.lit(0))
+    all_aggs = list(aggs) + sketch_aggs
+    pass1 = src.groupBy(*gkeys).agg(*all_aggs) if all_aggs else src.groupBy(*gkeys).count()
     if not names:
-        return pass1
-
-    # Brackets in long form: (keys, m, n, lo, hi), one row per group and measure.
-    brackets = pass1.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").cast("bigint").alias("n"),
-                 F.col(f"__br{i}")[0].cast("double").alias("lo"),
+        return pass1.drop("__g") if not keys else pass1
+    # One row per group: small, reused twice below, so written once.
+    pass1 = materialize(pass1, spark, "median-groups")
+
+    # Brackets in long form: (keys, m, lo, hi), one row per group and measure.
+    mkeys = gkeys + ["m"]
+    brackets = pass1.select(*gkeys, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("m"), F.col(f"__br{i}")[0].cast("double").alias("lo"),
                  F.col(f"__br{i}")[1].cast("double").alias("hi"))
-        for i in range(len(names))])))
+        for i in range(len(names))]))).where(F.col("lo").isNotNull())
 
     # The measures in long form; NULL values never take part in a median.
-    stacked = df.select(*keys, F.inline(F.array(*[
+    stacked = src.select(*gkeys, F.inline(F.array(*[
         F.struct(F.lit(i).alias("m"), F.col(medians[out]).cast("double").alias("v"))
         for i, out in enumerate(names)]))).where(F.col("v").isNotNull())
 
-    mkeys = keys + ["m"]
-    j = _join_on_keys(stacked, brackets.where(F.col("n") > 0), mkeys)
-    side = F.when(F.col("v") < F.col("lo"), F.lit(0)).when(F.col("v") <= F.col("hi"), F.lit(1))
-    counted = (j.select(*mkeys, side.alias("side"), F.when(side == 1, F.col("v")).alias("cv"))
-               .where(F.col("side").isNotNull())
-               .groupBy(*mkeys, "side", "cv").agg(F.count(F.lit(1)).alias("cnt")))
-    below = (counted.where(F.col("side") == 0)
-             .select(*mkeys, F.col("cnt").alias("n_below")))
-    cands = counted.where(F.col("side") == 1).select(*mkeys, F.col("cv").alias("v"), "cnt")
-
-    pick = _pick_middle(
-        _join_on_keys(_join_on_keys(cands, brackets.select(*mkeys, "n"), mkeys),
-                      below, mkeys, "left")
-        .withColumn("n_below", F.coalesce(F.col("n_below"), F.lit(0))),
-        mkeys)
-
-    # Exact path for any group whose bracket missed the middle rank.
-    covered = pick.select(*mkeys).withColumn("__ok", F.lit(True))
-    missed = (_join_on_keys(brackets.where(F.col("n") > 0).select(*mkeys, "n"), covered, mkeys, "left")
-              .where(F.col("__ok").isNull()).drop("__ok"))
-    full = _join_on_keys(stacked, missed.select(*mkeys), mkeys, "left_semi")
-    rescue = _pick_middle(
-        _join_on_keys(full.groupBy(*mkeys, "v").agg(F.count(F.lit(1)).alias("cnt")), missed, mkeys)
-        .withColumn("n_below", F.lit(0).cast("bigint")),
-        mkeys)
-    med_long = pick.unionByName(rescue)
-
-    # Back to wide: one column per median.
-    gkeys = keys or ["__g"]
-    if not keys:
-        med_long = med_long.withColumn("__g", F.lit(0))
-    wide = med_long.groupBy(*gkeys).agg(*[
-        F.max(F.when(F.col("m") == i, F.col("median"))).alias(out) for i, out in enumerate(names)
-    ])
-    base = pass1.drop(*[f"__n{i}" for i in range(len(names))], *[f"__br{i}" for i in range(len(names))])
-    if not keys:
-        # one global row on each side: join on a constant key
-        return base.withColumn("__g", F.lit(0)).join(wide, "__g", "left").drop("__g")
-    return _join_on_keys(base, wide, keys, "left")
-
-
-def _pick_middle(rows: DataFrame, mkeys) -> DataFrame:
-    """rows: (mkeys, v, cnt, n, n_below) for in-bracket distinct values → (mkeys, median).
-
-    Only groups whose bracket holds both middle ranks produce a row.
+    # side 0 = below the bracket, 1 = inside (kept per distinct value), 2 = above.
+    j = _join_on_keys(stacked, brackets, mkeys)
+    side = (F.when(F.col("v") < F.col("lo"), F.lit(0))
+            .when(F.col("v") <= F.col("hi"), F.lit(1)).otherwise(F.lit(2)))
+    counted = (j.select(*mkeys, side.alias("side"), F.when(side == 1, F.col("v")).alias("v"))
+               .groupBy(*mkeys, "side", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    picked = materialize(_pick_middle(counted, mkeys), spark, "median-picked")
+
+    # Exact path, only for a group whose bracket missed a middle rank (not expected).
+    missed = picked.where(F.col("median").isNull()).select(*mkeys)
+    if missed.limit(1).count() > 0:
+        full = (_join_on_keys(stacked, missed, mkeys, "left_semi")
+                .groupBy(*mkeys, F.lit(1).alias("side"), "v").agg(F.count(F.lit(1)).alias("cnt")))
+        picked = picked.where(F.col("median").isNotNull()).unionByName(_pick_middle(full, mkeys))
+
+    wide = picked.groupBy(*gkeys).agg(*[
+        F.max(F.when(F.col("m") == i, F.col("median"))).alias(out) for i, out in enumerate(names)])
+    base = pass1.drop(*[f"__br{i}" for i in range(len(names))])
+    out = _join_on_keys(base, wide, gkeys, "left")
+    return out if keys else out.drop("__g")
+
+
+def _pick_middle(counted: DataFrame, mkeys) -> DataFrame:
+    """counted: (mkeys, side, v, cnt) → (mkeys, median), median NULL if a middle rank
+    does not fall on an in-bracket value (side 1).
+
+    The window partition of a group holds its in-bracket distinct values plus at most
+    two summary rows, whatever the group's size.
     """
-    w = Window.partitionBy(*mkeys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pos_lo = F.floor((F.col("n") - 1) / 2)
-    pos_hi = F.ceil((F.col("n") - 1) / 2)
-    ranked = (rows.withColumn("__end", F.col("n_below") + F.sum("cnt").over(w) - 1)
-              .withColumn("__start", F.col("__end") - F.col("cnt") + 1)
-              .withColumn("__lo", (F.col("__start") <= pos_lo) & (pos_lo <= F.col("__end")))
-              .withColumn("__hi", (F.col("__start") <= pos_hi) & (pos_hi <= F.col("__end"))))
+    part = Window.partitionBy(*mkeys)
+    w = part.orderBy("side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.col("__n")
+    pos_lo = F.floor((n - 1) / 2)
+    pos_hi = F.ceil((n - 1) / 2)
+    ranked = (counted.withColumn("__n", F.sum("cnt").over(part))
+              .withColumn("__end", F.sum("cnt").over(w) - 1)
+              .withColumn("__start", F.col("__end") - F.col("cnt") + 1))
+    hit_lo = (F.col("side") == 1) & (F.col("__start") <= pos_lo) & (pos_lo <= F.col("__end"))
+    hit_hi = (F.col("side") == 1) & (F.col("__start") <= pos_hi) & (pos_hi <= F.col("__end"))
     agg = (ranked.groupBy(*mkeys)
-           .agg(F.max(F.when(F.col("__lo"), F.col("v"))).alias("v_lo"),
-                F.max(F.when(F.col("__hi"), F.col("v"))).alias("v_hi"),
-                F.max(F.when(F.col("__lo"), (F.col("n") - 1) / 2 - pos_lo)).alias("frac")))
-    return (agg.where(F.col("v_lo").isNotNull() & F.col("v_hi").isNotNull())
-            .select(*mkeys, (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("median")))
+           .agg(F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
+                F.max(F.when(hit_hi, F.col("v"))).alias("v_hi"),
+                F.max((n - 1) / 2 - pos_lo).alias("frac")))
+    return agg.select(*mkeys, (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("median"))

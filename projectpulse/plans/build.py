@@ -37,3 +37,8 @@ def contracts_distinct(contracts_df: DataFrame) -> DataFrame:
 
 def kpi_rates(projects_df: DataFrame) -> DataFrame:
     return kpi.status_rates(projects_df)
+
+
+def model_features(projects_df: DataFrame, rates_df: DataFrame | None = None) -> DataFrame:
+    from projectpulse.operators.features import model_features as mf
+    return mf(projects_df, rates_df if rates_df is not None else kpi_rates(projects_df))

@@ -145,3 +145,131 @@ def q_contract_bundling(spark: SparkSession, d: str) -> DataFrame:
     + " FROM kpi_rates", "kpi_rates"))
 def q_kpi_rates(spark: SparkSession, d: str) -> DataFrame:
     return rounded(kpi.kpi_order(build.kpi_rates(build.projects(spark, d)), "n_rated"))
+
+
+def _cuts_sql(base: str, cols: str, dims=("district", "project_type", "road_system"), overall=True,
+              prefix: str = "") -> str:
+    parts = []
+    if overall:
+        parts.append(f"SELECT 'overall' AS cut_type, 'ALL' AS cut_value, {cols} FROM {base}")
+    for dname in dims:
+        parts.append(f"SELECT '{dname}' AS cut_type, CAST({prefix}{dname} AS VARCHAR) AS cut_value, {cols} FROM {base}")
+    return "\nUNION ALL ".join(parts)
+
+
+@query("kpi_cost_variance", with_ctes(
+    "SELECT cut_type, cut_value, count(*) AS n, "
+    f"{r6('median(vd)', 'median_variance_dollars')}, {r6('avg(vd)', 'avg_variance_dollars')}, "
+    f"{r6('median(vp)', 'median_variance_pct')}, {r6('avg(vp)', 'avg_variance_pct')} "
+    f"FROM ({_cuts_sql('cost_base', 'vd, vp')}) c GROUP BY cut_type, cut_value", "cost_base"))
+def q_kpi_cost_variance(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(kpi.kpi_order(kpi.cost_variance_kpi(build.projects(spark, d)), "n"))
+
+
+@query("kpi_schedule_overall", with_ctes(
+    "SELECT count(schedule_variance_days_actual) AS n_completed, "
+    f"{r6('median(schedule_variance_days_actual)', 'median_days_late_actual')}, "
+    f"{r6('avg(schedule_variance_days_actual)', 'avg_days_late_actual')}, "
+    "count(*) FILTER (WHERE schedule_variance_days_current IS NOT NULL) AS n_with_current_date, "
+    f"{r6('median(schedule_variance_days_current)', 'median_days_late_current')}, "
+    f"{r6('avg(schedule_variance_days_current)', 'avg_days_late_current')} FROM contracts_distinct",
+    "contracts_distinct"))
+def q_kpi_schedule_overall(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(kpi.schedule_overall(build.contracts_distinct(build.contracts(spark, d))))
+
+
+@query("kpi_schedule_by_cut", with_ctes(
+    "SELECT cut_type, cut_value, count(*) AS n, "
+    f"{r6('median(sv)', 'median_days_late')}, {r6('avg(sv)', 'avg_days_late')} FROM ("
+    + _cuts_sql("(SELECT c.schedule_variance_days_actual AS sv, p.district AS proj_district, "
+                "p.project_type AS proj_project_type, p.road_system AS proj_road_system "
+                "FROM stg_contracts c JOIN projects p ON c.upc = p.upc "
+                "WHERE c.schedule_variance_days_actual IS NOT NULL) b", "sv", overall=False, prefix="proj_")
+    + ") c GROUP BY cut_type, cut_value", "stg_contracts", "projects"))
+def q_kpi_schedule_by_cut(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(kpi.kpi_order(kpi.schedule_by_cut(build.contracts(spark, d), build.projects(spark, d)), "n"))
+
+
+# ---------------------------------------------------------------- feature table (ML1-2, PRJ8, PRJ11-13, FN8)
+
+def _features(spark: SparkSession, d: str) -> DataFrame:
+    return build.model_features(build.projects(spark, d))
+
+
+@query("model_features", with_ctes(
+    "SELECT upc, data_source, has_label, is_currently_active, project_type_bucketed, road_system_bucketed, "
+    f"district_bucketed, allocated_budget, {r6('log_allocated_budget')}, at_risk FROM model_features",
+    "model_features"))
+def q_model_features(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_features(spark, d))
+
+
+@query("qualifying_categories", with_ctes(
+    "SELECT cut_type, cut_value, n_rated FROM kpi_rates WHERE cut_type <> 'overall' AND n_rated >= 30",
+    "kpi_rates"))
+def q_qualifying_categories(spark: SparkSession, d: str) -> DataFrame:
+    rates = build.kpi_rates(build.projects(spark, d))
+    return rates.where((F.col("cut_type") != "overall") & (F.col("n_rated") >= 30)).select(
+        "cut_type", "cut_value", "n_rated")
+
+
+@query("bucket_rare", with_ctes(
+    "SELECT 'project_type' AS column_name, project_type_bucketed AS level, count(*) AS n FROM model_features GROUP BY 2 "
+    "UNION ALL SELECT 'road_system', road_system_bucketed, count(*) FROM model_features GROUP BY 2 "
+    "UNION ALL SELECT 'district', district_bucketed, count(*) FROM model_features GROUP BY 2", "model_features"))
+def q_bucket_rare(spark: SparkSession, d: str) -> DataFrame:
+    mf = _features(spark, d)
+    return kpi.explode_cuts(mf, [("project_type", "project_type_bucketed"), ("road_system", "road_system_bucketed"),
+                                 ("district", "district_bucketed")], [], overall=False).groupBy(
+        F.col("cut_type").alias("column_name"), F.col("cut_value").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("at_risk_label", with_ctes(
+    "SELECT data_source, on_time_status, on_budget_status, at_risk, count(*) AS n FROM "
+    "(SELECT p.data_source, p.on_time_status, p.on_budget_status, m.at_risk FROM projects p "
+    "JOIN model_features m ON p.upc = m.upc) t GROUP BY ALL", "projects", "model_features"))
+def q_at_risk_label(spark: SparkSession, d: str) -> DataFrame:
+    from projectpulse.operators.features import at_risk_label
+    p = build.projects(spark, d)
+    lab = at_risk_label(F.col("data_source"), F.col("on_time_status"), F.col("on_budget_status"))
+    return p.groupBy("data_source", "on_time_status", "on_budget_status", lab.alias("at_risk")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("log_budget", with_ctes(
+    "SELECT count(*) AS n_rows, count(log_allocated_budget) AS n_log, "
+    "count_if(allocated_budget = 0) AS n_zero, count_if(allocated_budget IS NULL) AS n_null, "
+    f"{r6('sum(log_allocated_budget)', 'sum_log')} FROM model_features", "model_features"))
+def q_log_budget(spark: SparkSession, d: str) -> DataFrame:
+    mf = _features(spark, d)
+    return rounded(mf.agg(F.count(F.lit(1)).alias("n_rows"), F.count("log_allocated_budget").alias("n_log"),
+                          F.count_if(F.col("allocated_budget") == 0).alias("n_zero"),
+                          F.count_if(F.col("allocated_budget").isNull()).alias("n_null"),
+                          F.sum("log_allocated_budget").alias("sum_log")))
+
+
+@query("active_rows", with_ctes(
+    "SELECT upc, project_type_bucketed, road_system_bucketed, district_bucketed, allocated_budget, "
+    f"{r6('log_allocated_budget')} FROM model_features WHERE is_currently_active", "model_features"))
+def q_active_rows(spark: SparkSession, d: str) -> DataFrame:
+    from projectpulse.operators.features import FEATURES, active_rows
+    return rounded(active_rows(_features(spark, d)).select("upc", *FEATURES[:3], "allocated_budget", FEATURES[3]))
+
+
+@query("training_rows", with_ctes(
+    "SELECT upc, project_type_bucketed, road_system_bucketed, district_bucketed, "
+    f"{r6('log_allocated_budget')}, at_risk FROM training", "training"))
+def q_training_rows(spark: SparkSession, d: str) -> DataFrame:
+    from projectpulse.operators.features import FEATURES, training_rows
+    return rounded(training_rows(_features(spark, d)).select("upc", *FEATURES, "at_risk"))
+
+
+@query("label_base_rate", with_ctes(
+    "SELECT count(*) FILTER (WHERE has_label) AS n_labelled, count(at_risk) AS n_decided, "
+    "count_if(has_label AND at_risk IS NULL) AS n_undecided, "
+    f"{r6('avg(at_risk)', 'base_rate')} FROM model_features", "model_features"))
+def q_label_base_rate(spark: SparkSession, d: str) -> DataFrame:
+    mf = _features(spark, d)
+    return rounded(mf.agg(F.count_if("has_label").alias("n_labelled"), F.count("at_risk").alias("n_decided"),
+                          F.count_if(F.col("has_label") & F.col("at_risk").isNull()).alias("n_undecided"),
+                          F.avg("at_risk").alias("base_rate")))
