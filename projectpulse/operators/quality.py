@@ -53,8 +53,8 @@ def _result(name: str, observed: Column, bound: str, passed: Column) -> Column:
 
 # ----------------------------------------------------------------- single-pass rules
 
-def row_count(lo=1, hi=None) -> AggRule:
-    return AggRule("row_count", F.count(F.lit(1)), lo, hi)
+def row_count(lo=1, hi=None, name: str = "row_count") -> AggRule:
+    return AggRule(name, F.count(F.lit(1)), lo, hi)
 
 
 def null_count(col: str, lo=0, hi=0) -> AggRule:
@@ -127,12 +127,12 @@ def _one_row(df: DataFrame, name: str, observed: Column, bound: str, passed_fn)
                      F.lit(bound).alias("bound")).withColumn("passed", passed_fn(F.col("observed")))
 
 
-def unique_key(df: DataFrame, key: str) -> DataFrame:
+def unique_key(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
     """Key not NULL and unique: observed = NULL keys + surplus rows of repeated keys."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     agg = per_key.agg(F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
                       F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1)), F.lit(0)).alias("dups"))
-    return _one_row(agg, f"unique_key:{key}", F.col("nulls") + F.col("dups"), "[0, 0]", lambda o: o == 0)
+    return _one_row(agg, name or f"unique_key:{key}", F.col("nulls") + F.col("dups"), "[0, 0]", lambda o: o == 0)
 
 
 def duplicate_row_share(df: DataFrame, max_share: float, name: str = "duplicate_row_share") -> DataFrame:

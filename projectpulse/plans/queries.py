@@ -273,3 +273,267 @@ def q_label_base_rate(spark: SparkSession, d: str) -> DataFrame:
     return rounded(mf.agg(F.count_if("has_label").alias("n_labelled"), F.count("at_risk").alias("n_decided"),
                           F.count_if(F.col("has_label") & F.col("at_risk").isNull()).alias("n_undecided"),
                           F.avg("at_risk").alias("base_rate")))
+
+
+# ---------------------------------------------------------------- data quality (DQ1-20, SET2-4, AGG12-17, AGG20, AGG24)
+
+from projectpulse.operators import quality as Q  # noqa: E402
+from projectpulse.operators.quality import fmt_bound  # noqa: E402
+
+
+def dq_sql(name: str, observed: str, bound: str, passed: str, frm: str) -> str:
+    return (f"SELECT '{name}' AS rule, round(CAST({observed} AS DOUBLE), {PLACES}) AS observed, "
+            f"'{bound}' AS bound, {passed} AS passed FROM {frm}")
+
+
+def between_sql(x: str, lo, hi) -> str:
+    conds = []
+    if lo is not None:
+        conds.append(f"{x} >= {lo!r}")
+    if hi is not None:
+        conds.append(f"{x} <= {hi!r}")
+    return "(" + " AND ".join(conds) + ")" if conds else "true"
+
+
+def agg_rule_sql(name: str, observed: str, lo, hi, frm: str, bound: str | None = None) -> str:
+    return dq_sql(name, observed, bound or fmt_bound(lo, hi), between_sql(observed, lo, hi), frm)
+
+
+def union_sql(*parts: str) -> str:
+    return "\nUNION ALL ".join(parts)
+
+
+ROW_BOUNDS = (1000, 1000000)
+
+
+@query("dq_row_count", with_ctes(union_sql(
+    agg_rule_sql("not_empty", "count(*)", 1, None, "projects"),
+    agg_rule_sql("row_count", "count(*)", *ROW_BOUNDS, "projects")), "projects"))
+def q_dq_row_count(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.expect(build.projects(spark, d), [Q.row_count(1, None, "not_empty"), Q.row_count(*ROW_BOUNDS)]))
+
+
+REQUIRED_PROGRAM = ["OBJECTID", "UPC", "DISTRICT_CODE_DESC", "STATE_HIGHWAY_DESC", "SCOPE_OF_WORK_DESC",
+                    "POOL_PRJ_STATUS_DSC", "HAS_PE", "HAS_RW", "HAS_CN", "PE_START_DATE", "RW_START_DATE",
+                    "CN_START_DATE", "CN_END_DATE", "TOTAL_ALLOCATIONS_CURRENT", "TOTAL_EST_CURRENT", "CURRENT_YEAR"]
+
+
+@query("dq_required_columns", with_ctes(union_sql(*[
+    (f"SELECT '{c}' AS column_name, true AS present, count({c}) AS n_non_null FROM raw_syip"
+     if c != "OBJECTID" else f"SELECT '{c}' AS column_name, false AS present, CAST(NULL AS BIGINT) AS n_non_null")
+    for c in REQUIRED_PROGRAM]), "raw_syip"))
+def q_dq_required_columns(spark: SparkSession, d: str) -> DataFrame:
+    return Q.required_columns(fixtures.raw_program(spark, d), REQUIRED_PROGRAM)
+
+
+@query("dq_unique_key", with_ctes(union_sql(*[
+    dq_sql(f"unique_key:{t}", "count(*) - count(DISTINCT upc)", "[0, 0]", "count(*) = count(DISTINCT upc)", t)
+    for t in ("projects", "stg_syip", "stg_dashboard")]), "projects"))
+def q_dq_unique_key(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.union_results([Q.unique_key(build.projects(spark, d), "upc", "unique_key:projects"),
+                                    Q.unique_key(build.program(spark, d), "upc", "unique_key:stg_syip"),
+                                    Q.unique_key(build.outcome(spark, d), "upc", "unique_key:stg_dashboard")]))
+
+
+CASTS = [("TOTAL_ALLOCATIONS_CURRENT", "double"), ("TOTAL_EST_CURRENT", "double"), ("CURRENT_YEAR", "int"),
+         ("HAS_PE", "boolean")]
+SQL_TYPES = {"double": "DOUBLE", "int": "INTEGER", "boolean": "BOOLEAN"}
+
+
+@query("dq_castable", with_ctes(union_sql(
+    *[agg_rule_sql(f"castable_share:{c}:{t}",
+                   f"avg(CASE WHEN {c} IS NOT NULL THEN CAST(TRY_CAST({c} AS {SQL_TYPES[t]}) IS NOT NULL AS INTEGER) END)",
+                   1.0, None, "raw_syip") for c, t in CASTS],
+    *[agg_rule_sql(f"non_null_share:{c}", f"avg(CAST({c} IS NOT NULL AS INTEGER))", 0.9, None, "raw_syip")
+      for c in ("TOTAL_ALLOCATIONS_CURRENT", "TOTAL_EST_CURRENT")]), "raw_syip"))
+def q_dq_castable(spark: SparkSession, d: str) -> DataFrame:
+    rules = [Q.castable_share(c, t) for c, t in CASTS]
+    rules += [Q.non_null_share(c, 0.9) for c in ("TOTAL_ALLOCATIONS_CURRENT", "TOTAL_EST_CURRENT")]
+    return rounded(Q.expect(fixtures.raw_program(spark, d), rules))
+
+
+@query("dq_null_rate", with_ctes(union_sql(
+    agg_rule_sql("null_count:district", "count_if(district IS NULL)", 0, 0, "projects"),
+    agg_rule_sql("null_count:road_system", "count_if(road_system IS NULL)", 0, 0, "projects"),
+    agg_rule_sql("null_count:project_type", "count_if(project_type IS NULL)", 0, 1000, "projects"),
+    agg_rule_sql("non_null_share:allocated_budget", "avg(CAST(allocated_budget IS NOT NULL AS INTEGER))", 0.9, None,
+                 "projects"),
+    agg_rule_sql("non_null_share:current_estimate", "avg(CAST(current_estimate IS NOT NULL AS INTEGER))", 0.9, None,
+                 "projects")), "projects"))
+def q_dq_null_rate(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.expect(build.projects(spark, d), [
+        Q.null_count("district"), Q.null_count("road_system"), Q.null_count("project_type", 0, 1000),
+        Q.non_null_share("allocated_budget", 0.9), Q.non_null_share("current_estimate", 0.9)]))
+
+
+RAW_PROGRAM_COLS = [c for c in REQUIRED_PROGRAM if c != "OBJECTID"] + [
+    "Y1_Y6_ALLOCATIONS", "CURRENT_PE_ESTIMATE", "CURRENT_RW_ESTIMATE", "CURRENT_CN_ESTIMATE"]
+CONTRACT_ROW_COLS = ["contract_id", "district", "road_system", "original_completion_date", "current_completion_date",
+                     "actual_completion_date", "award_amount", "current_amount", "final_cost", "on_time_status",
+                     "on_budget_status"]
+
+
+@query("dq_dup_rows", with_ctes(union_sql(
+    dq_sql("duplicate_rows:program", "coalesce(sum(n - 1) / sum(n), 0.0)", fmt_bound(None, 0.01),
+           "coalesce(sum(n - 1) / sum(n), 0.0) <= 0.01",
+           f"(SELECT count(*) AS n FROM raw_syip GROUP BY {', '.join(RAW_PROGRAM_COLS)}) g"),
+    dq_sql("duplicate_rows:contract_rows", "coalesce(sum(n - 1) / sum(n), 0.0)", fmt_bound(None, 1.0),
+           "coalesce(sum(n - 1) / sum(n), 0.0) <= 1.0",
+           f"(SELECT count(*) AS n FROM stg_contracts GROUP BY {', '.join(CONTRACT_ROW_COLS)}) g")),
+    "raw_syip", "stg_contracts"))
+def q_dq_dup_rows(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.union_results([
+        Q.duplicate_row_share(fixtures.raw_program(spark, d), 0.01, "duplicate_rows:program"),
+        Q.duplicate_row_share(build.contracts(spark, d).select(*CONTRACT_ROW_COLS), 1.0,
+                              "duplicate_rows:contract_rows")]))
+
+
+GYR = ["G", "Y", "R"]
+SOURCES = ["both", "syip_only", "dashboard_only"]
+
+
+def _domain_sql(table: str, col: str, allowed, exact: bool) -> str:
+    lst = ", ".join(f"'{a}'" for a in allowed)
+    extra = f"(SELECT count(*) FROM (SELECT DISTINCT {col} AS v FROM {table} WHERE {col} IS NOT NULL) s WHERE v NOT IN ({lst}))"
+    obs = extra
+    if exact:
+        vals = ", ".join(f"('{a}')" for a in allowed)
+        obs = (f"({extra} + (SELECT count(*) FROM (VALUES {vals}) a(v) "
+               f"WHERE v NOT IN (SELECT {col} FROM {table} WHERE {col} IS NOT NULL)))")
+    name = f"{'domain_equals' if exact else 'domain_subset'}:{col}"
+    bound = "0 values outside {" + ",".join(allowed) + "}"
+    return f"SELECT '{name}' AS rule, CAST({obs} AS DOUBLE) AS observed, '{bound}' AS bound, {obs} = 0 AS passed"
+
+
+@query("dq_domain", with_ctes(union_sql(
+    _domain_sql("stg_dashboard", "on_time_status", GYR, False),
+    _domain_sql("stg_dashboard", "on_budget_status", GYR, False),
+    _domain_sql("projects", "data_source", SOURCES, True)), "projects"))
+def q_dq_domain(spark: SparkSession, d: str) -> DataFrame:
+    o = build.outcome(spark, d)
+    return rounded(Q.union_results([Q.domain(o, "on_time_status", GYR), Q.domain(o, "on_budget_status", GYR),
+                                    Q.domain(build.projects(spark, d), "data_source", SOURCES, exact=True)]))
+
+
+@query("dq_key_overlap", with_ctes(dq_sql(
+    "key_overlap:upc", "count(*)", fmt_bound(100, None), "count(*) >= 100",
+    "(SELECT upc FROM stg_syip INTERSECT SELECT upc FROM stg_dashboard) i"), "stg_syip", "stg_dashboard"))
+def q_dq_key_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.key_overlap(build.program(spark, d), build.outcome(spark, d), "upc", 100))
+
+
+@query("dq_partition_total", with_ctes(dq_sql(
+    "partition_total:data_source", "abs(s - t)", "[0, 0]", "s = t",
+    "(SELECT sum(n) AS s FROM (SELECT count(*) AS n FROM projects GROUP BY data_source) g) a, "
+    "(SELECT count(*) AS t FROM projects) b"), "projects"))
+def q_dq_partition_total(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.partition_total(build.projects(spark, d), "data_source"))
+
+
+@query("dq_conditional_null", with_ctes(union_sql(
+    agg_rule_sql("status_on_program_only",
+                 "count_if(data_source = 'syip_only' AND (on_time_status IS NOT NULL OR on_budget_status IS NOT NULL))",
+                 0, 0, "projects"),
+    agg_rule_sql("reason_without_status",
+                 "count_if(on_time_status IS NULL AND on_time_status_reason IS NOT NULL)", 0, 0, "projects")),
+    "projects"))
+def q_dq_conditional_null(spark: SparkSession, d: str) -> DataFrame:
+    ds, ot, ob = F.col("data_source"), F.col("on_time_status"), F.col("on_budget_status")
+    return rounded(Q.expect(build.projects(spark, d), [
+        Q.conditional_count("status_on_program_only", (ds == "syip_only") & (ot.isNotNull() | ob.isNotNull())),
+        Q.conditional_count("reason_without_status", ot.isNull() & F.col("on_time_status_reason").isNotNull())]))
+
+
+RECONCILE = [("allocated_budget", "total_allocated"), ("district", "district"),
+             ("current_estimate", "total_current_estimate")]
+
+
+@query("dq_reconcile", with_ctes(union_sql(*[
+    agg_rule_sql(f"reconcile:{m}", f"count_if(s.{sc} IS NOT NULL AND p.{m} <> s.{sc})", 0, 0,
+                 "projects p JOIN stg_syip s ON p.upc = s.upc") for m, sc in RECONCILE]), "projects"))
+def q_dq_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.reconcile(build.projects(spark, d), build.program(spark, d), "upc", RECONCILE))
+
+
+TOTAL_BOUNDS = (1e6, 1e13)
+
+
+@query("dq_total_range", with_ctes(agg_rule_sql(
+    "active_allocated_total",
+    "coalesce(sum(CASE WHEN data_source IN ('both', 'syip_only') THEN allocated_budget END), 0.0)",
+    *TOTAL_BOUNDS, "projects"), "projects"))
+def q_dq_total_range(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.expect(build.projects(spark, d), [Q.filtered_total(
+        "active_allocated_total", "allocated_budget", F.col("data_source").isin(list(kpi.ACTIVE)), *TOTAL_BOUNDS)]))
+
+
+RATE_COLS = ["on_time_g_rate", "on_time_y_rate", "on_time_r_rate", "on_budget_g_rate", "on_budget_y_rate",
+             "on_budget_r_rate"]
+
+
+@query("dq_range", with_ctes(union_sql(
+    *[dq_sql(f"out_of_range:{c}", f"count_if({c} IS NOT NULL AND NOT ({c} >= 0 AND {c} <= 1))",
+             f"0 outside {fmt_bound(0, 1)}",
+             f"count_if({c} IS NOT NULL AND NOT ({c} >= 0 AND {c} <= 1)) = 0", "kpi_rates") for c in RATE_COLS],
+    agg_rule_sql("min:on_time_g_rate", "min(on_time_g_rate)", 0, 1, "kpi_rates"),
+    agg_rule_sql("max:on_time_g_rate", "max(on_time_g_rate)", 0, 1, "kpi_rates")), "kpi_rates"))
+def q_dq_range(spark: SparkSession, d: str) -> DataFrame:
+    rates = build.kpi_rates(build.projects(spark, d))
+    return rounded(Q.expect(rates, [Q.out_of_range(c, 0, 1) for c in RATE_COLS] + Q.min_max("on_time_g_rate", 0, 1)))
+
+
+@query("dq_shares_sum", with_ctes(union_sql(*[
+    dq_sql(f"shares_sum:{p}", f"count_if(abs({p}_g_rate + {p}_y_rate + {p}_r_rate - 1) > 1e-09)",
+           "0 rows off by more than 1e-09", f"count_if(abs({p}_g_rate + {p}_y_rate + {p}_r_rate - 1) > 1e-09) = 0",
+           "kpi_rates") for p in ("on_time", "on_budget")]), "kpi_rates"))
+def q_dq_shares_sum(spark: SparkSession, d: str) -> DataFrame:
+    rates = build.kpi_rates(build.projects(spark, d))
+    return rounded(Q.expect(rates, [
+        Q.shares_sum_to_one([f"{p}_{lv}_rate" for lv in "gyr"], 1e-9, f"shares_sum:{p}") for p in ("on_time", "on_budget")]))
+
+
+@query("dq_kpi_n_matches", with_ctes(union_sql(
+    dq_sql("kpi_rates_overall_n", "abs(a - b)", "[0, 0]", "a = b",
+           "(SELECT n_rated AS a FROM kpi_rates WHERE cut_type = 'overall') x, (SELECT count(*) AS b FROM rated) y"),
+    dq_sql("schedule_n_completed", "abs(a - b)", "[0, 0]", "a = b",
+           "(SELECT count(schedule_variance_days_actual) AS a FROM contracts_distinct) x, "
+           "(SELECT count(*) AS b FROM contracts_distinct WHERE schedule_variance_days_actual IS NOT NULL) y")),
+    "kpi_rates", "contracts_distinct"))
+def q_dq_kpi_n_matches(spark: SparkSession, d: str) -> DataFrame:
+    p = build.projects(spark, d)
+    rates = build.kpi_rates(p)
+    cd = build.contracts_distinct(build.contracts(spark, d))
+    return rounded(Q.union_results([
+        Q.counts_match("kpi_rates_overall_n", rates.where(F.col("cut_type") == "overall"), "n_rated",
+                       p.where(F.col("data_source").isin(list(kpi.RATED)))),
+        Q.counts_match("schedule_n_completed", kpi.schedule_overall(cd), "n_completed",
+                       cd.where(F.col("schedule_variance_days_actual").isNotNull()))]))
+
+
+@query("dq_skew_guard", with_ctes(agg_rule_sql(
+    "mean_minus_median:variance_pct", "max(avg(vp) - median(vp))", 0.5, None, "cost_base")
+    .replace("max(avg(vp) - median(vp))", "(avg(vp) - median(vp))"), "cost_base"))
+def q_dq_skew_guard(spark: SparkSession, d: str) -> DataFrame:
+    kcv = kpi.cost_variance_kpi(build.projects(spark, d)).where(F.col("cut_type") == "overall")
+    return rounded(Q.expect(kcv, [Q.AggRule("mean_minus_median:variance_pct",
+                                            F.max(F.col("avg_variance_pct") - F.col("median_variance_pct")), 0.5, None)]))
+
+
+@query("small_groups", with_ctes(
+    "SELECT cut_type, count_if(n_rated < 30) AS n_small, count_if(n_rated >= 30) AS n_large "
+    "FROM kpi_rates WHERE cut_type <> 'overall' GROUP BY cut_type", "kpi_rates"))
+def q_small_groups(spark: SparkSession, d: str) -> DataFrame:
+    return Q.small_groups(build.kpi_rates(build.projects(spark, d)))
+
+
+CONSISTENT_COLS = ["district", "road_system", "original_completion_date", "current_completion_date",
+                   "actual_completion_date", "award_amount", "current_amount", "final_cost", "on_time_status",
+                   "on_budget_status"]
+
+
+@query("dq_consistent_within_key", with_ctes(dq_sql(
+    "inconsistent_within:contract_id", "count_if(v > 1)", "[0, 0]", "count_if(v > 1) = 0",
+    f"(SELECT contract_id, count(*) AS v FROM (SELECT DISTINCT contract_id, {', '.join(CONSISTENT_COLS)} "
+    "FROM stg_contracts) t GROUP BY contract_id) g"), "stg_contracts"))
+def q_dq_consistent_within_key(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.consistent_within_key(build.contracts(spark, d), "contract_id", CONSISTENT_COLS))
