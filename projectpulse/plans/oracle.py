@@ -229,3 +229,15 @@ FROM projects p""")
 
 cte("training", ("model_features",), """
 SELECT * FROM model_features WHERE has_label AND at_risk IS NOT NULL""")
+
+cte("scored", (), """
+SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS INTEGER) AS label, floor(o_totalprice / 5000) / 100.0 AS score
+FROM orders""")
+
+cte("score_counts", ("scored",), """
+SELECT score, count_if(label = 1) AS pos, count_if(label = 0) AS neg FROM scored GROUP BY score""")
+
+cte("folds", ("scored",), """
+SELECT id, label, score,
+  CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) - 1) % 5 AS INTEGER) AS fold
+FROM scored""")

@@ -537,3 +537,68 @@ CONSISTENT_COLS = ["district", "road_system", "original_completion_date", "curre
     "FROM stg_contracts) t GROUP BY contract_id) g"), "stg_contracts"))
 def q_dq_consistent_within_key(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Q.consistent_within_key(build.contracts(spark, d), "contract_id", CONSISTENT_COLS))
+
+
+# ---------------------------------------------------------------- evaluation (WIN3-4, ML15-17, AGG22, DQ25)
+
+from projectpulse.operators import evaluate as E  # noqa: E402
+
+
+@query("stratified_folds", with_ctes("SELECT id, label, fold FROM folds", "folds"))
+def q_stratified_folds(spark: SparkSession, d: str) -> DataFrame:
+    return E.stratified_folds(fixtures.scored_orders(spark, d), "id", "label").select("id", "label", "fold")
+
+
+@query("roc_points", with_ctes(
+    "SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, "
+    f"{r6('tp / P', 'tpr')}, {r6('fp / N', 'fpr')} FROM ("
+    "SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, "
+    "sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM score_counts) t", "score_counts"))
+def q_roc_points(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(E.roc_points(fixtures.scored_orders(spark, d)))
+
+
+@query("roc_auc", with_ctes(
+    f"SELECT {r6('sum(neg * (above + pos / 2.0)) / (sum(pos) * sum(neg))', 'roc_auc')} FROM ("
+    "SELECT score, pos, neg, coalesce(sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING), 0) AS above FROM score_counts) t", "score_counts"))
+def q_roc_auc(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(E.roc_auc(fixtures.scored_orders(spark, d)))
+
+
+CM_SQL = ("SELECT tp, fp, fn, {p}, {r}, {f} FROM (SELECT *, "
+          "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr, "
+          "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc FROM ("
+          "SELECT count_if(score > 0.5 AND label = 1) AS tp, count_if(score > 0.5 AND label = 0) AS fp, "
+          "count_if(score <= 0.5 AND label = 1) AS fn FROM scored) c) m").format(
+    p=r6("pr", "precision"), r=r6("rc", "recall"),
+    f=r6("CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END", "f1"))
+
+
+@query("classification_metrics", with_ctes(CM_SQL, "scored"))
+def q_classification_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(E.classification_metrics(fixtures.scored_orders(spark, d)))
+
+
+CV_SQL = """
+SELECT {cols}, avg(roc_auc) > 0.65 AS beats_floor FROM (
+  SELECT a.fold, a.roc_auc, m.pr AS precision, m.rc AS recall,
+         CASE WHEN m.pr + m.rc > 0 THEN 2 * m.pr * m.rc / (m.pr + m.rc) ELSE 0.0 END AS f1
+  FROM (SELECT fold, sum(neg * (above + pos / 2.0)) / (sum(pos) * sum(neg)) AS roc_auc FROM (
+          SELECT fold, score, pos, neg, coalesce(sum(pos) OVER (PARTITION BY fold ORDER BY score DESC
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+          FROM (SELECT fold, score, count_if(label = 1) AS pos, count_if(label = 0) AS neg
+                FROM folds GROUP BY fold, score) g) t GROUP BY fold) a
+  JOIN (SELECT fold, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr,
+               CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc
+        FROM (SELECT fold, count_if(score > 0.5 AND label = 1) AS tp, count_if(score > 0.5 AND label = 0) AS fp,
+                     count_if(score <= 0.5 AND label = 1) AS fn FROM folds GROUP BY fold) c) m ON a.fold = m.fold
+) f""".format(cols=", ".join(r6(f"{fn}({m})", f"{m}_{sfx}") for m in ("roc_auc", "precision", "recall", "f1")
+                             for fn, sfx in (("avg", "mean"), ("stddev_pop", "std"))))
+
+
+@query("cv_summary", with_ctes(CV_SQL, "folds"))
+def q_cv_summary(spark: SparkSession, d: str) -> DataFrame:
+    folded = E.stratified_folds(fixtures.scored_orders(spark, d), "id", "label")
+    s = E.cv_summary(E.fold_metrics(folded))
+    return rounded(s.withColumn("beats_floor", F.col("roc_auc_mean") > 0.65))
