@@ -241,3 +241,112 @@ cte("folds", ("scored",), """
 SELECT id, label, score,
   CAST((row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR) || '-42'), id) - 1) % 5 AS INTEGER) AS fold
 FROM scored""")
+
+# ---- preparation fitted on the training rows, and the closed-form coefficient fixture
+
+CAT_COLS = ("project_type_bucketed", "road_system_bucketed", "district_bucketed")
+
+
+def _cat_long(table: str, extra: str = "") -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS level{extra} FROM {table}" for c in CAT_COLS)
+
+
+cte("levels", ("training",), f"""
+SELECT column_name, level,
+  CAST(row_number() OVER (PARTITION BY column_name ORDER BY level) - 1 AS INTEGER) AS position
+FROM (SELECT DISTINCT column_name, level FROM ({_cat_long('training')}) u) d""")
+
+cte("col_order", (), """
+SELECT * FROM (VALUES ('project_type_bucketed', 0), ('road_system_bucketed', 1), ('district_bucketed', 2))
+  t(column_name, col_pos)""")
+
+cte("level_counts", ("training",), f"""
+SELECT column_name, level, count_if(at_risk = 1) AS pos, count_if(at_risk = 0) AS neg
+FROM ({_cat_long('training', ', at_risk')}) u GROUP BY column_name, level""")
+
+cte("num_prep", ("training",), """
+SELECT median(log_allocated_budget) AS med, count_if(log_allocated_budget IS NULL) > 0 AS has_ind
+FROM training""")
+
+cte("num_vals", ("training", "num_prep"), """
+SELECT t.upc, t.at_risk, coalesce(t.log_allocated_budget, p.med) AS x,
+  CAST(t.log_allocated_budget IS NULL AS DOUBLE) AS mi
+FROM training t CROSS JOIN num_prep p""")
+
+cte("num_scale", ("num_vals",), """
+SELECT avg(x) AS mx, CASE WHEN coalesce(stddev_pop(x), 0) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sx,
+  avg(mi) AS mm, CASE WHEN coalesce(stddev_pop(mi), 0) = 0 THEN 1.0 ELSE stddev_pop(mi) END AS sm
+FROM num_vals""")
+
+cte("coefs", ("levels", "col_order", "level_counts", "num_vals", "num_scale", "num_prep"), """
+SELECT l.column_name || '=' || l.level AS feature, l.column_name, l.level AS category, 'cat' AS kind,
+  o.col_pos * 1000000 + l.position AS idx,
+  ln((CAST(lc.pos AS DOUBLE) + 0.5) / (CAST(lc.neg AS DOUBLE) + 0.5))
+    - ln((CAST(rc.pos AS DOUBLE) + 0.5) / (CAST(rc.neg AS DOUBLE) + 0.5)) AS coef
+FROM levels l
+JOIN col_order o ON o.column_name = l.column_name
+JOIN level_counts lc ON lc.column_name = l.column_name AND lc.level = l.level
+JOIN levels r ON r.column_name = l.column_name AND r.position = 0
+JOIN level_counts rc ON rc.column_name = r.column_name AND rc.level = r.level
+WHERE l.position > 0
+UNION ALL
+SELECT 'log_allocated_budget', 'log_allocated_budget', NULL, 'num', 10000000,
+  avg(CASE WHEN at_risk = 1 THEN (x - mx) / sx END) - avg(CASE WHEN at_risk = 0 THEN (x - mx) / sx END)
+FROM num_vals CROSS JOIN num_scale
+UNION ALL
+SELECT 'log_allocated_budget_missing', 'log_allocated_budget_missing', NULL, 'ind', 10000001,
+  avg(CASE WHEN at_risk = 1 THEN (mi - mm) / sm END) - avg(CASE WHEN at_risk = 0 THEN (mi - mm) / sm END)
+FROM num_vals CROSS JOIN num_scale
+HAVING bool_or(mi = 1.0)""")
+
+cte("intercept", ("training",), """
+SELECT ln((CAST(count_if(at_risk = 1) AS DOUBLE) + 0.5) / (CAST(count_if(at_risk = 0) AS DOUBLE) + 0.5)) AS b0
+FROM training""")
+
+cte("active_feat", ("model_features", "num_prep"), """
+SELECT m.upc, m.allocated_budget, m.project_type_bucketed, m.road_system_bucketed, m.district_bucketed,
+  coalesce(m.log_allocated_budget, p.med) AS x, CAST(m.log_allocated_budget IS NULL AS DOUBLE) AS mi
+FROM model_features m CROSS JOIN num_prep p WHERE m.is_currently_active""")
+
+cte("contrib", ("active_feat", "coefs", "num_scale"), """
+SELECT a.upc, c.idx, c.column_name, c.category, c.coef AS contrib
+FROM active_feat a JOIN coefs c ON c.kind = 'cat' AND (
+  (c.column_name = 'project_type_bucketed' AND a.project_type_bucketed = c.category) OR
+  (c.column_name = 'road_system_bucketed' AND a.road_system_bucketed = c.category) OR
+  (c.column_name = 'district_bucketed' AND a.district_bucketed = c.category))
+UNION ALL
+SELECT a.upc, c.idx, c.column_name, NULL, c.coef * ((a.x - s.mx) / s.sx)
+FROM active_feat a CROSS JOIN num_scale s JOIN coefs c ON c.kind = 'num'
+UNION ALL
+SELECT a.upc, c.idx, c.column_name, NULL, c.coef * ((a.mi - s.mm) / s.sm)
+FROM active_feat a CROSS JOIN num_scale s JOIN coefs c ON c.kind = 'ind'""")
+
+cte("risk_scores", ("active_feat", "contrib", "intercept"), """
+SELECT s.upc, s.p AS risk_probability, CAST(round_even(s.p * 100, 0) AS INTEGER) AS risk_score,
+  coalesce(e.top_factors, 'no strong individual driver') AS top_factors, s.allocated_budget,
+  CAST(round_even(s.p * 100, 0) AS INTEGER) >= 60 AS elevated_risk
+FROM (SELECT a.upc, a.allocated_budget, 1.0 / (1.0 + exp(-(coalesce(sum(c.contrib), 0.0) + i.b0))) AS p
+      FROM active_feat a CROSS JOIN intercept i LEFT JOIN contrib c ON c.upc = a.upc
+      GROUP BY a.upc, a.allocated_budget, i.b0) s
+LEFT JOIN (
+  SELECT upc, string_agg(txt, '; ' ORDER BY rk) AS top_factors FROM (
+    SELECT upc, row_number() OVER (PARTITION BY upc ORDER BY abs(contrib) DESC, idx) AS rk,
+      CASE WHEN category IS NOT NULL THEN column_name || '=''' || category || '''' ELSE column_name END
+      || CASE WHEN contrib > 0 THEN ' (raises risk)' ELSE ' (lowers risk)' END AS txt
+    FROM contrib WHERE abs(contrib) > 1e-9) r
+  WHERE rk <= 2 GROUP BY upc) e ON e.upc = s.upc""")
+
+cte("feature_table", ("coefs", "levels"), """
+SELECT c.idx, c.feature, c.column_name, c.category, c.coef, exp(c.coef) AS odds_ratio,
+  CASE WHEN c.kind = 'cat' THEN
+         c.column_name || '=''' || c.category || ''' carries ' || printf('%.2f', exp(c.coef))
+         || 'x the odds of being flagged at-risk compared to ' || c.column_name || '=''' || r.level || ''' ('
+         || CASE WHEN c.coef > 0 THEN 'higher' ELSE 'lower' END || ' risk).'
+       WHEN c.kind = 'ind' THEN 'Indicator for projects with no allocated-budget figure to compute a size feature from.'
+       ELSE 'Each one-standard-deviation increase in log(allocated budget) '
+         || CASE WHEN c.coef > 0 THEN 'increases' ELSE 'decreases' END
+         || ' the odds of being flagged at-risk by ' || printf('%.2f', exp(c.coef)) || 'x'
+         || CASE WHEN c.coef > 0 THEN ' — bigger projects trend riskier' ELSE '' END || '.'
+  END AS sentence
+FROM coefs c LEFT JOIN levels r ON r.column_name = c.column_name AND r.position = 0""")

@@ -602,3 +602,212 @@ def q_cv_summary(spark: SparkSession, d: str) -> DataFrame:
     folded = E.stratified_folds(fixtures.scored_orders(spark, d), "id", "label")
     s = E.cv_summary(E.fold_metrics(folded))
     return rounded(s.withColumn("beats_floor", F.col("roc_auc_mean") > 0.65))
+
+
+# ---------------------------------------------------------------- preparation, scoring, explanation
+# (ML3-7, ML19-28, SORT2-5, FN10-14, AGG18-19, AGG21, AGG23, AGG26, DQ21-24)
+
+from projectpulse.operators import explain as X  # noqa: E402
+from projectpulse.operators import features as FT  # noqa: E402
+from projectpulse.operators import model as M  # noqa: E402
+
+
+def _training(spark: SparkSession, d: str) -> DataFrame:
+    return FT.training_rows(_features(spark, d))
+
+
+def _fixture_model(spark: SparkSession, d: str, mf: DataFrame | None = None):
+    mf = mf if mf is not None else _features(spark, d)
+    return X.univariate_model(FT.training_rows(mf)), mf
+
+
+def _fixture_scores(spark: SparkSession, d: str) -> DataFrame:
+    model, mf = _fixture_model(spark, d)
+    return X.score_and_explain(FT.active_rows(mf), model)
+
+
+@query("reference_levels", with_ctes("SELECT column_name, level, position FROM levels", "levels"))
+def q_reference_levels(spark: SparkSession, d: str) -> DataFrame:
+    return M.reference_levels(_training(spark, d))
+
+
+@query("onehot_features", with_ctes(
+    "SELECT l.column_name || '=' || l.level AS feature, CAST(count(a.upc) AS DOUBLE) AS n_hot "
+    "FROM levels l LEFT JOIN active_feat a ON "
+    "(l.column_name = 'project_type_bucketed' AND a.project_type_bucketed = l.level) OR "
+    "(l.column_name = 'road_system_bucketed' AND a.road_system_bucketed = l.level) OR "
+    "(l.column_name = 'district_bucketed' AND a.district_bucketed = l.level) GROUP BY 1 "
+    "UNION ALL SELECT 'unseen:' || c.column_name, CAST(count_if(NOT EXISTS (SELECT 1 FROM levels l "
+    "WHERE l.column_name = c.column_name AND l.level = CASE c.column_name "
+    "WHEN 'project_type_bucketed' THEN a.project_type_bucketed WHEN 'road_system_bucketed' THEN a.road_system_bucketed "
+    "ELSE a.district_bucketed END)) AS DOUBLE) FROM active_feat a CROSS JOIN col_order c GROUP BY c.column_name",
+    "levels", "active_feat", "col_order"))
+def q_onehot_features(spark: SparkSession, d: str) -> DataFrame:
+    """All-levels one-hot encoding of the active rows (unseen level = all zeros): hot counts per feature."""
+    mf = _features(spark, d)
+    prep = M.fit_prep(FT.training_rows(mf), drop_first=False)
+    enc, names = M.transform(FT.active_rows(mf), prep)
+    cats = [f for f in prep.features() if f.kind == "cat"]
+    sums = [F.sum(F.col(n)).alias(f"s{i}") for i, (f, n) in enumerate(zip(prep.features(), names)) if f.kind == "cat"]
+    unseen = []
+    for c in prep.categorical:
+        idx = [i for i, f in enumerate(prep.features()) if f.kind == "cat" and f.column == c]
+        row_sum = sum((F.col(names[i]) for i in idx), F.lit(0.0))
+        unseen.append(F.count_if(row_sum == 0).cast("double").alias(f"u_{c}"))
+    agg = enc.agg(*sums, *unseen)
+    return agg.select(F.inline(F.array(
+        *[F.struct(F.lit(f.name).alias("feature"), F.col(f"s{i}").alias("n_hot")) for i, f in enumerate(cats)],
+        *[F.struct(F.lit(f"unseen:{c}").alias("feature"), F.col(f"u_{c}").alias("n_hot")) for c in prep.categorical])))
+
+
+@query("impute_indicator", with_ctes(
+    "SELECT round(p.med, 6) AS median, p.has_ind AS has_indicator, "
+    "(SELECT count_if(log_allocated_budget IS NULL) FROM training) AS n_missing_train, "
+    "(SELECT count_if(mi = 1.0) FROM active_feat) AS n_imputed_active, "
+    f"(SELECT {r6('sum(x)', 'x')} FROM active_feat) AS sum_imputed FROM num_prep p",
+    "num_prep", "training", "active_feat").replace("round(sum(x), 6) AS x", "round(sum(x), 6)"))
+def q_impute_indicator(spark: SparkSession, d: str) -> DataFrame:
+    mf = _features(spark, d)
+    train = FT.training_rows(mf)
+    prep = M.fit_prep(train)
+    x = F.coalesce(F.col("log_allocated_budget"), F.lit(prep.median).cast("double"))
+    n_missing = train.agg(F.count_if(F.col("log_allocated_budget").isNull()).alias("n_missing_train"))
+    act = FT.active_rows(mf).agg(F.count_if(F.col("log_allocated_budget").isNull()).alias("n_imputed_active"),
+                                 F.sum(x).alias("sum_imputed"))
+    out = n_missing.withColumn("__k", F.lit(0)).join(act.withColumn("__k", F.lit(0)), "__k").select(
+        F.lit(prep.median).cast("double").alias("median"), F.lit(prep.has_indicator).alias("has_indicator"),
+        "n_missing_train", "n_imputed_active", "sum_imputed")
+    return rounded(out)
+
+
+@query("scale_numeric", with_ctes(
+    f"SELECT {r6('s.mx', 'mean_x')}, {r6('s.sx', 'std_x')}, {r6('s.mm', 'mean_missing')}, "
+    f"{r6('s.sm', 'std_missing')}, {r6('sum((a.x - s.mx) / s.sx)', 'sum_scaled_active')}, "
+    f"{r6('sum((a.mi - s.mm) / s.sm)', 'sum_scaled_missing_active')} "
+    "FROM active_feat a CROSS JOIN num_scale s GROUP BY s.mx, s.sx, s.mm, s.sm", "active_feat", "num_scale"))
+def q_scale_numeric(spark: SparkSession, d: str) -> DataFrame:
+    mf = _features(spark, d)
+    prep = M.fit_prep(FT.training_rows(mf))
+    enc, names = M.transform(FT.active_rows(mf), prep)
+    num = [n for f, n in zip(prep.features(), names) if f.kind == "num"][0]
+    ind = [n for f, n in zip(prep.features(), names) if f.kind == "ind"]
+    return rounded(enc.agg(
+        F.lit(prep.mean_x).alias("mean_x"), F.lit(prep.std_x).alias("std_x"),
+        F.lit(prep.mean_i).alias("mean_missing"), F.lit(prep.std_i).alias("std_missing"),
+        F.sum(num).alias("sum_scaled_active"),
+        (F.sum(ind[0]) if ind else F.lit(None).cast("double")).alias("sum_scaled_missing_active")))
+
+
+@query("global_feature_table", with_ctes(
+    f"SELECT feature, column_name, category, {r6('coef')}, {r6('odds_ratio')}, sentence FROM feature_table",
+    "feature_table"))
+def q_global_feature_table(spark: SparkSession, d: str) -> DataFrame:
+    model, _ = _fixture_model(spark, d)
+    t = X.global_feature_table(X.coefficient_table(spark, model))
+    return rounded(t.select("feature", "column_name", "category", "coef", "odds_ratio", "sentence"))
+
+
+@query("top_risk_factors", with_ctes(
+    f"SELECT direction, CAST(rank AS INTEGER) AS rank, feature, {r6('coef')}, sentence FROM ("
+    "SELECT CASE WHEN coef > 0 THEN 'increasing' ELSE 'decreasing' END AS direction, "
+    "row_number() OVER (PARTITION BY coef > 0 ORDER BY abs(coef) DESC, idx) AS rank, feature, coef, sentence "
+    "FROM feature_table WHERE coef <> 0) t WHERE rank <= 5", "feature_table"))
+def q_top_risk_factors(spark: SparkSession, d: str) -> DataFrame:
+    model, _ = _fixture_model(spark, d)
+    return rounded(X.top_risk_factors(X.global_feature_table(X.coefficient_table(spark, model))))
+
+
+@query("score_fixed", with_ctes(
+    f"SELECT upc, {r6('risk_probability')}, risk_score, allocated_budget, elevated_risk FROM risk_scores",
+    "risk_scores"))
+def q_score_fixed(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_fixture_scores(spark, d).select("upc", "risk_probability", "risk_score", "allocated_budget",
+                                                     "elevated_risk"))
+
+
+@query("explain_rows", with_ctes("SELECT upc, top_factors FROM risk_scores", "risk_scores"))
+def q_explain_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _fixture_scores(spark, d).select("upc", "top_factors")
+
+
+@query("elevated_summary", with_ctes(
+    "SELECT count(*) AS n_scored, count_if(elevated_risk) AS n_elevated, "
+    f"{r6('avg(CAST(elevated_risk AS INTEGER))', 'share_elevated')}, "
+    f"{r6('coalesce(sum(CASE WHEN elevated_risk THEN allocated_budget END), 0.0)', 'dollars_elevated')} "
+    "FROM risk_scores", "risk_scores"))
+def q_elevated_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(X.elevated_summary(_fixture_scores(spark, d)))
+
+
+@query("score_distribution", with_ctes(
+    "SELECT min(risk_score) AS min_score, round(median(risk_score), 6) AS median_score, max(risk_score) AS max_score, "
+    "round(quantile_cont(risk_score, 0.75), 6) AS p75_score FROM risk_scores", "risk_scores"))
+def q_score_distribution(spark: SparkSession, d: str) -> DataFrame:
+    # risk_score is an integer in [0, 100]: the exact percentile buffers hold at most
+    # 101 distinct values per task, whatever the row count.
+    s = _fixture_scores(spark, d)
+    return rounded(s.agg(F.min("risk_score").alias("min_score"), F.median("risk_score").alias("median_score"),
+                         F.max("risk_score").alias("max_score"),
+                         F.percentile("risk_score", 0.75).alias("p75_score")))
+
+
+@query("top_scored", with_ctes(
+    f"SELECT upc, {r6('risk_probability')}, risk_score, top_factors FROM risk_scores "
+    "ORDER BY risk_score DESC, risk_probability DESC, upc LIMIT 5", "risk_scores"))
+def q_top_scored(spark: SparkSession, d: str) -> DataFrame:
+    s = _fixture_scores(spark, d)
+    return rounded(s.orderBy(F.col("risk_score").desc(), F.col("risk_probability").desc(), F.col("upc"))
+                   .limit(5).select("upc", "risk_probability", "risk_score", "top_factors"))
+
+
+@query("missing_driver_share", with_ctes(
+    "SELECT count(*) AS n_scored, count_if(contains(top_factors, 'log_allocated_budget_missing')) AS n_missing_driver, "
+    f"{r6('avg(CAST(contains(top_factors, ' + chr(39) + 'log_allocated_budget_missing' + chr(39) + ') AS INTEGER))', 'share')} "
+    "FROM risk_scores", "risk_scores"))
+def q_missing_driver_share(spark: SparkSession, d: str) -> DataFrame:
+    s = _fixture_scores(spark, d)
+    hit = F.col("top_factors").contains("log_allocated_budget_missing")
+    return rounded(s.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(hit).alias("n_missing_driver"),
+                         F.avg(hit.cast("int")).alias("share")))
+
+
+@query("coef_rate_corr", with_ctes(
+    f"SELECT count(*) AS n_joined, {r6('corr(c.coef, (k.on_time_r_rate + k.on_budget_r_rate) / 2)', 'correlation')} "
+    "FROM coefs c JOIN kpi_rates k ON k.cut_type = 'project_type' AND k.cut_value = c.category "
+    "WHERE c.column_name = 'project_type_bucketed'", "coefs", "kpi_rates"))
+def q_coef_rate_corr(spark: SparkSession, d: str) -> DataFrame:
+    p = build.projects(spark, d)
+    rates = build.kpi_rates(p)
+    model, _ = _fixture_model(spark, d, build.model_features(p, rates))
+    coefs = X.coefficient_table(spark, model).where(F.col("column_name") == "project_type_bucketed")
+    r = rates.where(F.col("cut_type") == "project_type").select(
+        F.col("cut_value").alias("category"),
+        ((F.col("on_time_r_rate") + F.col("on_budget_r_rate")) / 2).alias("avg_r_rate"))
+    j = coefs.join(r, "category")
+    return rounded(j.agg(F.count(F.lit(1)).alias("n_joined"), F.corr("coef", "avg_r_rate").alias("correlation")))
+
+
+@query("dq_nonempty_text", with_ctes(agg_rule_sql(
+    "empty_text:top_factors", "count_if(top_factors IS NULL OR trim(top_factors) = '')", 0, 0, "risk_scores"),
+    "risk_scores"))
+def q_dq_nonempty_text(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.expect(_fixture_scores(spark, d), [Q.nonempty_text("top_factors")]))
+
+
+@query("dq_flag_consistency", with_ctes(union_sql(
+    agg_rule_sql("flag_mismatch:elevated_risk", "count_if(elevated_risk <> (risk_score >= 60))", 0, 0, "risk_scores"),
+    agg_rule_sql("min:risk_score", "min(risk_score)", 0, 100, "risk_scores"),
+    agg_rule_sql("max:risk_score", "max(risk_score)", 0, 100, "risk_scores"),
+    agg_rule_sql("min:risk_probability", "min(risk_probability)", 0.0, 1.0, "risk_scores"),
+    agg_rule_sql("max:risk_probability", "max(risk_probability)", 0.0, 1.0, "risk_scores"),
+    dq_sql("scored_equals_active", "abs(a - b)", "[0, 0]", "a = b",
+           "(SELECT count(*) AS a FROM risk_scores) x, (SELECT count(*) AS b FROM model_features "
+           "WHERE is_currently_active) y")), "risk_scores"))
+def q_dq_flag_consistency(spark: SparkSession, d: str) -> DataFrame:
+    model, mf = _fixture_model(spark, d)
+    active = FT.active_rows(mf)
+    s = X.score_and_explain(active, model)
+    rules = [Q.flag_matches_rule("elevated_risk", F.col("risk_score") >= X.ELEVATED_AT)]
+    rules += Q.min_max("risk_score", 0, 100) + Q.min_max("risk_probability", 0.0, 1.0)
+    parity = Q.counts_match("scored_equals_active", s.agg(F.count(F.lit(1)).alias("n")), "n", active)
+    return rounded(Q.union_results([Q.expect(s, rules), parity]))
