@@ -128,11 +128,13 @@ def hash_folds(df: DataFrame, key: str, k: int = N_FOLDS, seed: int = FOLD_SEED,
     return df.withColumn(fold_col, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
 
 
-def fold_metrics(scored: DataFrame, label: str = "label", score: str = "score", fold: str = "fold") -> DataFrame:
-    """Per fold: roc_auc, precision, recall, f1."""
-    auc = roc_auc(scored, label, score, [fold])
-    cm = classification_metrics(scored, label, score, [fold]).select(fold, "precision", "recall", "f1")
-    return auc.join(cm, fold)
+def fold_metrics(scored: DataFrame, label: str = "label", score: str = "score", fold: str = "fold",
+                 by=()) -> DataFrame:
+    """Per (by, fold): roc_auc, precision, recall, f1."""
+    keys = list(by) + [fold]
+    auc = roc_auc(scored, label, score, keys)
+    cm = classification_metrics(scored, label, score, keys).select(*keys, "precision", "recall", "f1")
+    return auc.join(cm, keys)
 
 
 def cv_summary(per_fold: DataFrame, by=(), metrics=("roc_auc", "precision", "recall", "f1")) -> DataFrame:

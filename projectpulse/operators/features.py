@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from projectpulse.functions.scalar import log_positive
-from projectpulse.operators.joins import lookup_flag
+from projectpulse.operators.joins import checked_broadcast, lookup_flag
 from projectpulse.operators.kpi import ACTIVE, DEFAULT_DIMS, RATED
 
 # Fixed values of the feature table.
@@ -28,8 +28,12 @@ def qualifying_categories(rates: DataFrame, cut_type: str, min_rated: int = MIN_
             .select("cut_value"))
 
 
-def bucket_rare(df: DataFrame, col: str, qualifying: DataFrame, out: str, other: str = OTHER) -> DataFrame:
-    flagged = lookup_flag(df, col, qualifying, "__keep")
+def bucket_rare(df: DataFrame, col: str, qualifying: DataFrame, out: str, other: str = OTHER,
+                checked: bool = True) -> DataFrame:
+    """``CASE WHEN col IN (qualifying) THEN col ELSE other END`` as a left join on the
+    qualifying set (broadcast after a size check unless ``checked=False``, when the
+    caller has already decided)."""
+    flagged = lookup_flag(df, col, qualifying, "__keep", check=checked)
     return flagged.withColumn(out, F.when(F.col("__keep"), F.col(col)).otherwise(F.lit(other))).drop("__keep")
 
 
@@ -44,8 +48,12 @@ def model_features(projects: DataFrame, rates: DataFrame, dims=DEFAULT_DIMS,
     src = F.col("data_source")
     out = projects.select("upc", "data_source", "project_type", "road_system", "district",
                           "allocated_budget", "on_time_status", "on_budget_status")
+    # One size check for the three lookups: the qualifying rows of all cuts together.
+    qual = checked_broadcast(rates.where(F.col("cut_type").isin(list(dims)) & (F.col("n_rated") >= min_rated))
+                             .select("cut_type", "cut_value"))
     for d in dims:
-        out = bucket_rare(out, d, qualifying_categories(rates, d, min_rated), f"{d}_bucketed")
+        out = bucket_rare(out, d, qual.where(F.col("cut_type") == d).select("cut_value"), f"{d}_bucketed",
+                          checked=False)
     return out.select(
         "upc", "data_source",
         src.isin(list(RATED)).alias("has_label"),

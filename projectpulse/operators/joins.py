@@ -19,13 +19,16 @@ def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
-def lookup_flag(df: DataFrame, col: str, values: DataFrame, flag: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup_flag(df: DataFrame, col: str, values: DataFrame, flag: str, max_rows: int = BROADCAST_MAX_ROWS,
+                check: bool = True) -> DataFrame:
     """Add ``flag`` = whether ``df[col]`` is among ``values`` (one column ``v``), NULL → false.
 
     The uncorrelated ``x IN (subquery)`` inside a projection, as a left join on the
     distinct value set.
     """
     vals = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    vals = checked_broadcast(vals.withColumn(flag, F.lit(True)), max_rows)
+    vals = vals.withColumn(flag, F.lit(True))
+    if check:
+        vals = checked_broadcast(vals, max_rows)
     out = df.join(vals, df[col] == vals["__v"], "left").drop("__v")
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

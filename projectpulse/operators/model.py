@@ -153,7 +153,7 @@ def candidate_estimators(n_rows: int) -> dict:
     return {
         "logistic_regression": LogisticRegression(
             regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, standardization=False, maxIter=1000,
-            tol=1e-10, fitIntercept=True),
+            tol=1e-8, fitIntercept=True),
         "decision_tree": DecisionTreeClassifier(maxDepth=5, impurity="gini", seed=SEED),
         "random_forest": RandomForestClassifier(numTrees=300, maxDepth=8, featureSubsetStrategy="sqrt", seed=SEED),
         "gradient_boosting": GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED),
@@ -202,23 +202,31 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def cross_validated_predictions(train: DataFrame, estimator_name: str, folds: DataFrame | None = None,
-                                k: int = 5, drop_first: bool = False, key: str = "upc") -> DataFrame:
-    """Out-of-fold probabilities: for each fold, refit preparation and model on the other
-    folds, score the held-out fold.  Returns (key, fold, label, score) for every row."""
+def cross_validate(train: DataFrame, estimator_names, k: int = 5, drop_first: bool = False,
+                   key: str = "upc", label: str = "at_risk", model_name: str | None = None) -> DataFrame:
+    """Out-of-fold probabilities of every named estimator.
+
+    Folds are stratified on the label; for each fold the preparation is refitted on the
+    other folds (once, shared by all estimators) and each estimator is fitted and scores
+    the held-out fold.  Returns (model, key, fold, label, score) for every row and model.
+    The driver loops over folds and models only; every fit and score is a Spark job.
+    """
     from projectpulse.operators.evaluate import stratified_folds
-    folded = folds if folds is not None else stratified_folds(train, key, "at_risk", k)
-    folded = folded.persist()
+    from projectpulse.sources.readers import materialize
+    folded = materialize(stratified_folds(train, key, label, k), train.sparkSession, "cv-folds")
     parts = []
     for i in range(k):
         fit_rows = folded.where(F.col("fold") != i)
-        held = folded.where(F.col("fold") == i)
+        held = with_label(folded.where(F.col("fold") == i), label)
         prep = fit_prep(fit_rows, drop_first=drop_first)
-        est = candidate_estimators(fit_rows.count())[estimator_name]
-        pm = build_pipeline(prep, est).fit(with_label(fit_rows))
-        pred = pm.transform(with_label(held))
-        parts.append(pred.select(key, "fold", F.col("label").cast("int").alias("label"),
-                                 positive_probability(pred).alias("score")))
+        n = fit_rows.count()
+        ests = candidate_estimators(n)
+        for name in estimator_names:
+            pm = build_pipeline(prep, ests[name]).fit(with_label(fit_rows, label))
+            pred = pm.transform(held)
+            parts.append(pred.select(F.lit(model_name or name).alias("model"), key, "fold",
+                                     F.col("label").cast("int").alias("label"),
+                                     positive_probability(pred).alias("score")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

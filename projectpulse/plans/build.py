@@ -42,3 +42,47 @@ def kpi_rates(projects_df: DataFrame) -> DataFrame:
 def model_features(projects_df: DataFrame, rates_df: DataFrame | None = None) -> DataFrame:
     from projectpulse.operators.features import model_features as mf
     return mf(projects_df, rates_df if rates_df is not None else kpi_rates(projects_df))
+
+
+def build_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """Build every table in dependency order and write each one (overwrite) under ``out_dir``.
+
+    Tables that later steps read (projects, contracts, KPI rates, features) are read
+    back from their written files, so each upstream plan runs once.
+    """
+    from projectpulse.sources.readers import table_counts, write_table
+
+    paths: dict[str, str] = {}
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = write_table(df, f"{out_dir.rstrip('/')}/{name}")
+        return spark.read.parquet(paths[name])
+
+    put("stg_syip", program(spark, sf_dir))
+    put("stg_dashboard", outcome(spark, sf_dir))
+    p = put("projects", projects(spark, sf_dir))
+    c = put("stg_contracts", contracts(spark, sf_dir))
+    cd = put("stg_contracts_distinct", contracts_distinct(c))
+    rates = put("kpi_rates", kpi_rates(p))
+    put("kpi_cost_variance", kpi.cost_variance_kpi(p))
+    put("kpi_schedule_variance_overall", kpi.schedule_overall(cd))
+    put("kpi_schedule_variance_by_cut", kpi.schedule_by_cut(c, p))
+    put("model_features", model_features(p, rates))
+    put("table_counts", table_counts({n: spark.read.parquet(v) for n, v in paths.items()}))
+    return paths
+
+
+def train_and_score(spark: SparkSession, features_path: str, out_dir: str) -> dict[str, str]:
+    """Fit the final model on the labelled rows, save it, score the active rows (risk_scores)."""
+    from projectpulse.operators import explain, features as ft, model
+    from projectpulse.sources.readers import write_table
+
+    mf = spark.read.parquet(features_path)
+    m = model.train_logistic(ft.training_rows(mf))
+    base = out_dir.rstrip("/")
+    return {
+        "model": model.save_model(m, f"{base}/risk_model"),
+        "feature_table": write_table(explain.global_feature_table(explain.coefficient_table(spark, m)),
+                                     f"{base}/global_feature_table"),
+        "risk_scores": write_table(explain.score_and_explain(ft.active_rows(mf), m), f"{base}/risk_scores"),
+    }

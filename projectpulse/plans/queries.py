@@ -616,8 +616,18 @@ def _training(spark: SparkSession, d: str) -> DataFrame:
     return FT.training_rows(_features(spark, d))
 
 
+def _features_table(spark: SparkSession, d: str, mf: DataFrame | None = None) -> DataFrame:
+    """The feature table written once (``CREATE TABLE model_features``): fitting reads it
+    several times, so the upstream joins run once and a lost executor re-reads files."""
+    from projectpulse.sources.readers import materialize
+    if mf is None:
+        projects = materialize(build.projects(spark, d), spark, "projects")
+        mf = build.model_features(projects)
+    return materialize(mf, spark, "model-features")
+
+
 def _fixture_model(spark: SparkSession, d: str, mf: DataFrame | None = None):
-    mf = mf if mf is not None else _features(spark, d)
+    mf = _features_table(spark, d, mf)
     return X.univariate_model(FT.training_rows(mf)), mf
 
 
@@ -628,7 +638,7 @@ def _fixture_scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query("reference_levels", with_ctes("SELECT column_name, level, position FROM levels", "levels"))
 def q_reference_levels(spark: SparkSession, d: str) -> DataFrame:
-    return M.reference_levels(_training(spark, d))
+    return M.reference_levels(FT.training_rows(_features_table(spark, d)))
 
 
 @query("onehot_features", with_ctes(
@@ -644,7 +654,7 @@ def q_reference_levels(spark: SparkSession, d: str) -> DataFrame:
     "levels", "active_feat", "col_order"))
 def q_onehot_features(spark: SparkSession, d: str) -> DataFrame:
     """All-levels one-hot encoding of the active rows (unseen level = all zeros): hot counts per feature."""
-    mf = _features(spark, d)
+    mf = _features_table(spark, d)
     prep = M.fit_prep(FT.training_rows(mf), drop_first=False)
     enc, names = M.transform(FT.active_rows(mf), prep)
     cats = [f for f in prep.features() if f.kind == "cat"]
@@ -667,7 +677,7 @@ def q_onehot_features(spark: SparkSession, d: str) -> DataFrame:
     f"(SELECT {r6('sum(x)', 'x')} FROM active_feat) AS sum_imputed FROM num_prep p",
     "num_prep", "training", "active_feat").replace("round(sum(x), 6) AS x", "round(sum(x), 6)"))
 def q_impute_indicator(spark: SparkSession, d: str) -> DataFrame:
-    mf = _features(spark, d)
+    mf = _features_table(spark, d)
     train = FT.training_rows(mf)
     prep = M.fit_prep(train)
     x = F.coalesce(F.col("log_allocated_budget"), F.lit(prep.median).cast("double"))
@@ -686,7 +696,7 @@ def q_impute_indicator(spark: SparkSession, d: str) -> DataFrame:
     f"{r6('sum((a.mi - s.mm) / s.sm)', 'sum_scaled_missing_active')} "
     "FROM active_feat a CROSS JOIN num_scale s GROUP BY s.mx, s.sx, s.mm, s.sm", "active_feat", "num_scale"))
 def q_scale_numeric(spark: SparkSession, d: str) -> DataFrame:
-    mf = _features(spark, d)
+    mf = _features_table(spark, d)
     prep = M.fit_prep(FT.training_rows(mf))
     enc, names = M.transform(FT.active_rows(mf), prep)
     num = [n for f, n in zip(prep.features(), names) if f.kind == "num"][0]
@@ -811,3 +821,114 @@ def q_dq_flag_consistency(spark: SparkSession, d: str) -> DataFrame:
     rules += Q.min_max("risk_score", 0, 100) + Q.min_max("risk_probability", 0.0, 1.0)
     parity = Q.counts_match("scored_equals_active", s.agg(F.count(F.lit(1)).alias("n")), "n", active)
     return rounded(Q.union_results([Q.expect(s, rules), parity]))
+
+
+# ---------------------------------------------------------------- Spark ML training (ML8-18, SRC9) — rows-only checks
+
+def _trained(spark: SparkSession, d: str):
+    mf = _features_table(spark, d)
+    return M.train_logistic(FT.training_rows(mf)), mf
+
+
+@query("train_logistic")
+def q_train_logistic(spark: SparkSession, d: str) -> DataFrame:
+    """Final model: preparation with first level dropped + logistic regression on all
+    training rows, saved and re-loaded with Spark ML persistence; the global feature
+    table of the fitted coefficients."""
+    from projectpulse.session import scratch_path
+    model, _ = _trained(spark, d)
+    M.load_pipeline(M.save_model(model, scratch_path(spark, "risk-model")))
+    return X.global_feature_table(X.coefficient_table(spark, model)).drop("idx")
+
+
+@query("score_trained")
+def q_score_trained(spark: SparkSession, d: str) -> DataFrame:
+    """risk_scores: every active project scored by the trained model with its explanation."""
+    model, mf = _trained(spark, d)
+    return X.score_and_explain(FT.active_rows(mf), model)
+
+
+@query("oof_scores")
+def q_oof_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Out-of-fold logistic-regression probabilities for every training row (5 folds)."""
+    train = FT.training_rows(_features_table(spark, d))
+    return M.cross_validate(train, ["logistic_regression"]).drop("model")
+
+
+COMPARED = ["logistic_regression", "decision_tree", "random_forest", "gradient_boosting"]
+
+
+@query("compare_models")
+def q_compare_models(spark: SparkSession, d: str) -> DataFrame:
+    """Mean/std of AUC, precision, recall, F1 over 5 stratified folds for the four
+    candidates (all levels one-hot) and for the final drop-first logistic regression."""
+    train = FT.training_rows(_features_table(spark, d))
+    oof = M.cross_validate(train, COMPARED).unionByName(
+        M.cross_validate(train, ["logistic_regression"], drop_first=True, model_name="final_logistic_regression"))
+    per_fold = E.fold_metrics(oof, by=["model"])
+    return E.cv_summary(per_fold, by=["model"]).withColumn("beats_floor", F.col("roc_auc_mean") > 0.65)
+
+
+# ---------------------------------------------------------------- sources and sinks (SRC1-8)
+
+from projectpulse.operators.cleaning import PROGRAM_SPEC, stage  # noqa: E402
+from projectpulse.sources import readers as R  # noqa: E402
+
+DESCRIPTION_SQL = ("'Order ' || CAST(o_orderkey AS VARCHAR) || ', priority \"' || o_orderpriority || '\"' "
+                   "|| chr(10) || 'second line, ' || o_orderstatus")
+
+
+def _description(k, prio, status):
+    return F.concat(F.lit("Order "), k.cast("string"), F.lit(', priority "'), prio, F.lit('"'), F.lit("\n"),
+                    F.lit("second line, "), status)
+
+
+@query("src_csv", with_ctes(
+    "SELECT s.*, length(" + DESCRIPTION_SQL + ") AS description_chars FROM stg_syip s "
+    "JOIN orders o ON abs(s.upc) = o.o_orderkey", "stg_syip"))
+def q_src_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Land the program extract as a headed CSV (free text with quoted commas, quotes and
+    line breaks), read it back with an explicit all-string schema, then stage it."""
+    from projectpulse.session import scratch_path
+    raw = fixtures.raw_program(spark, d)
+    o = R.read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    raw = raw.join(o, F.abs(raw.UPC) == o.o_orderkey).select(
+        *[F.col(c).cast("string").alias(c) for c in raw.columns],
+        _description(F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")).alias("DESCRIPTION"))
+    path = scratch_path(spark, "program-csv")
+    raw.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    back = R.read_csv(spark, path, R.string_schema(raw.columns))
+    spec = [s if s.src != "UPC" else type(s)("UPC", "upc", "bigint") for s in PROGRAM_SPEC]
+    staged = stage(back, spec)
+    return staged.join(back.select(F.col("UPC").cast("bigint").alias("upc"),
+                                   F.length("DESCRIPTION").alias("description_chars")), "upc")
+
+
+@query("sink_roundtrip", with_ctes(
+    "SELECT cut_type, cut_value, n_rated, " + ", ".join(r6(c) for c in RATE_COLS) + " FROM kpi_rates",
+    "kpi_rates"))
+def q_sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """KPI rates written with overwrite as Parquet (table sink) and as a one-file CSV
+    metrics table; the CSV is read back with an explicit schema."""
+    from pyspark.sql import types as T2
+    from projectpulse.session import scratch_path
+    rates = build.kpi_rates(build.projects(spark, d))
+    pq = R.write_table(rates, scratch_path(spark, "kpi-rates"))
+    csv_path = R.write_csv(spark.read.parquet(pq), scratch_path(spark, "kpi-rates-csv"))
+    schema = T2.StructType([T2.StructField("cut_type", T2.StringType()), T2.StructField("cut_value", T2.StringType()),
+                            T2.StructField("n_rated", T2.LongType())]
+                           + [T2.StructField(c, T2.DoubleType()) for c in RATE_COLS])
+    return rounded(R.read_csv(spark, csv_path, schema, null_tokens=[]))
+
+
+@query("table_counts", with_ctes(union_sql(*[
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in
+    ("stg_syip", "stg_dashboard", "projects", "stg_contracts", "contracts_distinct", "kpi_rates", "model_features")]),
+    "projects", "contracts_distinct", "model_features"))
+def q_table_counts(spark: SparkSession, d: str) -> DataFrame:
+    p = build.projects(spark, d)
+    c = build.contracts(spark, d)
+    rates = build.kpi_rates(p)
+    return R.table_counts({"stg_syip": build.program(spark, d), "stg_dashboard": build.outcome(spark, d),
+                           "projects": p, "stg_contracts": c, "contracts_distinct": build.contracts_distinct(c),
+                           "kpi_rates": rates, "model_features": build.model_features(p, rates)})
