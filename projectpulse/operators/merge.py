@@ -4,11 +4,14 @@
 preferred (left) side first, passes one-sided columns through and labels every row
 ``both`` / left-only / right-only.
 
-Scale notes: rows with a NULL key can never match, and hashing them would send all
-of them to one reducer.  They skip the join and are unioned back with the label the
-SQL CASE gives them (a NULL left key reads as right-only), so a flood of NULL keys
-costs nothing extra.  Keys are unique per side (checked by ``quality.unique_key``),
-so the sort-merge join has no hot key.
+Scale notes: rows with a NULL key can never match, but hash partitioning on the key
+would send all of them to one reducer.  The join key is therefore ``(key, salt)``:
+salt 0 for every keyed row (so matching is unchanged) and a deterministic hash of the
+row's own values for a NULL-key row, which spreads a flood of NULL keys over all
+reducers in the same single pass (NULL = NULL is never true, so they still come out
+unmatched, labelled as the SQL CASE labels them: a NULL left key reads as
+right-only).  Keys are unique per side (checked by ``quality.unique_key``), so the
+sort-merge join has no other hot key.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PROGRAM_OUTCOME_LABELS = ("both", "syip_only", "dashboard_only")
+NULL_SALTS = 4096
 
 # Merged column → (program column, outcome column).
 PROJECT_COLUMNS = [
@@ -48,38 +52,29 @@ PROJECT_COLUMNS = [
 def merge_with_provenance(left: DataFrame, right: DataFrame, key: str, columns=PROJECT_COLUMNS,
                           labels=PROGRAM_OUTCOME_LABELS, provenance: str = "data_source") -> DataFrame:
     both_lbl, left_lbl, right_lbl = labels
-    l = left.alias("l")
-    r = right.alias("r")
 
-    def col_for(side_df, alias, name):
-        if name is None:
-            return None
-        return F.col(f"{alias}.{name}")
-
-    def typed_null(df, name):
-        return F.lit(None).cast(df.schema[name].dataType)
-
-    def project(has_l: bool, has_r: bool):
-        lk = F.col(f"l.{key}") if has_l else typed_null(left, key)
-        rk = F.col(f"r.{key}") if has_r else typed_null(right, key)
+    def project():
+        lk, rk = F.col(f"l.{key}"), F.col(f"r.{key}")
         exprs = [F.coalesce(lk, rk).alias(key),
                  F.when(lk.isNotNull() & rk.isNotNull(), F.lit(both_lbl))
                   .when(lk.isNotNull(), F.lit(left_lbl)).otherwise(F.lit(right_lbl)).alias(provenance)]
         for out, lc, rc in columns:
-            le = (F.col(f"l.{lc}") if has_l else typed_null(left, lc)) if lc else None
-            re_ = (F.col(f"r.{rc}") if has_r else typed_null(right, rc)) if rc else None
+            le = F.col(f"l.{lc}") if lc else None
+            re_ = F.col(f"r.{rc}") if rc else None
             if le is not None and re_ is not None:
                 exprs.append(F.coalesce(le, re_).alias(out))
             else:
                 exprs.append((le if le is not None else re_).alias(out))
         return exprs
 
-    keyed = (l.where(F.col(f"l.{key}").isNotNull())
-             .join(r.where(F.col(f"r.{key}").isNotNull()), F.col(f"l.{key}") == F.col(f"r.{key}"), "full_outer")
-             .select(project(True, True)))
-    left_null = l.where(F.col(f"l.{key}").isNull()).select(project(True, False))
-    right_null = r.where(F.col(f"r.{key}").isNull()).select(project(False, True))
-    return keyed.unionByName(left_null).unionByName(right_null)
+    def salted(df: DataFrame) -> DataFrame:
+        salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(NULL_SALTS)) + 1)
+        return df.withColumn("__salt", F.coalesce(salt, F.lit(0).cast("bigint")))
+
+    l = salted(left).alias("l")
+    r = salted(right).alias("r")
+    cond = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.__salt") == F.col("r.__salt"))
+    return l.join(r, cond, "full_outer").select(project())
 
 
 def provenance_counts(merged: DataFrame, provenance: str = "data_source") -> DataFrame:

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +71,9 @@ def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
     pass1 = src.groupBy(*gkeys).agg(*all_aggs) if all_aggs else src.groupBy(*gkeys).count()
     if not names:
         return pass1.drop("__g") if not keys else pass1
-    # One row per group: small, reused twice below, so written once.
-    pass1 = materialize(pass1, spark, "median-groups")
+    # One row per group, reused twice below: persisted (memory, spilling to disk).  Its
+    # lineage is one aggregate over the written input, so a lost block is cheap to redo.
+    pass1 = pass1.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Brackets in long form: (keys, m, lo, hi), one row per group and measure.
     mkeys = gkeys + ["m"]
@@ -91,7 +93,7 @@ def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
             .when(F.col("v") <= F.col("hi"), F.lit(1)).otherwise(F.lit(2)))
     counted = (j.select(*mkeys, side.alias("side"), F.when(side == 1, F.col("v")).alias("v"))
                .groupBy(*mkeys, "side", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    picked = materialize(_pick_middle(counted, mkeys), spark, "median-picked")
+    picked = _pick_middle(counted, mkeys).persist(StorageLevel.MEMORY_AND_DISK)
 
     # Exact path, only for a group whose bracket missed a middle rank (not expected).
     missed = picked.where(F.col("median").isNull()).select(*mkeys)

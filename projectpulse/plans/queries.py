@@ -192,8 +192,15 @@ def q_kpi_schedule_by_cut(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- feature table (ML1-2, PRJ8, PRJ11-13, FN8)
 
+def _projects_table(spark: SparkSession, d: str) -> DataFrame:
+    """projects written once when a query reads it along two paths (``CREATE TABLE projects``)."""
+    from projectpulse.sources.readers import materialize
+    return materialize(build.projects(spark, d), spark, "projects")
+
+
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    return build.model_features(build.projects(spark, d))
+    # the feature table reads projects twice (KPI rates for the buckets, and the rows)
+    return build.model_features(_projects_table(spark, d))
 
 
 @query("model_features", with_ctes(
@@ -500,7 +507,7 @@ def q_dq_shares_sum(spark: SparkSession, d: str) -> DataFrame:
            "(SELECT count(*) AS b FROM contracts_distinct WHERE schedule_variance_days_actual IS NOT NULL) y")),
     "kpi_rates", "contracts_distinct"))
 def q_dq_kpi_n_matches(spark: SparkSession, d: str) -> DataFrame:
-    p = build.projects(spark, d)
+    p = _projects_table(spark, d)
     rates = build.kpi_rates(p)
     cd = build.contracts_distinct(build.contracts(spark, d))
     return rounded(Q.union_results([
@@ -621,8 +628,7 @@ def _features_table(spark: SparkSession, d: str, mf: DataFrame | None = None) ->
     several times, so the upstream joins run once and a lost executor re-reads files."""
     from projectpulse.sources.readers import materialize
     if mf is None:
-        projects = materialize(build.projects(spark, d), spark, "projects")
-        mf = build.model_features(projects)
+        mf = build.model_features(_projects_table(spark, d))
     return materialize(mf, spark, "model-features")
 
 
@@ -786,7 +792,7 @@ def q_missing_driver_share(spark: SparkSession, d: str) -> DataFrame:
     "FROM coefs c JOIN kpi_rates k ON k.cut_type = 'project_type' AND k.cut_value = c.category "
     "WHERE c.column_name = 'project_type_bucketed'", "coefs", "kpi_rates"))
 def q_coef_rate_corr(spark: SparkSession, d: str) -> DataFrame:
-    p = build.projects(spark, d)
+    p = _projects_table(spark, d)
     rates = build.kpi_rates(p)
     model, _ = _fixture_model(spark, d, build.model_features(p, rates))
     coefs = X.coefficient_table(spark, model).where(F.col("column_name") == "project_type_bucketed")
@@ -926,7 +932,7 @@ def q_sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     ("stg_syip", "stg_dashboard", "projects", "stg_contracts", "contracts_distinct", "kpi_rates", "model_features")]),
     "projects", "contracts_distinct", "model_features"))
 def q_table_counts(spark: SparkSession, d: str) -> DataFrame:
-    p = build.projects(spark, d)
+    p = _projects_table(spark, d)
     c = build.contracts(spark, d)
     rates = build.kpi_rates(p)
     return R.table_counts({"stg_syip": build.program(spark, d), "stg_dashboard": build.outcome(spark, d),
