@@ -20,9 +20,27 @@ REGISTRY: dict[str, tuple] = {}
 PLACES = 6
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` returns HUGEINT; Spark's returns BIGINT.  Wrap every call in a
+    BIGINT cast so both result schemas agree."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        out.append(f"CAST(count_if({bigint_counts(sql[j + len(token):k - 1])}) AS BIGINT)")
+        i = k
+
+
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        REGISTRY[name] = (fn, oracle)
+        REGISTRY[name] = (fn, bigint_counts(oracle) if oracle else None)
         return fn
     return deco
 
@@ -907,7 +925,7 @@ def q_src_csv(spark: SparkSession, d: str) -> DataFrame:
     spec = [s if s.src != "UPC" else type(s)("UPC", "upc", "bigint") for s in PROGRAM_SPEC]
     staged = stage(back, spec)
     return staged.join(back.select(F.col("UPC").cast("bigint").alias("upc"),
-                                   F.length("DESCRIPTION").alias("description_chars")), "upc")
+                                   F.length("DESCRIPTION").cast("bigint").alias("description_chars")), "upc")
 
 
 @query("sink_roundtrip", with_ctes(
