@@ -1,10 +1,10 @@
 """Scoring with exact per-row explanations, and the global feature table.
 
 A linear model's logit is Σ coef_j · x_j + intercept, so each feature's contribution
-is exact.  Scoring is one projection: the contributions are an array of structs
-``(-|c|, index, text, c)`` built from literal coefficients; ``sort_array`` orders by
-magnitude with the feature index breaking ties, ``filter`` drops |c| ≤ 1e-9 and the
-first ``top_k`` become the plain-language explanation.  No UDF, no shuffle.
+is exact.  Scoring is one projection: the non-zero contributions are an array of
+structs ``(-|c|, index, c)`` built from literal coefficients; ``filter`` drops
+|c| ≤ 1e-9, ``sort_array`` orders by magnitude with the feature index breaking ties,
+and the first ``top_k`` become the plain-language explanation.  No UDF, no shuffle.
 """
 
 from __future__ import annotations
@@ -36,22 +36,53 @@ def contributions(model: LinearModel):
     return [(f, F.lit(float(c)) * exprs[f.name]) for f, c in zip(model.features, model.coefs)]
 
 
+def _row_contributions(model: LinearModel):
+    """One (index, contribution) pair per input column instead of per feature.
+
+    A row has at most one hot level per categorical column, so that column's
+    contribution is the hot level's coefficient (a literal map lookup; the reference
+    level and unseen levels contribute 0) and its index is that level's feature index.
+    Zero contributions never reach the explanation, and adding 0.0 leaves the logit
+    bit-identical, so this is the full per-feature decomposition with 3 + 2 entries.
+    """
+    prep = model.prep
+    exprs = dict((f.name, e) for f, e in feature_exprs(prep))
+    pos = {f.name: i for i, f in enumerate(model.features)}
+    out = []
+    for col in prep.categorical:
+        pairs = [(f, c) for f, c in zip(model.features, model.coefs) if f.kind == "cat" and f.column == col]
+        if not pairs:
+            continue
+        coef_map = F.create_map(*[x for f, c in pairs for x in (F.lit(f.category), F.lit(float(c)))])
+        idx_map = F.create_map(*[x for f, _ in pairs for x in (F.lit(f.category), F.lit(pos[f.name]))])
+        out.append((F.try_element_at(idx_map, F.col(col)),
+                    F.coalesce(F.try_element_at(coef_map, F.col(col)), F.lit(0.0))))
+    for f, c in zip(model.features, model.coefs):
+        if f.kind != "cat":
+            out.append((F.lit(pos[f.name]), F.lit(float(c)) * exprs[f.name]))
+    return out
+
+
 def score_and_explain(df: DataFrame, model: LinearModel, key: str = "upc", top_k: int = TOP_K,
                       carry=("allocated_budget",), elevated_at: int = ELEVATED_AT) -> DataFrame:
     """(key, risk_probability, risk_score, top_factors, *carry, elevated_risk) for every row."""
-    contrib = contributions(model)
+    parts = _row_contributions(model)
+    # Computed once into columns; the logit and the explanation array reference them.
+    base = df.select(key, *carry, *[e for j, (i, c) in enumerate(parts)
+                                    for e in (i.alias(f"__i{j}"), c.alias(f"__c{j}"))])
     logit = F.lit(float(model.intercept))
-    for _, c in contrib:
-        logit = logit + c
-    items = F.array(*[
-        F.struct((-F.abs(c)).alias("neg_abs"), F.lit(i).alias("idx"),
-                 F.concat(F.lit(short_description(f) + " ("),
-                          F.when(c > 0, F.lit(RAISES)).otherwise(F.lit(LOWERS)), F.lit(")")).alias("text"))
-        for i, (f, c) in enumerate(contrib)])
-    top = F.slice(F.filter(F.sort_array(items), lambda s: s["neg_abs"] < -TINY), 1, top_k)
-    text = F.array_join(F.transform(top, lambda s: s["text"]), "; ")
+    for j in range(len(parts)):
+        logit = logit + F.col(f"__c{j}")
+    items = F.array(*[F.struct((-F.abs(F.col(f"__c{j}"))).alias("neg_abs"), F.col(f"__i{j}").alias("idx"),
+                               F.col(f"__c{j}").alias("c")) for j in range(len(parts))])
+    # magnitude order, feature index breaking ties; |c| <= 1e-9 dropped; first top_k kept
+    top = F.slice(F.sort_array(F.filter(items, lambda s: s["neg_abs"] < -TINY)), 1, top_k)
+    descriptions = F.array(*[F.lit(short_description(f)) for f in model.features])
+    text = F.array_join(F.transform(top, lambda s: F.concat(
+        F.element_at(descriptions, s["idx"] + 1),
+        F.when(s["c"] > 0, F.lit(f" ({RAISES})")).otherwise(F.lit(f" ({LOWERS})")))), "; ")
     p = logistic(logit)
-    scored = df.select(
+    scored = base.select(
         key,
         p.alias("risk_probability"),
         score_0_100(p).alias("risk_score"),
