@@ -41,15 +41,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (distributed) folder and is used as is.
-    Only when it is unset (local tests) do we create a scratch folder.
+    Only when it is unset (local tests) is a scratch folder created for it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
+    if current:
+        return current
     if not path:
         path = tempfile.mkdtemp(prefix="pp-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir() or path
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
