@@ -71,11 +71,14 @@ def roc_points(scored: DataFrame, label: str = "label", score: str = "score", by
     """ROC curve: one point per distinct score threshold, highest threshold first."""
     by = list(by)
     sc = score_counts(scored, label, score, by)
-    cum = running_totals(sc, -F.col(score), ["pos", "neg"], by).withColumn("__k", F.lit(0))
-    gkeys = by + ["__k"]
-    tot = (sc.withColumn("__k", F.lit(0)).groupBy(*gkeys)
-           .agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
-    j = cum.join(checked_broadcast(tot), gkeys).drop("__k")
+    cum = running_totals(sc, -F.col(score), ["pos", "neg"], by)
+    if by:
+        tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+        j = cum.join(checked_broadcast(tot), by)
+    else:
+        # one curve: the class totals are two scalars
+        t = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+        j = cum.withColumns({"P": F.lit(t["P"]), "N": F.lit(t["N"])})
     return j.select(*by, F.col(score).alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
                     (F.col("cum_pos") / F.col("P")).alias("tpr"), (F.col("cum_neg") / F.col("N")).alias("fpr"))
 

@@ -122,6 +122,14 @@ def expect(df: DataFrame, rules) -> DataFrame:
 
 # ----------------------------------------------------------------- rules with their own plan
 
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """Place the columns of several one-row aggregates in one row without a join:
+    union them (missing columns NULL) and take each column's non-NULL value."""
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
+    cols = list(dict.fromkeys(c for d in one_row for c in d.columns))
+    return u.agg(*[F.max(c).alias(c) for c in cols])
+
+
 def _one_row(df: DataFrame, name: str, observed: Column, bound: str, passed_fn) -> DataFrame:
     return df.select(F.lit(name).alias("rule"), observed.cast("double").alias("observed"),
                      F.lit(bound).alias("bound")).withColumn("passed", passed_fn(F.col("observed")))
@@ -152,8 +160,7 @@ def domain(df: DataFrame, col: str, allowed, exact: bool = False) -> DataFrame:
     observed = F.col("n")
     if exact:
         missing = allowed_df.join(seen, "v", "left_anti").agg(F.count(F.lit(1)).alias("m"))
-        extra = (extra.withColumn("__k", F.lit(0))
-                 .join(missing.withColumn("__k", F.lit(0)), "__k").drop("__k"))
+        extra = side_by_side(extra, missing)
         observed = F.col("n") + F.col("m")
     name = f"{'domain_equals' if exact else 'domain_subset'}:{col}"
     return _one_row(extra, name, observed, "0 values outside {" + ",".join(allowed) + "}", lambda o: o == 0)
@@ -169,9 +176,8 @@ def key_overlap(a: DataFrame, b: DataFrame, key: str, min_count: int) -> DataFra
 def partition_total(df: DataFrame, by: str) -> DataFrame:
     """Group counts add up to the row count: observed = |sum(group counts) − count|."""
     groups = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t")).withColumn("__k", F.lit(0))
-    s = groups.agg(F.sum("n").alias("s")).withColumn("__k", F.lit(0))
-    j = s.join(total, "__k")
+    total = df.agg(F.count(F.lit(1)).alias("t"))
+    j = side_by_side(groups.agg(F.sum("n").alias("s")), total)
     return _one_row(j, f"partition_total:{by}", F.abs(F.col("s") - F.col("t")), "[0, 0]", lambda o: o == 0)
 
 
@@ -203,9 +209,8 @@ def reconcile(merged: DataFrame, source: DataFrame, key: str, pairs) -> DataFram
 
 def counts_match(name: str, a: DataFrame, a_col: str, b: DataFrame) -> DataFrame:
     """A stored count (one-row ``a[a_col]``) equals the row count of ``b``: observed = |difference|."""
-    left = a.select(F.col(a_col).cast("bigint").alias("__a")).withColumn("__k", F.lit(0))
-    right = b.agg(F.count(F.lit(1)).alias("__b")).withColumn("__k", F.lit(0))
-    j = left.join(right, "__k")
+    j = side_by_side(a.select(F.col(a_col).cast("bigint").alias("__a")),
+                     b.agg(F.count(F.lit(1)).alias("__b")))
     return _one_row(j, name, F.abs(F.col("__a") - F.col("__b")), "[0, 0]", lambda o: o == 0)
 
 

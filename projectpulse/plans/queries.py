@@ -708,7 +708,7 @@ def q_impute_indicator(spark: SparkSession, d: str) -> DataFrame:
     n_missing = train.agg(F.count_if(F.col("log_allocated_budget").isNull()).alias("n_missing_train"))
     act = FT.active_rows(mf).agg(F.count_if(F.col("log_allocated_budget").isNull()).alias("n_imputed_active"),
                                  F.sum(x).alias("sum_imputed"))
-    out = n_missing.withColumn("__k", F.lit(0)).join(act.withColumn("__k", F.lit(0)), "__k").select(
+    out = Q.side_by_side(n_missing, act).select(
         F.lit(prep.median).cast("double").alias("median"), F.lit(prep.has_indicator).alias("has_indicator"),
         "n_missing_train", "n_imputed_active", "sum_imputed")
     return rounded(out)
