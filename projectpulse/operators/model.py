@@ -203,30 +203,40 @@ def load_pipeline(path: str) -> PipelineModel:
 
 
 def cross_validate(train: DataFrame, estimator_names, k: int = 5, drop_first: bool = False,
-                   key: str = "upc", label: str = "at_risk", model_name: str | None = None) -> DataFrame:
+                   key: str = "upc", label: str = "at_risk", model_name: str | None = None,
+                   parallelism: int = 4) -> DataFrame:
     """Out-of-fold probabilities of every named estimator.
 
     Folds are stratified on the label; for each fold the preparation is refitted on the
     other folds (once, shared by all estimators) and each estimator is fitted and scores
     the held-out fold.  Returns (model, key, fold, label, score) for every row and model.
-    The driver loops over folds and models only; every fit and score is a Spark job.
+    The driver only orchestrates: every fit and score is a Spark job, and up to
+    ``parallelism`` (fold, model) fits are submitted at once (as ``CrossValidator``'s
+    ``parallelism`` does), so small fits do not leave the cluster idle.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from projectpulse.operators.evaluate import stratified_folds
     from projectpulse.sources.readers import materialize
     folded = materialize(stratified_folds(train, key, label, k), train.sparkSession, "cv-folds")
-    parts = []
+    preps, sizes = {}, {}
     for i in range(k):
         fit_rows = folded.where(F.col("fold") != i)
+        preps[i] = fit_prep(fit_rows, drop_first=drop_first)
+        sizes[i] = fit_rows.count()
+
+    def fit_one(task):
+        i, name = task
+        fit_rows = with_label(folded.where(F.col("fold") != i), label)
         held = with_label(folded.where(F.col("fold") == i), label)
-        prep = fit_prep(fit_rows, drop_first=drop_first)
-        n = fit_rows.count()
-        ests = candidate_estimators(n)
-        for name in estimator_names:
-            pm = build_pipeline(prep, ests[name]).fit(with_label(fit_rows, label))
-            pred = pm.transform(held)
-            parts.append(pred.select(F.lit(model_name or name).alias("model"), key, "fold",
-                                     F.col("label").cast("int").alias("label"),
-                                     positive_probability(pred).alias("score")))
+        pm = build_pipeline(preps[i], candidate_estimators(sizes[i])[name]).fit(fit_rows)
+        pred = pm.transform(held)
+        return pred.select(F.lit(model_name or name).alias("model"), key, "fold",
+                           F.col("label").cast("int").alias("label"), positive_probability(pred).alias("score"))
+
+    tasks = [(i, name) for i in range(k) for name in estimator_names]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(fit_one, tasks))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
