@@ -28,6 +28,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from projectpulse.operators.joins import checked_broadcast
 from projectpulse.sources.readers import materialize
 
 DEFAULT_ACCURACY = 100_000
@@ -88,7 +89,9 @@ def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
         for i, out in enumerate(names)]))).where(F.col("v").isNotNull())
 
     # side 0 = below the bracket, 1 = inside (kept per distinct value), 2 = above.
-    j = _join_on_keys(stacked, brackets, mkeys)
+    # One bracket row per group and measure: broadcast after a size check, so the
+    # measure rows are never shuffled to meet their bracket.
+    j = _join_on_keys(stacked, checked_broadcast(brackets), mkeys)
     side = (F.when(F.col("v") < F.col("lo"), F.lit(0))
             .when(F.col("v") <= F.col("hi"), F.lit(1)).otherwise(F.lit(2)))
     counted = (j.select(*mkeys, side.alias("side"), F.when(side == 1, F.col("v")).alias("v"))

@@ -93,9 +93,11 @@ def raw_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome extract (the dashboard's project sheet) as landed text."""
     base = _orders_with_customer(spark, sf_dir,
                                  lambda o: o.o_orderdate < _ts_lit(o, "o_orderdate", OUTCOME_BEFORE))
-    # First return flag per order: a partial/final aggregate, no skew on the key.
+    # First return flag per order.  The flag is a one-letter code, so the minimum is
+    # taken over its code point: a fixed-width value keeps the aggregate hash-based
+    # (partial map-side, no sort), where min() of a string would sort every line item.
     flags = (read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
-             .agg(F.min("l_returnflag").alias("ft")))
+             .agg(F.chr(F.min(F.ascii("l_returnflag"))).alias("ft")))
     base = base.join(flags, base.o_orderkey == flags.l_orderkey)
     k = F.col("o_orderkey")
     price = F.col("o_totalprice")
