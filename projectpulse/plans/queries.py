@@ -898,34 +898,30 @@ def q_compare_models(spark: SparkSession, d: str) -> DataFrame:
 from projectpulse.operators.cleaning import PROGRAM_SPEC, stage  # noqa: E402
 from projectpulse.sources import readers as R  # noqa: E402
 
-DESCRIPTION_SQL = ("'Order ' || CAST(o_orderkey AS VARCHAR) || ', priority \"' || o_orderpriority || '\"' "
-                   "|| chr(10) || 'second line, ' || o_orderstatus")
-
-
-def _description(k, prio, status):
-    return F.concat(F.lit("Order "), k.cast("string"), F.lit(', priority "'), prio, F.lit('"'), F.lit("\n"),
-                    F.lit("second line, "), status)
+DESCRIPTION_SQL = ("'Order ' || CAST(abs(upc) AS VARCHAR) || ', priority \"' || road_system || '\"' "
+                   "|| chr(10) || 'second line, ' || project_status")
 
 
 @query("src_csv", with_ctes(
-    "SELECT s.*, length(" + DESCRIPTION_SQL + ") AS description_chars FROM stg_syip s "
-    "JOIN orders o ON abs(s.upc) = o.o_orderkey", "stg_syip"))
+    "SELECT *, length(" + DESCRIPTION_SQL + ") AS description_chars FROM stg_syip", "stg_syip"))
 def q_src_csv(spark: SparkSession, d: str) -> DataFrame:
     """Land the program extract as a headed CSV (free text with quoted commas, quotes and
     line breaks), read it back with an explicit all-string schema, then stage it."""
+    from projectpulse.functions.scalar import trim_chars
+    from projectpulse.operators.cleaning import ColumnSpec
     from projectpulse.session import scratch_path
     raw = fixtures.raw_program(spark, d)
-    o = R.read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    raw = raw.join(o, F.abs(raw.UPC) == o.o_orderkey).select(
-        *[F.col(c).cast("string").alias(c) for c in raw.columns],
-        _description(F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")).alias("DESCRIPTION"))
+    description = F.concat(F.lit("Order "), F.abs(F.col("UPC")).cast("string"), F.lit(', priority "'),
+                           trim_chars("STATE_HIGHWAY_DESC"), F.lit('"\n'), F.lit("second line, "),
+                           F.col("POOL_PRJ_STATUS_DSC"))
+    raw = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns], description.alias("DESCRIPTION"))
     path = scratch_path(spark, "program-csv")
     raw.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
     back = R.read_csv(spark, path, R.string_schema(raw.columns))
-    spec = [s if s.src != "UPC" else type(s)("UPC", "upc", "bigint") for s in PROGRAM_SPEC]
-    staged = stage(back, spec)
-    return staged.join(back.select(F.col("UPC").cast("bigint").alias("upc"),
-                                   F.length("DESCRIPTION").cast("bigint").alias("description_chars")), "upc")
+    spec = [s if s.src != "UPC" else ColumnSpec("UPC", "upc", "bigint") for s in PROGRAM_SPEC]
+    staged = stage(back, spec + [ColumnSpec("DESCRIPTION", "description", "keep")])
+    return (staged.withColumn("description_chars", F.length("description").cast("bigint"))
+            .drop("description"))
 
 
 @query("sink_roundtrip", with_ctes(
