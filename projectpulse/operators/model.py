@@ -153,7 +153,7 @@ def candidate_estimators(n_rows: int) -> dict:
     return {
         "logistic_regression": LogisticRegression(
             regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, standardization=False, maxIter=1000,
-            tol=1e-8, fitIntercept=True),
+            tol=1e-6, fitIntercept=True),
         "decision_tree": DecisionTreeClassifier(maxDepth=5, impurity="gini", seed=SEED),
         "random_forest": RandomForestClassifier(numTrees=300, maxDepth=8, featureSubsetStrategy="sqrt", seed=SEED),
         "gradient_boosting": GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED),
