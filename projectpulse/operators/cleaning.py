@@ -8,7 +8,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,7 +108,3 @@ CONTRACT_SPEC = [
 def missing_columns(df: DataFrame, required) -> list[str]:
     present = set(df.columns)
     return [c for c in required if c not in present]
-
-
-def _and_all(cols):
-    return reduce(lambda a, b: a & b, cols)
