@@ -204,7 +204,7 @@ def load_pipeline(path: str) -> PipelineModel:
 
 def cross_validate(train: DataFrame, estimator_names, k: int = 5, drop_first: bool = False,
                    key: str = "upc", label: str = "at_risk", model_name: str | None = None,
-                   parallelism: int = 4) -> DataFrame:
+                   parallelism: int = 8) -> DataFrame:
     """Out-of-fold probabilities of every named estimator.
 
     Folds are stratified on the label; for each fold the preparation is refitted on the
