@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The provenance labels (matched, program only, outcome only).
 PROGRAM_OUTCOME_LABELS = ("both", "syip_only", "dashboard_only")
 NULL_SALTS = 4096
 
