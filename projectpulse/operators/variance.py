@@ -1,10 +1,11 @@
 """Contract-grain variance and keep-first de-duplication.
 
 ``dedup_first`` replaces ``row_number() OVER (PARTITION BY k ORDER BY o) = 1`` plus
-``count(*) OVER (PARTITION BY k)`` by one hash aggregate: ``min_by`` of the row
-struct ordered by ``(o IS NULL, o)`` (NULLs last, as the SQL ordering puts them) and
-a count.  Partial aggregation runs map-side, so a contract that bundles a third of
-all rows is combined before the shuffle instead of being sorted in one task.
+``count(*) OVER (PARTITION BY k)`` by one aggregate: ``min_by`` of the row struct
+ordered by ``(o IS NULL, o)`` (NULLs last, as the SQL ordering puts them) and a
+count.  (Spark runs it sort-based because the buffer is a struct.)  Partial
+aggregation runs map-side, so a contract that bundles a third of all rows is
+combined before the shuffle instead of being sorted in one window task.
 """
 
 from __future__ import annotations
