@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
+import projectpulse
 from projectpulse.session import scratch_path
 
 WHITESPACE = r"[\x20\x09-\x0D]+"  # ASCII white space, as byte and as character class
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,3 +71,21 @@ def session_conf(spark: SparkSession, **settings: str):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers of every executor this package, once per application, as
+    ``--py-files`` would: a small zip that Spark hands out."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(projectpulse.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="pp-code-")) / "projectpulse.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)

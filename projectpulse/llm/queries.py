@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from projectpulse.llm import chat_format, exact_dedup
+from projectpulse.llm import bpe, chat_format, exact_dedup, packing
 
 REGISTRY = {
+    "op1_pack": (packing.op1_pack, None),
+    "op3_bpe": (bpe.op3_bpe, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
     "op7_chat_format": (chat_format.op7_chat_format, chat_format.OP7_SQL),
 }
