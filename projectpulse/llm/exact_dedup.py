@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from projectpulse.session import scratch_path
 from projectpulse.llm.common import WHITESPACE, has_locator, id_text, session_conf, text_or_empty, written
 
+#: Without preallocated log files, so that many small stores take only the disk that they fill.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Digests with hits go to the text scan as a broadcast up to this many (32 bytes each); beyond it, by a shuffle join.
 BROADCAST_DIGESTS = 200_000
@@ -62,7 +63,8 @@ def update_state(spark: SparkSession, folder: str, state: str, files_per_trigger
     """Stream what has been landed since the last call into the keyed state; return the state:
     digest, first (struct absent, doc_id, file, row), n."""
     landed = spark.read.parquet(folder)
-    with session_conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with session_conf(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB,
+                      spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false"):
         query = (spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
                  .groupBy("digest").agg(_first().alias("first"), F.count("*").alias("n"))
                  .writeStream.format("noop").outputMode("update").option("checkpointLocation", state)
