@@ -77,42 +77,58 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), starts
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_WORD_END = re.compile(rb"(?<=[^\x20\x09-\x0D])[\x20\x09-\x0D]")
-
-
-def word_pieces(text: bytes, size: int = CHUNK) -> list[bytes]:
-    """The text in pieces of about ``size`` bytes, cut before white space only; a longer word stays whole."""
-    out, at = [], 0
-    while len(text) - at > size:
-        m = _WORD_END.search(text, at + size)
-        if m is None:
-            break
-        out.append(text[at:m.start()])
-        at = m.start()
-    out.append(text[at:])
-    return out
-
-
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of every text with A-Z lower-cased, in order, and
-    the number of words of each text.  Pieces of one long text may be given as texts of their own."""
-    buf, starts = joined(texts)
-    if not len(buf):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    buf = _LOWER[buf]
-    inside = ~_SPACE[buf]
-    fresh = np.zeros(len(buf) + 1, bool)  # a text starts here
-    fresh[starts] = True
-    before = np.concatenate([[False], inside[:-1]])
-    after = np.concatenate([inside[1:], [False]])
-    begin = np.flatnonzero(inside & (~before | fresh[:-1]))
-    end = np.flatnonzero(inside & (~after | fresh[1:])) + 1
-    counts = np.diff(np.searchsorted(begin, starts))
-    return Spans(buf).of(begin, end), counts
+
+
+class Words:
+    """Words of bytes, as hashes.  ``gap`` is a class of bytes (for a regular expression) that part
+    words; A-Z are lower-cased."""
+
+    def __init__(self, gap: bytes = rb"\x20\x09-\x0D"):
+        self.is_gap = np.array([re.fullmatch(rb"[" + gap + rb"]", bytes([b])) is not None for b in range(256)])
+        self.end = re.compile(rb"(?<=[^" + gap + rb"])[" + gap + rb"]")
+
+    def pieces(self, text: bytes, size: int = CHUNK) -> list[bytes]:
+        """The text in pieces of about ``size`` bytes, cut after a word; a longer word stays whole."""
+        out, at = [], 0
+        while len(text) - at > size:
+            m = self.end.search(text, at + size)
+            if m is None:
+                break
+            out.append(text[at:m.start()])
+            at = m.start()
+        out.append(text[at:])
+        return out
+
+    def _hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        buf, starts = joined(texts)
+        if not len(buf):
+            return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        buf = _LOWER[buf]
+        inside = ~self.is_gap[buf]
+        fresh = np.zeros(len(buf) + 1, bool)  # a text starts here
+        fresh[starts] = True
+        before = np.concatenate([[False], inside[:-1]])
+        after = np.concatenate([inside[1:], [False]])
+        begin = np.flatnonzero(inside & (~before | fresh[:-1]))
+        end = np.flatnonzero(inside & (~after | fresh[1:])) + 1
+        return Spans(buf).of(begin, end), np.diff(np.searchsorted(begin, starts))
+
+    def stream(self, texts: Iterable[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """For groups of whole texts: their numbers, the hashes of all their words in order, and how
+        many words each has."""
+        for numbers, group in chunks(texts):
+            if len(group) == 1 and len(group[0]) > CHUNK:
+                parts = [self._hashes([p])[0] for p in self.pieces(group[0])]
+                hashes = np.concatenate(parts)
+                yield numbers, hashes, np.array([len(hashes)])
+            else:
+                yield numbers, *self._hashes(group)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Hashes of single words."""
+        return self._hashes([w.encode() for w in words])[0]
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
