@@ -21,16 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it again: lineage ends there, and a
     lost executor costs a re-read."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

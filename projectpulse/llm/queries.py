@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, langid, packing, spotsigs
+from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, langid, lm, packing, spotsigs
 
 REGISTRY = {
     "op1_pack": (packing.op1_pack, None),
@@ -11,5 +11,6 @@ REGISTRY = {
     "op4_spotsigs": (spotsigs.op4_spotsigs, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
     "op7_chat_format": (chat_format.op7_chat_format, chat_format.OP7_SQL),
+    "op9_lm_score": (lm.op9_lm_score, None),
     "op10_html_text": (html_text.op10_html_text, None),
 }
