@@ -54,6 +54,8 @@ class Blocks:
     REPLY_COLUMNS = ["shard", "tag", "reducer", "first", "second"]
     REPLY_SCHEMA = "shard int, tag int, reducer int, first binary, second binary"
 
+    values = staticmethod(unpack_counts)
+
     def __init__(self, reducers: int):
         self.reducers = reducers
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, langid, lm, packing, spotsigs
+from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, langid, lm, packing, spotsigs, suffix_dedup
 
 REGISTRY = {
     "op1_pack": (packing.op1_pack, None),
     "op2_langid": (langid.op2_langid, None),
     "op3_bpe": (bpe.op3_bpe, None),
     "op4_spotsigs": (spotsigs.op4_spotsigs, None),
+    "op5_suffix_dedup": (suffix_dedup.op5_suffix_dedup, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
     "op7_chat_format": (chat_format.op7_chat_format, chat_format.OP7_SQL),
     "op9_lm_score": (lm.op9_lm_score, None),
