@@ -1,8 +1,72 @@
-"""Cleaning and packing of ``documents``: the stages of the training-data pipeline."""
+"""Cleaning and packing of ``documents``: the stages of the training-data pipeline.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read
+again as the next stage's ``docs``.  All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from projectpulse.llm import exact_dedup, jaccard_join, langid, packing, suffix_dedup
+from projectpulse.llm.common import table, written
+
+#: A text is rejected if its cosine with every language is within one standard deviation of the
+#: cosine of unrelated vectors (or if it has no letters).
+MIN_SCORE = langid.DIMENSIONS ** -0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that resemble one of the languages of the labelled documents stay.  A null label is
+    filled with the language found.  Without any labelled text nothing can be judged and all stay."""
+    prototypes = langid.learn(docs)
+    if not prototypes:
+        return docs
+    judged = langid.predict(docs, prototypes)
+    stays = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    return judged.where(stays).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal normalised texts the one with the least id stays."""
+    return exact_dedup.keep_first(spark, docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that link by their shingles the one with the least id stays."""
+    return jaccard_join.keep_one(spark, docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that repeat are taken out of the texts; documents of which nothing is left go."""
+    cleaned = suffix_dedup.cleaned(docs)
+    emptied = (F.trim("text") == "") & (F.coalesce(F.col("n_chars"), F.lit(0)) > 0)
+    return (cleaned.where(~F.coalesce(emptied, F.lit(False)))
+            .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of every document that is left, packed into sequences."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_copies),
+    ("jaccard_join", near_copies),
+    ("suffix_dedup", repeated_passages),
+    ("packing", pack),
+]
+
+#: Language identification, prefix doubling and tokenizing have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    *filters, (_, last) = STAGES
+    for name, stage in filters:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return last(spark, docs, sf_dir)

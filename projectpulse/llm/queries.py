@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, langid, lm, packing, spotsigs, suffix_dedup
+from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, langid, lm, packing, spotsigs, suffix_dedup
 
 REGISTRY = {
     "op1_pack": (packing.op1_pack, None),
@@ -12,6 +12,7 @@ REGISTRY = {
     "op5_suffix_dedup": (suffix_dedup.op5_suffix_dedup, None),
     "op6_exact_dedup": (exact_dedup.op6_exact_dedup, exact_dedup.OP6_SQL),
     "op7_chat_format": (chat_format.op7_chat_format, chat_format.OP7_SQL),
+    "op8_jaccard_join": (jaccard_join.op8_jaccard_join, jaccard_join.OP8_SQL),
     "op9_lm_score": (lm.op9_lm_score, None),
     "op10_html_text": (html_text.op10_html_text, None),
 }
