@@ -2,17 +2,13 @@
 
 from projectpulse.functions.scalar import (  # noqa: F401
     NULL_TOKENS,
-    as_int_flag,
-    blank_to_null,
     clean_text,
-    lenient_cast,
     log_positive,
     logistic,
     null_tokens_to_null,
     parse_timestamp,
     safe_ratio,
     score_0_100,
-    strict_cast,
     trim_chars,
     calendar_day_diff,
 )

@@ -37,11 +37,6 @@ def clean_text(c) -> Column:
     return trim_chars(c)
 
 
-def blank_to_null(c) -> Column:
-    col = _c(c)
-    return F.when(trim_chars(col) == "", F.lit(None)).otherwise(col)
-
-
 def null_tokens_to_null(c, tokens=None) -> Column:
     """Normalise the reader's missing-value tokens to NULL (pandas-style)."""
     col = _c(c)
@@ -49,26 +44,10 @@ def null_tokens_to_null(c, tokens=None) -> Column:
     return F.when(col.isin(toks), F.lit(None).cast("string")).otherwise(col)
 
 
-def parse_timestamp(c, fmt: str = SOURCE_TS_FORMAT, lenient: bool = False) -> Column:
-    """Parse source timestamp text after trimming.
-
-    Strict mode raises on text that does not match (ANSI ``to_timestamp``),
-    lenient mode yields NULL instead (``try_to_timestamp``).
-    """
-    text = trim_chars(c)
-    if lenient:
-        return F.try_to_timestamp(text, F.lit(fmt))
-    return F.to_timestamp(text, fmt)
-
-
-def strict_cast(c, dtype: str) -> Column:
-    """ANSI cast: a malformed value fails the job, like the source SQL's ``::TYPE``."""
-    return _c(c).cast(dtype)
-
-
-def lenient_cast(c, dtype: str) -> Column:
-    """``try_cast``: a malformed value becomes NULL (pair with a reject report)."""
-    return _c(c).try_cast(dtype)
+def parse_timestamp(c, fmt: str = SOURCE_TS_FORMAT) -> Column:
+    """Source timestamp text, trimmed and parsed; NULL where it does not match (``stage`` turns
+    that into an error in strict mode)."""
+    return F.try_to_timestamp(trim_chars(c), F.lit(fmt))
 
 
 def safe_ratio(num, den) -> Column:
@@ -88,11 +67,6 @@ def log_positive(c) -> Column:
     return F.when(col > 0, F.ln(col))
 
 
-def as_int_flag(pred: Column) -> Column:
-    """Boolean predicate as 0/1; NULL stays NULL."""
-    return pred.cast("int")
-
-
 def logistic(z) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_c(z)))
 

@@ -1,7 +1,7 @@
 """Staging: rename + trim + cast driven by a column-spec list.
 
 ``stage(df, spec)`` is one ``select``; strict mode fails the job on malformed text
-(ANSI casts, like the source SQL), lenient mode yields NULL and
+(under any session setting), lenient mode yields NULL and
 ``reject_report`` counts what a lenient run turned into NULL.
 """
 
@@ -25,16 +25,22 @@ class ColumnSpec:
 
 def _expr(s: ColumnSpec, lenient: bool) -> Column:
     c = F.col(s.src)
-    cast = (lambda x, t: x.try_cast(t)) if lenient else (lambda x, t: x.cast(t))
     if s.kind == "keep":
         return c
     if s.kind == "text":
         return clean_text(c)
     if s.kind in ("bool", "double", "int", "bigint", "date"):
-        return cast(c, {"bool": "boolean", "int": "int"}.get(s.kind, s.kind))
-    if s.kind == "ts_text_date":
-        return parse_timestamp(c, s.fmt or SOURCE_TS_FORMAT, lenient=lenient).cast("date")
-    raise ValueError(f"unknown column kind {s.kind!r}")
+        kind = {"bool": "boolean"}.get(s.kind, s.kind)
+        out = c.try_cast(kind)
+    elif s.kind == "ts_text_date":
+        kind, out = "date", parse_timestamp(c, s.fmt or SOURCE_TS_FORMAT).cast("date")
+    else:
+        raise ValueError(f"unknown column kind {s.kind!r}")
+    if lenient:
+        return out
+    # Strict whatever the session's ANSI setting: a value that does not convert is an error.
+    bad = F.raise_error(F.concat(F.lit(f"{s.src} is not a {kind}: "), c.cast("string")))
+    return F.when(c.isNotNull() & out.isNull(), bad.cast(kind)).otherwise(out)
 
 
 def stage(df: DataFrame, spec, lenient: bool = False) -> DataFrame:
@@ -104,7 +110,3 @@ CONTRACT_SPEC = [
     ColumnSpec("ON_BUDGET_STATUS", "on_budget_status", "text"),
 ]
 
-
-def missing_columns(df: DataFrame, required) -> list[str]:
-    present = set(df.columns)
-    return [c for c in required if c not in present]

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from projectpulse.operators.joins import checked_broadcast
+from projectpulse.operators.joins import checked_broadcast, null_safe_join
 
 DEFAULT_BUCKETS = 64
 FOLD_SEED = 42
@@ -41,12 +41,14 @@ def running_totals(df: DataFrame, order: Column, sums, by=(), buckets: int = DEF
 
     ``order`` must give a strict order of the rows within a group (pre-aggregate ties);
     ``bucket`` (optional) must be non-decreasing along ``order``.  ``inclusive=False``
-    sums strictly earlier rows only.
+    sums strictly earlier rows only.  No row is lost: NULL group values are groups of
+    their own, and rows whose order value is NULL come before all others, in a bucket
+    of their own (Spark sorts NULLs first).
     """
     by = list(by)
     orders = list(order) if isinstance(order, (list, tuple)) else [order]
     b = bucket if bucket is not None else _bucket_by_quantiles(df, orders[0], buckets)
-    x = df.withColumn("__b", b)
+    x = df.withColumn("__b", F.coalesce(b.cast("int"), F.lit(-1)))
     for i, o in enumerate(orders):
         x = x.withColumn(f"__o{i}", o)
     totals = x.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
@@ -57,40 +59,46 @@ def running_totals(df: DataFrame, order: Column, sums, by=(), buckets: int = DEF
     frame_end = Window.currentRow if inclusive else -1
     w = Window.partitionBy(*by, "__b").orderBy(*[f"__o{i}" for i in range(len(orders))]).rowsBetween(Window.unboundedPreceding, frame_end)
     within = x.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"__in_{c}") for c in sums])
-    j = within.join(checked_broadcast(offsets), by + ["__b"])
+    j = null_safe_join(within, checked_broadcast(offsets), by + ["__b"])
     return j.select(*df.columns, *[(F.col(f"__off_{c}") + F.col(f"__in_{c}")).alias(f"cum_{c}") for c in sums])
 
 
 def score_counts(scored: DataFrame, label: str = "label", score: str = "score", by=()) -> DataFrame:
-    """One row per (by, distinct score) with positive and negative counts (partial aggregation)."""
-    return scored.groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("pos"),
+    """One row per (by, distinct score) with positive and negative counts (partial aggregation).
+    A NULL score or label has no place on a curve: it raises an error."""
+    known = F.col(score).isNotNull() & F.col(label).isNotNull()
+    checked = F.when(known, F.col(score)).otherwise(
+        F.raise_error("a score or label is NULL").cast(scored.schema[score].dataType))
+    return scored.withColumn(score, checked).groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                           F.count_if(F.col(label) == 0).alias("neg"))
 
 
 def roc_points(scored: DataFrame, label: str = "label", score: str = "score", by=()) -> DataFrame:
-    """ROC curve: one point per distinct score threshold, highest threshold first."""
+    """ROC curve: one point per distinct score threshold, highest threshold first.  A rate is NULL
+    where the data have no row of its class."""
     by = list(by)
     sc = score_counts(scored, label, score, by)
     cum = running_totals(sc, -F.col(score), ["pos", "neg"], by)
     if by:
         tot = sc.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-        j = cum.join(checked_broadcast(tot), by)
+        j = null_safe_join(cum, checked_broadcast(tot), by)
     else:
         # one curve: the class totals are two scalars
         t = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
         j = cum.withColumns({"P": F.lit(t["P"]), "N": F.lit(t["N"])})
     return j.select(*by, F.col(score).alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                    (F.col("cum_pos") / F.col("P")).alias("tpr"), (F.col("cum_neg") / F.col("N")).alias("fpr"))
+                    F.try_divide("cum_pos", "P").alias("tpr"), F.try_divide("cum_neg", "N").alias("fpr"))
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", by=()) -> DataFrame:
-    """Exact ROC AUC (ties count one half): Σ_s neg_s · (pos above s + pos_s / 2) / (P · N)."""
+    """Exact ROC AUC (ties count one half): Σ_s neg_s · (pos above s + pos_s / 2) / (P · N); NULL
+    where only one class is present."""
     by = list(by)
     sc = score_counts(scored, label, score, by)
     cum = running_totals(sc, -F.col(score), ["pos"], by, inclusive=False)
     g = cum.groupBy(*by) if by else cum.groupBy()
-    return g.agg((F.sum(F.col("neg") * (F.col("cum_pos") + F.col("pos") / 2.0))
-                  / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+    return g.agg(F.try_divide(F.sum(F.col("neg") * (F.col("cum_pos") + F.col("pos") / 2.0)),
+                              F.sum("pos") * F.sum("neg")).alias("roc_auc"))
 
 
 def classification_metrics(scored: DataFrame, label: str = "label", score: str = "score", by=(),
@@ -126,18 +134,13 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = N_FOLDS, seed
     return pos.select(*df.columns, F.pmod(F.col("cum___one") - 1, F.lit(k)).cast("int").alias(fold_col))
 
 
-def hash_folds(df: DataFrame, key: str, k: int = N_FOLDS, seed: int = FOLD_SEED, fold_col: str = "fold") -> DataFrame:
-    """Unstratified hash folds: a pure projection (no shuffle), for very large inputs."""
-    return df.withColumn(fold_col, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int"))
-
-
 def fold_metrics(scored: DataFrame, label: str = "label", score: str = "score", fold: str = "fold",
                  by=()) -> DataFrame:
     """Per (by, fold): roc_auc, precision, recall, f1."""
     keys = list(by) + [fold]
     auc = roc_auc(scored, label, score, keys)
     cm = classification_metrics(scored, label, score, keys).select(*keys, "precision", "recall", "f1")
-    return auc.join(cm, keys)
+    return null_safe_join(auc, cm, keys)
 
 
 def cv_summary(per_fold: DataFrame, by=(), metrics=("roc_auc", "precision", "recall", "f1")) -> DataFrame:

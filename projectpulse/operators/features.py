@@ -23,11 +23,6 @@ NUMERIC = ["log_allocated_budget"]
 FEATURES = CATEGORICAL + NUMERIC
 
 
-def qualifying_categories(rates: DataFrame, cut_type: str, min_rated: int = MIN_RATED) -> DataFrame:
-    return (rates.where((F.col("cut_type") == cut_type) & (F.col("n_rated") >= min_rated))
-            .select("cut_value"))
-
-
 def bucket_rare(df: DataFrame, col: str, qualifying: DataFrame, out: str, other: str = OTHER,
                 checked: bool = True) -> DataFrame:
     """``CASE WHEN col IN (qualifying) THEN col ELSE other END`` as a left join on the

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,11 @@ def lookup_flag(df: DataFrame, col: str, values: DataFrame, flag: str, max_rows:
         vals = checked_broadcast(vals, max_rows)
     out = df.join(vals, df[col] == vals["__v"], "left").drop("__v")
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which a NULL key equals a NULL key; the keys come out once."""
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

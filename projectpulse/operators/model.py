@@ -27,6 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from projectpulse.functions.scalar import logistic
 from projectpulse.operators.features import CATEGORICAL, NUMERIC
 from projectpulse.operators.quantiles import grouped_stats
 
@@ -127,7 +128,7 @@ def _sql_lit(v) -> str:
     if v is None:
         return "NULL"
     if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
     return repr(float(v))
 
 
@@ -153,7 +154,7 @@ def candidate_estimators(n_rows: int) -> dict:
     return {
         "logistic_regression": LogisticRegression(
             regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, standardization=False, maxIter=1000,
-            tol=1e-6, fitIntercept=True),
+            tol=1e-10, fitIntercept=True),
         "decision_tree": DecisionTreeClassifier(maxDepth=5, impurity="gini", seed=SEED),
         "random_forest": RandomForestClassifier(numTrees=300, maxDepth=8, featureSubsetStrategy="sqrt", seed=SEED),
         "gradient_boosting": GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED),
@@ -193,6 +194,18 @@ def train_logistic(train: DataFrame, drop_first: bool = True) -> LinearModel:
                        float(lrm.intercept), pm)
 
 
+def loss_gradient(train: DataFrame, model: LinearModel, label: str = "at_risk") -> DataFrame:
+    """(feature, gradient, n_rows): the derivative of the summed log-loss plus ½‖w‖² by each
+    coefficient, at the model, in one aggregate over the rows."""
+    enc, names = transform(train, model.prep)
+    z = sum((F.lit(c) * F.col(n) for c, n in zip(model.coefs, names)), F.lit(model.intercept))
+    off = logistic(z) - F.col(label)
+    wide = enc.agg(F.count(F.lit(1)).alias("n_rows"), *[(F.sum(off * F.col(n)) + F.lit(c)).alias(f"g{i}")
+                                                        for i, (n, c) in enumerate(zip(names, model.coefs))])
+    return wide.select("n_rows", F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("feature"), F.col(f"g{i}").alias("gradient")) for i, f in enumerate(model.features)])))
+
+
 def save_model(model: LinearModel, path: str) -> str:
     model.pipeline.write().overwrite().save(path)
     return path

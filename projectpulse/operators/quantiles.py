@@ -3,47 +3,38 @@
 ``F.median`` keeps every distinct value of a group in one aggregation buffer; for a
 group that holds a third of all rows (the ``overall`` cut always holds all of them)
 that is an unbounded group in one task.  This operator gets the same exact,
-interpolated median (DuckDB ``median`` / ``quantile_cont(0.5)``) in a bounded way:
-
-1. one aggregation pass computes, per group and measure, a narrow
-   value bracket ``[lo, hi]`` around the middle rank from a mergeable quantile sketch
-   (``percentile_approx``; rank error at most n/accuracy, partial aggregation
-   map-side).  Caller aggregates (count, avg, ...) ride along in the same pass;
-2. one pass counts, per group and measure, the values below the bracket and the
-   occurrences of each distinct value inside it (partial aggregation again, so a hot
-   value collapses to one row before the shuffle);
-3. a running count over the in-bracket values alone (a few per million of the group)
-   finds the value(s) at the middle rank(s) and interpolates.
-
-If a bracket ever missed the middle rank, that group and measure is recomputed from
-all its values (an exact path that only runs for such groups), so the result is
-exact in every case.
+interpolated median (DuckDB ``median`` / ``quantile_cont(0.5)``) by narrowing:
+
+1. one aggregate gives the count, the least and the greatest value per group and
+   measure.  Caller aggregates (count, avg, ...) ride along in the same pass;
+2. each round cuts the range of every open group into ``BUCKETS`` equal parts and
+   counts the rows of each part, with its least and greatest value.  These are plain
+   hash aggregates, combined on the map side: a task sends at most ``BUCKETS`` rows per
+   group, whatever the number of its rows;
+3. the part that holds the middle rank becomes the group's range.  A group is done when
+   its two middle ranks lie in different parts (the greatest value of the one and the
+   least of the other are the middle values) or when its range is one value.
+
+No step holds more than ``BUCKETS`` rows of a group in one task, and two or three rounds
+settle most data.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from projectpulse.operators.joins import checked_broadcast
+from projectpulse.operators.joins import checked_broadcast, null_safe_join
 from projectpulse.sources.readers import materialize
 
-DEFAULT_ACCURACY = 100_000
-
-
-def _join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
-    """Null-safe equi-join on ``keys`` (a NULL group key is a group of its own)."""
-    r = right.select([F.col(k).alias(f"__r_{k}") for k in keys]
-                     + [c for c in right.columns if c not in keys])
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys])
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
+BUCKETS = 4096
+MAX_ROUNDS = 200
 
 
 def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
-                  accuracy: int = DEFAULT_ACCURACY, materialize_input: bool = True) -> DataFrame:
+                  materialize_input: bool = True) -> DataFrame:
     """``df.groupBy(keys).agg(*aggs)`` plus exact medians ``{out_name: value_column}``.
 
     ``keys`` may be empty (one global row).  NULL values are skipped by the medians,
@@ -60,77 +51,53 @@ def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
     spark = df.sparkSession
     if names and materialize_input:
         df = materialize(df, spark, "median-input")
-    eps = 3.0 / accuracy
-    p_lo, p_hi = max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)
-
-    sketch_aggs = []
-    for i, out in enumerate(names):
-        sketch_aggs.append(F.percentile_approx(F.col(medians[out]), [p_lo, p_hi], accuracy).alias(f"__br{i}"))
     gkeys = keys or ["__g"]
     src = df if keys else df.withColumn("__g", F.lit(0))
-    all_aggs = list(aggs) + sketch_aggs
-    pass1 = src.groupBy(*gkeys).agg(*all_aggs) if all_aggs else src.groupBy(*gkeys).count()
+    bounds = [agg for i, out in enumerate(names) for agg in (
+        F.count(medians[out]).alias(f"__n{i}"), F.min(F.col(medians[out]).cast("double")).alias(f"__lo{i}"),
+        F.max(F.col(medians[out]).cast("double")).alias(f"__hi{i}"))]
+    pass1 = src.groupBy(*gkeys).agg(*aggs, *bounds) if (aggs or bounds) else src.groupBy(*gkeys).count()
     if not names:
-        return pass1.drop("__g") if not keys else pass1
-    # One row per group, reused twice below: persisted (memory, spilling to disk).  Its
-    # lineage is one aggregate over the written input, so a lost block is cheap to redo.
-    pass1 = pass1.persist(StorageLevel.MEMORY_AND_DISK)
-
-    # Brackets in long form: (keys, m, lo, hi), one row per group and measure.
-    mkeys = gkeys + ["m"]
-    brackets = pass1.select(*gkeys, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("m"), F.col(f"__br{i}")[0].cast("double").alias("lo"),
-                 F.col(f"__br{i}")[1].cast("double").alias("hi"))
-        for i in range(len(names))]))).where(F.col("lo").isNotNull())
+        return pass1 if keys else pass1.drop("__g")
+    pass1 = materialize(pass1, spark, "median-bounds")
 
-    # The measures in long form; NULL values never take part in a median.
+    state = pass1.select(*gkeys, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").alias("n"), F.lit(0).cast("bigint").alias("below"),
+                 F.col(f"__lo{i}").alias("lo"), F.col(f"__hi{i}").alias("hi"))
+        for i in range(len(names))]))).where(F.col("n") > 0)
     stacked = src.select(*gkeys, F.inline(F.array(*[
         F.struct(F.lit(i).alias("m"), F.col(medians[out]).cast("double").alias("v"))
         for i, out in enumerate(names)]))).where(F.col("v").isNotNull())
-
-    # side 0 = below the bracket, 1 = inside (kept per distinct value), 2 = above.
-    # One bracket row per group and measure: broadcast after a size check, so the
-    # measure rows are never shuffled to meet their bracket.
-    j = _join_on_keys(stacked, checked_broadcast(brackets), mkeys)
-    side = (F.when(F.col("v") < F.col("lo"), F.lit(0))
-            .when(F.col("v") <= F.col("hi"), F.lit(1)).otherwise(F.lit(2)))
-    counted = (j.select(*mkeys, side.alias("side"), F.when(side == 1, F.col("v")).alias("v"))
-               .groupBy(*mkeys, "side", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    picked = _pick_middle(counted, mkeys).persist(StorageLevel.MEMORY_AND_DISK)
-
-    # Exact path, only for a group whose bracket missed a middle rank (not expected).
-    missed = picked.where(F.col("median").isNull()).select(*mkeys)
-    if missed.limit(1).count() > 0:
-        full = (_join_on_keys(stacked, missed, mkeys, "left_semi")
-                .groupBy(*mkeys, F.lit(1).alias("side"), "v").agg(F.count(F.lit(1)).alias("cnt")))
-        picked = picked.where(F.col("median").isNotNull()).unionByName(_pick_middle(full, mkeys))
-
-    wide = picked.groupBy(*gkeys).agg(*[
+    settled = _narrow(state, stacked, gkeys + ["m"])
+    wide = settled.groupBy(*gkeys).agg(*[
         F.max(F.when(F.col("m") == i, F.col("median"))).alias(out) for i, out in enumerate(names)])
-    base = pass1.drop(*[f"__br{i}" for i in range(len(names))])
-    out = _join_on_keys(base, wide, gkeys, "left")
+    base = pass1.drop(*[f"__{b}{i}" for i in range(len(names)) for b in ("n", "lo", "hi")])
+    out = null_safe_join(base, wide, gkeys, "left")
     return out if keys else out.drop("__g")
 
 
-def _pick_middle(counted: DataFrame, mkeys) -> DataFrame:
-    """counted: (mkeys, side, v, cnt) → (mkeys, median), median NULL if a middle rank
-    does not fall on an in-bracket value (side 1).
-
-    The window partition of a group holds its in-bracket distinct values plus at most
-    two summary rows, whatever the group's size.
-    """
-    part = Window.partitionBy(*mkeys)
-    w = part.orderBy("side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.col("__n")
-    pos_lo = F.floor((n - 1) / 2)
-    pos_hi = F.ceil((n - 1) / 2)
-    ranked = (counted.withColumn("__n", F.sum("cnt").over(part))
-              .withColumn("__end", F.sum("cnt").over(w) - 1)
-              .withColumn("__start", F.col("__end") - F.col("cnt") + 1))
-    hit_lo = (F.col("side") == 1) & (F.col("__start") <= pos_lo) & (pos_lo <= F.col("__end"))
-    hit_hi = (F.col("side") == 1) & (F.col("__start") <= pos_hi) & (pos_hi <= F.col("__end"))
-    agg = (ranked.groupBy(*mkeys)
-           .agg(F.max(F.when(hit_lo, F.col("v"))).alias("v_lo"),
-                F.max(F.when(hit_hi, F.col("v"))).alias("v_hi"),
-                F.max((n - 1) / 2 - pos_lo).alias("frac")))
-    return agg.select(*mkeys, (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("median"))
+def _narrow(state: DataFrame, stacked: DataFrame, mkeys) -> DataFrame:
+    """(mkeys, median) of every group and measure of ``state`` (mkeys, n, below, lo, hi): its
+    values from ``lo`` to ``hi`` hold the middle ranks, ``below`` values lie before them."""
+    spark = state.sparkSession
+    done = [state.where(F.col("lo") == F.col("hi")).select(*mkeys, F.col("lo").alias("median"))]
+    open_ = materialize(state.where(F.col("lo") < F.col("hi")), spark, "median-range")
+    first, second = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    for _ in range(MAX_ROUNDS):
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        j = null_safe_join(stacked, checked_broadcast(open_), mkeys).where("v between lo and hi")
+        # Halves first: hi - lo of two large numbers of unlike sign has no double.
+        part = F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS)
+        counts = (j.groupBy(*mkeys, "n", "below", F.least(part, F.lit(BUCKETS - 1)).alias("part"))
+                  .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most")))
+        upto = Window.partitionBy(*mkeys).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.withColumn("end", F.col("below") + F.sum("c").over(upto)).withColumn("start", F.col("end") - F.col("c"))
+        hold = lambda rank: F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.struct("start", "least", "most")))
+        middle = materialize(ranked.groupBy(*mkeys, "n").agg(hold(first).alias("a"), hold(second).alias("b")), spark, "median-parts")
+        apart = F.col("a.start") != F.col("b.start")
+        one = F.col("a.least") == F.col("a.most")
+        done.append(middle.where(apart | one).select(*mkeys, F.when(apart, F.col("a.most") + (F.col("b.least") - F.col("a.most")) * 0.5)
+                                                     .otherwise(F.col("a.least")).alias("median")))
+        open_ = middle.where(~apart & ~one).select(*mkeys, "n", F.col("a.start").alias("below"), F.col("a.least").alias("lo"), F.col("a.most").alias("hi"))
+    raise RuntimeError("the medians did not settle")

@@ -41,7 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (distributed) folder and is used as is.
-    Only when it is unset (local tests) is a scratch folder created for it.
+    Only when it is unset, and the master is local, is a scratch folder made for it; on a
+    cluster an unset folder is an error, as executors do not share a local one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not path:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="pp-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(path)

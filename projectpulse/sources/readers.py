@@ -5,8 +5,8 @@
 * CSV extracts are read with an explicit schema (never inferred in production),
   multi-line quoted fields and a BOM-tolerant UTF-8 decoder, then missing-value
   tokens are normalised.
-* Sinks overwrite in place (``CREATE OR REPLACE`` semantics) and always write to a
-  fresh folder when the input is the same table.
+* Sinks overwrite in place (``CREATE OR REPLACE`` semantics); a table must not be
+  overwritten by a plan that reads it (``materialize`` it first).
 """
 
 from __future__ import annotations
@@ -38,15 +38,16 @@ def string_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=None) -> DataFrame:
-    """Read a headed CSV export with quoted commas and embedded line breaks.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=None, multi_line: bool = False) -> DataFrame:
+    """Read a headed CSV export with quoted commas.
 
-    ``multiLine`` keeps a quoted field with a line break in one record; the UTF-8
+    ``multi_line`` keeps a quoted field with a line break in one record, for sources whose text
+    holds line breaks; each file is then one task, so it is off by default.  The UTF-8
     decoder drops a leading BOM.  String columns then have the reader's missing-value
     tokens mapped to NULL.
     """
     df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", True)
+          .option("header", True).option("multiLine", multi_line)
           .option("quote", '"').option("escape", '"')
           .option("encoding", "UTF-8").option("mode", "FAILFAST")
           .csv(path))
@@ -57,8 +58,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=N
     ])
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Small result tables (metrics) as one headed CSV file in ``path``."""
+def write_csv(df: DataFrame, path: str, max_rows: int = 100_000) -> str:
+    """Small result tables (metrics) as one headed CSV file in ``path``.  More than ``max_rows``
+    rows are an error: they would all go through one task."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows for a one-file CSV; use write_table")
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
