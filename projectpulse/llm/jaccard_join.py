@@ -9,17 +9,18 @@ texts link when ``100 * intersection >= THRESHOLD * union``.
    part.  Classes of set sizes fix the number of parts; a set near the lower end of its class also
    gives the signatures of the class below.  Sets without a signature in common with another set
    link to nothing.
-3. Similar sets form groups: the sets of a signature with its leader, the one that shares most
-   signatures with others.  Sets that link to a leader are one component (union by least name).
-4. The token-group matrix then settles the rest.  The components are cut into groups of at most
-   ``GROUP`` similar sets, and each group's token union is stored.  For a signature whose sets lie in
-   several components, each of its sets is a query for the groups of the others; the overlap of the
-   query with the union bounds every intersection in the group, and only groups where the bound
-   reaches the threshold are opened and compared set by set.
-
-So no link between components is lost, and no task holds a whole signature, component or the
-documents of a large group: leaders and groups are matched in chunks, and what is shuffled is a set
-per query and chunk.
+3. Sets that signatures connect form a cluster of similar sets.  In a cluster of more than ``GROUP``
+   sets all are compared with its leader, the set that shares most signatures; those that link to
+   it are one component, within which nothing more needs to be compared.
+4. Token-group matrix: clusters are cut into groups of about ``GROUP`` similar sets (a large component
+   has groups of its own), and groups of one cluster meet in pairs.  A group's token union bounds the
+   overlap of a query from the other group with each of its sets; only groups where the bound allows
+   a link are opened for the query.  Then the parity of the tokens in 2,048 buckets bounds the
+   difference of two sets from below, and what is left is compared token by token.  A pair of
+   groups gives the links of a spanning forest only.
+
+So no link between components is lost; no task holds a whole signature, cluster or component; and
+what is shuffled is a set per chunk or pair of groups.
 
 Edge cases: a null text, one without words and an empty one have the empty set and are alone.  A
 text with fewer than three words has its whole word sequence as its only shingle.  Null ids: the
@@ -42,9 +43,11 @@ from projectpulse.llm.common import id_text, ship_code, table, written
 
 N = 3
 THRESHOLD = 90  # percent
-GROUP = 128
-#: Queries that one leader or group meets in one task.
+GROUP = 256
+#: Sets that a leader meets in one task.
 CHUNK = 512
+#: 64-bit words of the parity bitmap of a set.
+WORDS = 32
 #: A class of set sizes spans this many steps of 1 / threshold.
 STEPS = 3
 #: Ids of compared documents go to the scan as a broadcast up to so many rows; beyond, by a shuffle join.
@@ -193,7 +196,7 @@ def overlaps(query: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
 
 
 def links_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of the pairs (name, leader) those that link.  A leader's queries are dealt into chunks by their
+    """Of the pairs (name, leader) those that link, as (a, b).  A leader's queries are dealt into chunks by their
     number, and the leader's set goes to each chunk."""
     sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     dealt = (pairs.join(sizes, "leader")
@@ -214,41 +217,82 @@ def links_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return queries.groupBy("leader", "chunk").cogroup(leaders.groupBy("leader", "chunk")).applyInPandas(compare, "a binary, b binary")
 
 
-def links_to_groups(queries: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of queries (name, component) with members of groups (component, group, name).  The token
-    union of a group bounds its members' overlap with a query; a group is opened only where the bound
-    allows a link."""
-    slots = groups.select("component", "group").distinct()
-    asked = queries.join(slots, "component").select("component", "group", F.col("name"))
-    sizes = asked.groupBy("component", "group").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    asked = (asked.join(sizes, ["component", "group"])
-             .withColumn("chunk", F.pmod(F.xxhash64("name"), F.col("chunks").cast("long")).cast("int")))
-    left = asked.join(sets, "name").select("component", "group", "chunk", "name", "shingles")
-    right = (groups.join(sizes, ["component", "group"])
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .join(sets, "name").select(*_fresh("component", "group", "chunk", "name", "shingles")))
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set, the parity of its tokens in each bucket, as bits.  Two sets differ in at least as many
+    tokens as their bitmaps differ in bits."""
+    flat = mix(np.concatenate(sets))
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    out = np.zeros((len(sets), WORDS), np.uint64)
+    np.bitwise_xor.at(out, (row, (flat >> np.uint64(6)) % np.uint64(WORDS)), np.uint64(1) << (flat & np.uint64(63)))
+    return out
+
+
+def forest(names: list[bytes], links: list[tuple[int, int]]) -> list[tuple[bytes, bytes]]:
+    """Of links between numbered sets as many as are needed to connect the same sets."""
+    up = list(range(len(names)))
+
+    def top(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+    out = []
+    for i, j in links:
+        a, b = top(i), top(j)
+        if a != b:
+            up[a] = b
+            out.append((names[i], names[j]))
+    return out
+
+
+def group_links(left: list[np.ndarray], right: list[np.ndarray], threshold: int = THRESHOLD) -> list[tuple[int, int]]:
+    """Linked pairs (number in ``left``, number in ``right``) of two groups of sorted sets."""
+    union = np.unique(np.concatenate(right))
+    n, m = np.array([len(s) for s in left]), np.array([len(s) for s in right])
+    flat = np.concatenate(left)
+    at = np.minimum(np.searchsorted(union, flat), len(union) - 1)
+    bound = np.add.reduceat((union[at] == flat).astype(np.int64), np.cumsum(n) - n)
+    # An intersection of at most ``bound`` links at best with a set of that many tokens.
+    opened = np.flatnonzero(linked(bound, n, np.maximum(bound, 1), threshold))
+    if not len(opened):
+        return []
+    a, b = parities([left[i] for i in opened]), parities(right)
+    out = []
+    for k, i in enumerate(opened):
+        apart = np.bitwise_count(a[k] ^ b).sum(axis=1)
+        least = (n[i] + m) - np.maximum(apart, np.abs(n[i] - m))  # twice the greatest intersection that is left
+        near = np.flatnonzero(linked(least // 2, n[i], m, threshold))
+        if len(near):
+            ok = linked(overlaps(left[i], [right[j] for j in near]), n[i], m[near], threshold)
+            out += [(int(i), int(j)) for j in near[ok]]
+    return out
+
 
-    def compare(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+def links_between_groups(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of the sets in ``groups`` (cluster, component, group, name), where ``component`` is null for groups of
+    several components.  Every two groups of a cluster meet, except two of one component."""
+    slots = groups.select("cluster", "component", "group").distinct()
+    other = slots.select("cluster", F.col("component").alias("its"), F.col("group").alias("next"))
+    pairs = (slots.join(other, "cluster").where("group <= next")
+             .where(~F.coalesce(F.col("component") == F.col("its"), F.lit(False)))
+             .select("cluster", "group", "next", F.xxhash64("cluster", "group", "next").alias("pair")))
+    rows = groups.join(sets, "name").select("cluster", "group", "name", "shingles")
+    left = rows.join(pairs, ["cluster", "group"]).select("pair", "group", "next", "name", "shingles")
+    # A group that meets itself is sent once.
+    right = (rows.withColumnRenamed("group", "next").join(pairs.where("group < next"), ["cluster", "next"])
+             .select(*_fresh("pair", "group", "next", "name", "shingles")))
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(asking) and len(held):
-            members = [_array(s) for s in held["shingles"]]
-            names = held["name"].tolist()
-            sizes = np.array([len(s) for s in members])
-            union = np.unique(np.concatenate(members))
-            for name, data in zip(asking["name"], asking["shingles"]):
-                query = _array(data)
-                n = len(query)
-                bound = int(overlaps(query, [union])[0])
-                # An intersection of at most ``bound`` links at best with a member of that many shingles.
-                if not linked(bound, n, np.maximum(bound, 1)):
-                    continue
-                fits = np.flatnonzero((100 * sizes >= THRESHOLD * n) & (THRESHOLD * sizes <= 100 * n))
-                if len(fits):
-                    ok = linked(overlaps(query, [members[k] for k in fits]), n, sizes[fits])
-                    out += [(name, names[k]) for k in fits[ok][:1]]  # one link joins the query to the component
+        for (first, second), own in a.groupby(["group", "next"]):
+            met = own if first == second else b[(b["group"] == first) & (b["next"] == second)]
+            if len(met):
+                held, others = ([_array(s) for s in x["shingles"]] for x in (own, met))
+                names = own["name"].tolist() + ([] if first == second else met["name"].tolist())
+                shift = 0 if first == second else len(own)
+                out += forest(names, [(i, j + shift) for i, j in group_links(held, others) if i != j + shift])
         return pd.DataFrame(out, columns=["a", "b"])
-    keys = ["component", "group", "chunk"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "a binary, b binary")
+    return left.groupBy("pair").cogroup(right.groupBy("pair")).applyInPandas(compare, "a binary, b binary")
 
 
 def components(links: DataFrame, max_rounds: int = 200) -> DataFrame:
@@ -279,28 +323,28 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     sets = written(sets_of(rows, members, names), "join-sets")
 
     per_sig = shared.groupBy("sig").agg(F.count("*").alias("size"))
-    weight = shared.join(per_sig, "sig").groupBy("name").agg(F.sum("size").alias("weight"))
-    leaders = shared.join(weight, "name").groupBy("sig").agg(F.max_by("name", F.struct("weight", "name")).alias("leader"))
-    pairs = shared.join(leaders, "sig").where("name <> leader").select("name", "leader").distinct()
-    first = written(links_to_leaders(written(pairs, "join-pairs"), sets), "join-first")
-
-    found = components(first)
-    label = names.join(found, "name", "left").select("name", F.coalesce("component", "name").alias("component"))
-    label = written(label, "join-components")
-    open_ = (shared.join(label, "name").withColumns({"a": F.min("component").over(W.partitionBy("sig")),
-                                                     "z": F.max("component").over(W.partitionBy("sig"))}).where("a <> z"))
-    open_ = written(open_.select("sig", "name", "component"), "join-open")
-    # Each of two components asks the other once: the lower name asks the higher.
-    per_component = open_.select("sig", F.col("component").alias("other")).distinct()
-    queries = (open_.join(per_component, "sig").where("component < other")
-               .select("name", F.col("other").alias("component")).distinct())
-    queries = written(queries, "join-queries")
-    wanted = label.join(queries.select("component").distinct(), "component", "left_semi")
-    sizes = wanted.groupBy("component").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
-    groups = (wanted.join(sizes, "component")
-              .select("component", F.pmod(F.xxhash64("name"), F.col("groups").cast("long")).cast("int").alias("group"), "name"))
-    second = links_to_groups(queries, written(groups, "join-groups"), sets)
-    final = components(first.unionByName(written(second, "join-second")))
+    weight = written(shared.join(per_sig, "sig").groupBy("name").agg(F.sum("size").alias("weight")), "join-weights")
+    first = shared.groupBy("sig").agg(F.min("name").alias("other"))
+    clusters = components(shared.join(first, "sig").where("name <> other").select(F.col("name").alias("a"), F.col("other").alias("b")))
+    clusters = clusters.withColumnRenamed("component", "cluster")
+    sizes = (clusters.join(weight, "name").groupBy("cluster")
+             .agg(F.count("*").alias("size"), F.max_by("name", F.struct("weight", "name")).alias("leader")))
+    clusters = written(clusters.join(sizes, "cluster"), "join-clusters")
+    to_leaders = clusters.where((F.col("size") > GROUP) & (F.col("name") != F.col("leader"))).select("name", "leader")
+    near = written(links_to_leaders(to_leaders, sets), "join-near")
+
+    # Large components have groups of their own; all others of a cluster share groups.
+    label = (clusters.join(near.select(F.col("a").alias("name"), F.col("b").alias("component")), "name", "left")
+             .withColumn("component", F.coalesce("component", F.when(F.col("name") == F.col("leader"), F.col("leader")))))
+    large = label.groupBy("cluster", "component").agg(F.count("*").alias("part")).where(F.col("component").isNotNull() & (F.col("part") >= GROUP))
+    label = label.join(large, ["cluster", "component"], "left").withColumn("component", F.when(F.col("part").isNotNull(), F.col("component")))
+    rest = label.groupBy("cluster").agg(F.count_if(F.col("part").isNull()).alias("rest"))
+    cut = F.ceil(F.coalesce(F.col("part"), F.col("rest")) / GROUP)
+    groups = label.join(rest, "cluster").select(
+        "cluster", "component", "name",
+        F.xxhash64("component", F.pmod(F.xxhash64("name"), cut.cast("long"))).alias("group"))
+    links = near.unionByName(written(links_between_groups(written(groups, "join-groups"), sets), "join-found"))
+    final = components(links)
 
     named = members.join(final, "name", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "name")))
     named = written(named, "join-named")
