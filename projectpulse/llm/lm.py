@@ -37,7 +37,9 @@ from projectpulse.llm.exchange import Blocks, pack_counts, unpack_counts
 
 END = np.uint64(0x5E0D5E0D5E0D5E0D)
 START = np.uint64(0x57A757A757A757A7)
-SHARD_BYTES = 16 << 20
+#: Text in a shard, and text whose keys a reducer gets.
+SHARD_BYTES = 6 << 20
+REDUCER_BYTES = 16 << 20
 BUCKETS = 40
 #: Held-out events are gathered in cells of equal context bucket and nearly equal estimates
 #: (this many cells to a factor of two); the fit sees the mean of each cell.
@@ -91,7 +93,7 @@ def counted(docs: DataFrame, train: Column, tune: Column, id_col: str = "doc_id"
                        F.coalesce(train, F.lit(True)).alias("train"), F.coalesce(tune, F.lit(False)).alias("tune"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, math.ceil(size / SHARD_BYTES))
-    blocks = Blocks(shards)
+    blocks = Blocks(max(1, math.ceil(size / REDUCER_BYTES)))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int"))
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -148,6 +148,7 @@ def test_langid_held_out_accuracy(spark, sf_dir):
 
 def test_lm_edges(docs, rows, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_BYTES", 5000)
+    monkeypatch.setattr(lm, "REDUCER_BYTES", 9000)
     train = F.pmod(F.col("doc_id"), F.lit(3)) != 0
     counts = lm.counted(docs, train, train & (F.pmod(F.col("doc_id"), F.lit(4)) == 1))
     model = lm.learn(counts)
