@@ -30,12 +30,6 @@ def short_description(f: Feature) -> str:
     return f"{f.column}='{f.category}'" if f.category is not None else f.column
 
 
-def contributions(model: LinearModel):
-    """(feature, contribution column) for every feature with a coefficient."""
-    exprs = dict((f.name, e) for f, e in feature_exprs(model.prep))
-    return [(f, F.lit(float(c)) * exprs[f.name]) for f, c in zip(model.features, model.coefs)]
-
-
 def _row_contributions(model: LinearModel):
     """One (index, contribution) pair per input column instead of per feature.
 
@@ -107,6 +101,7 @@ def global_feature_table(coefs: DataFrame, numeric_label: str = "log(allocated b
     The numeric input is standardised, so the default wording is per standard
     deviation; pass ``unit="one-unit"`` for the raw-unit wording.
     """
+    # The wording of the three sentences.
     odds = F.exp(F.col("coef"))
     odds_txt = F.format_string("%.2f", odds)
     cat_sentence = F.concat(

@@ -33,6 +33,7 @@ from projectpulse.operators.quantiles import grouped_stats
 
 SEED = 42
 MISSING_SUFFIX = "_missing"
+MAX_LEVELS = 20_000  # over all categorical columns; more is an error, none is dropped
 
 
 @dataclass(frozen=True)
@@ -82,7 +83,9 @@ def reference_levels(train: DataFrame, categorical=CATEGORICAL) -> DataFrame:
 
 def fit_prep(train: DataFrame, categorical=CATEGORICAL, numeric: str = NUMERIC[0], drop_first: bool = True) -> Prep:
     """Fit the preparation on ``train``; brings back only levels and a few scalars."""
-    lv_rows = reference_levels(train, categorical).collect()  # one row per category level
+    lv_rows = reference_levels(train, categorical).limit(MAX_LEVELS + 1).collect()  # one row per category level
+    if len(lv_rows) > MAX_LEVELS:
+        raise ValueError(f"more than {MAX_LEVELS} levels in {', '.join(categorical)}: not categorical columns")
     levels = {c: [] for c in categorical}
     for r in sorted(lv_rows, key=lambda r: (r["column_name"], r["position"])):
         levels[r["column_name"]].append(r["level"])

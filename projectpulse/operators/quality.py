@@ -152,18 +152,15 @@ def duplicate_row_share(df: DataFrame, max_share: float, name: str = "duplicate_
 
 
 def domain(df: DataFrame, col: str, allowed, exact: bool = False) -> DataFrame:
-    """Values of ``col`` outside ``allowed`` (NULL ignored); with ``exact`` also allowed values never seen."""
-    allowed = list(allowed)
-    seen = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull()).distinct()
-    allowed_df = df.sparkSession.createDataFrame([(a,) for a in allowed], "v string")
-    extra = seen.join(allowed_df, "v", "left_anti").agg(F.count(F.lit(1)).alias("n"))
-    observed = F.col("n")
+    """Values of ``col`` outside ``allowed`` (NULL ignored); with ``exact`` also allowed values never seen.
+    One aggregate: distinct values outside the domain, and a flag per allowed value."""
+    allowed, c = list(allowed), F.col(col)
+    aggs = [F.count_distinct(F.when(~c.isin(allowed), c)).alias("n")]
     if exact:
-        missing = allowed_df.join(seen, "v", "left_anti").agg(F.count(F.lit(1)).alias("m"))
-        extra = side_by_side(extra, missing)
-        observed = F.col("n") + F.col("m")
+        aggs += [F.coalesce(F.max((c == v).cast("int")), F.lit(0)).alias(f"seen{i}") for i, v in enumerate(allowed)]
+    observed = reduce(lambda x, y: x + y, [F.lit(1) - F.col(f"seen{i}") for i in range(len(allowed))], F.col("n")) if exact else F.col("n")
     name = f"{'domain_equals' if exact else 'domain_subset'}:{col}"
-    return _one_row(extra, name, observed, "0 values outside {" + ",".join(allowed) + "}", lambda o: o == 0)
+    return _one_row(df.agg(*aggs), name, observed, "0 values outside {" + ",".join(allowed) + "}", lambda o: o == 0)
 
 
 def key_overlap(a: DataFrame, b: DataFrame, key: str, min_count: int) -> DataFrame:
@@ -174,20 +171,20 @@ def key_overlap(a: DataFrame, b: DataFrame, key: str, min_count: int) -> DataFra
 
 
 def partition_total(df: DataFrame, by: str) -> DataFrame:
-    """Group counts add up to the row count: observed = |sum(group counts) − count|."""
-    groups = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("t"))
-    j = side_by_side(groups.agg(F.sum("n").alias("s")), total)
-    return _one_row(j, f"partition_total:{by}", F.abs(F.col("s") - F.col("t")), "[0, 0]", lambda o: o == 0)
+    """Group counts add up to the row count: observed = |sum(group counts) − count|, both from one rollup."""
+    counts = df.rollup(by).agg(F.count(F.lit(1)).alias("n"), F.grouping(by).alias("total"))
+    j = counts.agg(F.sum(F.when(F.col("total") == 0, F.col("n"))).alias("s"), F.sum(F.when(F.col("total") == 1, F.col("n"))).alias("t"))
+    return _one_row(j, f"partition_total:{by}", F.abs(F.coalesce("s", F.lit(0)) - F.coalesce("t", F.lit(0))), "[0, 0]", lambda o: o == 0)
 
 
-def required_columns(df: DataFrame, required) -> DataFrame:
-    """One row per required column: whether it is present and how many non-NULL values it has."""
+def required_columns(df: DataFrame, required, name: str) -> DataFrame:
+    """One row per required column of the input ``name``: whether it is present, how many non-NULL values
+    it has, and whether the rule holds (present)."""
     present = set(df.columns)
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in required if c in present] or [F.lit(0).alias("__none")])
     return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(c in present).alias("present"),
-                 (F.col(c) if c in present else F.lit(None).cast("bigint")).alias("n_non_null"))
+        F.struct(F.lit(name).alias("input_name"), F.lit(c).alias("column_name"), F.lit(c in present).alias("present"),
+                 (F.col(c) if c in present else F.lit(None).cast("bigint")).alias("n_non_null"), F.lit(c in present).alias("passed"))
         for c in required])))
 
 
@@ -226,7 +223,14 @@ def consistent_within_key(df: DataFrame, key: str, cols) -> DataFrame:
 
 
 def small_groups(rates: DataFrame, n_col: str = "n_rated", threshold: int = 30) -> DataFrame:
-    """Per cut type: named groups under the sample threshold and at or over it."""
+    """Per cut type: groups under the sample threshold, at or over it, and whether most are under."""
     return (rates.where(F.col("cut_type") != "overall").groupBy("cut_type")
             .agg(F.count_if(F.col(n_col) < threshold).alias("n_small"),
-                 F.count_if(F.col(n_col) >= threshold).alias("n_large")))
+                 F.count_if(F.col(n_col) >= threshold).alias("n_large"))
+            .withColumn("mostly_small", F.col("n_small") > F.col("n_large")))
+
+
+def named_small_groups(rates: DataFrame, groups, n_col: str = "n_rated", threshold: int = 30) -> DataFrame:
+    """For named (cut_type, cut_value) groups: the sample size and whether it lies under the threshold."""
+    wanted = reduce(lambda a, b: a | b, [(F.col("cut_type") == t) & (F.col("cut_value") == v) for t, v in groups])
+    return rates.where(wanted).select("cut_type", "cut_value", F.col(n_col), (F.col(n_col) < threshold).alias("passed"))

@@ -313,6 +313,7 @@ def q_label_base_rate(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- data quality (DQ1-20, SET2-4, AGG12-17, AGG20, AGG24)
 
 from projectpulse.operators import quality as Q  # noqa: E402
+from projectpulse.operators.cleaning import PROGRAM_SPEC, stage  # noqa: E402
 from projectpulse.operators.quality import fmt_bound  # noqa: E402
 
 
@@ -348,17 +349,48 @@ def q_dq_row_count(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Q.expect(build.projects(spark, d), [Q.row_count(1, None, "not_empty"), Q.row_count(*ROW_BOUNDS)]))
 
 
-REQUIRED_PROGRAM = ["OBJECTID", "UPC", "DISTRICT_CODE_DESC", "STATE_HIGHWAY_DESC", "SCOPE_OF_WORK_DESC",
-                    "POOL_PRJ_STATUS_DSC", "HAS_PE", "HAS_RW", "HAS_CN", "PE_START_DATE", "RW_START_DATE",
-                    "CN_START_DATE", "CN_END_DATE", "TOTAL_ALLOCATIONS_CURRENT", "TOTAL_EST_CURRENT", "CURRENT_YEAR"]
+# The columns and inputs that must be there.
+REQUIRED_PROGRAM = ["UPC", "DISTRICT_CODE_DESC", "STATE_HIGHWAY_DESC", "SCOPE_OF_WORK_DESC", "POOL_PRJ_STATUS_DSC",
+                    "HAS_PE", "HAS_RW", "HAS_CN", "PE_START_DATE", "CN_START_DATE", "CN_END_DATE",
+                    "TOTAL_ALLOCATIONS_CURRENT", "Y1_Y6_ALLOCATIONS", "CURRENT_PE_ESTIMATE", "CURRENT_RW_ESTIMATE",
+                    "CURRENT_CN_ESTIMATE", "TOTAL_EST_CURRENT"]
+REQUIRED_OUTCOME = ["UPC", "DISTRICT", "PROJECT_STATUS", "BUDGET", "ESTIMATE", "ON_TIME_STATUS", "ON_BUDGET_STATUS"]
+PROGRAM_INPUT, OUTCOME_INPUT = "program", "Project_Development (UPC)"
+PAIR_INPUT, CONTRACT_INPUT = "Project_Delivery (Contract,UPC)", "Project_Delivery (Contract)"
+
+
+def _required_sql(name: str, table: str, columns) -> str:
+    return union_sql(*[f"SELECT '{name}' AS input_name, '{c}' AS column_name, true AS present, count({c}) AS n_non_null, "
+                       f"true AS passed FROM {table}" for c in columns])
 
 
-@query("dq_required_columns", with_ctes(union_sql(*[
-    (f"SELECT '{c}' AS column_name, true AS present, count({c}) AS n_non_null FROM raw_syip"
-     if c != "OBJECTID" else f"SELECT '{c}' AS column_name, false AS present, CAST(NULL AS BIGINT) AS n_non_null")
-    for c in REQUIRED_PROGRAM]), "raw_syip"))
+@query("dq_required_columns", with_ctes(union_sql(
+    _required_sql(PROGRAM_INPUT, "raw_syip", REQUIRED_PROGRAM), _required_sql(OUTCOME_INPUT, "raw_dashboard", REQUIRED_OUTCOME)),
+    "raw_syip", "raw_dashboard"))
 def q_dq_required_columns(spark: SparkSession, d: str) -> DataFrame:
-    return Q.required_columns(fixtures.raw_program(spark, d), REQUIRED_PROGRAM)
+    return Q.required_columns(fixtures.raw_program(spark, d), REQUIRED_PROGRAM, PROGRAM_INPUT).unionByName(
+        Q.required_columns(fixtures.raw_outcome(spark, d), REQUIRED_OUTCOME, OUTCOME_INPUT))
+
+
+@query("src_named_inputs", with_ctes(union_sql(*[
+    f"SELECT '{name}' AS input_name, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, true AS passed FROM {table}"
+    for name, table, key in ((PROGRAM_INPUT, "raw_syip", "UPC"), (OUTCOME_INPUT, "raw_dashboard", "UPC"),
+                             (PAIR_INPUT, "raw_contracts", "CONTRACT_ID"), (CONTRACT_INPUT, "contracts_distinct", "contract_id"))]),
+    "raw_syip", "raw_dashboard", "raw_contracts", "contracts_distinct"))
+def q_src_named_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """The four inputs landed under their names, read by name, registered, and queried with SQL: each is
+    there, with rows."""
+    from projectpulse.session import scratch_path
+    pairs = fixtures.raw_contracts(spark, d)
+    folders = R.land_inputs({PROGRAM_INPUT: fixtures.raw_program(spark, d), OUTCOME_INPUT: fixtures.raw_outcome(spark, d),
+                             PAIR_INPUT: pairs, CONTRACT_INPUT: variance.dedup_first(pairs, "CONTRACT_ID", "UPC", drop=("UPC",))},
+                            scratch_path(spark, "inputs"))
+    parts = []
+    for i, (name, key) in enumerate(((PROGRAM_INPUT, "UPC"), (OUTCOME_INPUT, "UPC"), (PAIR_INPUT, "CONTRACT_ID"), (CONTRACT_INPUT, "CONTRACT_ID"))):
+        R.register(R.read_input(spark, folders, name), f"pp_input_{i}")
+        parts.append(spark.sql(f"SELECT '{name}' AS input_name, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, "
+                               f"count(*) > 0 AS passed FROM pp_input_{i}"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("dq_unique_key", with_ctes(union_sql(*[
@@ -401,8 +433,7 @@ def q_dq_null_rate(spark: SparkSession, d: str) -> DataFrame:
         Q.non_null_share("allocated_budget", 0.9), Q.non_null_share("current_estimate", 0.9)]))
 
 
-RAW_PROGRAM_COLS = [c for c in REQUIRED_PROGRAM if c != "OBJECTID"] + [
-    "Y1_Y6_ALLOCATIONS", "CURRENT_PE_ESTIMATE", "CURRENT_RW_ESTIMATE", "CURRENT_CN_ESTIMATE"]
+RAW_PROGRAM_COLS = [c.src for c in PROGRAM_SPEC]
 CONTRACT_ROW_COLS = ["contract_id", "district", "road_system", "original_completion_date", "current_completion_date",
                      "actual_completion_date", "award_amount", "current_amount", "final_cost", "on_time_status",
                      "on_budget_status"]
@@ -556,12 +587,19 @@ def q_dq_skew_guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("small_groups", with_ctes(
-    "SELECT cut_type, count_if(n_rated < 30) AS n_small, count_if(n_rated >= 30) AS n_large "
-    "FROM kpi_rates WHERE cut_type <> 'overall' GROUP BY cut_type", "kpi_rates"))
+    "SELECT cut_type, count_if(n_rated < 30) AS n_small, count_if(n_rated >= 30) AS n_large, "
+    "count_if(n_rated < 30) > count_if(n_rated >= 30) AS mostly_small FROM kpi_rates WHERE cut_type <> 'overall' GROUP BY cut_type", "kpi_rates"))
 def q_small_groups(spark: SparkSession, d: str) -> DataFrame:
     return Q.small_groups(build.kpi_rates(build.projects(spark, d)))
 
 
+@query("named_small_groups", with_ctes(
+    "SELECT cut_type, cut_value, n_rated, n_rated < 30 AS passed FROM kpi_rates "
+    "WHERE cut_type = 'project_type' AND cut_value IN ('RARE', 'BUILDING')", "kpi_rates"))
+def q_named_small_groups(spark: SparkSession, d: str) -> DataFrame:
+    return Q.named_small_groups(build.kpi_rates(build.projects(spark, d)), [("project_type", "RARE"), ("project_type", "BUILDING")])
+
+
 CONSISTENT_COLS = ["district", "road_system", "original_completion_date", "current_completion_date",
                    "actual_completion_date", "award_amount", "current_amount", "final_cost", "on_time_status",
                    "on_budget_status"]
@@ -829,7 +867,8 @@ def q_missing_driver_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("coef_rate_corr", with_ctes(
-    f"SELECT count(*) AS n_joined, {r6('corr(c.coef, (k.on_time_r_rate + k.on_budget_r_rate) / 2)', 'correlation')} "
+    f"SELECT count(*) AS n_joined, {r6('corr(c.coef, (k.on_time_r_rate + k.on_budget_r_rate) / 2)', 'correlation')}, "
+    "corr(c.coef, (k.on_time_r_rate + k.on_budget_r_rate) / 2) > 0.5 AS passed "
     "FROM coefs c JOIN kpi_rates k ON k.cut_type = 'project_type' AND k.cut_value = c.category "
     "WHERE c.column_name = 'project_type_bucketed'", "coefs", "kpi_rates"))
 def q_coef_rate_corr(spark: SparkSession, d: str) -> DataFrame:
@@ -841,7 +880,17 @@ def q_coef_rate_corr(spark: SparkSession, d: str) -> DataFrame:
         F.col("cut_value").alias("category"),
         ((F.col("on_time_r_rate") + F.col("on_budget_r_rate")) / 2).alias("avg_r_rate"))
     j = coefs.join(r, "category")
-    return rounded(j.agg(F.count(F.lit(1)).alias("n_joined"), F.corr("coef", "avg_r_rate").alias("correlation")))
+    return rounded(j.agg(F.count(F.lit(1)).alias("n_joined"), F.corr("coef", "avg_r_rate").alias("correlation"))
+                   .withColumn("passed", F.col("correlation") > 0.5))
+
+
+@query("coef_directions", with_ctes(
+    "SELECT column_name, category, CAST(sign(coef) AS INTEGER) AS direction FROM coefs WHERE category IS NOT NULL", "coefs"))
+def q_coef_directions(spark: SparkSession, d: str) -> DataFrame:
+    """Which way each category points against its reference level (sign anchors)."""
+    model, _ = _fixture_model(spark, d)
+    return (X.coefficient_table(spark, model).where(F.col("category").isNotNull())
+            .select("column_name", "category", F.signum("coef").cast("int").alias("direction")))
 
 
 @query("dq_nonempty_text", with_ctes(agg_rule_sql(
@@ -952,7 +1001,6 @@ def q_compare_models(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- sources and sinks (SRC1-8)
 
-from projectpulse.operators.cleaning import PROGRAM_SPEC, stage  # noqa: E402
 from projectpulse.sources import readers as R  # noqa: E402
 
 DESCRIPTION_SQL = ("'Order ' || CAST(abs(upc) AS VARCHAR) || ', priority \"' || road_system || '\"' "

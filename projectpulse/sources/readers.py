@@ -89,6 +89,19 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def land_inputs(inputs: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """Land each input once as Parquet in a folder of its own under ``root``; returns name -> folder.
+    Names may hold any characters (sheet names): folders are numbered in the order of the names."""
+    return {name: write_table(inputs[name], f"{root.rstrip('/')}/input-{i:02d}") for i, name in enumerate(sorted(inputs))}
+
+
+def read_input(spark: SparkSession, folders: dict[str, str], name: str) -> DataFrame:
+    """The landed input of that name."""
+    if name not in folders:
+        raise KeyError(f"no input {name!r}; there are {sorted(folders)}")
+    return spark.read.parquet(folders[name])
+
+
 def table_counts(tables: dict) -> DataFrame:
     """Row count per named table: one aggregate per table, unioned."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")

@@ -159,3 +159,73 @@ def test_expect_single_pass_rules(spark):
     assert out["non_null_share:s"][0] == pytest.approx(2 / 3)
     assert Q.unique_key(df, "k").first().observed == 1.0
     assert Q.domain(df, "s", ["G", "Y", "R"]).first().observed == 1.0
+
+
+def test_running_totals_keep_rows_with_null_keys_and_groups(spark):
+    df = spark.createDataFrame([(1, 0), (2, 1), (None, 1), (4, None), (None, None), (6, 0)], "k long, y int")
+    f = E.stratified_folds(df, "k", "y")
+    assert f.count() == 6
+    assert sorted(str(r.y) + str(r.n) for r in f.groupBy("y").agg(F.count("fold").alias("n")).collect()) == ["02", "12", "None2"]
+
+
+def test_auc_rejects_null_scores_and_is_null_for_one_class(spark):
+    rows = [(1, 0.5), (0, None), (0, 0.2)]
+    with pytest.raises(Exception, match="NULL"):
+        E.roc_auc(spark.createDataFrame(rows, "label int, score double")).collect()
+    one = spark.createDataFrame([(1, 0.5), (1, 0.2)], "label int, score double")
+    assert E.roc_auc(one).first().roc_auc is None
+    assert [r.fpr for r in E.roc_points(one).collect()] == [None, None]
+
+
+def test_strict_cast_fails_without_ansi(spark):
+    df = spark.createDataFrame([("abc", "13/45/2020 1:00:00 AM")], "x string, t string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for spec in (ColumnSpec("x", "x", "double"), ColumnSpec("t", "t", "ts_text_date")):
+            with pytest.raises(Exception, match="is not a"):
+                stage(df, [spec]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_medians_of_odd_data(spark):
+    """Hot values, wide ranges, signs, infinitely close values, NULL groups and one-row groups."""
+    random.seed(3)
+    rows = [("hot", 7.0)] * 500 + [("hot", float(i)) for i in range(90)]
+    rows += [("wide", random.choice([-1, 1]) * 10.0 ** random.randint(-300, 300)) for _ in range(401)]
+    rows += [("close", 1.0 + i * 2.0**-52) for i in range(50)] + [(None, 3.0), (None, 4.0), ("one", -0.5), ("null", None)]
+    rows += [("big", 1.7e308), ("big", -1.7e308), ("big", 5.0)]
+    out = {r.g: r.m for r in grouped_stats(spark.createDataFrame(rows, "g string, v double"), ["g"], [], {"m": "v"}).collect()}
+    for g in {r[0] for r in rows}:
+        v = sorted(x for k, x in rows if k == g and x is not None)
+        want = None if not v else v[(len(v) - 1) // 2] + (v[len(v) // 2] - v[(len(v) - 1) // 2]) * 0.5
+        assert out[g] == want, g
+
+
+def test_level_with_quote_and_backslash_in_saved_pipeline(spark):
+    from projectpulse.operators import model as M
+    level = "a\\b'c\\"
+    prep = M.Prep({"t": ["x", level]}, True, "v", 0.0, False, 0.0, 1.0, 0.0, 1.0, ["t"])
+    df = spark.createDataFrame([(level, 1.0), ("x", 2.0)], "t string, v double")
+    sqlt, names = M.prep_sql_transformer(prep)
+    assert [r[names[0]] for r in sqlt.transform(df).collect()] == [1.0, 0.0]
+
+
+def test_no_local_scratch_folder_on_a_cluster():
+    from projectpulse.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+    with pytest.raises(ValueError, match="share"):
+        ensure_checkpoint_dir(Session())

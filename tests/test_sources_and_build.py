@@ -16,7 +16,7 @@ def test_csv_with_bom_quoted_commas_and_line_breaks(spark):
         fh.write('1,101,"Widen road, add lanes",100\n')
         fh.write('2,102,"Two lines\nsecond, with comma",NA\n')
         fh.write("3,103,,N/A\n")
-    df = R.read_csv(spark, d, R.string_schema(["OBJECTID", "UPC", "DESCRIPTION", "TOTAL"]))
+    df = R.read_csv(spark, d, R.string_schema(["OBJECTID", "UPC", "DESCRIPTION", "TOTAL"]), multi_line=True)
     rows = sorted(df.collect(), key=lambda r: r.UPC)
     assert [r.OBJECTID for r in rows] == ["1", "2", "3"]
     assert rows[0].DESCRIPTION == "Widen road, add lanes"
