@@ -15,14 +15,20 @@ import pandas as pd
 
 
 def pack_counts(values: np.ndarray) -> bytes:
-    """Non-negative numbers in as few bytes each as the greatest needs (the first byte says how many)."""
-    top = int(values.max()) if len(values) else 0
-    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    """Non-negative numbers in one byte each, and those from 255 up in four or eight more at the end."""
+    large = values[values >= 255]
+    wide = len(large) > 0 and int(large.max()) >= 1 << 32
+    head = np.array([len(values) * 2 + wide], "<u8")
+    return head.tobytes() + np.minimum(values, 255).astype(np.uint8).tobytes() + large.astype("<u8" if wide else "<u4").tobytes()
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64) if data else np.zeros(0, np.int64)
+    if not data:
+        return np.zeros(0, np.int64)
+    n, wide = divmod(int(np.frombuffer(data, "<u8", count=1)[0]), 2)
+    out = np.frombuffer(data, np.uint8, count=n, offset=8).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8" if wide else "<u4", offset=8 + n)
+    return out
 
 
 def pack_keys(keys: np.ndarray) -> bytes:

@@ -25,6 +25,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,10 +47,10 @@ BUCKETS = 40
 CELLS = 8
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token keys of all texts in order, keys of (token before, token), and tokens per text."""
     parts, counts = [], []
-    for _, hashes, n in Words().stream(t.encode("utf-8", "replace") for t in texts):
+    for _, hashes, n in Words().stream(texts):
         ends = np.cumsum(n)
         parts.append(np.insert(hashes, ends, END))
         counts.append(n + 1)
@@ -97,8 +98,14 @@ def counted(docs: DataFrame, train: Column, tune: Column, id_col: str = "doc_id"
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int"))
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def squeeze(batches):  # texts cross the network compressed
+        for pdf in batches:
+            pdf["text"] = [zlib.compress(t.encode("utf-8", "replace"), 1) for t in pdf["text"]]
+            yield pdf
+    rows = rows.mapInPandas(squeeze, f"doc_id {kind}, text binary, train boolean, tune boolean, shard int")
+
     def prepare(pdf):
-        keys, pairs, counts = tokens(pdf["text"].tolist())
+        keys, pairs, counts = tokens([zlib.decompress(t) for t in pdf["text"]])
         train, tune = (np.repeat(pdf[c].to_numpy(bool), counts) for c in ("train", "tune"))
         return counts, (_distinct(keys, train, tune), _distinct(pairs, train, tune))
 

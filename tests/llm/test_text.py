@@ -196,7 +196,7 @@ def test_exchange_packing_round_trip():
     for keys in ([], [0], [5, 6], [2**64 - 1], np.unique(rnd.integers(0, 2**64 - 1, 500, dtype=np.uint64))):
         keys = np.array(keys, np.uint64)
         assert np.array_equal(unpack_keys(pack_keys(keys)), keys)
-    for values in ([], [0], [255], [256, 1], [2**33, 7]):
+    for values in ([], [0], [255], [256, 1], [2**33, 7], [255, 254, 2**32, 0, 256]):
         assert unpack_counts(pack_counts(np.array(values, np.int64))).tolist() == list(values)
 
 
