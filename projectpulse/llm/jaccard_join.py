@@ -43,7 +43,7 @@ from projectpulse.llm.common import id_text, ship_code, table, written
 
 N = 3
 THRESHOLD = 90  # percent
-GROUP = 256
+GROUP = 512
 #: Sets that a leader meets in one task.
 CHUNK = 512
 #: 64-bit words of the parity bitmap of a set.
@@ -153,10 +153,12 @@ def signature_rows(docs: DataFrame) -> DataFrame:
 
 
 def shared_signatures(docs: DataFrame) -> DataFrame:
-    """(sig, name) of the signatures that at least two distinct sets have."""
+    """(sig, name, first, size) of the signatures that at least two distinct sets have: ``first`` is the least name
+    of the signature, ``size`` its rows (a set that several tasks have seen counts for each)."""
     every = W.partitionBy("sig")
-    rows = signature_rows(docs).withColumns({"a": F.min("name").over(every), "z": F.max("name").over(every)})
-    return rows.where("a <> z").select("sig", "name").distinct()
+    rows = signature_rows(docs).withColumns({"first": F.min("name").over(every), "z": F.max("name").over(every),
+                                             "size": F.count("*").over(every)})
+    return rows.where("first <> z").select("sig", "name", "first", "size").dropDuplicates(["sig", "name"])
 
 
 def sets_of(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
@@ -295,41 +297,54 @@ def links_between_groups(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return left.groupBy("pair").cogroup(right.groupBy("pair")).applyInPandas(compare, "a binary, b binary")
 
 
+def _moved(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """Edges (a, b) between the roots of their ends, without loops and repeats."""
+    at = lambda end: roots.select(F.col("name").alias(end), F.col("root").alias(f"root_{end}"))
+    one = edges.join(at("a"), "a").select(F.col("root_a").alias("a"), "b").distinct()
+    two = one.join(at("b"), "b").select("a", F.col("root_b").alias("b")).where("a <> b")
+    return two.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """(name, component) of every name in ``links`` (a, b): the least name that it reaches.  Each round
-    every name takes the least label among its neighbours' and their labels' labels."""
-    edges = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "join-links")
-    labels = edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "name")
-    labels = written(labels, "join-labels")
+    """(name, component) of every name in ``links`` (a, b); a component is named by one of its names.  In each
+    round every name hooks to its least neighbour, and the graph of the roots goes on: it shrinks quickly."""
+    edges = written(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-links")
+    labels = written(edges.select(F.col("a").alias("name")).union(edges.select("b")).distinct().withColumn("component", F.col("name")), "join-labels")
     for _ in range(max_rounds):
-        around = (edges.join(labels, edges["b"] == labels["name"]).groupBy(edges["a"].alias("name")).agg(F.min("label").alias("near")))
-        above = labels.select(F.col("name").alias("label"), F.col("label").alias("over"))
-        step = (labels.join(around, "name", "left").join(above, "label", "left")
-                .select("name", F.least("label", "near", "over").alias("next"), "label"))
-        step = written(step, "join-labels")
-        labels = step.select("name", F.col("next").alias("label"))
-        if step.where("next <> label").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+        if edges.isEmpty():
+            return labels
+        near = edges.select(F.col("a").alias("name"), F.col("b").alias("root")).union(edges.select("b", "a"))
+        hooks = near.groupBy("name").agg(F.min("root").alias("root")).select("name", F.least("name", "root").alias("root"))
+        hooks = written(hooks, "join-hooks")
+        above = hooks.select(F.col("name").alias("root"), F.col("root").alias("over"))
+        roots = written(hooks.join(above, "root").select("name", F.col("over").alias("root")), "join-roots")
+        moved = roots.select(F.col("name").alias("component"), "root")
+        labels = written(labels.join(moved, "component", "left").select("name", F.coalesce("root", "component").alias("component")), "join-labels")
+        edges = written(_moved(edges, roots), "join-links")
     raise RuntimeError("components did not settle")
 
 
+def clusters_of(shared: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, cluster): the sets that signatures connect.  Every name first hooks to the least name of its
+    signatures (``names``: name, root), so that only edges between these roots are left."""
+    roots = names.select("name", "root")
+    found = components(_moved(shared.select(F.col("name").alias("a"), F.col("first").alias("b")), roots))
+    return roots.join(found.select(F.col("name").alias("root"), "component"), "root", "left").select(
+        "name", F.coalesce("component", "root").alias("cluster"))
+
+
 def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     ship_code(spark)
     rows = id_text(docs, id_col, text_col)
     members = written(memberships(rows), "join-members")
     shared = written(shared_signatures(rows), "join-signatures")
-    names = written(shared.select("name").distinct(), "join-names")
-    sets = written(sets_of(rows, members, names), "join-sets")
-
-    per_sig = shared.groupBy("sig").agg(F.count("*").alias("size"))
-    weight = written(shared.join(per_sig, "sig").groupBy("name").agg(F.sum("size").alias("weight")), "join-weights")
-    first = shared.groupBy("sig").agg(F.min("name").alias("other"))
-    clusters = components(shared.join(first, "sig").where("name <> other").select(F.col("name").alias("a"), F.col("other").alias("b")))
-    clusters = clusters.withColumnRenamed("component", "cluster")
-    sizes = (clusters.join(weight, "name").groupBy("cluster")
+    names = written(shared.groupBy("name").agg(F.sum("size").alias("weight"), F.min("first").alias("root")), "join-names")
+    sets = written(sets_of(rows, members, names.select("name")), "join-sets")
+    clusters = written(clusters_of(shared, names), "join-clusters")
+    sizes = (clusters.join(names, "name").groupBy("cluster")
              .agg(F.count("*").alias("size"), F.max_by("name", F.struct("weight", "name")).alias("leader")))
-    clusters = written(clusters.join(sizes, "cluster"), "join-clusters")
+    clusters = written(clusters.join(sizes, "cluster"), "join-sizes")
     to_leaders = clusters.where((F.col("size") > GROUP) & (F.col("name") != F.col("leader"))).select("name", "leader")
     near = written(links_to_leaders(to_leaders, sets), "join-near")
 
