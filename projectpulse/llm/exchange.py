@@ -82,11 +82,16 @@ class Blocks:
         keys = [unpack_keys(k) for k in group["keys"]]
         sizes = np.array([len(k) for k in keys])
         unique, code = np.unique(np.concatenate(keys), return_inverse=True)
+        count, code = len(unique), code.astype(np.int32)
+        del keys, unique
         sums = []
         for c in ("first", "second"):
-            flat = [unpack_counts(b) for b in group[c]]
-            if any(map(len, flat)):
-                sums.append(np.bincount(code, np.concatenate(flat), minlength=len(unique)).astype(np.int64))
+            if (group[c].str.len() > 0).any():
+                total, at = np.zeros(count, np.int64), 0
+                for data, size in zip(group[c], sizes):  # the keys of a block are distinct
+                    total[code[at:at + size]] += unpack_counts(data)
+                    at += size
+                sums.append(total)
         ends = np.cumsum(sizes)
         where = list(zip(group["shard"], group["tag"], group["reducer"], ends - sizes, ends))
 

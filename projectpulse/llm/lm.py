@@ -40,7 +40,7 @@ END = np.uint64(0x5E0D5E0D5E0D5E0D)
 START = np.uint64(0x57A757A757A757A7)
 #: Text in a shard, and text whose keys a reducer gets.
 SHARD_BYTES = 6 << 20
-REDUCER_BYTES = 16 << 20
+REDUCER_BYTES = 6 << 20
 BUCKETS = 40
 #: Held-out events are gathered in cells of equal context bucket and nearly equal estimates
 #: (this many cells to a factor of two); the fit sees the mean of each cell.
