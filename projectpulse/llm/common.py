@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
@@ -70,6 +73,17 @@ def session_conf(spark: SparkSession, **settings: str):
                 spark.conf.set(k, v)
 
 
+def slices(pdf: pd.DataFrame, *columns: str, size: int = 2 << 20) -> Iterator[pd.DataFrame]:
+    """Consecutive rows of a batch, together of about ``size`` characters in the text columns named, so that
+    what is made of them stays small.  A longer text is a slice of its own."""
+    lengths = sum(pdf[c].str.len().fillna(0) for c in columns)
+    number = (lengths.cumsum() // size).to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1), len(pdf)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b > a:
+            yield pdf.iloc[a:b].reset_index(drop=True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from projectpulse.llm.bytesops import Words, mix
-from projectpulse.llm.common import id_text, table, text_or_empty, ship_code
+from projectpulse.llm.common import id_text, ship_code, slices, table, text_or_empty
 
 # Common words of English, German, French and Spanish.
 COMMON = (
@@ -110,7 +110,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         spotter = Spotter()
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in slices(batch, "text")):
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "signatures": [
                 s.astype(np.int64) for s in spotter.signatures(pdf["text"].fillna("").tolist())]})
     kind = docs.schema[id_col].dataType.simpleString()
@@ -181,7 +181,7 @@ def compare_edits(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         spotter = Spotter()
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in slices(batch, "text", "next_text")):
             texts, following = pdf["text"].tolist(), pdf["next_text"].tolist()
             edited = [t[:len(t) - len(t) // 3] + f[:len(t) // 3] for t, f in zip(texts, following)]
             n = len(texts)
