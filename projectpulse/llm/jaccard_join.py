@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from projectpulse.llm.bytesops import Words, mix
-from projectpulse.llm.common import id_text, ship_code, table, written
+from projectpulse.llm.common import id_text, ship_code, slices, table, written
 
 N = 3
 THRESHOLD = 90  # percent
@@ -129,7 +129,7 @@ def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
 def memberships(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and name of the set of every row of (doc_id, text)."""
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in slices(batch, "text")):
             sets = shingle_sets(pdf["text"].fillna("").tolist())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": [len(s) for s in sets], "name": [set_name(s) for s in sets]})
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -140,7 +140,7 @@ def signature_rows(docs: DataFrame) -> DataFrame:
     """(sig, name) of every distinct set of a task, not of every copy."""
     def run(batches):
         classes, seen = Classes(), set()
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in slices(batch, "text")):
             names, sigs = [], []
             for s in shingle_sets(pdf["text"].fillna("").tolist()):
                 name = set_name(s)
@@ -169,7 +169,7 @@ def sets_of(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
     chosen = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
 
     def run(batches):
-        for pdf in batches:
+        for pdf in (part for batch in batches for part in slices(batch, "text")):
             sets = shingle_sets(pdf["text"].fillna("").tolist())
             yield pd.DataFrame({"name": [set_name(s) for s in sets], "n": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
     made = chosen.select("text").mapInPandas(run, "name binary, n long, shingles binary")
