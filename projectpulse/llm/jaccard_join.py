@@ -161,19 +161,23 @@ def shared_signatures(docs: DataFrame) -> DataFrame:
     return rows.where("first <> z").select("sig", "name", "first", "size").dropDuplicates(["sig", "name"])
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """Narrow rows as a broadcast if there are at most ``BROADCAST_ROWS``; beyond, they meet the sets by a shuffle join."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def sets_of(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
-    """(name, n, shingles) of the named sets, read from one document of each."""
-    ids = members.join(names, "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    ids = ids.withColumnRenamed("doc_id", "__id")
-    chosen = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    """(name, shingles) of the named sets, read from the document with the least id of each.  Where that id
+    repeats there are more rows, which do no harm."""
+    ids = members.join(names, "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    ids = written(ids.select(F.col("doc_id").alias("__id")).distinct(), "join-ids")
+    chosen = docs.join(small(ids), docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
 
     def run(batches):
         for pdf in (part for batch in batches for part in slices(batch, "text")):
             sets = shingle_sets(pdf["text"].fillna("").tolist())
-            yield pd.DataFrame({"name": [set_name(s) for s in sets], "n": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
-    made = chosen.select("text").mapInPandas(run, "name binary, n long, shingles binary")
-    return made.join(names, "name", "left_semi").dropDuplicates(["name"])
+            yield pd.DataFrame({"name": [set_name(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+    return chosen.select("text").mapInPandas(run, "name binary, shingles binary")
 
 
 # Comparing -------------------------------------------------------------------------------------
@@ -203,9 +207,11 @@ def links_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     dealt = (pairs.join(sizes, "leader")
              .withColumn("chunk", F.pmod(F.xxhash64("name"), F.col("chunks").cast("long")).cast("int")))
-    queries = dealt.join(sets, "name").select("leader", "chunk", "name", "shingles")
-    leaders = (sizes.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-               .join(sets.withColumnRenamed("name", "leader"), "leader").select(*_fresh("leader", "chunk", "shingles")))
+    dealt = written(dealt.select("leader", "chunk", "name"), "join-dealt")
+    queries = sets.join(small(dealt), "name").select("leader", "chunk", "name", "shingles")
+    slots = dealt.select("leader", "chunk").distinct()
+    leaders = (sets.withColumnRenamed("name", "leader").join(small(slots), "leader")
+               .select(*_fresh("leader", "chunk", "shingles")).dropDuplicates(["leader", "chunk"]))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -278,23 +284,26 @@ def links_between_groups(groups: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = (slots.join(other, "cluster").where("group <= next")
              .where(~F.coalesce(F.col("component") == F.col("its"), F.lit(False)))
              .select("cluster", "group", "next", F.xxhash64("cluster", "group", "next").alias("pair")))
-    rows = groups.join(sets, "name").select("cluster", "group", "name", "shingles")
-    left = rows.join(pairs, ["cluster", "group"]).select("pair", "group", "next", "name", "shingles")
+    # The narrow rows are joined first; then each set goes to its pairs of groups in one shuffle.
+    one = groups.join(pairs, ["cluster", "group"]).select("name", "pair", "group", "next", F.lit(True).alias("asks"))
     # A group that meets itself is sent once.
-    right = (rows.withColumnRenamed("group", "next").join(pairs.where("group < next"), ["cluster", "next"])
-             .select(*_fresh("pair", "group", "next", "name", "shingles")))
+    two = (groups.withColumnRenamed("group", "next").join(pairs.where("group < next"), ["cluster", "next"])
+           .select("name", "pair", "group", "next", F.lit(False).alias("asks")))
+    met = written(one.unionByName(two), "join-met")
+    rows = sets.join(small(met), "name").select("pair", "group", "next", "asks", "name", "shingles")
 
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (first, second), own in a.groupby(["group", "next"]):
-            met = own if first == second else b[(b["group"] == first) & (b["next"] == second)]
-            if len(met):
+        for (first, second), both in pdf.groupby(["group", "next"]):
+            own = both[both["asks"]]
+            met = own if first == second else both[~both["asks"]]
+            if len(own) and len(met):
                 held, others = ([_array(s) for s in x["shingles"]] for x in (own, met))
                 names = own["name"].tolist() + ([] if first == second else met["name"].tolist())
                 shift = 0 if first == second else len(own)
                 out += forest(names, [(i, j + shift) for i, j in group_links(held, others) if i != j + shift])
         return pd.DataFrame(out, columns=["a", "b"])
-    return left.groupBy("pair").cogroup(right.groupBy("pair")).applyInPandas(compare, "a binary, b binary")
+    return rows.groupBy("pair").applyInPandas(compare, "a binary, b binary")
 
 
 def _moved(edges: DataFrame, roots: DataFrame) -> DataFrame:
