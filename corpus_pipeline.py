@@ -14,6 +14,8 @@ from projectpulse.llm.common import table, written
 #: A text is rejected if its cosine with every language is within one standard deviation of the
 #: cosine of unrelated vectors (or if it has no letters).
 MIN_SCORE = langid.DIMENSIONS ** -0.5
+#: Near copies share at least so many percent of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +35,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link by their shingles the one with the least id stays."""
-    return jaccard_join.keep_one(spark, docs)
+    """Of documents that link by their shingles of five words the one with the least id stays."""
+    return jaccard_join.keep_one(spark, docs, n=NEAR_WORDS, threshold=NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

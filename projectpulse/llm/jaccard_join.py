@@ -1,14 +1,17 @@
 """N-gram Jaccard join with a token-group matrix (operator 8).
 
-Texts are sets of distinct 3-word shingles (64-bit hashes; a set is named by a 128-bit hash).  Two
-texts link when ``100 * intersection >= THRESHOLD * union``.
+Texts are sets of distinct n-word shingles (64-bit hashes; a set is named by a 128-bit hash).  Two
+texts link when ``100 * intersection >= threshold * union``.  ``N`` and ``THRESHOLD`` are those of the
+query op8; other callers give their own.
 
 1. Documents with equal sets are one class; only distinct sets are compared.
 2. Signatures: two linked sets of n and m shingles differ in at most (n + m) * (1 - t) / (1 + t)
    shingles.  Shingles are dealt by hash into one part more than that, so linked sets have an equal
    part.  Classes of set sizes fix the number of parts; a set near the lower end of its class also
-   gives the signatures of the class below.  Sets without a signature in common with another set
-   link to nothing.
+   gives the signatures of the class below.  Below 90 percent there are spare parts, so that linked sets
+   have several equal parts.  With e empty parts of p, and at most k that can differ, at least p - k - e
+   parts with shingles are equal; where that is above 0, empty parts give no signature.  Sets with fewer
+   signatures in common with others than they need link to nothing.
 3. Sets that signatures connect form a cluster of similar sets.  In a cluster of more than ``GROUP``
    sets all are compared with its leader, the set that shares most signatures; those that link to
    it are one component, within which nothing more needs to be compared.
@@ -23,7 +26,7 @@ So no link between components is lost; no task holds a whole signature, cluster
 what is shuffled is a set per chunk or pair of groups.
 
 Edge cases: a null text, one without words and an empty one have the empty set and are alone.  A
-text with fewer than three words has its whole word sequence as its only shingle.  Null ids: the
+text with fewer than n words has its whole word sequence as its only shingle.  Null ids: the
 class of such a row has the least non-null id of its component, or null.  Repeated rows fall into
 one class.  A very long text is one set.  An empty table gives an empty result; extra columns are
 ignored.
@@ -50,6 +53,8 @@ CHUNK = 512
 WORDS = 32
 #: A class of set sizes spans this many steps of 1 / threshold.
 STEPS = 3
+#: Below 90 percent, parts are small and often empty or common; so many more, as a share, are made.
+SPARE = 0.4
 #: Ids of compared documents go to the scan as a broadcast up to so many rows; beyond, by a shuffle join.
 BROADCAST_ROWS = 500_000
 
@@ -105,13 +110,28 @@ class Classes:
         class and one that is at most 1 / t times as large."""
         n = self.bounds[c + 1] - 1
         m = n * 100 // self.threshold
+        least = self.apart(n, m) + 1
+        return least if self.threshold >= 90 else least + math.ceil(SPARE * least)
+
+    def apart(self, n: int, m: int) -> int:
+        """The most shingles in which linked sets of n and m can differ."""
         # n + m - 2 * both, where 100 * both >= t * (n + m - both)
-        return (n + m) * (100 - self.threshold) // (100 + self.threshold) + 1
+        return (n + m) * (100 - self.threshold) // (100 + self.threshold)
+
+    def equal(self, c: int, n: int) -> int:
+        """The least number of equal parts, empty ones too, of a set of n shingles and one it links to in class c."""
+        top = self.bounds[c + 1] - 1
+        return self.parts(c) - self.apart(n, top if n > top else n * 100 // self.threshold)
 
 
 def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
-    """A hash for each part of the set in each of its classes; an empty part counts as well."""
-    out = []
+    """A hash for each part of the set in each of its classes; empty parts only where no other part need be equal."""
+    return signatures_needed(shingles, classes)[0]
+
+
+def signatures_needed(shingles: np.ndarray, classes: Classes) -> tuple[np.ndarray, int]:
+    """The signatures of a set, and how many of them it shares at least with a set it links to."""
+    out, need = [], []
     for c in classes.of(len(shingles)):
         parts = classes.parts(c)
         part = (mix(shingles + np.uint64(77)) >> np.uint64(20)) % np.uint64(parts)
@@ -120,45 +140,59 @@ def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
         at = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
         inside = sums[at[1:]] - sums[at[:-1]]
         place = np.arange(parts, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(c + 1)
-        out.append(mix(mix(inside) + mix(place)))
-    return np.concatenate(out).view(np.int64)
+        sigs = mix(mix(inside) + mix(place))
+        full, equal = at[1:] > at[:-1], classes.equal(c, len(shingles))
+        empty = parts - int(full.sum())
+        out.append(sigs[full] if equal > empty else sigs)
+        need.append(equal - empty if equal > empty else equal)
+    return np.concatenate(out).view(np.int64), min(need)
 
 
 # Sets of documents -----------------------------------------------------------------------------
 
-def memberships(docs: DataFrame) -> DataFrame:
+def memberships(docs: DataFrame, n: int = N) -> DataFrame:
     """doc_id, n_shingles and name of the set of every row of (doc_id, text)."""
     def run(batches):
         for pdf in (part for batch in batches for part in slices(batch, "text")):
-            sets = shingle_sets(pdf["text"].fillna("").tolist())
+            sets = shingle_sets(pdf["text"].fillna("").tolist(), n)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": [len(s) for s in sets], "name": [set_name(s) for s in sets]})
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInPandas(run, f"doc_id {kind}, n_shingles long, name binary")
 
 
-def signature_rows(docs: DataFrame) -> DataFrame:
-    """(sig, name) of every distinct set of a task, not of every copy."""
+def signature_rows(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """(sig, name, need) of every distinct set of a task, not of every copy."""
     def run(batches):
-        classes, seen = Classes(), set()
+        classes, seen = Classes(threshold), set()
         for pdf in (part for batch in batches for part in slices(batch, "text")):
-            names, sigs = [], []
-            for s in shingle_sets(pdf["text"].fillna("").tolist()):
+            names, sigs, needs = [], [], []
+            for s in shingle_sets(pdf["text"].fillna("").tolist(), n):
                 name = set_name(s)
                 if len(s) and name not in seen:
                     seen.add(name)
-                    sigs.append(signatures(s, classes))
-                    names += [name] * len(sigs[-1])
-            yield pd.DataFrame({"sig": np.concatenate([np.zeros(0, np.int64), *sigs]), "name": names})
-    return docs.select("text").mapInPandas(run, "sig long, name binary")
-
-
-def shared_signatures(docs: DataFrame) -> DataFrame:
-    """(sig, name, first, size) of the signatures that at least two distinct sets have: ``first`` is the least name
-    of the signature, ``size`` its rows (a set that several tasks have seen counts for each)."""
+                    found, need = signatures_needed(s, classes)
+                    sigs.append(found)
+                    names += [name] * len(found)
+                    needs += [need] * len(found)
+            yield pd.DataFrame({"sig": np.concatenate([np.zeros(0, np.int64), *sigs]), "name": names, "need": np.array(needs, np.int32)})
+    return docs.select("text").mapInPandas(run, "sig long, name binary, need int")
+
+
+def shared_signatures(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """(sig, name, first, size) of the signatures that at least two distinct sets have, of sets that have as many of
+    them as they need: ``first`` is the least name of the signature, ``size`` the number of its sets."""
+    rows = _met(signature_rows(docs, n, threshold)).select("sig", "name", "need").dropDuplicates(["sig", "name"])
+    rows = written(rows, "join-shared")
+    enough = rows.groupBy("name").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need")
+    enough = written(enough.select("name"), "join-enough")
+    return _met(rows.join(small(enough), "name", "left_semi")).select("sig", "name", "first", "size")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """The rows (sig, name, ...) of signatures with two names at least, with the least name and the rows of each."""
     every = W.partitionBy("sig")
-    rows = signature_rows(docs).withColumns({"first": F.min("name").over(every), "z": F.max("name").over(every),
-                                             "size": F.count("*").over(every)})
-    return rows.where("first <> z").select("sig", "name", "first", "size").dropDuplicates(["sig", "name"])
+    return rows.withColumns({"first": F.min("name").over(every), "z": F.max("name").over(every),
+                             "size": F.count("*").over(every)}).where("first <> z")
 
 
 def small(rows: DataFrame) -> DataFrame:
@@ -166,7 +200,7 @@ def small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
-def sets_of(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, members: DataFrame, names: DataFrame, n: int = N) -> DataFrame:
     """(name, shingles) of the named sets, read from the document with the least id of each.  Where that id
     repeats there are more rows, which do no harm."""
     ids = members.join(names, "name", "left_semi").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
@@ -175,7 +209,7 @@ def sets_of(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in (part for batch in batches for part in slices(batch, "text")):
-            sets = shingle_sets(pdf["text"].fillna("").tolist())
+            sets = shingle_sets(pdf["text"].fillna("").tolist(), n)
             yield pd.DataFrame({"name": [set_name(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
     return chosen.select("text").mapInPandas(run, "name binary, shingles binary")
 
@@ -201,7 +235,7 @@ def overlaps(query: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     return sums[ends] - sums[ends - np.array([len(s) for s in sets])]
 
 
-def links_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def links_to_leaders(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Of the pairs (name, leader) those that link, as (a, b).  A leader's queries are dealt into chunks by their
     number, and the leader's set goes to each chunk."""
     sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
@@ -219,7 +253,7 @@ def links_to_leaders(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             query = _array(right["shingles"].iloc[0])
             held = [_array(s) for s in left["shingles"]]
             sizes = np.array([len(s) for s in held])
-            ok = linked(overlaps(query, held), sizes, len(query))
+            ok = linked(overlaps(query, held), sizes, len(query), threshold)
             out = [(n, m) for n, m, yes in zip(left["name"], left["leader"], ok) if yes]
         return pd.DataFrame(out, columns=["a", "b"])
     return queries.groupBy("leader", "chunk").cogroup(leaders.groupBy("leader", "chunk")).applyInPandas(compare, "a binary, b binary")
@@ -276,7 +310,7 @@ def group_links(left: list[np.ndarray], right: list[np.ndarray], threshold: int
     return out
 
 
-def links_between_groups(groups: DataFrame, sets: DataFrame) -> DataFrame:
+def links_between_groups(groups: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links of the sets in ``groups`` (cluster, component, group, name), where ``component`` is null for groups of
     several components.  Every two groups of a cluster meet, except two of one component."""
     slots = groups.select("cluster", "component", "group").distinct()
@@ -301,7 +335,7 @@ def links_between_groups(groups: DataFrame, sets: DataFrame) -> DataFrame:
                 held, others = ([_array(s) for s in x["shingles"]] for x in (own, met))
                 names = own["name"].tolist() + ([] if first == second else met["name"].tolist())
                 shift = 0 if first == second else len(own)
-                out += forest(names, [(i, j + shift) for i, j in group_links(held, others) if i != j + shift])
+                out += forest(names, [(i, j + shift) for i, j in group_links(held, others, threshold) if i != j + shift])
         return pd.DataFrame(out, columns=["a", "b"])
     return rows.groupBy("pair").applyInPandas(compare, "a binary, b binary")
 
@@ -342,20 +376,22 @@ def clusters_of(shared: DataFrame, names: DataFrame) -> DataFrame:
         "name", F.coalesce("component", "root").alias("cluster"))
 
 
-def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+         n: int = N, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, by shingles of ``n`` words and a Jaccard likeness of
+    at least ``threshold`` percent."""
     ship_code(spark)
     rows = id_text(docs, id_col, text_col)
-    members = written(memberships(rows), "join-members")
-    shared = written(shared_signatures(rows), "join-signatures")
+    members = written(memberships(rows, n), "join-members")
+    shared = written(shared_signatures(rows, n, threshold), "join-signatures")
     names = written(shared.groupBy("name").agg(F.sum("size").alias("weight"), F.min("first").alias("root")), "join-names")
-    sets = written(sets_of(rows, members, names.select("name")), "join-sets")
+    sets = written(sets_of(rows, members, names.select("name"), n), "join-sets")
     clusters = written(clusters_of(shared, names), "join-clusters")
     sizes = (clusters.join(names, "name").groupBy("cluster")
              .agg(F.count("*").alias("size"), F.max_by("name", F.struct("weight", "name")).alias("leader")))
     clusters = written(clusters.join(sizes, "cluster"), "join-sizes")
     to_leaders = clusters.where((F.col("size") > GROUP) & (F.col("name") != F.col("leader"))).select("name", "leader")
-    near = written(links_to_leaders(to_leaders, sets), "join-near")
+    near = written(links_to_leaders(to_leaders, sets, threshold), "join-near")
 
     # Large components have groups of their own; all others of a cluster share groups.
     label = (clusters.join(near.select(F.col("a").alias("name"), F.col("b").alias("component")), "name", "left")
@@ -367,7 +403,7 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     groups = label.join(rest, "cluster").select(
         "cluster", "component", "name",
         F.xxhash64("component", F.pmod(F.xxhash64("name"), cut.cast("long"))).alias("group"))
-    links = near.unionByName(written(links_between_groups(written(groups, "join-groups"), sets), "join-found"))
+    links = near.unionByName(written(links_between_groups(written(groups, "join-groups"), sets, threshold), "join-found"))
     final = components(links)
 
     named = members.join(final, "name", "left").withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "name")))
@@ -377,10 +413,11 @@ def join(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
         "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             n: int = N, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group stays: the one with the least id.  Rows that repeat an id are one
     document here: they stay if any of them is the least of its group."""
-    groups = join(spark, docs, id_col, text_col)
+    groups = join(spark, docs, id_col, text_col, n, threshold)
     gone = (groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("least"))
             .where("not least").select(F.col("doc_id").alias("__gone")))
     few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -388,7 +425,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join(spark, table(spark, sf_dir, "documents"))
+    return join(spark, table(spark, sf_dir, "documents"), n=N, threshold=THRESHOLD)
 
 
 OP8_SQL = None

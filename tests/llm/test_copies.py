@@ -107,6 +107,57 @@ def test_signatures_meet_for_all_linked_sets():
                 break
 
 
+def plain_components(texts, n, threshold):
+    """As brute.components, for any shingle length and threshold."""
+    sets = []
+    for t in texts:
+        w = brute.words(t)
+        sets.append({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set())
+    top = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= threshold * (len(a) + len(sets[j]) - both):
+                x, y = top[i], top[j]
+                top = [min(x, y) if k in (x, y) else k for k in top]
+    return top
+
+
+def test_jaccard_join_other_shingles_and_threshold(spark):
+    """Five words and 80 percent: chains of single changed words, and pairs between 80 and 90 percent."""
+    rnd = random.Random(17)
+    texts = [t for _, t in brute.edge_docs()[:-2]]
+    for size in (4, 5, 9, 30, 60, 150, 400):
+        for _ in range(6):
+            base = [f"{rnd.choice('abcdefgh')}{rnd.randint(0, 400)}" for _ in range(size)]
+            texts.append(" ".join(base))
+            for lost in (size // 100 + 1, size // 50 + 1, size // 40 + 1):
+                copy = list(base)
+                for at in rnd.sample(range(size), lost):
+                    copy[at] = f"z{rnd.randint(0, 999)}"
+                texts.append(" ".join(copy))
+            texts.append(" ".join(base[:size - size // 8]))
+    rows = list(enumerate(texts))
+    found = {r.doc_id: r.component_id for r in jaccard_join.join(spark, brute.frame(spark, rows, ()), n=5, threshold=80).collect()}
+    expected = plain_components(texts, 5, 80)
+    assert [found[i] for i, t in rows if brute.words(t)] == [expected[i] for i, t in rows if brute.words(t)]
+    assert expected != plain_components(texts, 3, 90)
+
+
+@pytest.mark.parametrize("threshold", [80, 85, 90])
+def test_linked_sets_share_the_signatures_they_need(threshold):
+    rnd = np.random.default_rng(6)
+    classes = jaccard_join.Classes(threshold)
+    for n in [*range(1, 40), 77, 150, 401]:
+        for lost in range(n):
+            for added in {0, 1, lost, n // 5}:
+                if not jaccard_join.linked(n - lost, n, n - lost + added, threshold):
+                    continue
+                pool = rnd.integers(0, 2**63, n + added, dtype=np.uint64)
+                (a, x), (b, y) = (jaccard_join.signatures_needed(np.unique(s), classes) for s in (pool[:n], pool[lost:]))
+                assert np.intersect1d(a, b).size >= max(x, y, 1), (n, lost, added)
+
+
 def test_suffix_dedup_edges(spark, docs, rows):
     out = suffix_dedup.digests(docs)
     expected = brute.repeated([t for _, t in rows])

@@ -75,3 +75,11 @@ def test_run_and_empty_table(spark, sf_dir, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/full").count() > 20
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_copies_by_five_words_and_80_percent(spark):
+    """Two texts with a 5-word likeness of 0.83, which three words and 0.9 do not link."""
+    words = [f"w{k}" for k in range(114)]
+    docs = brute.frame(spark, [(1, " ".join(words)), (2, " ".join(words[:50] + ["x"] + words[51:90] + ["y"] + words[91:]))], ())
+    stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
+    assert [r.doc_id for r in stage(spark, written(docs, "n0"), "").collect()] == [1]
