@@ -7,7 +7,8 @@ are padded to columns.
 
 Edge cases: a null or empty page gives an empty text.  Unclosed comments, tags and raw elements go
 on to the end of the page; end tags without a start are ignored; elements that are still open are
-closed at the end.  Very long and very deep pages are handled without recursion.  Repeated rows and
+closed at the end.  Rows and cells that are not directly in a table, as in a fragment or after a surplus
+end tag, are lines and words where they stand.  Very long and very deep pages are handled without recursion.  Repeated rows and
 null ids give a row each; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -146,7 +147,7 @@ def tree(page: str) -> Node:
         elif count.get(what):
             k = len(stack) - 1
             while stack[k].tag != what:
-                if stack[k].tag in ("td", "th", "table") and what not in ("table", "tr", "td", "th", "thead", "tbody", "tfoot", "body", "html"):
+                if count.get("table") and stack[k].tag in ("td", "th", "table") and what not in ("table", "tr", "td", "th", "thead", "tbody", "tfoot", "body", "html"):
                     k = 0  # an end tag inside a cell does not close what is outside
                     break
                 k -= 1
@@ -164,7 +165,8 @@ def hidden(node: Node) -> bool:
 class Frame:
     """Lines under construction: ``gap`` is the number of line breaks owed before the next text."""
 
-    def __init__(self):
+    def __init__(self, owner: Node | None = None):
+        self.owner = owner
         self.parts: list[str] = []
         self.gap, self.space = 0, False
         self.rows: list[list[str]] = []
@@ -248,10 +250,15 @@ def render(root: Node) -> str:
             if tag == "hr":
                 frames[-1].block("---", 2)
                 continue
-            if tag in ("td", "th", "li", "blockquote", "table", "dd", "pre", "caption"):
-                frames.append(Frame())
-            elif tag == "tr" and len(frames) > 1:
+            in_table = frames[-1].owner is not None and frames[-1].owner.tag == "table"
+            if tag in ("li", "blockquote", "table", "dd", "pre", "caption") or tag in ("td", "th") and in_table:
+                frames.append(Frame(node))
+            elif tag in ("td", "th"):
+                frames[-1].text(" ")
+            elif tag == "tr" and in_table:
                 frames[-1].rows.append([])
+            elif tag == "tr":
+                frames[-1].owe(1)
             elif tag in BLOCK:
                 frames[-1].owe(2 if tag in SPACED and not (lists and tag in ("ul", "ol", "dl")) else 1)
             if tag in ("ul", "ol", "menu"):
@@ -265,7 +272,11 @@ def render(root: Node) -> str:
         pre -= tag in ("pre", "textarea")
         if tag in ("ul", "ol", "menu"):
             lists.pop()
-        if tag in ("td", "th"):
+        if tag in ("td", "th") and frames[-1].owner is not node:
+            frames[-1].text(" ")
+        elif tag == "tr" and not (frames[-1].owner is not None and frames[-1].owner.tag == "table"):
+            frames[-1].owe(1)
+        elif tag in ("td", "th"):
             cell = frames.pop().result()
             rows = frames[-1].rows
             if not rows:

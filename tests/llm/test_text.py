@@ -219,6 +219,22 @@ def test_html_fixtures():
         assert html_text.page_text(page) == text, page
 
 
+def test_html_cells_outside_a_table():
+    pages = {
+        "<tr><td>Hello</td></tr>": "Hello",
+        "<tr><th>a<td>b<tr><td>c": "a b\nc",
+        "<table><tr><td>a</table></table><tr><td>b</td><td>c</td></tr>d": "a\n\nb c\nd",
+        "<table><tr><td>x<table><tr><td>in</table></table></table>y<tr><td>after": "x\n\nin\n\ny\nafter",
+        "<ul><li>one <td>two</td> three</ul>": "- one two three",
+        "<blockquote><td>q</blockquote><dl><dd><td>d</dl>": "> q\n\n    d",
+        "<table><caption>C<td>x</table>": "C x",
+        "<div><tr><td><p>p<p>r</td></tr></div>s": "p\n\nr\n\ns",
+        "<table><li>i<td>c</table>": "- i c",
+    }
+    for page, text in pages.items():
+        assert html_text.page_text(page) == text, page
+
+
 def test_html_edges(spark, sf_dir):
     pages = [*PAGES, None, "<div>" * 30000 + "deep", "<p>" * 5000 + "long " * 50000, "<table><td>" * 200, "<b " + "x" * 50000]
     df = spark.createDataFrame([(i % 7 or None, p, "x") for i, p in enumerate(pages)], "page_id long, html string, text string")
