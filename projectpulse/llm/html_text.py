@@ -1,7 +1,7 @@
 """Text of web pages as laid out (operator 10).
 
 A page is split into tags and text, a tree is built (with implied end tags and void elements), and
-the tree is rendered: invisible elements give nothing, blocks are parted by blank lines or line
+the tree is rendered: elements that are not laid out give nothing (what only screen readers skip stays), blocks are parted by blank lines or line
 breaks, lists are marked and indented, preformatted text stays as it is, and the cells of a table
 are padded to columns.
 
@@ -26,8 +26,11 @@ from projectpulse.llm.common import ship_code, table
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head script style template title iframe noembed noframes noscript object svg math canvas audio video "
-                   "datalist meta link base param source track area map".split())
+HIDDEN = frozenset("head script style template title iframe noembed noframes noscript object canvas audio video "
+                   "datalist meta link base param source track area".split())
+#: Elements without a layout inside these only.
+FOREIGN = {"svg": frozenset("desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter".split()),
+           "math": frozenset("annotation annotation-xml".split())}
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr".split())
 BLOCK = SPACED | frozenset("html body address article aside center details dialog dd div dt figcaption footer form header "
                            "hgroup li legend main menu nav option optgroup search section select summary caption".split())
@@ -49,7 +52,8 @@ SCOPE = frozenset("table td th caption button html body".split())
 
 _TAG = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*)|[!?/])")
 _ATTR = re.compile(r"""[\s/]*(?:(>)|([^\s/>=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*|)))?)""")
-_HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_DECLARATION = re.compile(r"""(?:"[^"]*"|'[^']*'|\([^)]*\)|[^;])+""")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _BLANKS = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -61,8 +65,9 @@ class Node:
 
 
 def tokens(page: str):
-    """("text", s), ("start", tag, attrs) and ("end", tag) in order."""
-    at, n = 0, len(page)
+    """("text", s), ("start", tag, attrs, closed in itself) and ("end", tag) in order.  Only elements within svg and
+    math, and these, can be closed in themselves."""
+    at, n, foreign = 0, len(page), 0
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
@@ -85,13 +90,17 @@ def tokens(page: str):
                 continue
             at = a.end()
             if a[1]:
+                closed = a[0].endswith("/>")
                 break
             attrs.setdefault(a[2].lower(), html.unescape(next((v for v in a.groups()[2:] if v is not None), "")))
         if m[1]:
+            foreign -= foreign > 0 and tag in FOREIGN
             yield "end", tag
             continue
-        yield "start", tag, attrs
-        if tag in RAW:
+        closed = closed and (foreign > 0 or tag in FOREIGN)
+        foreign += tag in FOREIGN and not closed
+        yield "start", tag, attrs, closed
+        if tag in RAW and not closed:
             k = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
             body = page[at:k.start() if k else n]
             if body:
@@ -137,7 +146,7 @@ def tree(page: str) -> Node:
                     pop()
             node = Node(what, token[2])
             stack[-1].children.append(node)
-            if what not in VOID:
+            if what not in VOID and not token[3]:
                 stack.append(node)
                 count[what] = count.get(what, 0) + 1
         elif what == "br":
@@ -156,10 +165,26 @@ def tree(page: str) -> Node:
     return root
 
 
-def hidden(node: Node) -> bool:
-    a = node.attrs
-    return (node.tag in HIDDEN or "hidden" in a or bool(_HIDING.search(a.get("style", "")))
-            or a.get("aria-hidden", "").lower() == "true" or node.tag == "dialog" and "open" not in a)
+def styles(style: str) -> dict[str, str]:
+    """The declared values of a style attribute by property name: the last one, or the last important one."""
+    out, important = {}, set()
+    for declaration in _DECLARATION.findall(_COMMENT.sub(" ", style.lower())):
+        name, _, value = (x.strip() for x in declaration.partition(":"))
+        value, mark, _ = value.partition("!")
+        if mark or name not in important:
+            out[name] = value.strip()
+        if mark:
+            important.add(name)
+    return out
+
+
+def hidden(node: Node, within: dict[str, int], style: dict[str, str]) -> bool:
+    """Whether an element has no layout.  ``within`` counts the open svg and math elements."""
+    if node.tag in HIDDEN or any(within[t] and node.tag in FOREIGN[t] for t in FOREIGN):
+        return True
+    if style.get("display"):
+        return style["display"] == "none"
+    return "hidden" in node.attrs or node.tag == "dialog" and "open" not in node.attrs
 
 
 class Frame:
@@ -228,11 +253,15 @@ def render(root: Node) -> str:
     frames = [Frame()]
     lists: list[list] = []  # open lists: [ordered, next number]
     pre = 0
+    within = dict.fromkeys(FOREIGN, 0)
+    unseen = [False]  # visibility, which elements inside can set anew
     todo: list = [("open", root)]
     while todo:
         step, node = todo.pop()
         if step == "open":
             if isinstance(node, str):
+                if unseen[-1]:
+                    continue
                 if pre:
                     f = frames[-1]
                     f.parts.append(("\n" * f.gap if f.parts else "") + node)
@@ -241,19 +270,24 @@ def render(root: Node) -> str:
                     frames[-1].text(node)
                 continue
             tag = node.tag
-            if hidden(node):
+            style = styles(node.attrs["style"]) if "style" in node.attrs else {}
+            if hidden(node, within, style):
                 continue
+            away = {"visible": False, "initial": False, "hidden": True, "collapse": True}.get(style.get("visibility"), unseen[-1])
             if tag == "br":
                 f = frames[-1]
                 f.gap, f.space = f.gap + 1 if f.parts else 0, False
                 continue
             if tag == "hr":
-                frames[-1].block("---", 2)
+                frames[-1].block("" if away else "---", 2)
                 continue
+            unseen.append(away)
+            if tag in FOREIGN:
+                within[tag] += 1
             in_table = frames[-1].owner is not None and frames[-1].owner.tag == "table"
             if tag in ("li", "blockquote", "table", "dd", "pre", "caption") or tag in ("td", "th") and in_table:
                 frames.append(Frame(node))
-            elif tag in ("td", "th"):
+            elif tag in ("td", "th") or tag == "text" and within["svg"]:
                 frames[-1].text(" ")
             elif tag == "tr" and in_table:
                 frames[-1].rows.append([])
@@ -269,10 +303,13 @@ def render(root: Node) -> str:
             todo.extend(("open", c) for c in reversed(node.children))
             continue
         tag = node.tag
+        unseen.pop()
+        if tag in FOREIGN:
+            within[tag] -= 1
         pre -= tag in ("pre", "textarea")
         if tag in ("ul", "ol", "menu"):
             lists.pop()
-        if tag in ("td", "th") and frames[-1].owner is not node:
+        if tag in ("td", "th") and frames[-1].owner is not node or tag == "text" and within["svg"]:
             frames[-1].text(" ")
         elif tag == "tr" and not (frames[-1].owner is not None and frames[-1].owner.tag == "table"):
             frames[-1].owe(1)

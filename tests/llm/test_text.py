@@ -235,6 +235,25 @@ def test_html_cells_outside_a_table():
         assert html_text.page_text(page) == text, page
 
 
+def test_html_hides_only_what_has_no_layout():
+    pages = {
+        "a<span aria-hidden=true>b</span>c": "abc",
+        "E = <span><math><semantics><mrow><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow><annotation>m c^2</annotation>"
+        "</semantics></math></span><span aria-hidden='true'> mc2</span>!": "E = mc2 mc2!",
+        "<svg><title>t</title><defs/><style/><desc>no</desc><text>Axis</text><text>Label<tspan>s</tspan></text><path/></svg>end": "Axis Labels end",
+        "<p style='--x-display:none'>a<b style='x-visibility : hidden'>b</b>": "ab",
+        "<p style='content: \"; display:none\"; color: red'>a": "a",
+        "<p style='color:red; DISPLAY : None !important; display:block'>a</p>b": "b",
+        "<p style='/* display:none */ display:none; display:block'>a": "a",
+        "<p style='display:none-such'>a": "a",
+        "<div hidden style='display:block'>a</div><div hidden>b</div><dialog>c</dialog><dialog open>d</dialog>": "a\nd",
+        "a<div style='visibility:hidden'>b<i style='visibility:visible'>c</i><hr></div>d": "a\nc\n\nd",
+        "<map>a<area></map><desc>b</desc><template>c</template><script>d</script>e": "abe",
+    }
+    for page, text in pages.items():
+        assert html_text.page_text(page).split() == text.split(), page
+
+
 def test_html_edges(spark, sf_dir):
     pages = [*PAGES, None, "<div>" * 30000 + "deep", "<p>" * 5000 + "long " * 50000, "<table><td>" * 200, "<b " + "x" * 50000]
     df = spark.createDataFrame([(i % 7 or None, p, "x") for i, p in enumerate(pages)], "page_id long, html string, text string")
