@@ -6,27 +6,63 @@ again as the next stage's ``docs``.  All but the last return the columns of ``do
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from statistics import NormalDist
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from projectpulse.llm import exact_dedup, jaccard_join, langid, packing, suffix_dedup
 from projectpulse.llm.common import table, written
 
-#: A text is rejected if its cosine with every language is within one standard deviation of the
-#: cosine of unrelated vectors (or if it has no letters).
-MIN_SCORE = langid.DIMENSIONS ** -0.5
+#: A vector unrelated to all languages has a cosine above the least score with at most this chance.
+CHANCE = 0.01
+#: A text must score this share of what all but so many of the labelled texts of its language and length class score.
+LOW_SHARE, LOW_QUANTILE = 0.5, 0.01
+
+
+def min_score(languages: int) -> float:
+    """The least score against so many languages: the greatest of their cosines counts, each of which has a
+    standard deviation of 1 / sqrt(DIMENSIONS) for an unrelated vector."""
+    return NormalDist().inv_cdf(1 - CHANCE / languages) * langid.DIMENSIONS ** -0.5
+
+
+#: The least score where there is one language.
+MIN_SCORE = min_score(1)
 #: Near copies share at least so many percent of their shingles of so many words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def length_class(text: Column) -> Column:
+    """Powers of four of the number of characters: short texts have lower cosines."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1))) / 2).cast("int")
+
+
+def least_scores(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> list[tuple[str, int, float]]:
+    """(language, length class, least score), from all labelled rows whose label is found again.  A class without
+    such rows takes over from the next shorter one that has some; without any the chance bound alone holds."""
+    rows = docs.where("lang is not null and text is not null").select("text", "lang")
+    own = langid.predict(rows, prototypes).where("lang = lang_pred").groupBy("lang", length_class(F.col("text")).alias("class"))
+    low = {(r["lang"], r["class"]): r["low"] for r in own.agg(F.percentile_approx("score", LOW_QUANTILE).alias("low")).collect()}
+    out = []
+    for lang in prototypes:
+        least = min_score(len(prototypes))
+        for k in range(16):  # lengths are 31-bit numbers
+            if (lang, k) in low:
+                least = max(LOW_SHARE * low[lang, k], min_score(len(prototypes)))
+            out.append((lang, k, float(least)))
+    return out
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that resemble one of the languages of the labelled documents stay.  A null label is
-    filled with the language found.  Without any labelled text nothing can be judged and all stay."""
+    """Documents that resemble one of the languages of the labelled documents stay: those that score as
+    texts of that language and length do, and above chance.  A null label is filled with the language found.  Without any labelled text nothing can be judged and all stay."""
     prototypes = langid.learn(docs)
     if not prototypes:
         return docs
+    least = spark.createDataFrame(least_scores(docs, prototypes), "__lang string, __class int, __least double")
     judged = langid.predict(docs, prototypes)
-    stays = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
-    return judged.where(stays).withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    near = (F.col("lang_pred") == F.col("__lang")) & (length_class(F.col("text")) == F.col("__class"))
+    return judged.join(F.broadcast(least), near).where("score >= __least").withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

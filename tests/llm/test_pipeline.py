@@ -83,3 +83,23 @@ def test_near_copies_by_five_words_and_80_percent(spark):
     docs = brute.frame(spark, [(1, " ".join(words)), (2, " ".join(words[:50] + ["x"] + words[51:90] + ["y"] + words[91:]))], ())
     stage = dict(corpus_pipeline.STAGES)["jaccard_join"]
     assert [r.doc_id for r in stage(spark, written(docs, "n0"), "").collect()] == [1]
+
+
+def test_language_stage_rejects_unseen_scripts_and_gibberish(spark):
+    rnd = random.Random(23)
+    vocabulary = {
+        "en": "the of and house water river with people were under long winter story children walked over green hills".split(),
+        "de": "der die und das haus wasser fluss mit leuten waren unter langer winter geschichte kinder gingen berge".split(),
+        "fr": "le la et maison eau fleuve avec gens sous longue hiver histoire enfants marchaient collines vertes".split(),
+    }
+    clean = [(lang, " ".join(rnd.choice(w) for _ in range(rnd.randint(12, 400)))) for lang, w in vocabulary.items() for _ in range(60)]
+    clean += [(None, " ".join(rnd.choice(w) for _ in range(60))) for w in vocabulary.values() for _ in range(5)]
+    made = lambda letters, n: " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 9))) for _ in range(n))
+    other = [made([chr(c) for c in range(a, b)], rnd.randint(12, 400))
+             for a, b in ((0x5D0, 0x5EB), (0x430, 0x450), (0x4E00, 0x9FA0)) for _ in range(30)]
+    other += [made("abcdefghijklmnopqrstuvwxyz", n) for n in (20, 60, 300, 3000, 40000) for _ in range(6)]
+    rows = [(i, t, lang, "s", len(t)) for i, (lang, t) in enumerate(clean + [(None, t) for t in other])]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "g0")
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(len(clean)))
+    assert corpus_pipeline.min_score(1) < corpus_pipeline.min_score(4) < corpus_pipeline.min_score(20)
