@@ -973,6 +973,43 @@ COMPARED = ["logistic_regression", "decision_tree", "random_forest", "gradient_b
 FINAL = "final_logistic_regression"
 
 
+def _compared_scores(spark: SparkSession, d: str) -> DataFrame:
+    from projectpulse.sources.readers import materialize
+    train = FT.training_rows(_features_table(spark, d))
+    oof = M.cross_validate(train, COMPARED).unionByName(
+        M.cross_validate(train, ["logistic_regression"], drop_first=True, model_name=FINAL))
+    return materialize(oof, spark, "oof-scores")
+
+
+def model_comparison(oof: DataFrame) -> DataFrame:
+    """Per model of out-of-fold scores (model, fold, label, score): mean and deviation of each metric over the
+    folds, the pooled AUC, and whether the mean AUC beats the floor."""
+    summary = E.cv_summary(E.fold_metrics(oof, by=["model"]), by=["model"])
+    pooled = E.roc_auc(oof, by=["model"]).withColumnRenamed("roc_auc", "pooled_roc_auc")
+    return summary.join(pooled, "model").withColumn("beats_floor", F.col("roc_auc_mean") > 0.65)
+
+
+@query("model_comparison")
+def q_model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """The model comparison table of the fitted models; ``compare_models`` holds what SQL can check of it."""
+    return model_comparison(_compared_scores(spark, d))
+
+
+@query("trained_features")
+def q_trained_features(spark: SparkSession, d: str) -> DataFrame:
+    """The global feature table of the final model; ``train_logistic`` holds its check."""
+    model, _ = _trained(spark, d)
+    return X.global_feature_table(X.coefficient_table(spark, model)).drop("idx")
+
+
+@query("trained_risk_scores")
+def q_trained_risk_scores(spark: SparkSession, d: str) -> DataFrame:
+    """risk_scores: every active project scored by the final model with its explanation; ``score_trained``
+    holds its check."""
+    model, mf = _trained(spark, d)
+    return X.score_and_explain(FT.active_rows(mf), model)
+
+
 @query("compare_models", with_ctes(
     "SELECT m.model, count(*) AS n_rows, count(DISTINCT fold) AS n_folds, CAST(sum(label) AS BIGINT) AS n_positive, "
     "true AS metrics_in_range, true AS curve_complete, true AS pooled_auc_in_range "
@@ -983,11 +1020,7 @@ def q_compare_models(spark: SparkSession, d: str) -> DataFrame:
     stratified folds.  Out-of-fold scores are written once; per model: rows, folds and
     positives, whether the mean metrics lie in [0, 1], whether the pooled ROC curve ends at (1, 1), and
     whether the pooled AUC lies in [0, 1]."""
-    from projectpulse.sources.readers import materialize
-    train = FT.training_rows(_features_table(spark, d))
-    oof = M.cross_validate(train, COMPARED).unionByName(
-        M.cross_validate(train, ["logistic_regression"], drop_first=True, model_name=FINAL))
-    oof = materialize(oof, spark, "oof-scores")
+    oof = _compared_scores(spark, d)
     summary = E.cv_summary(E.fold_metrics(oof, by=["model"]), by=["model"])
     means = [F.col(f"{m}_mean") for m in ("roc_auc", "precision", "recall", "f1")]
     summary = summary.select("model", reduce(lambda a, b: a & b, [m.between(0, 1) for m in means]).alias("metrics_in_range"))

@@ -33,3 +33,41 @@ def test_logistic_matches_newton_and_scoring_is_consistent(spark, sf_dir):
         model.pipeline.transform(M.with_label(train))).alias("p"))
     j = scored.join(ml, "upc").agg(F.max(F.abs(F.col("risk_probability") - F.col("p"))).alias("d")).first()
     assert j.d < 1e-9
+
+
+def test_model_comparison_against_plain_computation(spark):
+    import random
+    import statistics
+
+    from projectpulse.plans.queries import model_comparison
+    rnd = random.Random(9)
+    rows = [(m, k % 5, int(rnd.random() < 0.4), round(rnd.random(), 1)) for m in ("noise", "good") for k in range(150)]
+    rows = [(m, f, y, 0.3 * s + 0.6 * y if m == "good" else s) for m, f, y, s in rows]
+
+    def plain_auc(part):
+        pos, neg = ([s for _, _, y, s in part if y == k] for k in (1, 0))
+        return sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+
+    def plain(part):
+        tp, fp, fn = (sum(1 for _, _, y, s in part if (y, s > 0.5) == k) for k in ((1, True), (0, True), (1, False)))
+        p, r = tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn) if tp + fn else 0.0
+        return plain_auc(part), p, r, 2 * p * r / (p + r) if p + r else 0.0
+    out = {r.model: r.asDict() for r in model_comparison(spark.createDataFrame(rows, "model string, fold int, label int, score double")).collect()}
+    assert set(out) == {"noise", "good"} and out["good"]["beats_floor"] and not out["noise"]["beats_floor"]
+    for m, r in out.items():
+        own = [x for x in rows if x[0] == m]
+        folds = list(zip(*(plain([x for x in own if x[1] == f]) for f in range(5))))
+        for name, values in zip(("roc_auc", "precision", "recall", "f1"), folds):
+            assert abs(r[f"{name}_mean"] - statistics.mean(values)) < 1e-9 and abs(r[f"{name}_std"] - statistics.pstdev(values)) < 1e-9
+        assert abs(r["pooled_roc_auc"] - plain_auc(own)) < 1e-9
+
+
+def test_trained_tables_are_registered(spark, sf_dir):
+    import __spark_entry__ as entry
+    queries = entry.queries()
+    assert "model_comparison" in queries
+    checked = queries["train_logistic"](spark, sf_dir).count()
+    assert queries["trained_features"](spark, sf_dir).count() >= checked
+    scored = queries["trained_risk_scores"](spark, sf_dir)
+    assert {"risk_score", "risk_probability", "top_factors"} <= set(scored.columns)
+    assert scored.count() == queries["score_trained"](spark, sf_dir).first().n_scored
