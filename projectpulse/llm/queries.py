@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, langid, lm, packing, secret_scan, spotsigs, suffix_dedup
+from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, langid, lm, packing, prefix_trie, secret_scan, spotsigs, suffix_dedup
 
 REGISTRY = {
     "op1_pack": (packing.op1_pack, None),
@@ -16,4 +16,5 @@ REGISTRY = {
     "op9_lm_score": (lm.op9_lm_score, None),
     "op10_html_text": (html_text.op10_html_text, None),
     "op11_secret_scan": (secret_scan.op11_secret_scan, secret_scan.OP11_SQL),
+    "op12_prefix_trie": (prefix_trie.op12_prefix_trie, prefix_trie.OP12_SQL),
 }
