@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, langid, lm, packing, prefix_trie, secret_scan, spotsigs, suffix_dedup
+from projectpulse.llm import bpe, chat_format, exact_dedup, html_text, jaccard_join, langid, lm, packing, prefix_trie, secret_scan, spelling, spotsigs, suffix_dedup
 
 REGISTRY = {
     "op1_pack": (packing.op1_pack, None),
@@ -17,4 +17,5 @@ REGISTRY = {
     "op10_html_text": (html_text.op10_html_text, None),
     "op11_secret_scan": (secret_scan.op11_secret_scan, secret_scan.OP11_SQL),
     "op12_prefix_trie": (prefix_trie.op12_prefix_trie, prefix_trie.OP12_SQL),
+    "op13_spelling_variants": (spelling.op13_spelling_variants, spelling.OP13_SQL),
 }
