@@ -1,74 +1,64 @@
 """Evaluation operators: folds, ROC points, AUC, precision/recall/F1, CV summary.
 
 Running totals over a global order (ROC curves, stratified fold positions) would
-normally need a window with no partition key — every row in one task.  Here the
-order is cut into buckets that are monotone in the order (quantile splits of the
-score, or a hash prefix for fold order); a window runs per bucket and a small
-per-bucket total table supplies each bucket's offset.  Same numbers, no single-task
-step; the offset table is at most (groups × buckets) rows.
+normally need a window with no partition key — every row in one task.  ``running_totals``
+takes prefix sums over range partitions instead: rows are sorted into ranges of about
+``RANGE_ROWS``, a window runs within each range, and the totals of the ranges, added up
+in their order, give each range its offset.  The number of ranges comes from the number
+of rows, so a task's share does not grow with the data; up to one range it is a plain window.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from projectpulse.operators.joins import checked_broadcast, null_safe_join
+from projectpulse.sources.readers import materialize
 
-DEFAULT_BUCKETS = 64
+#: Rows of a range: what one task sorts.
+RANGE_ROWS = 1_000_000
 FOLD_SEED = 42
 N_FOLDS = 5
-HASH_PREFIX = 3  # hex digits of the fold-order hash used as the bucket (4096 buckets)
 
 
-def _bucket_by_quantiles(df: DataFrame, key: Column, buckets: int) -> Column:
-    """Bucket index monotone in ``key`` from approximate quantile splits (a few numbers)."""
-    if buckets <= 1:
-        return F.lit(0)
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = df.select(F.percentile_approx(key, probs, 10000).alias("q")).first()["q"] or []
-    splits = sorted(set(float(s) for s in splits if s is not None))
-    if not splits:
-        return F.lit(0)
-    return reduce(lambda a, b: a + b, [(key >= F.lit(s)).cast("int") for s in splits])
-
-
-def running_totals(df: DataFrame, order: Column, sums, by=(), buckets: int = DEFAULT_BUCKETS,
-                   bucket: Column | None = None, inclusive: bool = True) -> DataFrame:
+def running_totals(df: DataFrame, order, sums, by=(), inclusive: bool = True, range_rows: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` = running sum of each column in ``sums`` along ``order`` within ``by``.
 
-    ``order`` must give a strict order of the rows within a group (pre-aggregate ties);
-    ``bucket`` (optional) must be non-decreasing along ``order``.  ``inclusive=False``
-    sums strictly earlier rows only.  No row is lost: NULL group values are groups of
-    their own, and rows whose order value is NULL come before all others, in a bucket
-    of their own (Spark sorts NULLs first).
+    ``order`` is a column or a list of columns; rows that it does not tell apart take any order among
+    themselves, and are spread over ranges like others, so a flood of equal or NULL order values is no
+    hot key.  ``inclusive=False`` sums strictly earlier rows only.  No row is lost: NULL group values are
+    groups of their own, and rows whose order value is NULL come before all others (Spark sorts NULLs first).
     """
     by = list(by)
-    orders = list(order) if isinstance(order, (list, tuple)) else [order]
-    b = bucket if bucket is not None else _bucket_by_quantiles(df, orders[0], buckets)
-    x = df.withColumn("__b", F.coalesce(b.cast("int"), F.lit(-1)))
-    for i, o in enumerate(orders):
-        x = x.withColumn(f"__o{i}", o)
-    totals = x.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
-    wtot = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("__b") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(wtot), F.lit(0)).alias(f"__off_{c}")
-                                          for c in sums])
-    frame_end = Window.currentRow if inclusive else -1
-    w = Window.partitionBy(*by, "__b").orderBy(*[f"__o{i}" for i in range(len(orders))]).rowsBetween(Window.unboundedPreceding, frame_end)
-    within = x.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"__in_{c}") for c in sums])
-    j = null_safe_join(within, checked_broadcast(offsets), by + ["__b"])
+    orders = [o if isinstance(o, Column) else F.col(o) for o in (order if isinstance(order, (list, tuple)) else [order])]
+    names = [f"__o{i}" for i in range(len(orders))]
+    x = materialize(df.select("*", *[o.alias(n) for o, n in zip(orders, names)], F.monotonically_increasing_id().alias("__tie")),
+                    df.sparkSession, "prefix-input")
+    last = Window.currentRow if inclusive else -1
+    ranges = max(1, math.ceil(x.count() / (range_rows or RANGE_ROWS)))
+    if ranges == 1:
+        w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(*names, "__tie").rowsBetween(Window.unboundedPreceding, last)
+        return x.select(*df.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"cum_{c}") for c in sums])
+    # Written, so that the number of a row's range is the same wherever it is read.
+    x = materialize(x.repartitionByRange(ranges, *by, *names, "__tie").withColumn("__range", F.spark_partition_id()), df.sparkSession, "prefix-ranges")
+    before = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = x.groupBy(*by, "__range").agg(*[F.sum(c).alias(f"__t_{c}") for c in sums]).select(
+        *by, "__range", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__off_{c}") for c in sums])
+    w = Window.partitionBy("__range", *by).orderBy(*names, "__tie").rowsBetween(Window.unboundedPreceding, last)
+    within = x.repartitionByRange(ranges, "__range").select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"__in_{c}") for c in sums])
+    j = null_safe_join(within, checked_broadcast(offsets), by + ["__range"])
     return j.select(*df.columns, *[(F.col(f"__off_{c}") + F.col(f"__in_{c}")).alias(f"cum_{c}") for c in sums])
 
 
 def score_counts(scored: DataFrame, label: str = "label", score: str = "score", by=()) -> DataFrame:
     """One row per (by, distinct score) with positive and negative counts (partial aggregation).
-    A NULL score or label has no place on a curve: it raises an error."""
-    known = F.col(score).isNotNull() & F.col(label).isNotNull()
+    A NULL score or label and a score that is not a number have no place on a curve: they raise an error."""
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull()
     checked = F.when(known, F.col(score)).otherwise(
-        F.raise_error("a score or label is NULL").cast(scored.schema[score].dataType))
+        F.raise_error("a score or label is NULL or not a number").cast(scored.schema[score].dataType))
     return scored.withColumn(score, checked).groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("pos"),
                                           F.count_if(F.col(label) == 0).alias("neg"))
 
@@ -126,11 +116,9 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = N_FOLDS, seed
     """Shuffled stratified k-fold: within each label, rows ordered by a seeded hash of the
     key take folds 0, 1, …, k−1 in turn, so every fold gets the same share of each class
     (sizes differ by at most one).  No step holds a whole class in one task: positions
-    come from per-(label, hash-prefix) windows plus prefix offsets."""
-    h = fold_order_hash(key, seed)
-    bucket = F.conv(F.substring(h, 1, HASH_PREFIX), 16, 10).cast("int")
+    are prefix sums over ranges."""
     x = df.withColumn("__one", F.lit(1))
-    pos = running_totals(x, [h, F.col(key)], ["__one"], [label], bucket=bucket)
+    pos = running_totals(x, [fold_order_hash(key, seed), F.col(key)], ["__one"], [label])
     return pos.select(*df.columns, F.pmod(F.col("cum___one") - 1, F.lit(k)).cast("int").alias(fold_col))
 
 

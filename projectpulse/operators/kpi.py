@@ -1,14 +1,15 @@
 """Multi-cut KPI tables.
 
-A *cut* is a named one-dimensional breakdown.  ``explode_cuts`` turns each row into
-one row per cut with ``inline(array(struct(cut_type, cut_value), ...))``: one scan and
-one shuffle for all cuts, where a ``UNION ALL`` of per-cut selects would scan the
-source once per cut.  A NULL dimension value stays its own group and the cut is
-named, so NULL never mixes with "not in this cut" (the grouping-sets trap).
-
-Skew: the ``overall`` cut holds every row.  Counts and averages aggregate partially
-map-side; medians go through ``quantiles.grouped_stats`` which never holds a whole
-group in one task.
+A *cut* is a named one-dimensional breakdown.  The KPI tables are rolled up from finest
+cells: one aggregate gives counts, sums and value histograms per combination of the
+dimensions (``quantiles.rollup_stats``), and ``explode_cuts`` then turns each *cell*
+into one row per cut with ``inline(array(struct(cut_type, cut_value), ...))``, so no
+input row is repeated for a cut.  A NULL dimension value stays its own group and the cut
+is named, so NULL never mixes with "not in this cut" (the grouping-sets trap).
+``multi_cut_agg`` is the form for aggregates that cannot be added up from cells.
+
+Skew: the ``overall`` cut holds every row.  All states aggregate partially map-side, and
+medians never hold a whole group in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from projectpulse.operators.quantiles import grouped_stats
+from projectpulse.operators.quantiles import Stat, grouped_stats, rollup_stats
 
 DEFAULT_DIMS = ("district", "project_type", "road_system")
 OVERALL = ("overall", "ALL")
@@ -46,18 +47,23 @@ def multi_cut_agg(df: DataFrame, dims, aggs, measures, overall: bool = True,
     return grouped_stats(cuts, list(CUT_KEYS), aggs, medians)
 
 
+def cut_rollup(df: DataFrame, dims, stats, overall: bool = True, medians: dict | None = None) -> DataFrame:
+    """(cut_type, cut_value, statistics and medians) of every cut, added up from the cells of the dimensions."""
+    cells = list(dict.fromkeys(d if isinstance(d, str) else d[1] for d in dims))
+    return rollup_stats(df, cells, list(CUT_KEYS), lambda rows, columns: explode_cuts(rows, dims, columns, overall), stats, medians)
+
+
 def status_rates(projects: DataFrame, dims=DEFAULT_DIMS, rated=RATED,
                  statuses=("on_time_status", "on_budget_status"), levels=STATUS_LEVELS,
                  provenance: str = "data_source") -> DataFrame:
     """Rated rows only: count and G/Y/R shares of each status per cut (NULL status not counted)."""
     base = projects.where(F.col(provenance).isin(list(rated)))
-    aggs = [F.count(F.lit(1)).alias("n_rated")]
+    stats = [Stat("n_rated", "count")]
     for s in statuses:
         prefix = s.replace("_status", "")
         for lv in levels:
-            aggs.append(F.avg((F.col(s) == lv).cast("int")).alias(f"{prefix}_{lv.lower()}_rate"))
-    dim_cols = [d if isinstance(d, str) else d[1] for d in dims]
-    return multi_cut_agg(base, dims, aggs, list(dict.fromkeys(dim_cols + list(statuses))))
+            stats.append(Stat(f"{prefix}_{lv.lower()}_rate", "mean", (F.col(s) == lv).cast("int")))
+    return cut_rollup(base, dims, stats)
 
 
 def cost_variance_kpi(projects: DataFrame, dims=DEFAULT_DIMS, estimate: str = "current_estimate",
@@ -68,11 +74,10 @@ def cost_variance_kpi(projects: DataFrame, dims=DEFAULT_DIMS, estimate: str = "c
             .withColumn("variance_pct", (F.col(estimate) - F.col(budget))
                         / F.when(F.col(budget) != 0, F.col(budget))))
     dim_cols = [d if isinstance(d, str) else d[1] for d in dims]
-    out = multi_cut_agg(
-        base, dims,
-        [F.count(F.lit(1)).alias("n"), F.avg("variance_dollars").alias("avg_variance_dollars"),
-         F.avg("variance_pct").alias("avg_variance_pct")],
-        dim_cols + ["variance_dollars", "variance_pct"],
+    out = cut_rollup(
+        base.select(*dict.fromkeys(dim_cols), "variance_dollars", "variance_pct"), dims,
+        [Stat("n", "count"), Stat("avg_variance_dollars", "mean", F.col("variance_dollars")),
+         Stat("avg_variance_pct", "mean", F.col("variance_pct"))],
         medians={"median_variance_dollars": "variance_dollars", "median_variance_pct": "variance_pct"})
     return out.select(*CUT_KEYS, "n", "median_variance_dollars", "avg_variance_dollars",
                       "median_variance_pct", "avg_variance_pct")
@@ -102,11 +107,9 @@ def schedule_by_cut(contracts: DataFrame, projects: DataFrame, dims=DEFAULT_DIMS
     """
     c = contracts.where(F.col(value).isNotNull()).select("upc", value)
     p = projects.select("upc", *[F.col(d).alias(f"proj_{d}") for d in dims])
-    base = c.join(p, "upc")
-    out = multi_cut_agg(base, [(d, f"proj_{d}") for d in dims],
-                        [F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_days_late")],
-                        [f"proj_{d}" for d in dims] + [value], overall=False,
-                        medians={"median_days_late": value})
+    base = c.join(p, "upc").select(*[f"proj_{d}" for d in dims], value)
+    out = cut_rollup(base, [(d, f"proj_{d}") for d in dims], [Stat("n", "count"), Stat("avg_days_late", "mean", F.col(value))],
+                     overall=False, medians={"median_days_late": value})
     return out.select(*CUT_KEYS, "n", "median_days_late", "avg_days_late")
 
 

@@ -3,34 +3,58 @@
 ``F.median`` keeps every distinct value of a group in one aggregation buffer; for a
 group that holds a third of all rows (the ``overall`` cut always holds all of them)
 that is an unbounded group in one task.  This operator gets the same exact,
-interpolated median (DuckDB ``median`` / ``quantile_cont(0.5)``) by narrowing:
-
-1. one aggregate gives the count, the least and the greatest value per group and
-   measure.  Caller aggregates (count, avg, ...) ride along in the same pass;
-2. each round cuts the range of every open group into ``BUCKETS`` equal parts and
-   counts the rows of each part, with its least and greatest value.  These are plain
-   hash aggregates, combined on the map side: a task sends at most ``BUCKETS`` rows per
-   group, whatever the number of its rows;
-3. the part that holds the middle rank becomes the group's range.  A group is done when
-   its two middle ranks lie in different parts (the greatest value of the one and the
-   least of the other are the middle values) or when its range is one value.
-
-No step holds more than ``BUCKETS`` rows of a group in one task, and two or three rounds
-settle most data.
+interpolated median (DuckDB ``median`` / ``quantile_cont(0.5)``) by rank on bit patterns:
+
+1. ``order_key`` turns a double into a 64-bit integer of the same order: sign,
+   exponent and mantissa, with infinities at both ends and NaN after all numbers, as
+   SQL orders them;
+2. a round counts the rows of every group by the leading bits of the key, in a plain
+   hash aggregate that is combined on the map side, and takes the part that holds the
+   middle ranks; the next round looks at the rows of that part alone, by ``BITS`` more bits;
+3. a group is settled when its two middle ranks lie in different parts (the greatest
+   value of the one and the least of the other are the middle values) or when all
+   values of its part are equal.
+
+A round cuts a range to one part in 2**13, whatever the values, so 64 bits take five
+rounds after the pass that counts the groups, and most data take one or two: parts that
+hold few rows go to the last bit at once.  No step holds more than 2**13 parts of a
+group, or ``SMALL`` values, in one task.
+
+``rollup_stats`` adds the same from finest cells: counts, sums and the histograms of each
+round are taken per cell and added up to the groups that the cell belongs to, so no
+input row is repeated for a group.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from projectpulse.operators.joins import checked_broadcast, null_safe_join
+from projectpulse.operators.joins import null_safe_join
 from projectpulse.sources.readers import materialize
 
-BUCKETS = 4096
-MAX_ROUNDS = 200
+BITS = 13
+#: Parts of at most so many rows are ranked by all remaining bits.
+SMALL = 1 << 16
+
+
+def order_key(x: Column) -> Column:
+    """The double ``x`` as a long in the same order; NULL stays NULL, -0.0 equals 0.0, NaN is greatest."""
+    x = x.cast("double")
+    a = F.abs(x)
+    guess = F.floor(F.log2(a)).cast("int")  # one off at most, near powers of two
+    power = lambda e: F.pow(F.lit(2.0), e)  # noqa: E731 - exact for whole exponents
+    e = guess + F.when(a >= power(guess + 1), 1).when(a < power(guess), -1).otherwise(0)
+    mantissa = ((a / power(e) - 1) * 2.0**52).cast("bigint")
+    normal = (e + 1023).cast("bigint") * F.lit(1 << 52) + mantissa
+    tiny = (a * 2.0**537 * 2.0**537).cast("bigint")
+    bits = (F.when(a == 0, F.lit(0).cast("bigint")).when(a == float("inf"), F.lit(2047 << 52))
+            .when(a < 2.0**-1022, tiny).otherwise(normal))
+    return F.when(F.isnan(x), F.lit((2047 << 52) + 1)).when(x < 0, -bits).otherwise(bits)
 
 
 def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
@@ -47,57 +71,111 @@ def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
     """
     keys = list(keys)
     medians = dict(medians or {})
-    names = list(medians)
     spark = df.sparkSession
-    if names and materialize_input:
+    if medians and materialize_input:
         df = materialize(df, spark, "median-input")
     gkeys = keys or ["__g"]
     src = df if keys else df.withColumn("__g", F.lit(0))
-    bounds = [agg for i, out in enumerate(names) for agg in (
-        F.count(medians[out]).alias(f"__n{i}"), F.min(F.col(medians[out]).cast("double")).alias(f"__lo{i}"),
-        F.max(F.col(medians[out]).cast("double")).alias(f"__hi{i}"))]
-    pass1 = src.groupBy(*gkeys).agg(*aggs, *bounds) if (aggs or bounds) else src.groupBy(*gkeys).count()
-    if not names:
-        return pass1 if keys else pass1.drop("__g")
-    pass1 = materialize(pass1, spark, "median-bounds")
-
-    state = pass1.select(*gkeys, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").alias("n"), F.lit(0).cast("bigint").alias("below"),
-                 F.col(f"__lo{i}").alias("lo"), F.col(f"__hi{i}").alias("hi"))
-        for i in range(len(names))]))).where(F.col("n") > 0)
-    stacked = src.select(*gkeys, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("m"), F.col(medians[out]).cast("double").alias("v"))
-        for i, out in enumerate(names)]))).where(F.col("v").isNotNull())
-    settled = _narrow(state, stacked, gkeys + ["m"])
-    wide = settled.groupBy(*gkeys).agg(*[
-        F.max(F.when(F.col("m") == i, F.col("median"))).alias(out) for i, out in enumerate(names)])
-    base = pass1.drop(*[f"__{b}{i}" for i in range(len(names)) for b in ("n", "lo", "hi")])
-    out = null_safe_join(base, wide, gkeys, "left")
+    if not medians:
+        out = src.groupBy(*gkeys).agg(*aggs) if aggs else src.groupBy(*gkeys).count()
+        return out if keys else out.drop("__g")
+    sizes = [F.count(v).alias(f"__n{i}") for i, v in enumerate(medians.values())]
+    base = materialize(src.groupBy(*gkeys).agg(*aggs, *sizes), spark, "median-groups")
+    out = _with_medians(base, src, gkeys, gkeys, medians)
     return out if keys else out.drop("__g")
 
 
-def _narrow(state: DataFrame, stacked: DataFrame, mkeys) -> DataFrame:
-    """(mkeys, median) of every group and measure of ``state`` (mkeys, n, below, lo, hi): its
-    values from ``lo`` to ``hi`` hold the middle ranks, ``below`` values lie before them."""
-    spark = state.sparkSession
-    done = [state.where(F.col("lo") == F.col("hi")).select(*mkeys, F.col("lo").alias("median"))]
-    open_ = materialize(state.where(F.col("lo") < F.col("hi")), spark, "median-range")
+@dataclass(frozen=True)
+class Stat:
+    """A statistic that can be added up from parts: the count of a condition's rows (of all rows without one),
+    or the mean of a column's non-NULL values."""
+
+    name: str
+    kind: str  # count | mean
+    of: Column | None = None
+
+    def parts(self, i: int) -> list[Column]:
+        if self.kind == "count":
+            return [(F.count(F.lit(1)) if self.of is None else F.count_if(self.of)).alias(f"__s{i}")]
+        return [F.sum(self.of).alias(f"__s{i}"), F.count(self.of).alias(f"__c{i}")]
+
+    def result(self, i: int) -> Column:
+        total = F.col(f"__s{i}")
+        return (total if self.kind == "count" else F.try_divide(total, F.col(f"__c{i}"))).alias(self.name)
+
+
+def rollup_stats(df: DataFrame, cells, keys, expand: Callable[[DataFrame, list], DataFrame], stats, medians: dict | None = None) -> DataFrame:
+    """Statistics (and exact medians ``{out_name: value_column}``) of groups that are unions of cells.
+
+    ``cells`` are the columns of ``df`` that make a finest cell; ``expand(rows, columns)`` gives one row with
+    ``keys`` and ``columns`` for each group that a row's cell belongs to.  It is applied to cells and to parts of
+    their histograms, never to rows of ``df``.
+    """
+    cells, keys, stats, medians = list(cells), list(keys), list(stats), dict(medians or {})
+    spark = df.sparkSession
+    if medians:
+        df = materialize(df, spark, "median-input")
+    sizes = [F.count(v).alias(f"__n{i}") for i, v in enumerate(medians.values())]
+    states = [c for i, s in enumerate(stats) for c in s.parts(i)] + sizes
+    per_cell = df.groupBy(*cells).agg(*states)
+    if medians:
+        per_cell = materialize(per_cell, spark, "rollup-cells")
+    names = [c for c in per_cell.columns if c not in cells]
+    totals = expand(per_cell, names).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
+    wanted = [s.result(i) for i, s in enumerate(stats)]
+    if not medians:
+        return totals.select(*keys, *wanted)
+    base = materialize(totals.select(*keys, *wanted, *[f"__n{i}" for i in range(len(medians))]), spark, "median-groups")
+    return _with_medians(base, df, cells, keys, medians, expand, per_cell.select(*cells))
+
+
+def _with_medians(base: DataFrame, src: DataFrame, cells, keys, medians: dict, expand=None, cell_rows: DataFrame | None = None) -> DataFrame:
+    """``base`` (keys, ..., ``__n<i>``: non-NULL values of measure i) with the medians instead of the sizes."""
+    sizes = base.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").alias("n")) for i in range(len(medians))]))).where(F.col("n") > 0)
+    stacked = src.select(*cells, F.inline(F.array(*[
+        F.struct(F.lit(i).alias("m"), F.col(v).cast("double").alias("v")) for i, v in enumerate(medians.values())]))
+    ).where(F.col("v").isNotNull())
+    settled = _settle(sizes, stacked, list(cells), list(keys), expand, cell_rows)
+    wide = settled.groupBy(*keys).agg(*[F.max(F.when(F.col("m") == i, F.col("median"))).alias(out) for i, out in enumerate(medians)])
+    return null_safe_join(base.drop(*[f"__n{i}" for i in range(len(medians))]), wide, keys, "left")
+
+
+def _settle(sizes: DataFrame, stacked: DataFrame, cells, keys, expand, cell_rows) -> DataFrame:
+    """(keys, m, median) of every group and measure of ``sizes`` (keys, m, n) from rows (cells, m, v)."""
+    spark = sizes.sparkSession
+    mkeys = [*keys, "m"]
+    keyed = stacked.withColumn("k", order_key(F.col("v")))
+    open_ = sizes.select(*mkeys, "n", F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("prefix"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
     first, second = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
-    for _ in range(MAX_ROUNDS):
-        if open_.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-        j = null_safe_join(stacked, checked_broadcast(open_), mkeys).where("v between lo and hi")
-        # Halves first: hi - lo of two large numbers of unlike sign has no double.
-        part = F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS)
-        counts = (j.groupBy(*mkeys, "n", "below", F.least(part, F.lit(BUCKETS - 1)).alias("part"))
-                  .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most")))
+    done, before, shift = [], None, 0 if largest <= SMALL else 64 - BITS
+    while True:
+        rows = keyed
+        if before is not None:  # the rows of the parts that hold some group's middle, once each
+            near = open_ if expand is None else null_safe_join(expand(cell_rows, cells), open_, keys)
+            rows = null_safe_join(rows.withColumn("prefix", F.shiftright("k", before)), near.select(*cells, "m", "prefix").distinct(), [*cells, "m", "prefix"])
+        counts = rows.groupBy(*cells, "m", F.shiftright("k", shift).alias("part")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+        if expand is not None:
+            counts = expand(counts, ["m", "part", "c", "least", "most"]).groupBy(*mkeys, "part").agg(
+                F.sum("c").alias("c"), F.min("least").alias("least"), F.max("most").alias("most"))
+        own = null_safe_join(counts, open_, mkeys)
+        if before is not None:
+            own = own.where(F.shiftright("part", before - shift) == F.col("prefix"))
         upto = Window.partitionBy(*mkeys).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = counts.withColumn("end", F.col("below") + F.sum("c").over(upto)).withColumn("start", F.col("end") - F.col("c"))
-        hold = lambda rank: F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.struct("start", "least", "most")))
+        ranked = own.withColumn("end", F.col("below") + F.sum("c").over(upto)).withColumn("start", F.col("end") - F.col("c"))
+        hold = lambda rank: F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.struct("start", "c", "part", "least", "most")))
         middle = materialize(ranked.groupBy(*mkeys, "n").agg(hold(first).alias("a"), hold(second).alias("b")), spark, "median-parts")
-        apart = F.col("a.start") != F.col("b.start")
+        apart = F.col("a.part") != F.col("b.part")
         one = F.col("a.least") == F.col("a.most")
-        done.append(middle.where(apart | one).select(*mkeys, F.when(apart, F.col("a.most") + (F.col("b.least") - F.col("a.most")) * 0.5)
+        done.append(middle.where(apart | one).select(*mkeys, F.when(apart, F.col("a.most") * 0.5 + F.col("b.least") * 0.5)
                                                      .otherwise(F.col("a.least")).alias("median")))
-        open_ = middle.where(~apart & ~one).select(*mkeys, "n", F.col("a.start").alias("below"), F.col("a.least").alias("lo"), F.col("a.most").alias("hi"))
-    raise RuntimeError("the medians did not settle")
+        if shift == 0:  # a part is one value
+            return reduce(DataFrame.unionByName, done)
+        left = middle.where(~apart & ~one)
+        largest = left.agg(F.max("a.c")).first()[0]
+        if largest is None:
+            return reduce(DataFrame.unionByName, done)
+        open_ = left.select(*mkeys, "n", F.col("a.start").alias("below"), F.col("a.part").alias("prefix"))
+        before, shift = shift, 0 if largest <= SMALL else max(0, shift - BITS)

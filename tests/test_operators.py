@@ -229,3 +229,126 @@ def test_no_local_scratch_folder_on_a_cluster():
                 return default
     with pytest.raises(ValueError, match="share"):
         ensure_checkpoint_dir(Session())
+
+
+def _middle(values):
+    """The interpolated median with NaN after all numbers, as SQL orders it."""
+    v = sorted(values, key=lambda x: (math.isnan(x), x))
+    a, b = v[(len(v) - 1) // 2], v[len(v) // 2]
+    return a if a == b else a * 0.5 + b * 0.5
+
+
+def _same(a, b):
+    return a == b or (isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b))
+
+
+def _odd_doubles():
+    import struct
+    rnd = random.Random(11)
+    bits = [rnd.getrandbits(64) for _ in range(3000)]
+    out = [struct.unpack("<d", struct.pack("<Q", b))[0] for b in bits]
+    out += [s * 2.0**e * f for s in (-1, 1) for e in range(-1074, 1024, 7) for f in (1.0, 1.0 + 2**-52, 2.0 - 2**-52)]
+    return [x for x in out if not math.isinf(x)] + [0.0, -0.0, math.inf, -math.inf, math.nan, 5e-324, -5e-324, 2.0**-1022, 1.7976931348623157e308]
+
+
+def test_order_key_keeps_the_order_of_all_doubles(spark):
+    import struct
+
+    from projectpulse.operators.quantiles import order_key
+    values = _odd_doubles()
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, v double").select("i", order_key(F.col("v")).alias("k")).collect()
+    for r in got:
+        if r.i < 0:
+            assert r.k is None
+            continue
+        v = values[r.i]
+        bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
+        assert r.k == ((2047 << 52) + 1 if math.isnan(v) else -bits if v < 0 else bits), v
+
+
+@pytest.mark.parametrize("small", [0, 40, 1 << 16])
+def test_medians_of_any_doubles_in_six_passes(spark, monkeypatch, small):
+    """NaN, infinities, heavy tails and values one bit apart; rounds are counted by the tables they write."""
+    import projectpulse.operators.quantiles as qmod
+    rnd = random.Random(5)
+    inf, nan = math.inf, math.nan
+    groups = {"nan": [1.0, 2.0, nan], "nans": [nan, nan, 3.0], "half nan": [1.0, nan], "inf": [1.0, inf], "infs": [inf, inf, 0.0], "both": [-inf, inf],
+              "tail": [10.0**-k for k in range(298)], "spread": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300) for _ in range(400)],
+              "close": [1.0 + k * 2.0**-52 for k in range(60)], "tiny": [k * 5e-324 for k in range(-20, 21)], "zero": [0.0, -0.0, 0.0, -0.0],
+              "any": [v for v in _odd_doubles()], "hot": [7.0] * 800 + [float(k) for k in range(90)], "null": [None, None]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    written = []
+    monkeypatch.setattr(qmod, "SMALL", small)
+    monkeypatch.setattr(qmod, "materialize", lambda df, s, name, real=qmod.materialize: written.append(name) or real(df, s, name))
+    out = {r.g: r.m for r in qmod.grouped_stats(spark.createDataFrame(rows, "g string, v double"), ["g"], [], {"m": "v"}).collect()}
+    for g, vs in groups.items():
+        want = _middle(vs) if vs[0] is not None else None
+        assert _same(out[g], want), (g, out[g], want)
+    assert written.count("median-parts") + written.count("median-groups") <= 6
+
+
+@pytest.mark.parametrize("small", [0, 1 << 16])
+def test_cut_rollup_equals_repeated_rows(spark, monkeypatch, small):
+    """Rolled up from cells or from rows repeated per cut: the same, NULL dimensions and odd values included."""
+    import projectpulse.operators.quantiles as qmod
+    monkeypatch.setattr(qmod, "SMALL", small)
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice(["x", "y", "z", None]), rnd.choice([None, float(rnd.randint(-9, 9)), rnd.gauss(0, 1e6)]),
+             rnd.randint(0, 3) or None) for _ in range(700)] + [("c", "x", None, None), ("d", "x", math.nan, 1)]
+    df = spark.createDataFrame(rows, "p string, q string, v double, w int")
+    dims = ["p", ("second", "q")]
+    got = kpi.cut_rollup(df, dims, [qmod.Stat("n", "count"), qmod.Stat("n_one", "count", F.col("w") == 1), qmod.Stat("mean", "mean", F.col("w"))],
+                         medians={"mv": "v", "mw": "w"}).collect()
+    cuts = {("overall", "ALL"): rows}
+    for name, i in (("p", 0), ("second", 1)):
+        for value in {r[i] for r in rows}:
+            cuts[name, value] = [r for r in rows if r[i] == value]
+    assert {(r.cut_type, r.cut_value) for r in got} == set(cuts) and len(got) == len(cuts)
+    for r in got:
+        own = cuts[r.cut_type, r.cut_value]
+        v, w = [x[2] for x in own if x[2] is not None], [x[3] for x in own if x[3] is not None]
+        assert (r.n, r.n_one) == (len(own), sum(x == 1 for x in w))
+        assert r["mean"] == (pytest.approx(sum(w) / len(w)) if w else None)
+        assert _same(r.mv, _middle(v) if v else None) and r.mw == (_middle([float(x) for x in w]) if w else None)
+
+
+@pytest.mark.parametrize("range_rows", [1, 7, 50, 10**6])
+def test_running_totals_over_ranges(spark, range_rows):
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, *range(40)]), rnd.randint(0, 5), i) for i in range(160)]
+    df = spark.createDataFrame(rows, "g string, k long, x long, i long").repartition(5)
+    for inclusive in (True, False):
+        got = {r.i: (r.cum_x, r.cum_i) for r in E.running_totals(df, [F.col("k"), F.col("i")], ["x", "i"], ["g"], inclusive, range_rows).collect()}
+        for g, k, x, i in rows:
+            before = [r for r in rows if r[0] == g and ((r[1] is not None, r[1] or 0, r[3]) < (k is not None, k or 0, i) or inclusive and r[3] == i)]
+            assert got[i] == (sum(r[2] for r in before), sum(r[3] for r in before))
+
+
+def test_equal_order_values_are_spread_over_ranges(spark):
+    """One order value, or NULL, on all rows: every position is taken once, and no range holds more than its share."""
+    from unittest import mock
+    df = spark.range(3000).select("id", F.lit(None).cast("string").alias("k"), F.lit(1).alias("one")).repartition(4)
+    written = {}
+    real = E.materialize
+    with mock.patch.object(E, "materialize", lambda d, s, name: written.setdefault(name, real(d, s, name))):
+        out = E.running_totals(df, F.col("k"), ["one"], range_rows=300)
+    assert sorted(r.cum_one for r in out.collect()) == list(range(1, 3001))
+    sizes = [r["count"] for r in written["prefix-ranges"].groupBy("__range").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 600
+
+
+def test_curves_over_ranges_equal_one_window(spark, monkeypatch):
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(rnd.choice("ab"), rnd.randint(0, 1), round(rnd.random(), 2)) for _ in range(400)], "m string, label int, score double")
+    whole = (sorted(map(tuple, E.roc_points(df, by=["m"]).collect())), sorted(map(tuple, E.roc_auc(df, by=["m"]).collect())), E.roc_auc(df).first())
+    monkeypatch.setattr(E, "RANGE_ROWS", 25)
+    assert (sorted(map(tuple, E.roc_points(df, by=["m"]).collect())), sorted(map(tuple, E.roc_auc(df, by=["m"]).collect())), E.roc_auc(df).first()) == whole
+    f = E.stratified_folds(df.withColumn("id", F.monotonically_increasing_id()), "id", "label").groupBy("label", "fold").count().collect()
+    for y in (0, 1):
+        sizes = [r["count"] for r in f if r.label == y]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+
+
+def test_scores_that_are_no_numbers_raise(spark):
+    with pytest.raises(Exception, match="not a number"):
+        E.roc_auc(spark.createDataFrame([(1, 0.5), (0, math.nan)], "label int, score double")).collect()
