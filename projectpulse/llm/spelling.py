@@ -7,10 +7,12 @@
 3. Two bigrams of the prefix that do not overlap are the word's pivots, the rarest such pair by dynamic
    programming.  One edit cannot touch both.  If it lies behind the first pivot, the neighbour has the
    same letters from its start to the end of that pivot; if not, the same letters from the second pivot
-   to its end.  So the position limits are exact, and pivots are looked up with these letters as the key.
+   to its end.  So the position limits are exact, and a pivot is looked up together with these letters.
+   The edit lies in one half of the rest, so the letters of the other half are part of the key as well,
+   and so are both lengths: a frequent bigram at the start of a word gives no long list.
 4. All prefix bigrams of all words are indexed under the same kinds of keys.  Pivots of a word meet
    prefixes of words whose last prefix bigram is as frequent or more so (the others meet the other way
-   round), with lengths that differ by one at most; the edit distance verifies each pair.
+   round); the edit distance verifies each pair.
 5. The most frequent neighbour, if frequent enough, is a word's form; pointer doubling follows forms to
    the last one.  Each step multiplies the count by ``FACTOR`` at least, which bounds the rounds.
 
@@ -113,9 +115,30 @@ def pivots(ranks: list[int], places: list[int], count: int = EDITS + 1, gram: in
     return list(best[-1][count][1])
 
 
+def halves(word: str, same: int, own: int, other: int) -> tuple[str, str] | tuple[()]:
+    """Keys of a word (read from either end) whose first ``same`` letters a neighbour shares, for the lengths of the
+    two: with the first half of the rest, or with the last.  None if the neighbour has no room for a second bigram."""
+    rest = min(own, other) - same
+    if rest < 1:
+        return ()
+    half = rest // 2
+    return word[:same + half], f"{word[:same]}|{word[len(word) - (rest - half):]}"
+
+
+def keys(word: str, first: int, second: int, look: bool) -> list[str]:
+    """Keys for a bigram at ``first`` with the letters before it, and one at ``second`` with those after it, for all
+    lengths of neighbours; marked by the direction and the lengths of the looking and the found word."""
+    n, back = len(word), word[::-1]
+    out = []
+    for m in range(n - EDITS, n + EDITS + 1):
+        sizes = f"{n},{m}" if look else f"{m},{n}"
+        out += [f"<{sizes}|{k}" for k in halves(word, first + GRAM, n, m)]
+        out += [f">{sizes}|{k}" for k in halves(back, n - second, n, m)]
+    return out
+
+
 def keyed(words: DataFrame, ranks: dict[str, int]) -> DataFrame:
-    """word, n, last (rank of the last prefix bigram), pivots and grams (keys to look up, and to be found under).
-    A key is ``<`` and the letters up to the end of a bigram, or ``>`` and those from its start on."""
+    """word, n, last (rank of the last prefix bigram), pivots and grams (keys to look up, and to be found under)."""
     ship_code(words.sparkSession)
 
     def run(batches):
@@ -126,8 +149,8 @@ def keyed(words: DataFrame, ranks: dict[str, int]) -> DataFrame:
                 places = prefix(own)
                 first, second = pivots(own, places)
                 last.append(max(own[p] for p in places))
-                look.append(["<" + word[:first + GRAM], ">" + word[second:]])
-                found.append([k for p in places for k in ("<" + word[:p + GRAM], ">" + word[p:])])
+                look.append(keys(word, first, second, True))
+                found.append([k for p in places for k in keys(word, p, p, False)])
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(last, pa.int32()), pa.array(look, pa.list_(pa.string())),
                                               pa.array(found, pa.list_(pa.string()))], names=["word", "n", "last", "pivots", "grams"])
     return words.mapInArrow(run, "word string, n long, last int, pivots array<string>, grams array<string>")
@@ -139,8 +162,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     look = rows.select("word", "n", "last", F.explode("pivots").alias("key"))
     found = rows.select(F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("last").alias("near_last"), F.explode("grams").alias("key"))
     met = look.join(found, "key").where(
-        (F.col("last") <= F.col("near_last")) & (F.abs(F.length("word") - F.length("near")) <= EDITS)
-        & (F.levenshtein("word", "near", EDITS) == EDITS))
+        (F.col("last") <= F.col("near_last")) & (F.levenshtein("word", "near", EDITS) == EDITS))
     one = F.struct("word", "n", "near", "near_n")
     other = F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     # A pair may meet under both keys and both ways; dealt by word, the same shuffle serves what follows.
