@@ -1,10 +1,11 @@
 """Scoring with exact per-row explanations, and the global feature table.
 
 A linear model's logit is Σ coef_j · x_j + intercept, so each feature's contribution
-is exact.  Scoring is one projection: the non-zero contributions are an array of
-structs ``(-|c|, index, c)`` built from literal coefficients; ``filter`` drops
-|c| ≤ 1e-9, ``sort_array`` orders by magnitude with the feature index breaking ties,
-and the first ``top_k`` become the plain-language explanation.  No UDF, no shuffle.
+is exact.  Coefficients of levels are a table that rows look up by a join (broadcast
+while it is small); the non-zero contributions are an array of structs
+``(-|c|, index, c)``; ``filter`` drops |c| ≤ 1e-9, ``sort_array`` orders by magnitude
+with the feature index breaking ties, and the first ``top_k`` become the plain-language
+explanation.  No UDF.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from projectpulse.functions.scalar import logistic, score_0_100
-from projectpulse.operators.model import Feature, LinearModel, Prep, feature_exprs, fit_prep
+from projectpulse.operators.model import LinearModel, Prep, _long_levels, fit_prep, numeric_exprs, with_contributions
+from projectpulse.sources.readers import materialize
 
 # Explanation wording.
 NO_DRIVER = "no strong individual driver"
@@ -26,55 +28,23 @@ TOP_K = 2
 TINY = 1e-9
 
 
-def short_description(f: Feature) -> str:
-    return f"{f.column}='{f.category}'" if f.category is not None else f.column
-
-
-def _row_contributions(model: LinearModel):
-    """One (index, contribution) pair per input column instead of per feature.
-
-    A row has at most one hot level per categorical column, so that column's
-    contribution is the hot level's coefficient (a literal map lookup; the reference
-    level and unseen levels contribute 0) and its index is that level's feature index.
-    Zero contributions never reach the explanation, and adding 0.0 leaves the logit
-    bit-identical, so this is the full per-feature decomposition with 3 + 2 entries.
-    """
-    prep = model.prep
-    exprs = dict((f.name, e) for f, e in feature_exprs(prep))
-    pos = {f.name: i for i, f in enumerate(model.features)}
-    out = []
-    for col in prep.categorical:
-        pairs = [(f, c) for f, c in zip(model.features, model.coefs) if f.kind == "cat" and f.column == col]
-        if not pairs:
-            continue
-        coef_map = F.create_map(*[x for f, c in pairs for x in (F.lit(f.category), F.lit(float(c)))])
-        idx_map = F.create_map(*[x for f, _ in pairs for x in (F.lit(f.category), F.lit(pos[f.name]))])
-        out.append((F.try_element_at(idx_map, F.col(col)),
-                    F.coalesce(F.try_element_at(coef_map, F.col(col)), F.lit(0.0))))
-    for f, c in zip(model.features, model.coefs):
-        if f.kind != "cat":
-            out.append((F.lit(pos[f.name]), F.lit(float(c)) * exprs[f.name]))
-    return out
-
-
 def score_and_explain(df: DataFrame, model: LinearModel, key: str = "upc", top_k: int = TOP_K,
                       carry=("allocated_budget",), elevated_at: int = ELEVATED_AT) -> DataFrame:
     """(key, risk_probability, risk_score, top_factors, *carry, elevated_risk) for every row."""
-    parts = _row_contributions(model)
+    rows, parts = with_contributions(df, model)
+    # A level's description holds the row's own value; the numeric ones are fixed.
+    told = [F.concat(F.lit(f"{c}='"), F.col(c), F.lit("'")) for c in model.prep.categorical] + [F.lit(f.name) for _, f, _ in model.numbers]
     # Computed once into columns; the logit and the explanation array reference them.
-    base = df.select(key, *carry, *[e for j, (i, c) in enumerate(parts)
-                                    for e in (i.alias(f"__i{j}"), c.alias(f"__c{j}"))])
+    base = rows.select(key, *carry, *[c for names in parts for c in names], *[t.alias(f"__t{j}") for j, t in enumerate(told)])
     logit = F.lit(float(model.intercept))
-    for j in range(len(parts)):
-        logit = logit + F.col(f"__c{j}")
-    items = F.array(*[F.struct((-F.abs(F.col(f"__c{j}"))).alias("neg_abs"), F.col(f"__i{j}").alias("idx"),
-                               F.col(f"__c{j}").alias("c")) for j in range(len(parts))])
+    for _, c in parts:
+        logit = logit + F.col(c)
+    items = F.array(*[F.struct((-F.abs(F.col(c))).alias("neg_abs"), F.col(i).alias("idx"), F.col(c).alias("c"), F.col(f"__t{j}").alias("told"))
+                      for j, (i, c) in enumerate(parts)])
     # magnitude order, feature index breaking ties; |c| <= 1e-9 dropped; first top_k kept
     top = F.slice(F.sort_array(F.filter(items, lambda s: s["neg_abs"] < -TINY)), 1, top_k)
-    descriptions = F.array(*[F.lit(short_description(f)) for f in model.features])
     text = F.array_join(F.transform(top, lambda s: F.concat(
-        F.element_at(descriptions, s["idx"] + 1),
-        F.when(s["c"] > 0, F.lit(f" ({RAISES})")).otherwise(F.lit(f" ({LOWERS})")))), "; ")
+        s["told"], F.when(s["c"] > 0, F.lit(f" ({RAISES})")).otherwise(F.lit(f" ({LOWERS})")))), "; ")
     p = logistic(logit)
     scored = base.select(
         key,
@@ -87,11 +57,12 @@ def score_and_explain(df: DataFrame, model: LinearModel, key: str = "upc", top_k
 
 def coefficient_table(spark: SparkSession, model: LinearModel) -> DataFrame:
     """(idx, feature, column_name, category, kind, coef, reference) — one row per coefficient."""
-    rows = [(i, f.name, f.column, f.category, f.kind, float(c), model.prep.reference(f.column))
-            for i, (f, c) in enumerate(zip(model.features, model.coefs))]
-    return spark.createDataFrame(
-        rows, "idx int, feature string, column_name string, category string, kind string, coef double, "
-              "reference string")
+    levels = model.levels.join(model.prep.references(), "column_name").select(
+        "idx", F.concat("column_name", F.lit("="), "level").alias("feature"), "column_name", F.col("level").alias("category"),
+        F.lit("cat").alias("kind"), "coef", "reference")
+    numbers = [(i, f.name, f.column, None, f.kind, float(c), None) for i, f, c in model.numbers]
+    return levels.unionByName(spark.createDataFrame(
+        numbers, "idx int, feature string, column_name string, category string, kind string, coef double, reference string"))
 
 
 def global_feature_table(coefs: DataFrame, numeric_label: str = "log(allocated budget)",
@@ -148,27 +119,14 @@ def univariate_model(train: DataFrame, drop_first: bool = True) -> LinearModel:
     the training rows, so the scoring check grows with the data and has a SQL twin.
     """
     prep: Prep = fit_prep(train, drop_first=drop_first)
-    long = train.select("at_risk", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("level")) for c in prep.categorical])))
-    counts = {(r["column_name"], r["level"]): (r["pos"], r["neg"]) for r in
-              long.groupBy("column_name", "level").agg(F.count_if(F.col("at_risk") == 1).alias("pos"),
-                                                       F.count_if(F.col("at_risk") == 0).alias("neg")).collect()}
-
-    def lo(pos, neg):
-        return math.log((pos + 0.5) / (neg + 0.5))
-
-    exprs = dict((f.name, e) for f, e in feature_exprs(prep))
-    feats = prep.features()
-    num_feats = [f for f in feats if f.kind != "cat"]
     y = F.col("at_risk") == 1
+    odds = F.log((F.count_if(y) + 0.5) / (F.count_if(~y) + 0.5)).alias("odds")
+    counted = _long_levels(train, prep.categorical, ["at_risk"]).groupBy("column_name", "level").agg(odds)
+    base = counted.join(prep.references().withColumnRenamed("reference", "level"), ["column_name", "level"]).select(
+        "column_name", F.col("odds").alias("base"))
+    levels = materialize(prep.level_features().join(counted, ["column_name", "level"]).join(base, "column_name").select(
+        "column_name", "level", "idx", (F.col("odds") - F.col("base")).alias("coef")), train.sparkSession, "coefficients")
     agg = train.agg(F.count_if(y).alias("P"), F.count_if(~y).alias("N"), *[
-        (F.avg(F.when(y, exprs[f.name])) - F.avg(F.when(~y, exprs[f.name]))).alias(f"d{i}")
-        for i, f in enumerate(num_feats)]).first()
-    coefs = []
-    for f in feats:
-        if f.kind == "cat":
-            ref = prep.reference(f.column)
-            coefs.append(lo(*counts[(f.column, f.category)]) - lo(*counts[(f.column, ref)]))
-        else:
-            coefs.append(float(agg[f"d{num_feats.index(f)}"] or 0.0))
-    return LinearModel(prep, feats, coefs, lo(agg["P"], agg["N"]))
+        (F.avg(F.when(y, x)) - F.avg(F.when(~y, x))).alias(f"d{i}") for i, x in enumerate(numeric_exprs(prep))]).first()
+    numbers = [(i, f, float(agg[f"d{j}"] or 0.0)) for j, (i, f) in enumerate(prep.numeric_features())]
+    return LinearModel(prep, levels, numbers, math.log((agg["P"] + 0.5) / (agg["N"] + 0.5)))

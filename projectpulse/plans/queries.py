@@ -741,18 +741,13 @@ def q_onehot_features(spark: SparkSession, d: str) -> DataFrame:
     """All-levels one-hot encoding of the active rows (unseen level = all zeros): hot counts per feature."""
     mf = _features_table(spark, d)
     prep = M.fit_prep(FT.training_rows(mf), drop_first=False)
-    enc, names = M.transform(FT.active_rows(mf), prep)
-    cats = [f for f in prep.features() if f.kind == "cat"]
-    sums = [F.sum(F.col(n)).alias(f"s{i}") for i, (f, n) in enumerate(zip(prep.features(), names)) if f.kind == "cat"]
-    unseen = []
-    for c in prep.categorical:
-        idx = [i for i, f in enumerate(prep.features()) if f.kind == "cat" and f.column == c]
-        row_sum = sum((F.col(names[i]) for i in idx), F.lit(0.0))
-        unseen.append(F.count_if(row_sum == 0).cast("double").alias(f"u_{c}"))
-    agg = enc.agg(*sums, *unseen)
-    return agg.select(F.inline(F.array(
-        *[F.struct(F.lit(f.name).alias("feature"), F.col(f"s{i}").alias("n_hot")) for i, f in enumerate(cats)],
-        *[F.struct(F.lit(f"unseen:{c}").alias("feature"), F.col(f"u_{c}").alias("n_hot")) for c in prep.categorical])))
+    indexer = M.level_indexer(prep)
+    encoded = indexer.transform(FT.active_rows(mf))
+    hot = encoded.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(M.INDEX + c).cast("int").alias("number"))
+                                            for c in indexer.sizes]))).groupBy("column_name", "number").agg(F.count(F.lit(1)).alias("n"))
+    numbers = indexer.dictionary.select(F.concat("column_name", F.lit("="), "level").alias("feature"), "column_name", "number").unionByName(
+        spark.createDataFrame([(f"unseen:{c}", c, n) for c, n in indexer.sizes.items()], "feature string, column_name string, number int"))
+    return numbers.join(hot, ["column_name", "number"], "left").select("feature", F.coalesce("n", F.lit(0)).cast("double").alias("n_hot"))
 
 
 @query("impute_indicator", with_ctes(
@@ -783,10 +778,8 @@ def q_impute_indicator(spark: SparkSession, d: str) -> DataFrame:
 def q_scale_numeric(spark: SparkSession, d: str) -> DataFrame:
     mf = _features_table(spark, d)
     prep = M.fit_prep(FT.training_rows(mf))
-    enc, names = M.transform(FT.active_rows(mf), prep)
-    num = [n for f, n in zip(prep.features(), names) if f.kind == "num"][0]
-    ind = [n for f, n in zip(prep.features(), names) if f.kind == "ind"]
-    return rounded(enc.agg(
+    num, *ind = M.numeric_exprs(prep)
+    return rounded(FT.active_rows(mf).agg(
         F.lit(prep.mean_x).alias("mean_x"), F.lit(prep.std_x).alias("std_x"),
         F.lit(prep.mean_i).alias("mean_missing"), F.lit(prep.std_i).alias("std_missing"),
         F.sum(num).alias("sum_scaled_active"),

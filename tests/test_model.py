@@ -71,3 +71,62 @@ def test_trained_tables_are_registered(spark, sf_dir):
     scored = queries["trained_risk_scores"](spark, sf_dir)
     assert {"risk_score", "risk_probability", "top_factors"} <= set(scored.columns)
     assert scored.count() == queries["score_trained"](spark, sf_dir).first().n_scored
+
+
+def _rows_with_folds(spark, n=600):
+    import random
+    rnd = random.Random(6)
+    rows = []
+    for i in range(n):
+        fold = i % 5
+        t = rnd.choice("abcd") if fold != 3 else rnd.choice(["a", "only three", "b'\\"])
+        v = None if rnd.random() < 0.2 else 1e6 + rnd.gauss(0, 1) + fold
+        rows.append((i, t, rnd.choice(["x", "y", None]), v, rnd.randint(0, 1), fold))
+    rows += [(1000 + i, "a", "x", None, 1, 4) for i in range(9)]
+    return spark.createDataFrame(rows, "upc long, t string, r string, v double, at_risk int, fold int")
+
+
+def test_preparations_of_all_folds_equal_refitting(spark):
+    rows = _rows_with_folds(spark)
+    for drop_first in (True, False):
+        preps = M.fit_preps(rows, "fold", 5, ["t", "r"], "v", drop_first)
+        assert sorted(preps) == list(range(5))
+        for i, got in preps.items():
+            want = M.fit_prep(rows.where(F.col("fold") != i), ["t", "r"], "v", drop_first)
+            assert [f.name for f in got.features()] == [f.name for f in want.features()]
+            assert (got.sizes, got.has_indicator, got.n_rows, got.median) == (want.sizes, want.has_indicator, want.n_rows, want.median)
+            for name in ("mean_x", "std_x", "mean_i", "std_i"):
+                assert abs(getattr(got, name) - getattr(want, name)) <= 1e-9 * abs(getattr(want, name)), name
+            direct = rows.where(F.col("fold") != i).withColumn("v", F.coalesce("v", F.lit(got.median)))
+            mean, std = direct.agg(F.avg("v"), F.stddev_pop("v")).first()
+            assert abs(got.mean_x - mean) < 1e-6 and abs(got.std_x - std) < 1e-6
+    assert "t=only three" not in [f.name for f in preps[3].features()] and "t=only three" in [f.name for f in preps[0].features()]
+
+
+def test_folds_without_rows_or_values(spark):
+    rows = spark.createDataFrame([(1, "a", None, 0, 0), (2, "b", None, 1, 0), (3, "a", 2.0, 1, 1)], "upc long, t string, v double, at_risk int, fold int")
+    preps = M.fit_preps(rows, "fold", 3, ["t"], "v")
+    assert (preps[0].n_rows, preps[1].n_rows, preps[2].n_rows) == (1, 2, 3)
+    assert preps[1].median is None and preps[0].median == 2.0 and preps[0].sizes == {"t": 1}
+
+
+def test_many_levels_train_and_score_the_same_from_disk(spark, tmp_path):
+    """More levels than a CASE text or a list of literals could hold; unseen levels and NULL score as the reference."""
+    n = 30_000
+    rows = spark.range(2 * n).select(
+        F.col("id").alias("upc"), F.format_string("level '%06d\\", F.col("id") % n).alias("project_type_bucketed"), F.lit("one").alias("road_system_bucketed"),
+        (F.col("id") % 3).cast("string").alias("district_bucketed"), F.when(F.col("id") % 5 > 0, (F.col("id") % 17).cast("double")).alias("log_allocated_budget"),
+        (F.col("id") % 7 == 0).cast("int").alias("at_risk"), F.lit(1.0).alias("allocated_budget"))
+    model = M.train_logistic(rows)
+    assert model.prep.sizes == {"project_type_bucketed": n, "road_system_bucketed": 1, "district_bucketed": 3}
+    assert model.numbers[0][0] == n + 1 and len(model.coefs) == n + 3
+    odd = rows.limit(5).withColumn("project_type_bucketed", F.lit("never seen")).unionByName(rows.limit(5).withColumn("district_bucketed", F.lit(None).cast("string")))
+    both = rows.limit(200).unionByName(odd).withColumn("upc", F.monotonically_increasing_id())
+    both = spark.createDataFrame(both.collect(), both.schema)
+    loaded = M.load_pipeline(M.save_model(model, str(tmp_path / "model")))
+    again = loaded.transform(M.with_label(both))
+    j = X.score_and_explain(both, model).join(again.select("upc", M.positive_probability(again).alias("p")), "upc").select(
+        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("risk_probability") - F.col("p"))).alias("d")).first()
+    assert j.n == 210 and j.d < 1e-9
+    gradient = M.loss_gradient(rows, model).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("gradient")).alias("g")).first()
+    assert gradient.n == n + 3 and gradient.g < 1e-6 * 2 * n
