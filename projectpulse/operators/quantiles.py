@@ -15,10 +15,11 @@ interpolated median (DuckDB ``median`` / ``quantile_cont(0.5)``) by rank on bit
    value of the one and the least of the other are the middle values) or when all
    values of its part are equal.
 
-A round cuts a range to one part in 2**13, whatever the values, so 64 bits take five
+A round cuts a range to one part in 2**16, whatever the values, so 64 bits take four
 rounds after the pass that counts the groups, and most data take one or two: parts that
-hold few rows go to the last bit at once.  No step holds more than 2**13 parts of a
-group, or ``SMALL`` values, in one task.
+hold few rows go to the last bit at once.  No step holds more than 2**16 parts of a
+group in one task.  Keys are written once with the input; ``key_value`` turns those of
+the middle values back.
 
 ``rollup_stats`` adds the same from finest cells: counts, sums and the histograms of each
 round are taken per cell and added up to the groups that the cell belongs to, so no
@@ -37,9 +38,9 @@ from pyspark.sql import functions as F
 from projectpulse.operators.joins import null_safe_join
 from projectpulse.sources.readers import materialize
 
-BITS = 13
-#: Parts of at most so many rows are ranked by all remaining bits.
-SMALL = 1 << 16
+BITS = 16
+#: Where no part has more rows, they are ranked by all remaining bits; groups of at most ``TINY`` rows from the start.
+SMALL, TINY = 1 << 18, 1 << 13
 
 
 def order_key(x: Column) -> Column:
@@ -57,6 +58,21 @@ def order_key(x: Column) -> Column:
     return F.when(F.isnan(x), F.lit((2047 << 52) + 1)).when(x < 0, -bits).otherwise(bits)
 
 
+def key_value(k: Column) -> Column:
+    """The double of an ``order_key``."""
+    bits = F.abs(k)
+    e, m = F.shiftright(bits, 52), bits.bitwiseAND(F.lit((1 << 52) - 1)).cast("double")
+    size = (F.when(bits == F.lit(2047 << 52), F.lit(float("inf"))).when(e == 0, m * 2.0**-537 * 2.0**-537)
+            .otherwise((m / 2.0**52 + 1) * F.pow(F.lit(2.0), (e - 1023).cast("double"))))
+    return F.when(bits > F.lit(2047 << 52), F.lit(float("nan"))).when(k < 0, -size).otherwise(size)
+
+
+def _keyed(df: DataFrame, medians: dict, spark, write: bool) -> DataFrame:
+    """``df`` with the key of each measure; written once to the shared checkpoint folder."""
+    out = df.select("*", *[order_key(F.col(v)).alias(f"__k{i}") for i, v in enumerate(medians.values())])
+    return materialize(out, spark, "median-input") if write else out
+
+
 def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
                   materialize_input: bool = True) -> DataFrame:
     """``df.groupBy(keys).agg(*aggs)`` plus exact medians ``{out_name: value_column}``.
@@ -72,14 +88,14 @@ def grouped_stats(df: DataFrame, keys, aggs=(), medians: dict | None = None,
     keys = list(keys)
     medians = dict(medians or {})
     spark = df.sparkSession
-    if medians and materialize_input:
-        df = materialize(df, spark, "median-input")
+    if medians:
+        df = _keyed(df, medians, spark, materialize_input)
     gkeys = keys or ["__g"]
     src = df if keys else df.withColumn("__g", F.lit(0))
     if not medians:
         out = src.groupBy(*gkeys).agg(*aggs) if aggs else src.groupBy(*gkeys).count()
         return out if keys else out.drop("__g")
-    sizes = [F.count(v).alias(f"__n{i}") for i, v in enumerate(medians.values())]
+    sizes = [F.count(f"__k{i}").alias(f"__n{i}") for i in range(len(medians))]
     base = materialize(src.groupBy(*gkeys).agg(*aggs, *sizes), spark, "median-groups")
     out = _with_medians(base, src, gkeys, gkeys, medians)
     return out if keys else out.drop("__g")
@@ -114,8 +130,8 @@ def rollup_stats(df: DataFrame, cells, keys, expand: Callable[[DataFrame, list],
     cells, keys, stats, medians = list(cells), list(keys), list(stats), dict(medians or {})
     spark = df.sparkSession
     if medians:
-        df = materialize(df, spark, "median-input")
-    sizes = [F.count(v).alias(f"__n{i}") for i, v in enumerate(medians.values())]
+        df = _keyed(df, medians, spark, True)
+    sizes = [F.count(f"__k{i}").alias(f"__n{i}") for i in range(len(medians))]
     states = [c for i, s in enumerate(stats) for c in s.parts(i)] + sizes
     per_cell = df.groupBy(*cells).agg(*states)
     if medians:
@@ -134,29 +150,30 @@ def _with_medians(base: DataFrame, src: DataFrame, cells, keys, medians: dict, e
     sizes = base.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").alias("n")) for i in range(len(medians))]))).where(F.col("n") > 0)
     stacked = src.select(*cells, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("m"), F.col(v).cast("double").alias("v")) for i, v in enumerate(medians.values())]))
-    ).where(F.col("v").isNotNull())
+        F.struct(F.lit(i).alias("m"), F.col(f"__k{i}").alias("k")) for i in range(len(medians))]))).where(F.col("k").isNotNull())
     settled = _settle(sizes, stacked, list(cells), list(keys), expand, cell_rows)
+    a, b = key_value(F.col("a")), key_value(F.col("b"))
+    settled = settled.withColumn("median", F.when(F.col("a") == F.col("b"), a).otherwise(a * 0.5 + b * 0.5))
     wide = settled.groupBy(*keys).agg(*[F.max(F.when(F.col("m") == i, F.col("median"))).alias(out) for i, out in enumerate(medians)])
     return null_safe_join(base.drop(*[f"__n{i}" for i in range(len(medians))]), wide, keys, "left")
 
 
 def _settle(sizes: DataFrame, stacked: DataFrame, cells, keys, expand, cell_rows) -> DataFrame:
-    """(keys, m, median) of every group and measure of ``sizes`` (keys, m, n) from rows (cells, m, v)."""
+    """(keys, m, a, b) of every group and measure of ``sizes`` (keys, m, n) from rows (cells, m, k): the keys of
+    its two middle values."""
     spark = sizes.sparkSession
     mkeys = [*keys, "m"]
-    keyed = stacked.withColumn("k", order_key(F.col("v")))
     open_ = sizes.select(*mkeys, "n", F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("bigint").alias("prefix"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
     first, second = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
-    done, before, shift = [], None, 0 if largest <= SMALL else 64 - BITS
+    done, before, shift = [], None, 0 if largest <= min(SMALL, TINY) else 64 - BITS
     while True:
-        rows = keyed
+        rows = stacked
         if before is not None:  # the rows of the parts that hold some group's middle, once each
             near = open_ if expand is None else null_safe_join(expand(cell_rows, cells), open_, keys)
             rows = null_safe_join(rows.withColumn("prefix", F.shiftright("k", before)), near.select(*cells, "m", "prefix").distinct(), [*cells, "m", "prefix"])
         counts = rows.groupBy(*cells, "m", F.shiftright("k", shift).alias("part")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+            F.count(F.lit(1)).alias("c"), F.min("k").alias("least"), F.max("k").alias("most"))
         if expand is not None:
             counts = expand(counts, ["m", "part", "c", "least", "most"]).groupBy(*mkeys, "part").agg(
                 F.sum("c").alias("c"), F.min("least").alias("least"), F.max("most").alias("most"))
@@ -169,8 +186,7 @@ def _settle(sizes: DataFrame, stacked: DataFrame, cells, keys, expand, cell_rows
         middle = materialize(ranked.groupBy(*mkeys, "n").agg(hold(first).alias("a"), hold(second).alias("b")), spark, "median-parts")
         apart = F.col("a.part") != F.col("b.part")
         one = F.col("a.least") == F.col("a.most")
-        done.append(middle.where(apart | one).select(*mkeys, F.when(apart, F.col("a.most") * 0.5 + F.col("b.least") * 0.5)
-                                                     .otherwise(F.col("a.least")).alias("median")))
+        done.append(middle.where(apart | one).select(*mkeys, F.col("a.most").alias("a"), F.col("b.least").alias("b")))
         if shift == 0:  # a part is one value
             return reduce(DataFrame.unionByName, done)
         left = middle.where(~apart & ~one)

@@ -254,14 +254,15 @@ def _odd_doubles():
 def test_order_key_keeps_the_order_of_all_doubles(spark):
     import struct
 
-    from projectpulse.operators.quantiles import order_key
+    from projectpulse.operators.quantiles import key_value, order_key
     values = _odd_doubles()
-    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, v double").select("i", order_key(F.col("v")).alias("k")).collect()
-    for r in got:
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None)], "i int, v double").select("i", order_key(F.col("v")).alias("k"))
+    for r in got.select("i", "k", key_value(F.col("k")).alias("v")).collect():
         if r.i < 0:
             assert r.k is None
             continue
         v = values[r.i]
+        assert _same(r.v, v)
         bits = struct.unpack("<q", struct.pack("<d", abs(v)))[0]
         assert r.k == ((2047 << 52) + 1 if math.isnan(v) else -bits if v < 0 else bits), v
 
