@@ -45,7 +45,8 @@ def model_features(projects_df: DataFrame, rates_df: DataFrame | None = None) ->
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
-    """Build every table in dependency order and write each one (overwrite) under ``out_dir``.
+    """Build every table in dependency order and replace each one under ``out_dir``; returns the folders
+    of the new versions (``sources.tables.current`` finds them by name, too).
 
     Tables that later steps read (projects, contracts, KPI rates, features) are read
     back from their written files, so each upstream plan runs once.

@@ -5,8 +5,8 @@
 * CSV extracts are read with an explicit schema (never inferred in production),
   multi-line quoted fields and a BOM-tolerant UTF-8 decoder, then missing-value
   tokens are normalised.
-* Sinks overwrite in place (``CREATE OR REPLACE`` semantics); a table must not be
-  overwritten by a plan that reads it (``materialize`` it first).
+* Table sinks replace atomically (``tables``); a table may be replaced by a plan that
+  reads it.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from projectpulse.functions.scalar import null_tokens_to_null
+from projectpulse.sources.tables import read_current, write_table
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -42,15 +43,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=N
     """Read a headed CSV export with quoted commas.
 
     ``multi_line`` keeps a quoted field with a line break in one record, for sources whose text
-    holds line breaks; each file is then one task, so it is off by default.  The UTF-8
-    decoder drops a leading BOM.  String columns then have the reader's missing-value
-    tokens mapped to NULL.
+    holds line breaks; files are read in splits all the same (``csv_splits``), at the price of three
+    scans, so it is off by default.  The UTF-8 decoder drops a leading BOM.  String columns
+    then have the reader's missing-value tokens mapped to NULL.
     """
-    df = (spark.read.schema(schema)
-          .option("header", True).option("multiLine", multi_line)
-          .option("quote", '"').option("escape", '"')
-          .option("encoding", "UTF-8").option("mode", "FAILFAST")
-          .csv(path))
+    if multi_line:
+        from projectpulse.sources.csv_splits import read_csv_splits
+        df = read_csv_splits(spark, path, schema)
+    else:
+        df = (spark.read.schema(schema).option("header", True)
+              .option("quote", '"').option("escape", '"')
+              .option("encoding", "UTF-8").option("mode", "FAILFAST")
+              .csv(path))
     return df.select([
         null_tokens_to_null(F.col(f.name), null_tokens).alias(f.name)
         if isinstance(f.dataType, T.StringType) else F.col(f.name)
@@ -67,15 +71,6 @@ def write_csv(df: DataFrame, path: str, max_rows: int = 100_000) -> str:
     return path
 
 
-def write_table(df: DataFrame, path: str, partition_by=None) -> str:
-    """``CREATE OR REPLACE TABLE``: overwrite a Parquet folder."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     """Write a reused intermediate into the shared checkpoint folder and read it back.
 
@@ -85,21 +80,24 @@ def materialize(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     from projectpulse.session import scratch_path
 
     path = scratch_path(spark, name)
-    write_table(df, path)
+    df.write.parquet(path)
     return spark.read.parquet(path)
 
 
 def land_inputs(inputs: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Land each input once as Parquet in a folder of its own under ``root``; returns name -> folder.
-    Names may hold any characters (sheet names): folders are numbered in the order of the names."""
-    return {name: write_table(inputs[name], f"{root.rstrip('/')}/input-{i:02d}") for i, name in enumerate(sorted(inputs))}
+    """Land each input as a table of its own under ``root``, replacing what is there; returns name -> table.
+    Names may hold any characters (sheet names): tables are numbered in the order of the names."""
+    tables = {name: f"{root.rstrip('/')}/input-{i:02d}" for i, name in enumerate(sorted(inputs))}
+    for name, path in tables.items():
+        write_table(inputs[name], path)
+    return tables
 
 
 def read_input(spark: SparkSession, folders: dict[str, str], name: str) -> DataFrame:
     """The landed input of that name."""
     if name not in folders:
         raise KeyError(f"no input {name!r}; there are {sorted(folders)}")
-    return spark.read.parquet(folders[name])
+    return read_current(spark, folders[name])
 
 
 def table_counts(tables: dict) -> DataFrame:
