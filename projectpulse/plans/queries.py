@@ -18,6 +18,7 @@ from projectpulse.operators.quantiles import grouped_stats
 from projectpulse.plans import build
 from projectpulse.plans.oracle import with_ctes
 from projectpulse.sources import fixtures
+from projectpulse.sources.layout import co_located
 
 REGISTRY: dict[str, tuple] = {}
 PLACES = 6
@@ -208,7 +209,10 @@ def q_kpi_schedule_overall(spark: SparkSession, d: str) -> DataFrame:
                 "WHERE c.schedule_variance_days_actual IS NOT NULL) b", "sv", overall=False, prefix="proj_")
     + ") c GROUP BY cut_type, cut_value", "stg_contracts", "projects"))
 def q_kpi_schedule_by_cut(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(kpi.kpi_order(kpi.schedule_by_cut(build.contracts(spark, d), build.projects(spark, d)), "n"))
+    days = "schedule_variance_days_actual"
+    contracts = co_located(build.contracts(spark, d).where(F.col(days).isNotNull()).select("upc", days), "upc", "contracts")
+    projects = co_located(build.projects(spark, d).select("upc", *kpi.DEFAULT_DIMS), "upc", "projects")
+    return rounded(kpi.kpi_order(kpi.schedule_by_cut(contracts, projects), "n"))
 
 
 # ---------------------------------------------------------------- feature table (ML1-2, PRJ8, PRJ11-13, FN8)
@@ -518,7 +522,10 @@ RECONCILE = [("allocated_budget", "total_allocated"), ("district", "district"),
     agg_rule_sql(f"reconcile:{m}", f"count_if(s.{sc} IS NOT NULL AND p.{m} <> s.{sc})", 0, 0,
                  "projects p JOIN stg_syip s ON p.upc = s.upc") for m, sc in RECONCILE]), "projects"))
 def q_dq_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(Q.reconcile(build.projects(spark, d), build.program(spark, d), "upc", RECONCILE))
+    # The program is staged once; both sides are written in buckets of the key and joined without a shuffle.
+    program = co_located(build.program(spark, d), "upc", "program")
+    merged = build.merge_with_provenance(program, build.outcome(spark, d), "upc").select("upc", *[m for m, _ in RECONCILE])
+    return rounded(Q.reconcile(co_located(merged, "upc", "projects"), program, "upc", RECONCILE))
 
 
 TOTAL_BOUNDS = (1e6, 1e13)

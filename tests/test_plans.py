@@ -24,3 +24,25 @@ def test_merge_pushes_date_filter_and_prunes_columns(spark, sf_dir):
     plan = _plan(entry.queries()["merge_projects"](spark, sf_dir))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
     assert "o_comment" not in plan and "o_clerk" not in plan
+
+
+def test_co_located_tables_join_without_shuffle(spark, sf_dir):
+    """Bucketed by the join key on both sides: no Exchange by key, with broadcasts off; same rows as a shuffle join."""
+    from pyspark.sql import functions as F
+
+    from projectpulse.operators import quality as Q
+    from projectpulse.plans import build
+    from projectpulse.plans.queries import RECONCILE
+    from projectpulse.sources.layout import co_located
+    program, projects = build.program(spark, sf_dir), build.projects(spark, sf_dir)
+    hot = program.withColumn("upc", F.when(F.col("upc") % 3 == 0, F.lit(7)).when(F.col("upc") % 3 == 1, None).otherwise(F.col("upc")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for source in (program, hot):
+            out = Q.reconcile(co_located(projects, "upc", "a"), co_located(source, "upc", "b"), "upc", RECONCILE)
+            plan = _plan(out)
+            assert "SortMergeJoin" in plan and "hashpartitioning" not in plan, plan
+            assert sorted(map(tuple, out.collect())) == sorted(map(tuple, Q.reconcile(projects, source, "upc", RECONCILE).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
