@@ -6,14 +6,19 @@
 domains, key overlap, reconciliation) build a one-row DataFrame each and are unioned
 in.  Nothing is collected: the result is a DataFrame the caller can show, write or
 assert on.
+
+``measured_write`` evaluates the same rules while a table is written, as observed metrics
+of the write itself, so they cost no pass of their own.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ["rule", "observed", "bound", "passed"]
@@ -120,6 +125,29 @@ def expect(df: DataFrame, rules) -> DataFrame:
         for i, r in enumerate(rules)])))
 
 
+def _holds(value: float | None, lo, hi) -> bool | None:
+    if value is None:
+        return None if lo is not None or hi is not None else True
+    return (lo is None or value >= lo) and (hi is None or value <= hi)
+
+
+def measured_write(df: DataFrame, rules, write: Callable[[DataFrame], object]) -> tuple[object, DataFrame]:
+    """What ``write`` returns for ``df``, and the results of the rules over the rows it wrote, one row per rule.
+
+    ``write`` is one action over all of its argument, such as a table write.  The rules' aggregates sit at the top
+    of its plan, so they run in the tasks that write, which Spark counts once each, also when a lost executor makes
+    them run again; below a shuffle they could be counted twice.  One row of numbers comes to the driver.
+    """
+    rules = list(rules)
+    if not rules:
+        raise ValueError("no rules")
+    watch = Observation(f"rules-{uuid.uuid4().hex}")
+    out = write(df.observe(watch, *[r.observed.alias(f"r{i}") for i, r in enumerate(rules)]))
+    seen = [watch.get[f"r{i}"] for i in range(len(rules))]
+    rows = [(r.name, None if v is None else float(v), r.bound_text(), _holds(v, r.lo, r.hi)) for r, v in zip(rules, seen)]
+    return out, df.sparkSession.createDataFrame(rows, "rule string, observed double, bound string, passed boolean")
+
+
 # ----------------------------------------------------------------- rules with their own plan
 
 def side_by_side(*one_row: DataFrame) -> DataFrame:

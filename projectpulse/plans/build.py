@@ -7,7 +7,10 @@ checkpoint folder, which cuts lineage and lets AQE plan joins from real sizes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from projectpulse.operators import kpi, variance
 from projectpulse.operators.cleaning import CONTRACT_SPEC, OUTCOME_SPEC, PROGRAM_SPEC, stage
@@ -27,6 +30,13 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_with_provenance(program(spark, sf_dir), outcome(spark, sf_dir), "upc")
 
 
+def measured(df: DataFrame, name: str, rules) -> tuple[DataFrame, DataFrame]:
+    """``df`` written to the shared checkpoint folder and read back, and the results of the rules, measured on the write."""
+    from projectpulse.operators.quality import measured_write
+    from projectpulse.sources.readers import materialize
+    return measured_write(df, rules, lambda d: materialize(d, df.sparkSession, name))
+
+
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variance.contract_variance(stage(fixtures.raw_contracts(spark, sf_dir), CONTRACT_SPEC))
 
@@ -49,19 +59,20 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
     of the new versions (``sources.tables.current`` finds them by name, too).
 
     Tables that later steps read (projects, contracts, KPI rates, features) are read
-    back from their written files, so each upstream plan runs once.
+    back from their written files, so each upstream plan runs once; rows are counted on the writes.
     """
-    from projectpulse.sources.readers import table_counts, write_table
+    from projectpulse.operators.quality import measured_write, row_count
+    from projectpulse.sources.readers import write_table
 
     paths: dict[str, str] = {}
+    counts: list[DataFrame] = []
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = write_table(df, f"{out_dir.rstrip('/')}/{name}")
+        paths[name], rows = measured_write(df, [row_count(name=name)], lambda d: write_table(d, f"{out_dir.rstrip('/')}/{name}"))
+        counts.append(rows)
         return spark.read.parquet(paths[name])
 
-    put("stg_syip", program(spark, sf_dir))
-    put("stg_dashboard", outcome(spark, sf_dir))
-    p = put("projects", projects(spark, sf_dir))
+    p = put("projects", merge_with_provenance(put("stg_syip", program(spark, sf_dir)), put("stg_dashboard", outcome(spark, sf_dir)), "upc"))
     c = put("stg_contracts", contracts(spark, sf_dir))
     cd = put("stg_contracts_distinct", contracts_distinct(c))
     rates = put("kpi_rates", kpi_rates(p))
@@ -69,7 +80,7 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
     put("kpi_schedule_variance_overall", kpi.schedule_overall(cd))
     put("kpi_schedule_variance_by_cut", kpi.schedule_by_cut(c, p))
     put("model_features", model_features(p, rates))
-    put("table_counts", table_counts({n: spark.read.parquet(v) for n, v in paths.items()}))
+    put("table_counts", reduce(DataFrame.unionByName, counts).select(F.col("rule").alias("table_name"), F.col("observed").cast("bigint").alias("n_rows")))
     return paths
 
 

@@ -223,6 +223,12 @@ def _projects_table(spark: SparkSession, d: str) -> DataFrame:
     return materialize(build.projects(spark, d), spark, "projects")
 
 
+def _staged_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The staged extracts written once, for queries that read them beside projects."""
+    from projectpulse.sources.readers import materialize
+    return materialize(build.program(spark, d), spark, "program"), materialize(build.outcome(spark, d), spark, "outcome")
+
+
 def _rates_table(spark: SparkSession, projects: DataFrame) -> DataFrame:
     """kpi_rates written once: the three bucket lookups read the few rows, not three aggregates."""
     from projectpulse.sources.readers import materialize
@@ -401,9 +407,11 @@ def q_src_named_inputs(spark: SparkSession, d: str) -> DataFrame:
     dq_sql(f"unique_key:{t}", "count(*) - count(DISTINCT upc)", "[0, 0]", "count(*) = count(DISTINCT upc)", t)
     for t in ("projects", "stg_syip", "stg_dashboard")]), "projects"))
 def q_dq_unique_key(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(Q.union_results([Q.unique_key(build.projects(spark, d), "upc", "unique_key:projects"),
-                                    Q.unique_key(build.program(spark, d), "upc", "unique_key:stg_syip"),
-                                    Q.unique_key(build.outcome(spark, d), "upc", "unique_key:stg_dashboard")]))
+    program, outcome = _staged_tables(spark, d)
+    projects = build.merge_with_provenance(program, outcome, "upc")
+    return rounded(Q.union_results([Q.unique_key(projects, "upc", "unique_key:projects"),
+                                    Q.unique_key(program, "upc", "unique_key:stg_syip"),
+                                    Q.unique_key(outcome, "upc", "unique_key:stg_dashboard")]))
 
 
 CASTS = [("TOTAL_ALLOCATIONS_CURRENT", "double"), ("TOTAL_EST_CURRENT", "double"), ("CURRENT_YEAR", "int"),
@@ -575,7 +583,8 @@ def q_dq_shares_sum(spark: SparkSession, d: str) -> DataFrame:
 def q_dq_kpi_n_matches(spark: SparkSession, d: str) -> DataFrame:
     p = _projects_table(spark, d)
     rates = build.kpi_rates(p)
-    cd = build.contracts_distinct(build.contracts(spark, d))
+    days = ["schedule_variance_days_actual", "schedule_variance_days_current"]
+    cd = R.materialize(build.contracts_distinct(build.contracts(spark, d)).select(*days), spark, "contracts-distinct")
     return rounded(Q.union_results([
         Q.counts_match("kpi_rates_overall_n", rates.where(F.col("cut_type") == "overall"), "n_rated",
                        p.where(F.col("data_source").isin(list(kpi.RATED)))),
@@ -1084,9 +1093,74 @@ def q_sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     ("stg_syip", "stg_dashboard", "projects", "stg_contracts", "contracts_distinct", "kpi_rates", "model_features")]),
     "projects", "contracts_distinct", "model_features"))
 def q_table_counts(spark: SparkSession, d: str) -> DataFrame:
-    p = _projects_table(spark, d)
-    c = build.contracts(spark, d)
-    rates = _rates_table(spark, p)
-    return R.table_counts({"stg_syip": build.program(spark, d), "stg_dashboard": build.outcome(spark, d),
-                           "projects": p, "stg_contracts": c, "contracts_distinct": build.contracts_distinct(c),
-                           "kpi_rates": rates, "model_features": build.model_features(p, rates)})
+    """Tables that later ones read are counted on their writes, contracts and distinct contracts by one aggregate,
+    the others by counts that read no more than their joins need."""
+    counts = []
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        out, rows = build.measured(df, name, [Q.row_count(name=name)])
+        counts.append(rows.select(F.col("rule").alias("table_name"), F.col("observed").cast("bigint").alias("n_rows")))
+        return out
+    p = put("projects", build.projects(spark, d))
+    rates = put("kpi_rates", build.kpi_rates(p))
+    per_contract = build.contracts(spark, d).groupBy("contract_id").agg(F.count(F.lit(1)).alias("n"))
+    counts.append(per_contract.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("contracts")).select(F.inline(F.array(
+        F.struct(F.lit("stg_contracts").alias("table_name"), F.coalesce("rows", F.lit(0)).alias("n_rows")),
+        F.struct(F.lit("contracts_distinct").alias("table_name"), F.col("contracts").alias("n_rows"))))))
+    counts.append(R.table_counts({"stg_syip": build.program(spark, d), "stg_dashboard": build.outcome(spark, d),
+                                  "model_features": build.model_features(p, rates)}))
+    return reduce(DataFrame.unionByName, counts)
+
+
+# ---------------------------------------------------------------- rules measured on the writes of the build (DQ1-9, DQ13-17)
+
+def _build_rules() -> dict[str, list]:
+    """table -> rules that are measured while the table is written."""
+    def shared(key: str) -> list:
+        return [Q.row_count(1, None, "not_empty"), Q.null_count(key)]
+    ds, ot, ob = F.col("data_source"), F.col("on_time_status"), F.col("on_budget_status")
+    projects = [Q.row_count(*ROW_BOUNDS), Q.null_count("district"), Q.non_null_share("project_type", 0.99),
+                Q.non_null_share("allocated_budget", 0.9), Q.non_null_share("current_estimate", 0.9),
+                Q.conditional_count("status_on_program_only", (ds == "syip_only") & (ot.isNotNull() | ob.isNotNull())),
+                Q.filtered_total("active_allocated_total", "allocated_budget", ds.isin(list(kpi.ACTIVE)), *TOTAL_BOUNDS)]
+    rates = [Q.out_of_range(c, 0, 1) for c in RATE_COLS]
+    rates += [Q.shares_sum_to_one([f"{p}_{lv}_rate" for lv in "gyr"], 1e-9, f"shares_sum:{p}") for p in ("on_time", "on_budget")]
+    return {"stg_syip": shared("upc"), "stg_dashboard": shared("upc"), "projects": shared("upc") + projects,
+            "kpi_rates": rates + Q.min_max("on_time_g_rate", 0, 1)}
+
+
+def _in_table(table: str, *rules: str) -> str:
+    return f"SELECT '{table}' AS table_name, rule, observed, bound, passed FROM ({union_sql(*rules)}) {table}_rules"
+
+
+def _key_rules_sql(table: str) -> list[str]:
+    return [agg_rule_sql("not_empty", "count(*)", 1, None, table), agg_rule_sql("null_count:upc", "count_if(upc IS NULL)", 0, 0, table)]
+
+
+@query("dq_build_report", with_ctes(union_sql(
+    _in_table("stg_syip", *_key_rules_sql("stg_syip")), _in_table("stg_dashboard", *_key_rules_sql("stg_dashboard")),
+    _in_table("projects", *_key_rules_sql("projects"), agg_rule_sql("row_count", "count(*)", *ROW_BOUNDS, "projects"),
+              agg_rule_sql("null_count:district", "count_if(district IS NULL)", 0, 0, "projects"),
+              *[agg_rule_sql(f"non_null_share:{c}", f"avg(CAST({c} IS NOT NULL AS INTEGER))", share, None, "projects")
+                for c, share in (("project_type", 0.99), ("allocated_budget", 0.9), ("current_estimate", 0.9))],
+              agg_rule_sql("status_on_program_only", "count_if(data_source = 'syip_only' AND (on_time_status IS NOT NULL "
+                           "OR on_budget_status IS NOT NULL))", 0, 0, "projects"),
+              agg_rule_sql("active_allocated_total", "coalesce(sum(CASE WHEN data_source IN ('both', 'syip_only') THEN allocated_budget END), 0.0)",
+                           *TOTAL_BOUNDS, "projects")),
+    _in_table("kpi_rates", *[agg_rule_sql(f"out_of_range:{c}", f"count_if({c} IS NOT NULL AND NOT ({c} >= 0 AND {c} <= 1))", 0, 0, "kpi_rates",
+                                          f"0 outside {fmt_bound(0, 1)}") for c in RATE_COLS],
+              *[agg_rule_sql(f"shares_sum:{p}", f"count_if(abs({p}_g_rate + {p}_y_rate + {p}_r_rate - 1) > 1e-09)", 0, 0, "kpi_rates",
+                             "0 rows off by more than 1e-09") for p in ("on_time", "on_budget")],
+              agg_rule_sql("min:on_time_g_rate", "min(on_time_g_rate)", 0, 1, "kpi_rates"),
+              agg_rule_sql("max:on_time_g_rate", "max(on_time_g_rate)", 0, 1, "kpi_rates"))), "projects", "kpi_rates"))
+def q_dq_build_report(spark: SparkSession, d: str) -> DataFrame:
+    """The rules of each table, measured as metrics of the write that builds it: no pass of their own."""
+    rules, results = _build_rules(), []
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        out, rows = build.measured(df, name, rules[name])
+        results.append(rows.withColumn("table_name", F.lit(name)))
+        return out
+    p = put("projects", build.merge_with_provenance(put("stg_syip", build.program(spark, d)), put("stg_dashboard", build.outcome(spark, d)), "upc"))
+    put("kpi_rates", build.kpi_rates(p))
+    return rounded(reduce(DataFrame.unionByName, results).select("table_name", "rule", "observed", "bound", "passed"))

@@ -353,3 +353,25 @@ def test_curves_over_ranges_equal_one_window(spark, monkeypatch):
 def test_scores_that_are_no_numbers_raise(spark):
     with pytest.raises(Exception, match="not a number"):
         E.roc_auc(spark.createDataFrame([(1, 0.5), (0, math.nan)], "label int, score double")).collect()
+
+
+def test_rules_measured_on_a_write_equal_a_pass(spark, tmp_path):
+    df = spark.createDataFrame([(1, "G", 0.5), (2, None, 1.5), (2, "X", None)], "k long, s string, x double").repartition(3)
+    rules = [Q.row_count(1, 10), Q.null_count("s"), Q.non_null_share("s", 0.5), Q.out_of_range("x", 0, 1), *Q.min_max("x", 0, 1),
+             Q.conditional_count("odd", F.col("k") % 2 == 1, 1, 1), Q.filtered_total("sum", "x", F.col("k") == 2, None, 1.0)]
+    path, got = Q.measured_write(df.groupBy("k", "s", "x").count(), rules, lambda d: d.write.parquet(str(tmp_path / "t")) or "written")
+    assert path == "written" and spark.read.parquet(str(tmp_path / "t")).count() == 3
+    assert got.collect() == Q.expect(df, rules).collect()
+    _, empty = Q.measured_write(df.where("k > 9"), rules, lambda d: d.write.parquet(str(tmp_path / "e")))
+    assert empty.collect() == Q.expect(df.where("k > 9"), rules).collect()
+
+
+def test_rules_are_not_measured_when_the_write_fails(spark, tmp_path):
+    broken = spark.range(3).select(F.raise_error("no").cast("long").alias("k"))
+    with pytest.raises(Exception, match="no"):
+        Q.measured_write(broken, [Q.row_count()], lambda d: d.write.parquet(str(tmp_path / "t")))
+
+
+def test_required_columns_tells_a_missing_one(spark):
+    got = {r.column_name: tuple(r) for r in Q.required_columns(spark.createDataFrame([(1, None)], "a int, b string"), ["a", "b", "c"], "in").collect()}
+    assert got == {"a": ("in", "a", True, 1, True), "b": ("in", "b", True, 0, True), "c": ("in", "c", False, None, False)}
