@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Without it every column function asks the JVM for its call site: most of a plan's building time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
