@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from projectpulse.llm.bytesops import ragged
-from projectpulse.llm.common import id_text, table
+from projectpulse.llm.common import by_pandas, id_text, table
 from projectpulse.llm.pretokens import Encoder
 
 NO_RANK = np.int32(2**31 - 1)
@@ -204,8 +204,7 @@ def encode_column(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text
             for i, ids, _ in encoded(pdf["text"], vocab, encoder):
                 parts[i].append(ids)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [np.concatenate(p).astype(np.int32) for p in parts]})
-    kind = docs.schema[id_col].dataType.simpleString()
-    return id_text(docs, id_col, text_col).mapInPandas(run, f"doc_id {kind}, ids array<int>")
+    return by_pandas(id_text(docs, id_col, text_col), run, "ids array<int>")
 
 
 def decode_column(encoded_docs: DataFrame, ranks_path: str) -> DataFrame:
@@ -214,8 +213,7 @@ def decode_column(encoded_docs: DataFrame, ranks_path: str) -> DataFrame:
         vocab = vocabulary(ranks_path)
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "bytes": [vocab.decode(np.asarray(i, np.int64)) for i in pdf["ids"]]})
-    kind = encoded_docs.schema["doc_id"].dataType.simpleString()
-    return encoded_docs.mapInPandas(run, f"doc_id {kind}, bytes binary")
+    return by_pandas(encoded_docs, run, "bytes binary")
 
 
 def digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,9 +233,7 @@ def digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col:
                     count, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), out], axis=1)
-    kind = docs.schema[id_col].dataType.simpleString()
-    return id_text(docs, id_col, text_col).mapInPandas(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return by_pandas(id_text(docs, id_col, text_col), run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str, ranks_path: str | None = None) -> DataFrame:

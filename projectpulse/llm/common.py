@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -19,8 +19,13 @@ from projectpulse.session import scratch_path
 WHITESPACE = r"[\x20\x09-\x0D]+"  # ASCII white space, as byte and as character class
 
 
+#: Arrow batches between Spark and Python hold at most about this many bytes: texts differ in length.
+BATCH_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_code(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,6 +43,14 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
 
+def by_pandas(rows: DataFrame, run: Callable, schema: str, id_col: str = "doc_id") -> DataFrame:
+    """``rows.mapInPandas`` for rows with an id, which comes first in the result, before the columns of ``schema``.
+    The id passes as text: pandas makes doubles of whole numbers next to a null, which changes them above 2**53."""
+    kind = rows.schema[id_col].dataType
+    out = rows.withColumn(id_col, F.col(id_col).cast("string")).mapInPandas(run, f"{id_col} string, {schema}")
+    return out.withColumn(id_col, F.col(id_col).cast(kind))
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

@@ -21,7 +21,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from projectpulse.llm.common import ship_code, table
+from projectpulse.llm.common import by_pandas, ship_code, table
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -366,9 +366,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
             texts = [page_text(h) for h in pdf["html"]]
             yield pd.DataFrame({"page_id": pdf["page_id"], "text": texts, "n_chars": [len(t) for t in texts],
                                 "n_lines": [t.count("\n") + 1 if t else 0 for t in texts]})
-    kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(pages[id_col].alias("page_id"), pages[html_col].alias("html"))
-    return rows.mapInPandas(run, f"page_id {kind}, text string, n_chars long, n_lines long")
+    return by_pandas(rows, run, "text string, n_chars long, n_lines long", "page_id")
 
 
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

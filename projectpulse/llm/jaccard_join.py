@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from projectpulse.llm.bytesops import Words, mix
-from projectpulse.llm.common import id_text, ship_code, slices, table, written
+from projectpulse.llm.common import by_pandas, id_text, ship_code, slices, table, written
 
 N = 3
 THRESHOLD = 90  # percent
@@ -156,8 +156,7 @@ def memberships(docs: DataFrame, n: int = N) -> DataFrame:
         for pdf in (part for batch in batches for part in slices(batch, "text")):
             sets = shingle_sets(pdf["text"].fillna("").tolist(), n)
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": [len(s) for s in sets], "name": [set_name(s) for s in sets]})
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(run, f"doc_id {kind}, n_shingles long, name binary")
+    return by_pandas(docs, run, "n_shingles long, name binary")
 
 
 def signature_rows(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from projectpulse.llm.bytesops import Words, mix
-from projectpulse.llm.common import crc_mod, ship_code, table, written
+from projectpulse.llm.common import by_pandas, crc_mod, has_locator, ship_code, table, written
 from projectpulse.llm.exchange import Blocks, pack_counts, unpack_counts
 
 END = np.uint64(0x5E0D5E0D5E0D5E0D)
@@ -90,19 +90,23 @@ def counted(docs: DataFrame, train: Column, tune: Column, id_col: str = "doc_id"
     training tokens instead."""
     spark = docs.sparkSession
     ship_code(spark)
-    rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
-                       F.coalesce(train, F.lit(True)).alias("train"), F.coalesce(tune, F.lit(False)).alias("tune"))
+    rows = docs.select(docs[id_col].cast("string").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
+                       F.coalesce(train, F.lit(True)).alias("train"), F.coalesce(tune, F.lit(False)).alias("tune"),
+                       *([F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("at")] if has_locator(docs) else []))
+    if "at" not in rows.columns:
+        rows = written(rows, "lm-input").select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("at"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, math.ceil(size / SHARD_BYTES))
     blocks = Blocks(max(1, math.ceil(size / REDUCER_BYTES)))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards).cast("long")).cast("int"))
-    kind = docs.schema[id_col].dataType.simpleString()
+    # By the place of a row in its file: repeated rows are dealt like others, and a row that is read again goes the same way.
+    rows = rows.withColumn("shard", F.pmod(F.col("at"), F.lit(shards).cast("long")).cast("int")).drop("at")
+    kind = docs.schema[id_col].dataType  # ids pass as text: pandas makes doubles of them next to a null
 
     def squeeze(batches):  # texts cross the network compressed
         for pdf in batches:
             pdf["text"] = [zlib.compress(t.encode("utf-8", "replace"), 1) for t in pdf["text"]]
             yield pdf
-    rows = rows.mapInPandas(squeeze, f"doc_id {kind}, text binary, train boolean, tune boolean, shard int")
+    rows = rows.mapInPandas(squeeze, "doc_id string, text binary, train boolean, tune boolean, shard int")
 
     def prepare(pdf):
         keys, pairs, counts = tokens([zlib.decompress(t) for t in pdf["text"]])
@@ -147,8 +151,8 @@ def counted(docs: DataFrame, train: Column, tune: Column, id_col: str = "doc_id"
     replies = (rows.groupBy("shard").applyInPandas(ask, Blocks.REQUEST_SCHEMA)
                .groupBy("reducer").applyInPandas(answer, Blocks.REPLY_SCHEMA))
     out = rows.groupBy("shard").cogroup(replies.groupBy("shard")).applyInPandas(
-        place, f"doc_id {kind}, train boolean, tune boolean, n long, c1 binary, c2 binary, h1 binary, h2 binary, distinct long")
-    return written(out, "lm-counts")
+        place, "doc_id string, train boolean, tune boolean, n long, c1 binary, c2 binary, h1 binary, h2 binary, distinct long")
+    return written(out.withColumn("doc_id", F.col("doc_id").cast(kind)), "lm-counts")
 
 
 def _joined(arrays) -> np.ndarray:
@@ -233,9 +237,8 @@ def score(counts: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "train": pdf["train"], "n_tokens": size,
                                 "n_known": total((c1 > 0).astype(np.int64)), "train_tokens": n,
                                 "base_score": total(base), "score": total(np.log10(p))})
-    kind = counts.schema["doc_id"].dataType.simpleString()
-    return counts.where("distinct is null").select("doc_id", "train", "n", "c1", "c2").mapInPandas(
-        run, f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return by_pandas(counts.where("distinct is null").select("doc_id", "train", "n", "c1", "c2"), run,
+                     "train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

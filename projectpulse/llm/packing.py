@@ -5,13 +5,13 @@ lengths).  Pieces go in decreasing order; each goes into the open sequence that
 every constraint, either by the least weighted norm of the residual capacities that it would leave
 or by the greatest weighted dot-product of its needs with the residual capacities.
 
-Pieces are dealt by hash into buckets of about ``bucket_pieces`` and each bucket is packed by a
+Pieces are dealt evenly into buckets of about ``bucket_pieces`` and each bucket is packed by a
 task of its own.  A bucket leaves about one sequence partly filled, so the loss against packing
 all pieces at once is some hundredths of a percent, whatever the size of the input.
 
 Edge cases: a null text is empty and still gives the closing id.  Null and repeated ids: every row
 is packed as a document of its own.  Long documents give as many pieces as they need; the first is
-the one that may be shorter.  Pieces with equal needs are ordered by id and piece.  An empty table
+the one that may be shorter.  Pieces with equal needs are ordered by id (as text) and piece.  An empty table
 gives an empty result; extra columns are ignored.
 """
 
@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from projectpulse.llm.common import id_text, table, written
+from projectpulse.llm.common import by_pandas, id_text, table, written
 from projectpulse.llm.pretokens import Encoder
 
 END_ID = 0
@@ -86,9 +86,7 @@ def cut(docs: DataFrame, tokenizer_path: str, size: int, id_col: str = "doc_id",
             out = pd.DataFrame(rows, columns=["at", "piece", "start", "length", "ids_crc32"])
             out.insert(0, "doc_id", pdf["doc_id"].reset_index(drop=True).reindex(out["at"]).to_numpy())
             yield out.drop(columns="at")
-    kind = docs.schema[id_col].dataType.simpleString()
-    return id_text(docs, id_col, text_col).mapInPandas(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return by_pandas(id_text(docs, id_col, text_col), run, "piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, cap: Capacity) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +134,9 @@ def pack(pieces: DataFrame, cap: Capacity = Capacity(), bucket_pieces: int = 20_
     """Add sequence_id and offset to pieces (doc_id, piece, length, ...).  Reads them twice, so
     they should be a written table."""
     buckets = max(1, round(pieces.count() / bucket_pieces))
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(*pieces.columns), F.lit(buckets).cast("long")))
+    # By the place of a row in the table, so that repeated rows are dealt like others; the id passes as text (``by_pandas``).
+    dealt = pieces.withColumns({"bucket": F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets).cast("long")),
+                                "doc_id": F.col("doc_id").cast("string")})
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece"], kind="stable").reset_index(drop=True)
@@ -144,8 +144,9 @@ def pack(pieces: DataFrame, cap: Capacity = Capacity(), bucket_pieces: int = 20_
         pdf["sequence_id"] = (pdf["bucket"].to_numpy() << 32) + sequence
         pdf["offset"] = offset
         return pdf.drop(columns="bucket")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return dealt.groupBy("bucket").applyInPandas(run, schema)
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema} | {"doc_id": "string"}
+    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", sequence_id long, offset long"
+    return dealt.groupBy("bucket").applyInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast(pieces.schema["doc_id"].dataType))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, cap: Capacity = Capacity(), id_col: str = "doc_id",

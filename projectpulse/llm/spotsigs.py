@@ -26,10 +26,12 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from projectpulse.llm.bytesops import Words, mix
-from projectpulse.llm.common import id_text, ship_code, slices, table, text_or_empty
+from projectpulse.llm.common import by_pandas, id_text, ship_code, slices, table, text_or_empty
 
 # Common words of English, German, French and Spanish.
 COMMON = (
@@ -44,7 +46,7 @@ CHAIN = 2
 GAP = rb"\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f"
 #: After so many words without a common word, each further word is an anchor itself, until the next common one.
 DROUGHT = 8
-BUCKET_ROWS = 20_000
+BUCKET_ROWS, BUCKET_BYTES = 20_000, 32 << 20
 
 
 class Spotter:
@@ -113,8 +115,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for pdf in (part for batch in batches for part in slices(batch, "text")):
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "signatures": [
                 s.astype(np.int64) for s in spotter.signatures(pdf["text"].fillna("").tolist())]})
-    kind = docs.schema[id_col].dataType.simpleString()
-    return id_text(docs, id_col, text_col).mapInPandas(run, f"doc_id {kind}, signatures array<long>")
+    return by_pandas(id_text(docs, id_col, text_col), run, "signatures array<long>")
 
 
 def similar_pairs(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -141,23 +142,25 @@ def similar_pairs(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id
     return members.select("doc_id", "class_id"), pairs
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS,
+              bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, text and next_text: the text of the following document in descending order of ids,
-    after the last the first.  Ids are dealt into ranges of about ``bucket_rows``; each range also
+    after the last the first.  Ids are dealt into ranges of about ``bucket_rows`` and ``bucket_bytes``; each range also
     gets the first row of the range that follows, so no task sees more than its range."""
     rows = docs.select(docs[id_col].alias("doc_id"), text_or_empty(docs[text_col]).alias("text"))
-    count, = rows.agg(F.count("*")).first()
-    ranges = max(1, min(10_000, round(count / bucket_rows)))
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    ranges = max(1, round(count / bucket_rows), round(size / bucket_bytes))
     cuts = []
     if ranges > 1:
         at = [k / ranges for k in range(1, ranges)]
         cuts = sorted(set(rows.agg(F.percentile_approx("doc_id", at, 20 * ranges)).first()[0] or []))
     edges = np.array(cuts)
 
-    def deal(ids):
-        return pd.Series(np.where(ids.isna(), -1, np.searchsorted(edges, ids.fillna(0).to_numpy(), side="left"))).astype("int32")
-    deal.__annotations__ = {"ids": pd.Series, "return": pd.Series}
-    rows = rows.withColumn("bucket", F.pandas_udf(deal, "int")("doc_id"))
+    def deal(ids):  # Arrow keeps whole numbers next to nulls as they are
+        at = np.searchsorted(edges, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="left")
+        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), -1, at), pa.int32())
+    deal.__annotations__ = {"ids": pa.Array, "return": pa.Array}
+    rows = rows.withColumn("bucket", F.arrow_udf(deal, "int")("doc_id"))
     heads = sorted(rows.groupBy("bucket").agg(F.max("doc_id").alias("head")).collect(), key=lambda r: -r.bucket)
     if not heads:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
@@ -196,9 +199,8 @@ def compare_edits(rows: DataFrame) -> DataFrame:
                 "fingerprint": [as_text(s) for s in sigs[:n]], "edited_fingerprint": [as_text(s) for s in sigs[n:2 * n]],
                 "near_edited": [jaccard(a, b) for a, b in zip(sigs[:n], sigs[n:2 * n])],
                 "near_next": [jaccard(a, b) for a, b in zip(sigs[:n], nexts)]})
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
-                                 "edited_fingerprint string, near_edited double, near_next double")
+    return by_pandas(rows, run, "n_chars long, edited_sha256 string, fingerprint string, "
+                                "edited_fingerprint string, near_edited double, near_next double")
 
 
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,14 +36,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from projectpulse.llm.bytesops import Spans, chunks, joined, mix
-from projectpulse.llm.common import id_text, ship_code, table, written
+from projectpulse.llm.common import by_pandas, id_text, ship_code, table, written
 from projectpulse.llm.exchange import Blocks
 
 LENGTH = 400
 FIRST, HALF = 100, 200
 WINDOW, GRAM = 64, 16
 SEGMENT = 1 << 20
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 #: Texts with removed bytes go to the last scan as a broadcast up to so many bytes; beyond, by a shuffle join.
 BROADCAST_BYTES = 16 << 20
 PAIR, GAP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x2545F4914F6CDD1D)
@@ -387,7 +387,6 @@ def keep_mask(size: int, spans) -> np.ndarray:
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     rows = id_text(docs, id_col, text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for pdf in batches:
@@ -400,8 +399,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield out
     marked_rows = with_removals(rows, removals(docs.sparkSession, rows))
-    return marked_rows.select("doc_id", "text", "spans").mapInPandas(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return by_pandas(marked_rows.select("doc_id", "text", "spans"), run, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cleaned(docs: DataFrame, text_col: str = "text") -> DataFrame:
