@@ -1019,6 +1019,51 @@ def q_trained_risk_scores(spark: SparkSession, d: str) -> DataFrame:
     return X.score_and_explain(FT.active_rows(mf), model)
 
 
+@query("model_floor", with_ctes(
+    "SELECT m.model, count(DISTINCT t.fold) AS n_folds, true AS beats_floor "
+    f"FROM ({OOF_FOLDS} FROM training) t CROSS JOIN (VALUES ('logistic_regression'), ('{FINAL}')) m(model) GROUP BY m.model", "training"))
+def q_model_floor(spark: SparkSession, d: str) -> DataFrame:
+    """The floor on the trained models: whether the mean out-of-fold AUC of the candidate and of the final logistic
+    regression, as fitted here, exceeds 0.65.  The flag comes from the fitted models' scores."""
+    train = FT.training_rows(_features_table(spark, d))
+    oof = R.materialize(M.cross_validate(train, COMPARED[:1]).unionByName(
+        M.cross_validate(train, COMPARED[:1], drop_first=True, model_name=FINAL)), spark, "oof-scores")
+    folds = oof.groupBy("model").agg(F.count_distinct("fold").alias("n_folds"))
+    return model_comparison(oof).select("model", "beats_floor").join(folds, "model").select("model", "n_folds", "beats_floor")
+
+
+@query("tree_models", with_ctes(
+    "SELECT 'decision_tree' AS model, 1 AS n_trees, true AS depth_within, count(*) AS n_rows, CAST(sum(at_risk) AS BIGINT) AS n_positive, "
+    "CAST(0 AS BIGINT) AS n_leaves_off, true AS within_leaf_bound FROM training "
+    "UNION ALL SELECT m, n, true, count(*), CAST(sum(at_risk) AS BIGINT), NULL, true FROM training "
+    "CROSS JOIN (VALUES ('random_forest', 300), ('gradient_boosting', 100)) v(m, n) GROUP BY m, n", "training"))
+def q_tree_models(spark: SparkSession, d: str) -> DataFrame:
+    """The tree models fitted on all training rows: number of trees, whether all keep to their depth and to the leaves
+    that it allows, and the rows and positives that they score.  Of the single tree every leaf is checked on the rows
+    themselves: its probability must be the share of positives among the rows that fall into it."""
+    from pyspark.ml import Pipeline
+    train = FT.training_rows(_features_table(spark, d))
+    prep = M.fit_prep(train, drop_first=False)
+    rows = R.materialize(Pipeline(stages=M.preparation(prep)).fit(train).transform(M.with_label(train)).select("label", "features"), spark, "vectors")
+    parts = []
+    for name, estimator in M.candidate_estimators(prep.n_rows).items():
+        if name == "logistic_regression":
+            continue
+        fitted = estimator.fit(rows)
+        trees = [fitted] if name == "decision_tree" else fitted.trees
+        deepest = estimator.getMaxDepth()
+        scored = fitted.transform(rows)
+        p = M.positive_probability(scored)
+        per_leaf = scored.groupBy(p.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
+        off = F.count_if(F.abs(F.col("pos") / F.col("n") - F.col("p")) > 1e-9)
+        parts.append(per_leaf.agg(F.sum("n").alias("n_rows"), F.sum("pos").cast("bigint").alias("n_positive"),
+                                  (off if name == "decision_tree" else F.max(F.lit(None).cast("bigint"))).alias("n_leaves_off")).select(
+            F.lit(name).alias("model"), F.lit(len(trees)).alias("n_trees"), F.lit(all(t.depth <= deepest for t in trees)).alias("depth_within"),
+            "n_rows", "n_positive", "n_leaves_off",
+            F.lit(all((t.numNodes + 1) // 2 <= 2 ** deepest for t in trees)).alias("within_leaf_bound")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("compare_models", with_ctes(
     "SELECT m.model, count(*) AS n_rows, count(DISTINCT fold) AS n_folds, CAST(sum(label) AS BIGINT) AS n_positive, "
     "true AS metrics_in_range, true AS curve_complete, true AS pooled_auc_in_range "

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from projectpulse.plans.queries import REGISTRY as CORE
 
-FITTED = {"compare_models", "oof_scores", "train_logistic", "score_trained"}
+FITTED = {"compare_models", "oof_scores", "train_logistic", "score_trained", "model_floor", "tree_models"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
