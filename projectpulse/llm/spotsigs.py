@@ -171,7 +171,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
               .groupBy("target").agg(F.min("text").alias("text"))
               .select(F.lit(None).cast(kind).alias("doc_id"), "text", F.col("target").alias("bucket"), F.lit(True).alias("guard")))
     order = W.partitionBy("bucket").orderBy("guard", F.desc_nulls_last("doc_id"), "text")
-    return (rows.withColumn("guard", F.lit(False)).unionByName(guards)
+    # One task for each range: dealt by hash, several ranges would meet in one.
+    return (rows.withColumn("guard", F.lit(False)).unionByName(guards).repartitionByRange(len(heads), "bucket")
             .withColumn("next_text", F.lead("text").over(order)).where("not guard")
             .select("doc_id", "text", "next_text"))
 
