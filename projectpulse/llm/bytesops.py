@@ -13,7 +13,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
 #: Texts are handled in chunks of about this many bytes; a longer text is cut or gets a chunk alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
