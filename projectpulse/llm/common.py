@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -16,6 +17,19 @@ from pyspark.errors import AnalysisException
 import projectpulse
 from projectpulse.session import scratch_path
 
+def _return_memory() -> None:
+    """Python workers live on between tasks and stages.  By default the C library keeps ever larger freed arrays for
+    later use; with fixed limits those from 4 MB up go back at once, and the free end of the heap beyond 16 MB."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 16 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError, TypeError):  # another C library
+        pass
+
+
+_return_memory()
+
 WHITESPACE = r"[\x20\x09-\x0D]+"  # ASCII white space, as byte and as character class
 
 

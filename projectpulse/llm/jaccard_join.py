@@ -22,8 +22,8 @@ query op8; other callers give their own.
    difference of two sets from below, and what is left is compared token by token.  A pair of
    groups gives the links of a spanning forest only.
 
-So no link between components is lost; no task holds a whole signature, cluster or component; and
-what is shuffled is a set per chunk or pair of groups.
+So no link between components is lost; no task holds a whole cluster or component; and what is shuffled is a
+set per chunk or pair of groups.  The names of one signature, 16 bytes each, are sorted in one task (``_met``).
 
 Edge cases: a null text, one without words and an empty one have the empty set and are alone.  A
 text with fewer than n words has its whole word sequence as its only shingle.  Null ids: the

@@ -17,6 +17,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +47,9 @@ class Capacity:
 
 @cache
 def tokenizer(path: str):
-    """Encoder of byte strings by a tokenizer file, and the whole tokenizer."""
+    """Encoder of byte strings by a tokenizer file, and the whole tokenizer.  A task has one core: the library's
+    own threads would take those of other tasks and wait for each other."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)

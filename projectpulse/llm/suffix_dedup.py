@@ -9,8 +9,8 @@ sampled positions and the positions between them are settled afterwards, exactly
 * Length 100: anchors are ranked by their first 100 bytes.  A string can only repeat if all anchors
   well inside it are shared; what remains are the candidate regions, a small part of the corpus.
 * Length 200, 400: the positions ``a`` and ``a + 200`` of the regions' anchors are ranked by 200
-  bytes; pairs of ranks at offset 200 give the ranks by 400 bytes.  In each round Spark sorts the
-  keys by range, ranks those that occur twice, and unique ones leave.
+  bytes; pairs of ranks at offset 200 give the ranks by 400 bytes.  In each round the reducer of a range
+  of keys (``exchange``, no Spark sort) ranks those that occur twice, and unique ones leave.
 * Past the threshold: pairs of the ranks of neighbouring anchors (with their distance) tell whether
   the string from one anchor to 400 bytes after the next repeats; then every start between them
   repeats.
