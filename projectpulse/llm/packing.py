@@ -17,6 +17,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Iterator
@@ -32,6 +33,8 @@ from projectpulse.llm.common import by_pandas, id_text, table, written
 from projectpulse.llm.pretokens import Encoder
 
 END_ID = 0
+#: Distinct matches whose ids a worker remembers: some 150 MB.
+KNOWN = 1_200_000
 
 
 @dataclass(frozen=True)
@@ -55,10 +58,14 @@ def tokenizer(path: str):
     tok = Tokenizer.from_file(path)
 
     def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tok.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+        gc.disable()  # the collector would walk over hundreds of thousands of small lists again and again
+        try:
+            ids = [e.ids for e in tok.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+        finally:
+            gc.enable()
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    return Encoder(encode), tok, special
+    return Encoder(encode, KNOWN), tok, special
 
 
 def token_parts(texts: list[str], path: str) -> Iterator[tuple[int, np.ndarray, bool]]:

@@ -158,11 +158,13 @@ class Encoder:
         split = Split(texts)
         if len(self.known) > self.keep:
             self._clear()
-        unseen = [w for w in split.distinct if w not in self.known]
+        numbers, first = list(map(self.known.get, split.distinct)), len(self.known)
+        unseen = [w for w, k in zip(split.distinct, numbers) if k is None]
         if unseen:
             self._learn(unseen)
-        known = self.known
-        at = np.fromiter((known[w] for w in split.distinct), np.int64, len(split.distinct))[split.codes]
+            fresh = iter(range(first, len(self.known)))  # numbers go on in the order of the words
+            numbers = [next(fresh) if k is None else k for k in numbers]
+        at = np.array(numbers, np.int64)[split.codes]
         lengths = self.size[at]
         ids = self.flat[ragged(self.start[at], lengths)]
         sums = np.concatenate([[0], np.cumsum(lengths)])
