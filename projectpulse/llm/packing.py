@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from projectpulse.llm.common import by_pandas, id_text, table, written
-from projectpulse.llm.pretokens import Encoder
+from projectpulse.llm.pretokens import CHUNK, Encoder
 
 END_ID = 0
 #: Distinct matches whose ids a worker remembers: some 150 MB.
@@ -68,24 +68,26 @@ def tokenizer(path: str):
     return Encoder(encode, KNOWN), tok, special
 
 
-def token_parts(texts: list[str], path: str) -> Iterator[tuple[int, np.ndarray, bool]]:
+def token_parts(texts: list[str], path: str, chunk: int = CHUNK) -> Iterator[tuple[int, np.ndarray, bool]]:
     """Parts of each text's ids in order.  Texts that hold a special token's string go through the
-    tokenizer whole; all others by their distinct matches, which gives the same ids."""
+    tokenizer whole; all others by their distinct matches, which gives the same ids, in chunks of so many characters:
+    smaller ones take less memory and more time."""
     encoder, tok, special = tokenizer(path)
     odd = [i for i, t in enumerate(texts) if any(s in t for s in special)]
     for i in odd:
         yield i, np.array(tok.encode(texts[i], add_special_tokens=False).ids, np.uint32), True
     even = [i for i in range(len(texts)) if i not in set(odd)] if odd else range(len(texts))
-    for k, ids, last in encoder.stream([texts[i] for i in even]):
+    for k, ids, last in encoder.stream([texts[i] for i in even], chunk):
         yield even[k], ids, last
 
 
-def cut(docs: DataFrame, tokenizer_path: str, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut(docs: DataFrame, tokenizer_path: str, size: int, id_col: str = "doc_id", text_col: str = "text",
+        chunk: int = CHUNK) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document, closing id included."""
     def run(batches):
         for pdf in batches:
             rows, held = [], {}
-            for i, ids, last in token_parts([t or "" for t in pdf["text"]], tokenizer_path):
+            for i, ids, last in token_parts([t or "" for t in pdf["text"]], tokenizer_path, chunk):
                 held.setdefault(i, []).append(ids)
                 if last:
                     ids = np.concatenate([*held.pop(i), [END_ID]]).astype("<u4")
@@ -160,8 +162,8 @@ def pack(pieces: DataFrame, cap: Capacity = Capacity(), bucket_pieces: int = 20_
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, cap: Capacity = Capacity(), id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    return pack(written(cut(docs, tokenizer_path, cap.tokens, id_col, text_col), "pack-pieces"), cap)
+                   text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    return pack(written(cut(docs, tokenizer_path, cap.tokens, id_col, text_col, chunk), "pack-pieces"), cap)
 
 
 def op1_pack(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
