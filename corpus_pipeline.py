@@ -28,6 +28,8 @@ def min_score(languages: int) -> float:
 
 #: The least score where there is one language.
 MIN_SCORE = min_score(1)
+#: Characters that the packing stage tokenizes at a time: workers of the stages before it still hold memory.
+PACK_CHUNK = 1 << 19
 #: Near copies share at least so many percent of their shingles of so many words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
@@ -87,7 +89,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of every document that is left, packed into sequences."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), chunk=PACK_CHUNK)
 
 
 STAGES = [
