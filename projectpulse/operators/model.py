@@ -357,6 +357,14 @@ def candidate_estimators(n_rows: int) -> dict:
     }
 
 
+def without_summary(model):
+    """A fitted classifier without its training summary.  A summary holds the session, which cannot be sent to tasks
+    any more once anything has been observed in it (``quality.measured_write``): scoring would fail."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def build_pipeline(prep: Prep, estimator) -> Pipeline:
     return Pipeline(stages=[*preparation(prep), estimator])
 
@@ -392,7 +400,7 @@ def train_logistic(train: DataFrame, drop_first: bool = True) -> LinearModel:
     prep = fit_prep(train, drop_first=drop_first)
     lr = candidate_estimators(prep.n_rows)["logistic_regression"]
     pm = build_pipeline(prep, lr).fit(with_label(train))
-    fitted = [float(c) for c in pm.stages[-1].coefficients.toArray()]
+    fitted = [float(c) for c in without_summary(pm.stages[-1]).coefficients.toArray()]
     numbers = prep.numeric_features()
     table = spark.createDataFrame(list(enumerate(fitted[:numbers[0][0]])), "idx int, coef double")
     levels = materialize(prep.level_features().join(table, "idx").select("column_name", "level", "idx", "coef"), spark, "coefficients")
@@ -469,7 +477,7 @@ def cross_validate(train: DataFrame, estimator_names, k: int = 5, drop_first: bo
 
     def fit_one(task):
         i, name = task
-        fitted = candidate_estimators(preps[i].n_rows)[name].fit(encoded[i].where(F.col("fold") != i))
+        fitted = without_summary(candidate_estimators(preps[i].n_rows)[name].fit(encoded[i].where(F.col("fold") != i)))
         pred = fitted.transform(encoded[i].where(F.col("fold") == i))
         return pred.select(F.lit(model_name or name).alias("model"), key, "fold",
                            F.col("label").cast("int").alias("label"), positive_probability(pred).alias("score"))

@@ -1049,7 +1049,7 @@ def q_tree_models(spark: SparkSession, d: str) -> DataFrame:
     for name, estimator in M.candidate_estimators(prep.n_rows).items():
         if name == "logistic_regression":
             continue
-        fitted = estimator.fit(rows)
+        fitted = M.without_summary(estimator.fit(rows))
         trees = [fitted] if name == "decision_tree" else fitted.trees
         deepest = estimator.getMaxDepth()
         scored = fitted.transform(rows)

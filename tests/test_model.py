@@ -130,3 +130,15 @@ def test_many_levels_train_and_score_the_same_from_disk(spark, tmp_path):
     assert j.n == 210 and j.d < 1e-9
     gradient = M.loss_gradient(rows, model).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("gradient")).alias("g")).first()
     assert gradient.n == n + 3 and gradient.g < 1e-6 * 2 * n
+
+
+def test_models_score_after_something_was_observed(spark):
+    """Spark sends a fitted model with its summary, and with it the session, which holds what was observed."""
+    from projectpulse.operators import quality as Q
+    Q.measured_write(spark.range(3), [Q.row_count()], lambda d: d.write.format("noop").mode("overwrite").save())
+    rows = _rows_with_folds(spark, 200).select("upc", F.col("t").alias("project_type_bucketed"), F.lit("x").alias("road_system_bucketed"),
+                                               F.lit("y").alias("district_bucketed"), F.col("v").alias("log_allocated_budget"), "at_risk")
+    oof = M.cross_validate(rows, ["logistic_regression", "decision_tree"], k=2)
+    assert oof.count() == 2 * rows.count()
+    model = M.train_logistic(rows)
+    assert model.pipeline.transform(M.with_label(rows)).select("probability").count() == rows.count()
