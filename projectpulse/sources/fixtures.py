@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from projectpulse.operators.joins import BROADCAST_MAX_ROWS
+from projectpulse.sources.layout import tasks_for
 from projectpulse.sources.readers import read_table
 
 # Fixed values of the extract recipe.
@@ -124,14 +126,25 @@ def raw_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def contract_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Over how many tasks the contract sheet is spread (rows come from the files' footers)."""
+    return tasks_for(read_table(spark, sf_dir, "lineitem").count())
+
+
 def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract sheet at grain (contract, project), typed as a workbook reader gives it."""
+    """Contract sheet at grain (contract, project), typed as a workbook reader gives it.
+
+    Pairs of keys are few bytes and become wide rows, which the aggregates that follow sort: they are dealt over a
+    number of tasks that grows with the rows, after the join as well where that may be a shuffle of its own."""
     li = read_table(spark, sf_dir, "lineitem")
+    tasks = contract_tasks(spark, sf_dir)
     pairs = (li.select((F.col("l_partkey") * 10 + F.col("l_orderkey") % 10).alias("k"),
                        F.col("l_orderkey").alias("upc"), F.col("l_partkey"))
-             .distinct())
+             .repartition(tasks, "k", "upc", "l_partkey").distinct())
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_brand")
     x = pairs.join(part, pairs.l_partkey == part.p_partkey)
+    if part.count() > BROADCAST_MAX_ROWS:
+        x = x.repartition(tasks, "k", "upc")
     k = F.col("k")
     price = F.col("p_retailprice")
     epoch = F.lit(CONTRACT_EPOCH).cast("date")

@@ -1,4 +1,6 @@
-"""Co-located tables: bucketed and sorted by a key, so that joins on it need no shuffle.
+"""How rows are dealt over tasks.
+
+Co-located tables: bucketed and sorted by a key, so that joins on it need no shuffle.
 
 Tables with the same number of buckets hold equal keys in buckets of the same number, one
 sorted file each; Spark joins them bucket by bucket, without an Exchange.  (It still plans a
@@ -8,6 +10,7 @@ is written, for all joins that follow.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -15,6 +18,15 @@ from pyspark.sql import DataFrame
 from projectpulse.session import scratch_path
 
 
+#: Rows of a task where narrow rows are made wide: AQE cuts tasks by the compressed bytes that it read, which are few there.
+TASK_ROWS = 250_000
+
+
+def tasks_for(rows: int) -> int:
+    """Tasks for so many rows: their number grows with the rows, what one holds does not."""
+    return max(1, math.ceil(rows / TASK_ROWS))
+
+
 def bucket_count(df: DataFrame) -> int:
     """As many buckets as the session has shuffle partitions: the same for all tables of a session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

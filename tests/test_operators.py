@@ -375,3 +375,29 @@ def test_rules_are_not_measured_when_the_write_fails(spark, tmp_path):
 def test_required_columns_tells_a_missing_one(spark):
     got = {r.column_name: tuple(r) for r in Q.required_columns(spark.createDataFrame([(1, None)], "a int, b string"), ["a", "b", "c"], "in").collect()}
     assert got == {"a": ("in", "a", True, 1, True), "b": ("in", "b", True, 0, True), "c": ("in", "c", False, None, False)}
+
+
+def test_contract_rows_are_dealt_over_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    """Narrow pairs become wide rows: tasks are bounded by rows, not by the bytes read, before and after a shuffle join."""
+    from projectpulse.operators import quality as Q, variance
+    from projectpulse.plans import build
+    from projectpulse.plans.queries import CONSISTENT_COLS
+    from projectpulse.sources import fixtures, layout
+    monkeypatch.setattr(layout, "TASK_ROWS", 500)
+    d = str(tmp_path)
+    keys = spark.range(5_000).select((F.col("id") % 1_700).alias("l_orderkey"), (F.col("id") % 90).alias("l_partkey"))
+    keys.unionByName(keys.limit(700)).write.parquet(f"{d}/lineitem.parquet")
+    spark.range(90).select(F.col("id").alias("p_partkey"), F.lit(2.5).alias("p_retailprice"), F.lit("b").alias("p_brand")).write.parquet(f"{d}/part.parquet")
+    pairs = keys.distinct().count()
+    for most in (200_000, 10):
+        monkeypatch.setattr(fixtures, "BROADCAST_MAX_ROWS", most)
+        rows = build.contracts(spark, d)
+        shares = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert sum(shares) == pairs and max(shares) <= 1_000 and fixtures.contract_tasks(spark, d) == 12
+        want = keys.select((F.col("l_partkey") * 10 + F.col("l_orderkey") % 10).alias("k"), "l_orderkey").distinct().groupBy("k").agg(
+            F.min("l_orderkey").alias("upc"), F.count("*").alias("n"))
+        got = variance.dedup_first(rows, "contract_id", "upc").select("contract_id", "upc", "project_count")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    hot = rows.withColumn("contract_id", F.when(F.col("upc") % 3 > 0, F.lit(1)).when(F.col("upc") % 2 > 0, F.col("contract_id")))
+    for t in (rows, hot):
+        assert Q.consistent_within_key(t, "contract_id", CONSISTENT_COLS, 12).first() == Q.consistent_within_key(t, "contract_id", CONSISTENT_COLS).first()
