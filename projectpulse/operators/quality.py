@@ -239,11 +239,15 @@ def counts_match(name: str, a: DataFrame, a_col: str, b: DataFrame) -> DataFrame
     return _one_row(j, name, F.abs(F.col("__a") - F.col("__b")), "[0, 0]", lambda o: o == 0)
 
 
-def consistent_within_key(df: DataFrame, key: str, cols) -> DataFrame:
+def consistent_within_key(df: DataFrame, key: str, cols, tasks: int | None = None) -> DataFrame:
     """Keys whose repeated attributes disagree between rows (0 expected).
 
-    Two partial aggregates: distinct (key, attributes) rows, then keys with more than one.
+    Two partial aggregates: distinct (key, attributes) rows, then keys with more than one.  With ``tasks`` the rows
+    are dealt by key over so many tasks first, and both run there: a task holds its keys' distinct rows, and repeats,
+    also those of a hot key, add none.
     """
+    if tasks:
+        df = df.select(key, *cols).repartition(tasks, key)
     distinct_rows = df.groupBy(key, *cols).agg(F.count(F.lit(1)).alias("__n"))
     per_key = distinct_rows.groupBy(key).agg(F.count(F.lit(1)).alias("__v"))
     agg = per_key.agg(F.count_if(F.col("__v") > 1).alias("bad"))

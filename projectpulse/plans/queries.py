@@ -626,7 +626,7 @@ CONSISTENT_COLS = ["district", "road_system", "original_completion_date", "curre
     f"(SELECT contract_id, count(*) AS v FROM (SELECT DISTINCT contract_id, {', '.join(CONSISTENT_COLS)} "
     "FROM stg_contracts) t GROUP BY contract_id) g"), "stg_contracts"))
 def q_dq_consistent_within_key(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(Q.consistent_within_key(build.contracts(spark, d), "contract_id", CONSISTENT_COLS))
+    return rounded(Q.consistent_within_key(build.contracts(spark, d), "contract_id", CONSISTENT_COLS, fixtures.contract_tasks(spark, d)))
 
 
 # ---------------------------------------------------------------- evaluation (WIN3-4, ML15-17, AGG22, DQ25)
