@@ -14,7 +14,10 @@ included, saves and loads with Spark ML persistence.
   in one aggregate and added up over the folds that are not held out, which equals
   refitting on those rows;
 * logistic regression matches an L2 penalty of ½‖w‖² on the summed loss:
-  ``regParam = 1/n`` with ``standardization=False`` (intercept not penalised).
+  ``regParam = 1/n`` with ``standardization=False`` (intercept not penalised);
+* trees split the number at 32 quantiles at most, so rows with equal levels, bin and label are one to them: from
+  ``CELL_ROWS`` training rows on, the single tree and the boosted trees learn from these cells, weighted by their rows.
+  A forest draws every row by itself and keeps to rows.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +46,8 @@ SEED = 42
 MISSING_SUFFIX = "_missing"
 INDEX = "__level_"  # prefix of the columns that hold a level's number
 NUMBERS = ("__number", "__missing")
+#: Training rows from which on the models named learn from weighted cells, and bins of the number in a cell.
+CELL_ROWS, CELL_MODELS, BINS = 100_000, ("decision_tree", "gradient_boosting"), 32
 
 
 @dataclass(frozen=True)
@@ -299,6 +304,38 @@ def preparation(prep: Prep) -> list:
     return stages
 
 
+def cell_stages(prep: Prep, train: DataFrame) -> list:
+    """Stages after ``preparation`` that add the vector ``binned``: ``features`` with the number's bin in the place of
+    the number.  The cuts are quantiles of all training rows."""
+    numeric = f"coalesce(`{prep.numeric}`, CAST({_sql_lit(prep.median)} AS DOUBLE))"
+    cuts = sorted(set(train.select(F.expr(numeric).alias("x")).approxQuantile("x", [i / BINS for i in range(1, BINS)], 1e-3)))
+    hot = [f"__hot_{c}" for c in prep.categorical if prep.encoded(c)]
+    return [SQLTransformer(statement=f"SELECT *, {numeric} AS __x FROM __THIS__"),
+            Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__x", outputCol="__bin", handleInvalid="keep"),
+            SQLTransformer(statement="SELECT *, __bin + 0D AS __place FROM __THIS__"),  # a number: bins are marked as categories without order
+            VectorAssembler(inputCols=[*hot, "__place", *(NUMBERS[1:] if prep.has_indicator else ())], outputCol="binned")]
+
+
+def cells(vectors: DataFrame) -> DataFrame:
+    """(binned, label, weight): the rows of each cell counted; their number is bounded by the levels, not by the rows."""
+    return materialize(vectors.groupBy("binned", "label").agg(F.count(F.lit(1)).cast("double").alias("weight")), vectors.sparkSession, "cells")
+
+
+def vectors_of(rows: DataFrame, prep: Prep, columns, train: DataFrame, estimator_names) -> tuple[DataFrame, list[str]]:
+    """``columns`` of ``rows`` with their vectors, written, and the models among those named that learn from cells."""
+    by_cell = [n for n in estimator_names if n in CELL_MODELS and prep.n_rows >= CELL_ROWS]
+    stages = preparation(prep) + (cell_stages(prep, train) if by_cell else [])
+    ready = Pipeline(stages=stages).fit(rows).transform(rows)
+    return materialize(ready.select(*columns, "features", *(["binned"] if by_cell else [])), rows.sparkSession, "vectors"), by_cell
+
+
+def fit_classifier(estimator, train: DataFrame, its_cells: DataFrame | None = None):
+    """The estimator fitted on rows with vectors, or on their cells."""
+    if its_cells is None:
+        return without_summary(estimator.fit(train))
+    return without_summary(estimator.setFeaturesCol("binned").setWeightCol("weight").fit(its_cells))
+
+
 def feature_exprs(prep: Prep) -> list[tuple[Feature, Column]]:
     x = F.coalesce(F.col(prep.numeric), F.lit(prep.median).cast("double"))
     out = []
@@ -471,14 +508,15 @@ def cross_validate(train: DataFrame, estimator_names, k: int = 5, drop_first: bo
     folded = materialize(stratified_folds(train, key, label, k), spark, "cv-folds")
     preps = fit_preps(folded, "fold", k, drop_first=drop_first)
 
-    def vectors(i: int) -> DataFrame:
-        ready = Pipeline(stages=preparation(preps[i])).fit(folded).transform(with_label(folded, label))
-        return materialize(ready.select(key, "fold", "label", "features"), spark, "cv-vectors")
+    def vectors(i: int) -> tuple[DataFrame, list[str], DataFrame | None]:
+        rows, by_cell = vectors_of(with_label(folded, label), preps[i], [key, "fold", "label"], folded.where(F.col("fold") != i), estimator_names)
+        return rows, by_cell, cells(rows.where(F.col("fold") != i)) if by_cell else None
 
     def fit_one(task):
         i, name = task
-        fitted = without_summary(candidate_estimators(preps[i].n_rows)[name].fit(encoded[i].where(F.col("fold") != i)))
-        pred = fitted.transform(encoded[i].where(F.col("fold") == i))
+        rows, by_cell, its_cells = encoded[i]
+        fitted = fit_classifier(candidate_estimators(preps[i].n_rows)[name], rows.where(F.col("fold") != i), its_cells if name in by_cell else None)
+        pred = fitted.transform(rows.where(F.col("fold") == i))
         return pred.select(F.lit(model_name or name).alias("model"), key, "fold",
                            F.col("label").cast("int").alias("label"), positive_probability(pred).alias("score"))
 

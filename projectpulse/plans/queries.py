@@ -1041,15 +1041,16 @@ def q_tree_models(spark: SparkSession, d: str) -> DataFrame:
     """The tree models fitted on all training rows: number of trees, whether all keep to their depth and to the leaves
     that it allows, and the rows and positives that they score.  Of the single tree every leaf is checked on the rows
     themselves: its probability must be the share of positives among the rows that fall into it."""
-    from pyspark.ml import Pipeline
     train = FT.training_rows(_features_table(spark, d))
     prep = M.fit_prep(train, drop_first=False)
-    rows = R.materialize(Pipeline(stages=M.preparation(prep)).fit(train).transform(M.with_label(train)).select("label", "features"), spark, "vectors")
+    estimators = M.candidate_estimators(prep.n_rows)
+    rows, by_cell = M.vectors_of(M.with_label(train), prep, ["label"], train, estimators)
+    its_cells = M.cells(rows) if by_cell else None
     parts = []
-    for name, estimator in M.candidate_estimators(prep.n_rows).items():
+    for name, estimator in estimators.items():
         if name == "logistic_regression":
             continue
-        fitted = M.without_summary(estimator.fit(rows))
+        fitted = M.fit_classifier(estimator, rows, its_cells if name in by_cell else None)
         trees = [fitted] if name == "decision_tree" else fitted.trees
         deepest = estimator.getMaxDepth()
         scored = fitted.transform(rows)

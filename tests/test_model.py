@@ -142,3 +142,28 @@ def test_models_score_after_something_was_observed(spark):
     assert oof.count() == 2 * rows.count()
     model = M.train_logistic(rows)
     assert model.pipeline.transform(M.with_label(rows)).select("probability").count() == rows.count()
+
+
+def test_trees_from_cells_equal_trees_from_rows(spark, monkeypatch):
+    """Rows with equal levels, bin and label, counted: the single tree and the boosted trees are those of the rows, and every row is scored."""
+    rows = _rows_with_folds(spark, 900).select(
+        "upc", F.col("t").alias("project_type_bucketed"), F.col("r").alias("road_system_bucketed"), F.lit("y").alias("district_bucketed"),
+        F.when(F.col("v").isNotNull(), (F.col("upc") % 7).cast("double")).alias("log_allocated_budget"), "at_risk")
+    names, seen = ["decision_tree", "gradient_boosting"], []
+    fit = M.fit_classifier
+
+    def watched(estimator, train, its_cells=None):
+        seen.append((train.count(), its_cells and its_cells.agg(F.count("*"), F.sum("weight")).first()))
+        return fit(estimator, train, its_cells)
+    monkeypatch.setattr(M, "fit_classifier", watched)
+    monkeypatch.setattr(M, "candidate_estimators", lambda n, all_of=M.candidate_estimators: {
+        k: e.setMaxIter(5) if k == "gradient_boosting" else e for k, e in all_of(n).items()})
+    scores = []
+    for least in (1, 10**9):
+        monkeypatch.setattr(M, "CELL_ROWS", least)
+        scores.append({(r.model, r.upc): (r.fold, r.label, r.score) for r in M.cross_validate(rows, names, k=2).collect()})
+    assert [c is not None for _, c in seen] == [True] * 4 + [False] * 4
+    assert all(c[1] == n and c[0] < n / 2 for n, c in seen[:4])
+    assert scores[0].keys() == scores[1].keys() and len(scores[0]) == 2 * rows.count()
+    off = [(k, scores[0][k], scores[1][k]) for k in scores[0] if scores[0][k][:2] != scores[1][k][:2] or abs(scores[0][k][2] - scores[1][k][2]) > 1e-6]
+    assert not off, (len(off), off[:9])
