@@ -89,7 +89,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of every document that is left, packed into sequences."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), chunk=PACK_CHUNK)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), chunk=PACK_CHUNK, forget=True)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from projectpulse.llm.bytesops import ragged
-from projectpulse.llm.common import crc_mod, ship_code, table
+from projectpulse.llm.common import crc_mod, give_back, ship_code, table
 from projectpulse.llm.pretokens import LETTER, classes
 
 UNKNOWN = "und"
@@ -140,6 +140,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", space
                 sums[lang] = sums.get(lang, 0) + vectors[rows].astype(np.float64).sum(axis=0)
         for lang, v in sums.items():
             yield pd.DataFrame({"lang": lang, "dim": np.arange(len(v), dtype=np.int32), "value": v})
+        give_back()
     rows = docs.select(docs[text_col].alias("text"), docs[lang_col].alias("lang")).dropna()
     sums = rows.mapInPandas(run, "lang string, dim int, value double").groupBy("lang", "dim").agg(F.sum("value").alias("value"))
     languages = (sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dim", "value"))).alias("v"))
@@ -174,8 +175,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
                 best = np.where(some, cosines.argmax(axis=1), best)
                 score = np.where(some, np.clip(cosines.max(axis=1), 0, 1), 0.0)
             yield pd.DataFrame({"lang_pred": names[best], "score": score.astype(float)})
+        give_back()
     run.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}  # evaluated, for Spark
-    guess = F.pandas_udf(run, "lang_pred string, score double")
+    # Else a filter on the result runs the function a second time below the filter, with a worker of its own in each task.
+    guess = F.pandas_udf(run, "lang_pred string, score double").asNondeterministic()
     hidden = "__guess"
     return docs.withColumn(hidden, guess(docs[text_col])).select(
         *[docs[c] for c in docs.columns if c not in ("lang_pred", "score")], f"{hidden}.lang_pred", f"{hidden}.score")

@@ -82,8 +82,9 @@ def token_parts(texts: list[str], path: str, chunk: int = CHUNK) -> Iterator[tup
 
 
 def cut(docs: DataFrame, tokenizer_path: str, size: int, id_col: str = "doc_id", text_col: str = "text",
-        chunk: int = CHUNK) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece of every document, closing id included."""
+        chunk: int = CHUNK, forget: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece of every document, closing id included.  With ``forget`` a
+    worker drops the tokenizer and its matches after each task: less memory held, some matches encoded again."""
     def run(batches):
         for pdf in batches:
             rows, held = [], {}
@@ -98,6 +99,8 @@ def cut(docs: DataFrame, tokenizer_path: str, size: int, id_col: str = "doc_id",
             out = pd.DataFrame(rows, columns=["at", "piece", "start", "length", "ids_crc32"])
             out.insert(0, "doc_id", pdf["doc_id"].reset_index(drop=True).reindex(out["at"]).to_numpy())
             yield out.drop(columns="at")
+        if forget:
+            tokenizer.cache_clear()
     return by_pandas(id_text(docs, id_col, text_col), run, "piece int, start long, length long, ids_crc32 long")
 
 
@@ -162,8 +165,8 @@ def pack(pieces: DataFrame, cap: Capacity = Capacity(), bucket_pieces: int = 20_
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, cap: Capacity = Capacity(), id_col: str = "doc_id",
-                   text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    return pack(written(cut(docs, tokenizer_path, cap.tokens, id_col, text_col, chunk), "pack-pieces"), cap)
+                   text_col: str = "text", chunk: int = CHUNK, forget: bool = False) -> DataFrame:
+    return pack(written(cut(docs, tokenizer_path, cap.tokens, id_col, text_col, chunk, forget), "pack-pieces"), cap)
 
 
 def op1_pack(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:

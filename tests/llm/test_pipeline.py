@@ -103,3 +103,24 @@ def test_language_stage_rejects_unseen_scripts_and_gibberish(spark):
     kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept) == list(range(len(clean)))
     assert corpus_pipeline.min_score(1) < corpus_pipeline.min_score(4) < corpus_pipeline.min_score(20)
+
+
+def test_python_runs_once_in_a_task(spark):
+    """A filter on what a Python function returns must not run the function again, in a second worker beside the first."""
+    docs = written(fixture_docs(spark)[0], "p0")
+    for name in ("language_id", "suffix_dedup"):
+        plan = dict(corpus_pipeline.STAGES)[name](spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1, (name, plan)
+    labelled = docs.where("lang is not null")
+    prototypes = corpus_pipeline.langid.learn(labelled)
+    plan = corpus_pipeline.langid.predict(labelled, prototypes).where("lang = lang_pred")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_forgotten_tokenizers_give_the_same_pieces(spark):
+    import public_tokenizers
+
+    docs = written(fixture_docs(spark)[0], "p1")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    kept, forgot = (sorted(map(tuple, corpus_pipeline.packing.cut(docs, path, 2048, forget=f).collect()), key=str) for f in (False, True))
+    assert kept == forgot and len(kept) >= docs.count()
