@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -488,41 +488,80 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+#: Training rows that are fitted at once, over all fits: each holds its rows in memory.
+FIT_ROWS = 40_000_000
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """A model to compare: its name in the result, its estimator, and whether its features leave out the first levels."""
+
+    name: str
+    estimator: str
+    drop_first: bool = False
+
+
+def without_first(prep: Prep) -> list[int]:
+    """The indices of the features of a preparation with all levels that remain without the first level of each column."""
+    offsets = prep.offsets()
+    first = {offsets[c] for c in prep.categorical if prep.sizes[c]}
+    return [i for i in range(offsets[prep.numeric] + len(prep.numeric_features())) if i not in first]
+
+
 def cross_validate(train: DataFrame, estimator_names, k: int = 5, drop_first: bool = False,
                    key: str = "upc", label: str = "at_risk", model_name: str | None = None,
                    parallelism: int = 8) -> DataFrame:
-    """Out-of-fold probabilities of every named estimator.
+    """Out-of-fold probabilities of every named estimator: (model, key, fold, label, score) for every row and model."""
+    return cross_validate_all(train, [Candidate(model_name or n, n, drop_first) for n in estimator_names], k, key, label, parallelism)
+
+
+def cross_validate_all(train: DataFrame, candidates, k: int = 5, key: str = "upc", label: str = "at_risk",
+                       parallelism: int = 8) -> DataFrame:
+    """Out-of-fold probabilities of every candidate.
 
     Folds are stratified on the label; for each fold the preparation is that of the
     other folds (``fit_preps``: all from one pass), its vectors are written once and shared by all
-    estimators, and each estimator is fitted and scores the held-out fold.  Returns
+    candidates, and each candidate is fitted and scores the held-out fold.  Where some leave out the first
+    levels and others do not, theirs are slices of the written vectors.  Returns
     (model, key, fold, label, score) for every row and model.
     The driver only orchestrates: every fit and score is a Spark job, and up to
     ``parallelism`` (fold, model) fits are submitted at once (as ``CrossValidator``'s
-    ``parallelism`` does), so small fits do not leave the cluster idle.
+    ``parallelism`` does), so small fits do not leave the cluster idle; of large ones only as many as keep to
+    ``FIT_ROWS`` rows, which stay in the executors' memory.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from projectpulse.operators.evaluate import stratified_folds
     spark = train.sparkSession
+    candidates = list(candidates)
+    estimator_names = [c.estimator for c in candidates]
+    all_dropped = all(c.drop_first for c in candidates)
     folded = materialize(stratified_folds(train, key, label, k), spark, "cv-folds")
-    preps = fit_preps(folded, "fold", k, drop_first=drop_first)
+    preps = fit_preps(folded, "fold", k, drop_first=all_dropped)
 
     def vectors(i: int) -> tuple[DataFrame, list[str], DataFrame | None]:
         rows, by_cell = vectors_of(with_label(folded, label), preps[i], [key, "fold", "label"], folded.where(F.col("fold") != i), estimator_names)
         return rows, by_cell, cells(rows.where(F.col("fold") != i)) if by_cell else None
 
     def fit_one(task):
-        i, name = task
+        i, c = task
         rows, by_cell, its_cells = encoded[i]
-        fitted = fit_classifier(candidate_estimators(preps[i].n_rows)[name], rows.where(F.col("fold") != i), its_cells if name in by_cell else None)
+        if c.drop_first and not all_dropped:
+            if c.estimator in by_cell:
+                raise ValueError(f"{c.estimator} learns from cells, which hold all levels")
+            rows = VectorSlicer(inputCol="features", outputCol="__slice", indices=without_first(preps[i])).transform(rows).select(
+                key, "fold", "label", F.col("__slice").alias("features"))
+        fitted = fit_classifier(candidate_estimators(preps[i].n_rows)[c.estimator], rows.where(F.col("fold") != i),
+                                its_cells if c.estimator in by_cell else None)
         pred = fitted.transform(rows.where(F.col("fold") == i))
-        return pred.select(F.lit(model_name or name).alias("model"), key, "fold",
+        return pred.select(F.lit(c.name).alias("model"), key, "fold",
                            F.col("label").cast("int").alias("label"), positive_probability(pred).alias("score"))
 
+    most = max((p.n_rows for p in preps.values()), default=0)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         encoded = list(pool.map(vectors, range(k)))
-        parts = list(pool.map(fit_one, [(i, name) for i in range(k) for name in estimator_names]))
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, FIT_ROWS // max(most, 1)))) as pool:
+        parts = list(pool.map(fit_one, [(i, c) for i in range(k) for c in candidates]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

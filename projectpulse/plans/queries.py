@@ -982,12 +982,15 @@ COMPARED = ["logistic_regression", "decision_tree", "random_forest", "gradient_b
 FINAL = "final_logistic_regression"
 
 
+def _candidates(names) -> list[M.Candidate]:
+    """The named candidates, with all levels, and the final model, without the first."""
+    return [*(M.Candidate(n, n) for n in names), M.Candidate(FINAL, "logistic_regression", drop_first=True)]
+
+
 def _compared_scores(spark: SparkSession, d: str) -> DataFrame:
     from projectpulse.sources.readers import materialize
     train = FT.training_rows(_features_table(spark, d))
-    oof = M.cross_validate(train, COMPARED).unionByName(
-        M.cross_validate(train, ["logistic_regression"], drop_first=True, model_name=FINAL))
-    return materialize(oof, spark, "oof-scores")
+    return materialize(M.cross_validate_all(train, _candidates(COMPARED)), spark, "oof-scores")
 
 
 def model_comparison(oof: DataFrame) -> DataFrame:
@@ -1026,8 +1029,7 @@ def q_model_floor(spark: SparkSession, d: str) -> DataFrame:
     """The floor on the trained models: whether the mean out-of-fold AUC of the candidate and of the final logistic
     regression, as fitted here, exceeds 0.65.  The flag comes from the fitted models' scores."""
     train = FT.training_rows(_features_table(spark, d))
-    oof = R.materialize(M.cross_validate(train, COMPARED[:1]).unionByName(
-        M.cross_validate(train, COMPARED[:1], drop_first=True, model_name=FINAL)), spark, "oof-scores")
+    oof = R.materialize(M.cross_validate_all(train, _candidates(COMPARED[:1])), spark, "oof-scores")
     folds = oof.groupBy("model").agg(F.count_distinct("fold").alias("n_folds"))
     return model_comparison(oof).select("model", "beats_floor").join(folds, "model").select("model", "n_folds", "beats_floor")
 

@@ -167,3 +167,46 @@ def test_trees_from_cells_equal_trees_from_rows(spark, monkeypatch):
     assert scores[0].keys() == scores[1].keys() and len(scores[0]) == 2 * rows.count()
     off = [(k, scores[0][k], scores[1][k]) for k in scores[0] if scores[0][k][:2] != scores[1][k][:2] or abs(scores[0][k][2] - scores[1][k][2]) > 1e-6]
     assert not off, (len(off), off[:9])
+
+
+def test_models_with_and_without_first_levels_share_folds_and_vectors(spark, monkeypatch):
+    """One set of folds, preparations and vectors for both; scores are those of a run for each."""
+    rows = _rows_with_folds(spark, 300).select(
+        "upc", F.col("t").alias("project_type_bucketed"), F.col("r").alias("road_system_bucketed"), F.lit("y").alias("district_bucketed"),
+        F.col("v").alias("log_allocated_budget"), "at_risk")
+    calls = []
+    for name in ("fit_preps", "vectors_of"):
+        def watched(*args, of=getattr(M, name), name=name, **kw):
+            calls.append(name)
+            return of(*args, **kw)
+        monkeypatch.setattr(M, name, watched)
+    both = M.cross_validate_all(rows, [M.Candidate("all", "logistic_regression"), M.Candidate("less", "logistic_regression", True)], k=3)
+    got = {(r.model, r.upc): (r.fold, r.label, r.score) for r in both.collect()}
+    assert sorted(calls) == ["fit_preps"] + ["vectors_of"] * 3
+    want = {}
+    for name, drop in (("all", False), ("less", True)):
+        want |= {(r.model, r.upc): (r.fold, r.label, r.score)
+                 for r in M.cross_validate(rows, ["logistic_regression"], k=3, drop_first=drop, model_name=name).collect()}
+    assert got.keys() == want.keys() and len(got) == 2 * rows.count()
+    assert all(got[x][:2] == want[x][:2] and abs(got[x][2] - want[x][2]) < 1e-9 for x in got)
+
+
+def test_large_fits_do_not_run_side_by_side(spark, monkeypatch):
+    import threading
+    rows = _rows_with_folds(spark, 100).select(
+        "upc", F.col("t").alias("project_type_bucketed"), F.lit("x").alias("road_system_bucketed"), F.lit("y").alias("district_bucketed"),
+        F.col("v").alias("log_allocated_budget"), "at_risk")
+    running, most, lock, fit = [0], [0], threading.Lock(), M.fit_classifier
+
+    def watched(*args):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return fit(*args)
+        finally:
+            with lock:
+                running[0] -= 1
+    monkeypatch.setattr(M, "fit_classifier", watched)
+    monkeypatch.setattr(M, "FIT_ROWS", 60)
+    assert M.cross_validate(rows, ["logistic_regression"], k=3).count() == rows.count() and most[0] == 1
