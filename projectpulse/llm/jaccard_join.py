@@ -11,7 +11,7 @@ query op8; other callers give their own.
    gives the signatures of the class below.  Below 90 percent there are spare parts, so that linked sets
    have several equal parts.  With e empty parts of p, and at most k that can differ, at least p - k - e
    parts with shingles are equal; where that is above 0, empty parts give no signature.  Sets with fewer
-   signatures in common with others than they need link to nothing.
+   signatures in common with others than they need link to nothing, and the rarest of a set are enough.
 3. Sets that signatures connect form a cluster of similar sets.  In a cluster of more than ``GROUP``
    sets all are compared with its leader, the set that shares most signatures; those that link to
    it are one component, within which nothing more needs to be compared.
@@ -179,12 +179,14 @@ def signature_rows(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> D
 
 def shared_signatures(docs: DataFrame, n: int = N, threshold: int = THRESHOLD) -> DataFrame:
     """(sig, name, first, size) of the signatures that at least two distinct sets have, of sets that have as many of
-    them as they need: ``first`` is the least name of the signature, ``size`` the number of its sets."""
-    rows = _met(signature_rows(docs, n, threshold)).select("sig", "name", "need").dropDuplicates(["sig", "name"])
+    them as they need: ``first`` is the least name of the signature, ``size`` the number of its sets.  Of the k such
+    signatures of a set that needs r, the k - r + 1 rarest are enough: of the r or more that linked sets share, the
+    rarest has r - 1 others after it in both, so it is among these.  Common signatures would connect far too much."""
+    rows = _met(signature_rows(docs, n, threshold)).select("sig", "name", "need", "size").dropDuplicates(["sig", "name"])
     rows = written(rows, "join-shared")
-    enough = rows.groupBy("name").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need")
-    enough = written(enough.select("name"), "join-enough")
-    return _met(rows.join(small(enough), "name", "left_semi")).select("sig", "name", "first", "size")
+    own = W.partitionBy("name")
+    rarest = rows.withColumns({"k": F.count("*").over(own), "place": F.row_number().over(own.orderBy("size", "sig"))}).where("place <= k - need + 1")
+    return _met(rarest.select("sig", "name")).select("sig", "name", "first", "size")
 
 
 def _met(rows: DataFrame) -> DataFrame:

@@ -236,3 +236,20 @@ def test_spotsigs_pairs(spark):
 def test_locators_survive_a_written_table(spark, docs):
     table = written(docs, "test-docs")
     assert exact_dedup.dedup(spark, table).select("file", "row").distinct().count() == table.count()
+
+
+def test_a_common_passage_connects_no_clusters(spark):
+    """Pairs of near copies around one long common passage: signatures of the passage lie in all, those of a pair are enough."""
+    rnd = random.Random(17)
+    words = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    common, rows = words(180), []
+    for k in range(40):
+        own = words(150)
+        rows += [(2 * k, " ".join(common + own)), (2 * k + 1, " ".join(common + own[:-4] + words(4)))]
+    docs = brute.frame(spark, rows, ())
+    shared = written(jaccard_join.shared_signatures(docs.select("doc_id", "text"), 5, 80), "c0")
+    names = shared.groupBy("name").agg(F.min("first").alias("root"))
+    clusters = jaccard_join.clusters_of(shared, written(names, "c1")).groupBy("cluster").count().collect()
+    assert sorted(r["count"] for r in clusters) == [2] * 40
+    found = jaccard_join.join(spark, docs, n=5, threshold=80).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i // 2 * 2 for i, _ in rows}
