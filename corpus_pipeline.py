@@ -32,6 +32,8 @@ MIN_SCORE = min_score(1)
 PACK_CHUNK = 1 << 19
 #: Near copies share at least so many percent of their shingles of so many words.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: A passage repeats from so many words on, or from as many bytes as op5 takes.
+PASSAGE_WORDS = 50
 
 
 def length_class(text: Column) -> Column:
@@ -79,7 +81,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat are taken out of the texts; documents of which nothing is left go."""
-    cleaned = suffix_dedup.cleaned(docs)
+    cleaned = suffix_dedup.cleaned(docs, least=suffix_dedup.LENGTH // PASSAGE_WORDS)
     emptied = (F.trim("text") == "") & (F.coalesce(F.col("n_chars"), F.lit(0)) > 0)
     return (cleaned.where(~F.coalesce(emptied, F.lit(False)))
             .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns))

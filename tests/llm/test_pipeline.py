@@ -124,3 +124,31 @@ def test_forgotten_tokenizers_give_the_same_pieces(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     kept, forgot = (sorted(map(tuple, corpus_pipeline.packing.cut(docs, path, 2048, forget=f).collect()), key=str) for f in (False, True))
     assert kept == forgot and len(kept) >= docs.count()
+
+
+def test_passages_of_over_fifty_short_words_go(spark):
+    """Passages of 51 words need not have the 400 bytes of op5; those of 400 bytes go as before."""
+    rnd = random.Random(31)
+    words = lambda n, size=3: " ".join("".join(rnd.choice("abcdefgh") for _ in range(size)) for _ in range(n))
+    short, few, bytes_, script = words(51), words(40), words(40, 12), words(1, 450)
+    assert len(short) < 400 < len(bytes_)
+    own = [words(30) for _ in range(10)]
+    texts = [f"{own[0]} {short} {own[1]}", f"{own[2]}\n{short}\n{own[3]}", f"{own[4]} {few} {own[5]}", f"{own[6]} {few} {own[7]}",
+             f"{own[8]} {bytes_}", f"{bytes_} {own[9]}", f"x {script}", f"y {script}", words(200), None]
+    docs = written(brute.frame(spark, list(enumerate(texts)), ()), "q0")
+    left = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["suffix_dedup"](spark, docs, "").collect()}
+    assert left.keys() == set(range(len(texts)))
+    for k in (0, 1):
+        assert left[k].split() == own[2 * k].split() + own[2 * k + 1].split()
+    assert all(left[k] == texts[k] for k in (2, 3, 8, 9))
+    assert left[4].strip() == own[8] and left[5].strip() == own[9] and left[6].strip() == "x" and left[7].strip() == "y"
+
+
+def test_widened_texts():
+    rnd = random.Random(3)
+    for text in ["", " ", "a", "  a bb\n\nccc ", "éé " * 5, "x" * 30] + ["".join(rnd.choice("ab \né") for _ in range(rnd.randint(1, 300))) for _ in range(50)]:
+        raw = text.encode()
+        parts = list(corpus_pipeline.suffix_dedup.widened(raw, 8))
+        out = b"".join(o.tobytes() for o, _ in parts)
+        assert out.replace(b"\xff", b"") == raw and len(out) >= 8 * len(raw.split())
+        assert corpus_pipeline.suffix_dedup.kept(raw, [], 8).all() and not corpus_pipeline.suffix_dedup.kept(raw, [{"start": 0, "end": len(out)}], 8).any()
