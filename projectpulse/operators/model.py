@@ -16,8 +16,8 @@ included, saves and loads with Spark ML persistence.
 * logistic regression matches an L2 penalty of ½‖w‖² on the summed loss:
   ``regParam = 1/n`` with ``standardization=False`` (intercept not penalised);
 * trees split the number at 32 quantiles at most, so rows with equal levels, bin and label are one to them: from
-  ``CELL_ROWS`` training rows on, the single tree and the boosted trees learn from these cells, weighted by their rows.
-  A forest draws every row by itself and keeps to rows.
+  ``CELL_ROWS`` training rows on, the tree models learn from these cells, weighted by their rows.  A forest draws the
+  rows of a cell together (``forest``); of more cells than a task should hold it learns from rows.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from projectpulse.functions.scalar import logistic
 from projectpulse.operators.evaluate import running_totals
 from projectpulse.operators.features import CATEGORICAL, NUMERIC
+from projectpulse.operators.forest import fit_forest, fits_a_task
 from projectpulse.operators.quantiles import grouped_stats, rollup_stats
 from projectpulse.sources.readers import materialize
 
@@ -47,7 +48,7 @@ MISSING_SUFFIX = "_missing"
 INDEX = "__level_"  # prefix of the columns that hold a level's number
 NUMBERS = ("__number", "__missing")
 #: Training rows from which on the models named learn from weighted cells, and bins of the number in a cell.
-CELL_ROWS, CELL_MODELS, BINS = 100_000, ("decision_tree", "gradient_boosting"), 32
+CELL_ROWS, CELL_MODELS, BINS = 100_000, ("decision_tree", "random_forest", "gradient_boosting"), 32
 
 
 @dataclass(frozen=True)
@@ -316,9 +317,19 @@ def cell_stages(prep: Prep, train: DataFrame) -> list:
             VectorAssembler(inputCols=[*hot, "__place", *(NUMBERS[1:] if prep.has_indicator else ())], outputCol="binned")]
 
 
+def cell_parts(prep: Prep) -> list[Column]:
+    """What ``binned`` is made of, after ``cell_stages``: ``hot``, the index of each column's feature that is 1 (the number of
+    the levels' features where none is), and ``numbers``, the values of the features after them."""
+    offsets = prep.offsets()
+    hot = [F.when(F.col(INDEX + c) < prep.encoded(c), F.col(INDEX + c) + offsets[c]).otherwise(offsets[prep.numeric]).cast("int")
+           for c in prep.categorical if prep.encoded(c)]
+    return [F.array(*hot).cast("array<int>").alias("hot"), F.array("__place", *(NUMBERS[1:] if prep.has_indicator else ())).alias("numbers")]
+
+
 def cells(vectors: DataFrame) -> DataFrame:
-    """(binned, label, weight): the rows of each cell counted; their number is bounded by the levels, not by the rows."""
-    return materialize(vectors.groupBy("binned", "label").agg(F.count(F.lit(1)).cast("double").alias("weight")), vectors.sparkSession, "cells")
+    """(binned, its parts, label, weight): the rows of each cell counted; their number is bounded by the levels, not by the rows."""
+    parts = [c for c in ("hot", "numbers") if c in vectors.columns]
+    return materialize(vectors.groupBy("binned", *parts, "label").agg(F.count(F.lit(1)).cast("double").alias("weight")), vectors.sparkSession, "cells")
 
 
 def vectors_of(rows: DataFrame, prep: Prep, columns, train: DataFrame, estimator_names) -> tuple[DataFrame, list[str]]:
@@ -326,13 +337,16 @@ def vectors_of(rows: DataFrame, prep: Prep, columns, train: DataFrame, estimator
     by_cell = [n for n in estimator_names if n in CELL_MODELS and prep.n_rows >= CELL_ROWS]
     stages = preparation(prep) + (cell_stages(prep, train) if by_cell else [])
     ready = Pipeline(stages=stages).fit(rows).transform(rows)
-    return materialize(ready.select(*columns, "features", *(["binned"] if by_cell else [])), rows.sparkSession, "vectors"), by_cell
+    kept = (["binned"] if by_cell else []) + (cell_parts(prep) if "random_forest" in by_cell else [])
+    return materialize(ready.select(*columns, "features", *kept), rows.sparkSession, "vectors"), by_cell
 
 
 def fit_classifier(estimator, train: DataFrame, its_cells: DataFrame | None = None):
     """The estimator fitted on rows with vectors, or on their cells."""
     if its_cells is None:
         return without_summary(estimator.fit(train))
+    if isinstance(estimator, RandomForestClassifier):
+        return fit_forest(estimator, its_cells) if fits_a_task(its_cells) else without_summary(estimator.fit(train))
     return without_summary(estimator.setFeaturesCol("binned").setWeightCol("weight").fit(its_cells))
 
 
